@@ -57,13 +57,13 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(text: Column, size: int = SKETCH) -> Column:
-    """The ``size`` least distinct hashes of a text's anchors, in order."""
-    return F.slice(F.array_sort(F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))), 1, size)
+    """The ``size`` least distinct hashes of a text's anchors, in order, as 32-bit numbers."""
+    return F.slice(F.array_sort(F.array_distinct(F.transform(anchors(text), lambda a: F.shiftright(a["hash"], 32).cast("int")))), 1, size)
 
 
 def fingerprint(own: Column) -> Column:
-    """A sketch as a string: 16 hex digits for each hash."""
-    return F.array_join(F.transform(own, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+    """A sketch as a string: 8 hex digits for each hash."""
+    return F.array_join(F.transform(own, lambda h: F.lower(F.right(F.lpad(F.hex(h), 16, "0"), F.lit(8)))), "")
 
 
 def likeness(one: Column, other: Column, size: int = SKETCH) -> Column:
@@ -98,19 +98,20 @@ def compared(documents: DataFrame) -> DataFrame:
     A null text counts as empty. Of rows that share a ``doc_id``, each is compared, and the text of the least hash stands for them as a next document;
     a row without ``doc_id`` has an empty next document and is nobody's. A lone document is its own next one. Further columns are ignored.
     """
-    docs = documents.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("n_chars", F.length("text").cast("long"))
-    ids = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(F.col("n_chars") / 2)).alias("half"))
+    docs = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
     follows = neighbours(ids).select("id", F.col("prev.id").alias("for_id"), F.col("prev.half").alias("need"))
-    own = docs.withColumn("sketch", sketch(F.col("text")))
+    # Both joins below read the same rows by the same key, so the texts are shuffled once for both.
+    own = docs.where("doc_id is not null").withColumn("sketch", sketch(F.col("text")))
     # As a next document only the head that the other's edit needs travels, and the sketch.
     head = F.substring(F.col("text"), F.lit(1), F.col("need").cast("int"))
     heads = own.join(follows, own["doc_id"] == follows["id"]).select("for_id", F.struct(head.alias("head"), "sketch").alias("next"), F.xxhash64("text").alias("order"))
     heads = heads.groupBy("for_id").agg(F.min_by("next", "order").alias("next"))
-    both = own.join(heads, own["doc_id"] == heads["for_id"], "left")
+    both = own.join(heads, own["doc_id"] == heads["for_id"], "left").drop("for_id")
+    alone = docs.where("doc_id is null").withColumn("sketch", sketch(F.col("text"))).withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
+    both = both.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    head = F.coalesce("next.head", F.lit(""))
-    edited = both.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(head, F.lit(1), half)))
+    edited = both.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), half)))
     edited = edited.withColumn("edited_sketch", sketch(F.col("edited")))
     none = F.slice(F.col("sketch"), 1, 0)
     return edited.select(
