@@ -35,18 +35,8 @@ def normalize_unit(unit: Column) -> Column:
 
 def strip_affixes(text: Column) -> Column:
     """At most one prefix and one suffix dropped, never the whole text."""
-    own = blank_to_empty(text)
-
-    def cut(value: Column, parts, is_so, rest) -> Column:
-        out = None
-        for p in parts:
-            test, new = is_so(value, p) & (F.length(value) > len(p)), rest(value, p)
-            out = F.when(test, new) if out is None else out.when(test, new)
-        return out.otherwise(value)
-
-    own = cut(own, C.PREFIXES, lambda v, p: v.startswith(p), lambda v, p: F.substring(v, F.lit(len(p) + 1), F.length(v)))
-    own = cut(own, C.SUFFIXES, lambda v, p: v.endswith(p), lambda v, p: F.substring(v, F.lit(1), F.length(v) - len(p)))
-    return F.trim(own)
+    own = F.regexp_replace(blank_to_empty(text), f"^(?:{'|'.join(C.PREFIXES)})(?=[\\s\\S])", "")
+    return F.trim(F.regexp_replace(own, f"(?<=[\\s\\S])(?:{'|'.join(C.SUFFIXES)})$", ""))
 
 
 def clean_text(text: Column) -> Column:
@@ -139,14 +129,9 @@ def excerpt(text: Column, terms: Column, length: int = 260, lead: int = 65) -> C
 
 def core_tokens(name: Column) -> Column:
     """A name without one verb before it, and also without each modifier before that."""
-    own = normalize_text(name)
-    out = None
-    for v in C.VERB_PREFIXES:
-        test, new = own.startswith(v) & (F.length(own) > len(v)), F.substring(own, F.lit(len(v) + 1), F.length(own))
-        out = F.when(test, new) if out is None else out.when(test, new)
-    value = out.otherwise(own)
-    cut = [F.when(value.startswith(m) & (F.length(value) > len(m)), F.substring(value, F.lit(len(m) + 1), F.length(value))) for m in C.MODIFIERS]
-    return F.array_distinct(F.filter(F.array(value, *cut), lambda x: x.isNotNull() & (x != "")))
+    value = F.regexp_replace(normalize_text(name), f"^(?:{'|'.join(C.VERB_PREFIXES)})(?=[\\s\\S])", "")
+    cut = F.transform(F.array(*map(F.lit, C.MODIFIERS)), lambda m: F.when(value.startswith(m) & (F.length(value) > F.length(m)), F.substring(value, F.length(m) + 1, F.length(value))))
+    return F.array_distinct(F.filter(F.concat(F.array(value), cut), lambda x: x.isNotNull() & (x != "")))
 
 
 def clamp_confidence(value: Column) -> Column:

@@ -132,7 +132,8 @@ def rank_candidates(rows: DataFrame, catalog: DataFrame, index: DataFrame, top:
     found = alias_candidates(rows, index).join(catalog.select("component"), "component", "left_semi").withColumn("explicit", F.lit(True))
     rest = rows.join(found.select("row_id").distinct(), "row_id", "left_anti")
     named = catalog.select("component", F.explode("names").alias("name"))
-    alike = block_pairs(rest, named)
+    # A name also meets what holds one of its core words.
+    alike = block_pairs(rest.select("row_id", F.explode(F.array_union(F.array("name"), X.core_tokens(F.col("name")))).alias("name")), named)
     special = _special_pairs(rest).join(catalog.select("component"), "component", "left_semi")
     pairs = found.unionByName(alike.union(special.select("row_id", "component")).distinct().withColumn("explicit", F.lit(False)))
     specials = special.union(_special_pairs(rows.join(found.select("row_id").distinct(), "row_id", "left_semi"))).distinct().withColumn("special", F.lit(True))
