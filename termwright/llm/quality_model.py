@@ -121,7 +121,7 @@ def posteriors(counts: dict[int, int], rounds: int = 100, weight: float = 0.02)
     """
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], float)
-    own = np.array([unpack(p) for p in patterns]).reshape(len(patterns), len(LABELLERS))
+    own = np.array([unpack(p) for p in patterns], int).reshape(len(patterns), len(LABELLERS))
     prior = np.array([[0.5, 0.5], [0.02, 0.98]])
     strength = weight * n.sum() + 1
     table, good = np.tile(prior, (len(LABELLERS), 1, 1)), 0.9

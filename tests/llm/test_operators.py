@@ -1,0 +1,389 @@
+"""The operators of the text preparation package against brute force and on hard inputs."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from termwright.llm import bpe, chat_format, packing, pii, quality_model, quality_rules, queries, simhash, syncmers, token_counts, url_filter
+
+SF = "/root/testdata/sf0.001"
+LONG = "lorem ipsum dolor " * 4000
+HARD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "Hello  world\n\n a"), (5, "Hello  world\n\n a"), (6, "日本語 テキスト <|endoftext|> x"), (7, LONG), (8, "x" * 3000), (None, "no id here at all"), (9, "### a </turn> \\ b"), (10, "é ́e ΣΑΣ İ ﬁ 🙂 \x1c \x85y\xa0z")]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    """Nulls, empty and long texts, repeated rows, and columns named like those that are added."""
+    names = ["n_tokens", "kept", "ids", "score", "simhash", "rule", "host", "votes"]
+    return spark.createDataFrame([(i, t, "en", *["clash"] * len(names)) for i, t in HARD], "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def none(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string")
+
+
+def texts_of(docs):
+    return {r.doc_id: r.text or "" for r in docs.collect()}
+
+
+# -- 1 chat formatting ---------------------------------------------------------------------------
+
+
+def turns(spark):
+    rows = [(1, 0, "system", "be brief"), *[(1, i, "assistant" if i % 2 == 0 else "user", f"text {i} " * 90) for i in range(1, 60)]]
+    rows += [(2, None, None, None), (2, 5, "a:b\\c", "## ### </turn>\n</turn>\\"), (2, 5, "a:b\\c", "## ### </turn>\n</turn>\\"), (None, 1, "assistant", ""), (3, 7, "assistant", LONG), (4, 1, "system", "late"), (4, 0, "user", "u")]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_chat_round_trip(spark):
+    df = turns(spark)
+    windows = chat_format.chat_windows(df.withColumn("win", F.lit(1)), budget=600)
+    got = {r.conv_id: r for r in chat_format.digests(windows).collect()}
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.conv_id, []).append((-1 if r.turn is None else r.turn, r.role or "", r.text or ""))
+    assert set(got) == set(want)
+    for conv, own in want.items():
+        own.sort()
+        said = "".join(f"{role}\n{text}\n" for _, role, text in own)
+        loss = "".join(text for _, role, text in own if role == "assistant")
+        assert got[conv].n_turns == len(own)
+        assert got[conv].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_chat_windows_keep_the_budget(spark):
+    rows = chat_format.chat_windows(turns(spark), budget=600).where("conv_id = 1").orderBy("first_idx").collect()
+    assert len(rows) > 5 and all(r.over_budget == (r.tokens > 600) for r in rows)
+    assert rows[0].n_system == 0 and all(r.n_system == 1 and r.formatted.startswith("### system: be brief</turn>\n") for r in rows[1:])
+    assert any(r.n_history for r in rows) and all(not r.over_budget for r in rows)
+    assert chat_format.chat_windows(turns(spark).limit(0)).count() == 0
+
+
+def test_hard_conversation(spark):
+    r = queries.op1_chat_format(spark, SF).where("conv_id = -7").collect()[0]
+    text = "\\### Assistant: </turn> ok"
+    assert r.n_turns == 2 and r.loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and r.loss_chars == len(text)
+
+
+# -- 2 SimHash -------------------------------------------------------------------------------------
+
+
+def brute_simhash(text):
+    words = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash(spark, docs, hard):
+    base = docs.select("doc_id", "text")
+    near = base.where("doc_id < 20").select((F.col("doc_id") + 10_000).alias("doc_id"), F.concat("text", F.lit(" extra")).alias("text"))
+    df = base.union(near).union(hard.where("doc_id is not null").select((F.col("doc_id") + 20_000).alias("doc_id"), "text"))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    prints = {r.doc_id: brute_simhash(r.text or "") for r in df.collect()}
+    assert {i: f"{p:016x}" for i, p in prints.items()} == {i: p for i, (p, _) in got.items()}
+    ids = sorted(prints)
+    f = np.array([prints[i] for i in ids], np.uint64)
+    label = np.array(ids)
+    near_of = [np.flatnonzero(np.bitwise_count(f ^ x) <= 4) for x in f]
+    while True:
+        new = np.array([label[n].min() for n in near_of])
+        if (new == label).all():
+            break
+        label = new
+    assert {i: int(c) for i, c in zip(ids, label)} == {i: c for i, (_, c) in got.items()}
+
+
+def test_stars_connect_what_pairs_connect():
+    rng = np.random.default_rng(1)
+    a = np.unique(rng.integers(0, 1 << 9, 300).astype(np.uint64))
+    x = np.arange(len(a), dtype=np.int64) * 3
+    src, dst = simhash.stars(a, x, a, x, 1)
+    assert len(src) < len(a)
+    root = {int(i): int(i) for i in x}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for s, d in zip(src.tolist(), dst.tolist()):
+        p, q = sorted((find(s), find(d)))
+        root[q] = p
+    want = {int(i): int(i) for i in x}
+    for _ in range(len(a)):
+        new = {int(x[i]): min(want[int(x[j])] for j in np.flatnonzero(np.bitwise_count(a ^ a[i]) <= 1)) for i in range(len(a))}
+        if new == want:
+            break
+        want = new
+    assert {i: find(i) for i in root} == want
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.range(60).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert {(r.node, r.component) for r in simhash.components(links).collect()} == {(i, 0) for i in range(61)}
+    assert simhash.components(links.limit(0)).count() == 0 and simhash.near_duplicates(none(spark)).count() == 0
+
+
+# -- 3 syncmers --------------------------------------------------------------------------------------
+
+
+def test_syncmers(spark, docs, hard):
+    got = {r.doc_id: r for r in syncmers.compared(docs).collect()}
+    own = sorted(texts_of(docs).items(), reverse=True)
+    for k, (i, t) in enumerate(own):
+        n = own[(k + 1) % len(own)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + n[:half]
+        assert got[i].n_chars == len(t) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+    by_text = {}
+    for i, t in own:
+        assert by_text.setdefault(t, got[i].fingerprint) == got[i].fingerprint
+    long_ones = [r for r in got.values() if r.n_chars > 1500]
+    assert np.mean([r.near_edited for r in long_ones]) > 0.2 > np.mean([r.near_next for r in long_ones])
+    rows = syncmers.compared(hard).collect()
+    assert len(rows) == len(HARD) and all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in rows)
+    assert syncmers.compared(none(spark)).count() == 0
+
+
+def test_anchors_are_context_free(spark):
+    words = [f"w{random.Random(3).randrange(10**6)}{i}" for i in range(80)]
+    a, b = " ".join(words), "other start here " + " ".join(words[5:]) + " end"
+    x, y = ({r["hash"] for r in row[0]} for row in spark.createDataFrame([(a,), (b,)], "t string").select(syncmers.anchors(F.col("t"))).collect())
+    assert len(x & y) > 0.7 * len(x)
+
+
+# -- 4, 7 tokens --------------------------------------------------------------------------------------
+
+
+def sample_texts(docs):
+    rng = random.Random(5)
+    some = [t for _, t in sorted(texts_of(docs).items())[:60]]
+    return some + [t or "" for _, t in HARD] + ["".join(rng.choice("ab ▁\n日é🙂1.'s<|>X") for _ in range(80)) for _ in range(300)] + ["ab" * 700, "!" * 900, " " * 50 + "x"]
+
+
+def test_token_counts(spark, docs, hard):
+    path = queries.vocabulary("piece_bpe_32k.model")
+    texts = sample_texts(docs)
+    want = sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
+    got = token_counts.PieceEncoder(path).encode_batch(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    rows = token_counts.counted(hard, path, limit=5).collect()
+    assert len(rows) == len(HARD) and all(r.over_limit == (r.n_tokens > 5) for r in rows)
+    assert token_counts.counted(none(spark), path).count() == 0
+
+
+def test_bpe(spark, docs, hard):
+    path = queries.vocabulary("word_bpe_49k.json")
+    texts = sample_texts(docs)
+    library = Tokenizer.from_file(path)
+    encoder = bpe.WordEncoder(path)
+    for t, g, w in zip(texts, encoder.encode_batch(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(g, "<u4").tolist() == w.ids
+        assert encoder.decode(g).decode() == library.decode(w.ids, skip_special_tokens=False)
+    assert bpe.encoded(hard, path).count() == len(HARD) and bpe.encoded(none(spark), path, with_ids=False).count() == 0
+
+
+def test_segment_tree_merges_the_leftmost_lowest():
+    rng = random.Random(2)
+    pairs = [(a, b) for a in range(6) for b in range(6)]
+    rng.shuffle(pairs)
+    made = {p: 6 + i for i, p in enumerate(pairs[:20])}
+    table = bpe.MergeTable(*(np.array(x) for x in ([a for a, _ in made], [b for _, b in made], range(20), [*made.values()])), size=40)
+    rank = {p: i for i, p in enumerate(made)}
+
+    def brute(w):
+        while True:
+            found = [(rank[p], i) for i, p in enumerate(zip(w, w[1:])) if p in rank]
+            if not found:
+                return w
+            _, i = min(found)
+            w = [*w[:i], made[w[i], w[i + 1]], *w[i + 2 :]]
+
+    words = [[rng.randrange(6) for _ in range(n)] for n in (1, 2, 3, 5, 8, 13, 40, 200, 300, 600) for _ in range(20)]
+    ids, counts = table.merge(np.array(sum(words, [])), np.array([*map(len, words)]))
+    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [brute(w) for w in words] == [table.merge_long(w) for w in words]
+
+
+# -- 5 URL filter -----------------------------------------------------------------------------------
+
+
+def test_globs():
+    rng = random.Random(4)
+    globs = ["*", "", "a*b", "*ab*", "?b*", "a?c", "*a?b*c", *("".join(rng.choice("ab*?") for _ in range(rng.randrange(12))) for _ in range(60))]
+    texts = ["", "ab", "abc", "a" * 300, *("".join(rng.choice("abc") for _ in range(rng.randrange(40))) for _ in range(200))]
+    as_regex = [re.compile("(?s)" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in g)) for g in globs]
+    want = np.array([[bool(r.fullmatch(t)) for r in as_regex] for t in texts])
+    assert (url_filter.GlobAutomaton(globs).fits([t.encode() for t in texts]) == want).all()
+
+
+def test_url_rules(spark):
+    urls = {"http://A.Example.org/en/12": ("a.example.org", "/en/12", "example.org/en/1", "block"), "https://example.org?q=/es/": ("example.org", "", None, "allow"), "http://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"), "http://x.com/de/#a": ("x.com", "/de/", "com/de/", "block"), None: ("", "", None, "allow"), "org/": ("", "", None, "allow"), "http://w.net/" + "a" * 5000: ("w.net", "/" + "a" * 5000, None, "allow")}
+    df = spark.createDataFrame([(u, "clash") for u in urls], "url string, rule string").withColumn("copy", F.col("url"))
+    got = {r.copy: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judged(df, queries.URL_RULES).collect()}
+    assert got == urls
+    assert url_filter.judged(df.limit(0), queries.URL_RULES).count() == 0
+
+
+# -- 6, 8 quality -----------------------------------------------------------------------------------
+
+
+def test_quality_model(spark, hard):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = quality_model.trained(docs)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    got = [(labels[r.doc_id], r.kept) for r in quality_model.scored(docs, model).collect() if r.doc_id in labels]
+    good, bad = [k for q, k in got if q], [k for q, k in got if not q]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.15
+    assert quality_model.scored(hard, model).count() == len(HARD)
+    empty = quality_model.trained(none(spark))
+    assert quality_model.scored(none(spark), empty).count() == 0
+
+
+def test_labellers_keep_their_sides_without_bad_documents():
+    good = sum(quality_model.GOOD * 3**k for k in range(len(quality_model.LABELLERS)))
+    posterior, _, share = quality_model.posteriors({good: 1000})
+    assert posterior[good] > 0.99 and share > 0.95
+
+
+def brute_repeats(words):
+    grams = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    return len({j for i in range(len(words) - 4) if grams[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)})
+
+
+def test_quality_rules(spark, docs, hard):
+    path = queries.vocabulary("piece_bpe_32k.model")
+    rows = quality_rules.measured(docs, path).collect()
+    for r in rows:
+        words = re.findall("[^\x20\x09-\x0d]+", r.text)
+        seen, dup = set(), 0
+        for line in r.text.split("\n"):
+            if re.search("[^\x20\x09-\x0d]", line):
+                dup += line in seen
+                seen.add(line)
+        n = brute_repeats(words)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", r.text)), dup, n)
+        assert r.base_failed == (len(words) < 10 or 100 * n > 20 * len(words)) and not (r.base_failed and r.kept)
+    assert sum(r.kept for r in rows) > 0.95 * sum(not r.base_failed for r in rows)
+    assert quality_rules.measured(hard, path).count() == len(HARD) and quality_rules.measured(none(spark).drop("lang"), path).count() == 0
+    rng = random.Random(1)
+    for _ in range(200):
+        w = [str(rng.randrange(3)) for _ in range(rng.randrange(30))]
+        assert quality_rules.repeated_words(w) == brute_repeats(w)
+    wide = [str(i) for i in range(70_000)] + ["1", "2", "3", "4", "5"]
+    assert quality_rules.repeated_words(wide) == brute_repeats(wide)
+
+
+# -- 9 personal data ---------------------------------------------------------------------------------
+
+
+def luhn(digits):
+    return sum(v - 9 * (v > 9) for i, c in enumerate(reversed(digits)) for v in [int(c) * (1 + i % 2)]) % 10 == 0
+
+
+def test_pii(spark, hard):
+    text = 'on 2020-02-29, 31.12.1999 and 13/13/2020; ssn 123-45-6789 or 000-12-3456; card 4111 1111 1111 1111 not 4111-1111-1111-1112; call +1 (017) 555-7713 190.137.223.204; 300.1.1.1; a.b@mail.de token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"'
+    df = spark.createDataFrame([(1, text, "x"), (2, "4111111111111111", "x"), (3, "4111111111111111.", "x"), (4, None, "x"), (5, "", "x")], "doc_id long, text string, n_pii string")
+    got = {r.doc_id: r for r in pii.pseudonymised(df, "key").collect()}
+    new = got[1].text
+    assert re.fullmatch(r'on \d{4}-\d\d-\d\d, \d\d\.\d\d\.\d{4} and 13/13/2020; ssn \d{3}-\d\d-\d{4} or 000-12-3456; card \d{4} \d{4} \d{4} \d{4} not 4111-1111-1111-1112; call \+1 \(\d{3}\) \d{3}-\d{4} \d+\.\d+\.\d+\.\d+; 300\.1\.1\.1; u[0-9a-f]{16}@example\.invalid token = "[0-9a-f]{40}"', new)
+    assert got[1].n_pii == 8 and not any(x in new for x in ("2020-02-29", "123-45-6789", "555-7713", "190.137.223.204", "a.b@", "04dbebab"))
+    card = got[2].text
+    assert luhn(card) and card != "4111111111111111" and got[3].text == card + "." and re.sub(" ", "", new).find(card) > 0
+    assert (got[4].text, got[4].n_pii, got[5].text) == (None, 0, "")
+    other = pii.pseudonymised(df, "another").where("doc_id = 2").collect()[0].text
+    assert other != card and luhn(other)
+    assert pii.pseudonymised(hard, "k").count() == len(HARD) and pii.pseudonymised(none(spark), "k").count() == 0
+
+
+def test_permutations_are_one_to_one(spark):
+    ids = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
+    assert ids.select(pii.permuted_digits(F.col("d"), "k", "t").alias("x")).where("length(x) = 4").distinct().count() == 10_000
+    odd = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
+    assert odd.select(pii.permuted_digits(F.col("d"), "k", "t").alias("x")).distinct().count() == 1000
+    days = spark.sql("SELECT date_format(d, 'yyyy-MM-dd') AS d FROM (SELECT explode(sequence(date'1900-01-01', date'2099-12-31')) AS d)")
+    out = days.select(pii.pseudonym(F.col("d"), "k").alias("x"))
+    assert out.distinct().count() == 73_049 and out.where("x < '1900-01-01' or x > '2099-12-31'").count() == 0
+
+
+# -- 10 packing, and the pipeline -----------------------------------------------------------------------
+
+
+def check_packing(rows, texts, path, size=1024):
+    library = Tokenizer.from_file(path)
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(texts)
+    for doc, text in texts.items():
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        at = 0
+        for r in sorted(by_doc[doc], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    padding = 0
+    for own in by_sequence.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= size
+        padding += 0 if at & (at - 1) == 0 else size - at
+    return padding
+
+
+def test_packing(spark, docs, hard):
+    path = queries.vocabulary("byte_bpe_50k.json")
+    assert check_packing(packing.packed(docs.repartition(5), path).collect(), texts_of(docs), path) == 0
+    one = hard.where("doc_id is not null").dropDuplicates(["doc_id"])
+    assert check_packing(packing.packed(one, path, size=64, windows=2).collect(), texts_of(one), path, 64) == 0
+    assert packing.packed(hard, path).agg(F.count_distinct("sequence_id", "offset"), F.count("*")).collect()[0][0] == packing.packed(hard, path).count()
+    assert packing.packed(none(spark), path).count() == 0
+
+
+def test_byte_encoder(docs):
+    path = queries.vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = sample_texts(docs) + ["a  <|endoftext|> b", " \n\n x  y \t z  ", "a\n", "don't  I'll"]
+    for t, g in zip(texts, packing.ByteEncoder(path).encode_batch(texts)):
+        assert np.frombuffer(g, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_pipeline(spark, hard):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [n for n, _ in c.STAGES] == ["quality rules", "quality classifier", "near duplicates", "personal data", "packing"]
+    kept = {}
+    for name, stage in c.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, SF)
+        assert docs.columns == before.columns
+        docs = docs.persist()
+        kept[name] = {r.doc_id: r.text for r in docs.collect()}
+    prints = {i: brute_simhash(t) for i, t in kept["quality classifier"].items()}
+    left = sorted(kept["near duplicates"])
+    f = np.array([prints[i] for i in left], np.uint64)
+    assert all((np.bitwise_count(f ^ x) <= 4).sum() == 1 for x in f)
+    assert all(any((prints[i] ^ prints[j]).bit_count() <= 4 for j in prints if j != i) for i in prints if i not in kept["near duplicates"])
+    rows = c.run(spark, SF).collect()
+    assert check_packing(rows, kept["personal data"], queries.vocabulary("byte_bpe_50k.json")) == 0
+    for _, stage in c.STAGES[:-1]:
+        assert stage(spark, none(spark), SF).count() == 0
+    twice = spark.createDataFrame([(1, "b b b b"), (1, "b b b b"), (2, "q w e r t")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in c.near_duplicate_stage(spark, twice, SF).collect()) == [1, 2]
