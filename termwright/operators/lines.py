@@ -186,7 +186,9 @@ def split_trailing_feature(rows: DataFrame) -> DataFrame:
     blank = F.trim(F.coalesce("features", F.lit(""))) == ""
     hit = F.regexp_extract(F.col("name"), f"^.+?({'|'.join(words)})$", 1)
     split = blank & (hit != "")
-    return rows.withColumn("features", F.when(split, F.concat(F.lit("1."), hit)).otherwise(F.col("features"))).withColumn("name", F.when(split, F.substring(F.col("name"), F.lit(1), F.length("name") - F.length(hit))).otherwise(F.col("name")))
+    features = F.when(split, F.concat(F.lit("1."), hit)).otherwise(F.col("features"))
+    name = F.when(split, F.substring(F.col("name"), F.lit(1), F.length("name") - F.length(hit))).otherwise(F.col("name"))
+    return rows.withColumns({"features": features, "name": name})
 
 
 def extraction_summary(outline: DataFrame) -> DataFrame:

@@ -137,11 +137,13 @@ def rank_candidates(rows: DataFrame, catalog: DataFrame, index: DataFrame, top:
     special = _special_pairs(rest).join(catalog.select("component"), "component", "left_semi")
     pairs = found.unionByName(alike.union(special.select("row_id", "component")).distinct().withColumn("explicit", F.lit(False)))
     specials = special.union(_special_pairs(rows.join(found.select("row_id").distinct(), "row_id", "left_semi"))).distinct().withColumn("special", F.lit(True))
+    # Names repeat from row to row: each name is scored against a component once.
+    named_pairs = pairs.join(rows, "row_id")
+    scores = named_pairs.select("name", "component").distinct().join(catalog.select("component", "names"), "component").select("name", "component", score_names(F.col("name"), F.col("names")).alias("s"))
     scored = (
-        pairs.join(rows, "row_id")
-        .join(catalog, "component")
+        named_pairs.join(scores, ["name", "component"])
+        .join(catalog.select("component", "pos", "units"), "component")
         .join(specials, ["row_id", "component"], "left")
-        .withColumn("s", score_names(F.col("name"), F.col("names")))
         .withColumn("score0", F.greatest(F.col("s.score"), F.when(F.col("explicit"), 0.93).otherwise(0.0)))
         .withColumn("basis0", F.when(F.col("explicit") & ~F.col("s.basis").isin("exact", "normalized"), "alias_bridge").otherwise(F.col("s.basis")))
     )

@@ -114,7 +114,7 @@ def chunk_text(docs: DataFrame, size: int = 1400, overlap: int = 180, text: str
         return (
             F.when(s["open"] == "", F.struct(s["done"].alias("done"), p.alias("open")))
             .when(F.length(joined) <= size, F.struct(s["done"].alias("done"), joined.alias("open")))
-            .otherwise(F.struct(F.concat(s["done"], F.array(s["open"])).alias("done"), F.concat(F.right(s["open"], F.greatest(F.lit(0), F.least(F.lit(overlap), size - F.length(p) - 1))), F.lit("\n"), p).alias("open")))
+            .otherwise(F.struct(F.concat(s["done"], F.array(s["open"])).alias("done"), F.concat(F.when(F.length(p) + 1 < size, F.concat(F.right(s["open"], F.least(F.lit(overlap), size - F.length(p) - 1)), F.lit("\n"))).otherwise(""), p).alias("open")))
         )
 
     folded = F.aggregate(sliced, state, add, lambda s: F.when(s["open"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))
