@@ -101,21 +101,16 @@ def block_pairs(rows: DataFrame, names: DataFrame, least: float = 0.55) -> DataF
     a = rows.select("row_id", X.normalize_text(F.col("name")).alias("n")).where("n <> ''")
     b = names.select("component", X.normalize_text(F.col("name")).alias("n")).where("n <> ''")
     # Distinct texts only: the pairs of equal texts are the same.
-    texts = a.select("n").union(b.select("n")).distinct()
-    chars = texts.select("n", F.explode(characters(F.col("n"))).alias("c"))
+    texts = a.select("n", F.lit(1).alias("l"), F.lit(0).alias("r")).union(b.select("n", F.lit(0), F.lit(1))).groupBy("n").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    chars = texts.select("*", F.explode(characters(F.col("n"))).alias("c"))
     rank = chars.groupBy("c").agg(F.count("*").alias("often"))
     order = Window.partitionBy("n").orderBy("often", "c")
     ranked = chars.join(rank, "c").withColumn("place", F.row_number().over(order)).withColumn("size", F.count("*").over(Window.partitionBy("n")))
-    prefix = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1)
-    left, right = texts.join(a.select("n").distinct(), "n", "left_semi"), texts.join(b.select("n").distinct(), "n", "left_semi")
-    of = lambda side, what, name: what.join(side, "n", "left_semi").select("c", F.col("n").alias(name))
-    both = (
-        of(left, prefix, "x").join(of(right, prefix, "y"), "c")
-        .union(of(left, ranked.where("place = 1"), "x").join(of(right, chars, "y"), "c"))
-        .union(of(left, chars, "x").join(of(right, ranked.where("place = 1"), "y"), "c"))
-        .select("x", "y")
-        .distinct()
-    )
+    # Three ways to meet in one join: prefix with prefix, the left one's rarest with any, any with the right one's rarest.
+    prefix, rarest = F.when(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1, "prefix"), F.when(F.col("place") == 1, "rarest")
+    left = ranked.where("l = 1").select("c", F.col("n").alias("x"), F.explode(F.array_compact(F.array(prefix, F.when(rarest.isNotNull(), "left"), F.lit("right")))).alias("way"))
+    right = ranked.where("r = 1").select("c", F.col("n").alias("y"), F.explode(F.array_compact(F.array(prefix, F.lit("left"), F.when(rarest.isNotNull(), "right")))).alias("way"))
+    both = left.join(right, ["c", "way"]).select("x", "y").distinct()
     jaccard = F.size(F.array_intersect(characters(F.col("x")), characters(F.col("y")))) / F.size(F.array_union(characters(F.col("x")), characters(F.col("y"))))
     close = both.where((jaccard >= least) | F.col("x").contains(F.col("y")) | F.col("y").contains(F.col("x")))
     return a.join(close, a["n"] == close["x"]).join(b.withColumnRenamed("n", "m"), F.col("y") == F.col("m")).select("row_id", "component").distinct()
@@ -134,9 +129,10 @@ def rank_candidates(rows: DataFrame, catalog: DataFrame, index: DataFrame, top:
     named = catalog.select("component", F.explode("names").alias("name"))
     # A name also meets what holds one of its core words.
     alike = block_pairs(rest.select("row_id", F.explode(F.array_union(F.array("name"), X.core_tokens(F.col("name")))).alias("name")), named)
-    special = _special_pairs(rest).join(catalog.select("component"), "component", "left_semi")
-    pairs = found.unionByName(alike.union(special.select("row_id", "component")).distinct().withColumn("explicit", F.lit(False)))
-    specials = special.union(_special_pairs(rows.join(found.select("row_id").distinct(), "row_id", "left_semi"))).distinct().withColumn("special", F.lit(True))
+    special = _special_pairs(rows).join(catalog.select("component"), "component", "left_semi")
+    more = special.join(found.select("row_id").distinct(), "row_id", "left_anti").select("row_id", "component")
+    pairs = found.unionByName(alike.union(more).distinct().withColumn("explicit", F.lit(False)))
+    specials = special.withColumn("special", F.lit(True))
     # Names repeat from row to row: each name is scored against a component once.
     named_pairs = pairs.join(rows, "row_id")
     scores = named_pairs.select("name", "component").distinct().join(catalog.select("component", "names"), "component").select("name", "component", score_names(F.col("name"), F.col("names")).alias("s"))
