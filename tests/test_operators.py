@@ -75,7 +75,7 @@ def test_pack_batches_loses_nothing(spark):
 
 
 def test_chunks_cover_the_text(spark):
-    text = "\n".join(f"paragraph {i} " + "x" * (i * 37 % 400) for i in range(40)) + "\n" + "y" * 5000
+    text = "\n".join(f"paragraph {i} " + "x" * (1 + i * 37 % 400) for i in range(40)) + "\n" + "y" * 5000
     got = retrieval.chunk_text(spark.createDataFrame([(1, text), (2, ""), (3, None)], "id long, text string"), 300, 40).collect()
     assert {r.id for r in got} == {1} and all(len(r.chunk) <= 300 for r in got)
     assert all(any(f"paragraph {i} " in r.chunk for r in got) for i in range(40))
@@ -93,6 +93,6 @@ def test_review_queue(spark):
 
 
 def test_result_does_not_depend_on_partitions(spark):
-    m = spark.range(200).select((F.col("id") % 7).alias("source"), F.col("id").alias("pos"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("selected"), F.array().cast("array<string>").alias("candidates"), F.lit("matched").alias("status"), F.lit(0.5).alias("confidence"), F.lit("auto").alias("review"))
+    m = spark.range(200).select((F.col("id") % 7).cast("string").alias("source"), F.col("id").alias("pos"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("selected"), F.array().cast("array<string>").alias("candidates"), F.lit("matched").alias("status"), F.lit(0.5).alias("confidence"), F.lit("auto").alias("review"))
     one, many = (catalog.synonym_library(m.repartition(n)).orderBy("source").collect() for n in (1, 13))
     assert one == many
