@@ -131,6 +131,25 @@ def apply_review(mappings: DataFrame) -> DataFrame:
     return mappings.where("not deleted").groupBy("status", "review").agg(F.count("*").alias("mappings"), F.count_distinct("source").alias("sources"))
 
 
+def edit_records(records: DataFrame, lists: tuple[str, ...] = (), confidence: str = "confidence", deleted: str = "deleted") -> DataFrame:
+    """Rows of an editor as records: ``deleted`` ones and those without content are dropped.
+
+    Columns of ``lists`` are text with an entry a line (or between commas and semicolons) and become arrays; other texts are trimmed, and
+    null if blank. ``confidence`` is held between 0 and 1, and null if it is no number. A row has content if any column has.
+    """
+    fields = [c for c in records.columns if c != deleted]
+    texts = {c for c, kind in records.dtypes if kind == "string"} - {*lists, confidence}
+    own = lambda c: F.coalesce(records[f"`{c}`"].cast("string"), F.lit(""))
+    entries = lambda c: F.filter(F.transform(F.split(own(c), r"[\r\n,;，；]+"), lambda x: F.trim(x)), lambda x: x != "")
+    number = own(confidence).try_cast("double")
+    held = F.when(number.isNotNull() & ~F.isnan(number), F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)))
+    out = records.where(~F.coalesce(F.col(deleted), F.lit(False))).select(
+        *[(entries(c) if c in lists else held if c == confidence else F.nullif(F.trim(own(c)), F.lit("")) if c in texts else records[f"`{c}`"]).alias(c) for c in fields]
+    )
+    says = [F.size(f"`{c}`") > 0 if c in lists else F.col(f"`{c}`").isNotNull() for c in fields]
+    return out.where(F.greatest(*says) if len(says) > 1 else says[0])
+
+
 def bill_item_summary(matches: DataFrame, features: DataFrame, most: int = 12) -> DataFrame:
     """For each project code the row of the best status, then confidence, and its first distinct features."""
     rank = F.struct((F.col("status") == "matched").cast("int").alias("m"), F.col("confidence"), (-F.col("row_id")).alias("r"))

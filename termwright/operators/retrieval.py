@@ -78,19 +78,23 @@ def within_budget(ranked: DataFrame, group: list[str], order: list, size: str, b
     return out.where(F.col("rank") <= most) if most else out
 
 
+def scored_entries(queries: DataFrame, entries: DataFrame) -> DataFrame:
+    """Each query (``id``, ``text``, ``component``) with the ``entries`` (``id``, ``text``, ``component``, ``stage``) that share a bucket with it, and their hybrid score."""
+    q = queries.select(F.col("id").alias("query_id"), tokens(F.col("text")).alias("terms"), F.col("component").alias("query_component"))
+    rows = cosine_all(queries, entries).join(q, "query_id").join(entries, "id")
+    same = F.coalesce(F.col("component") == F.col("query_component"), F.lit(False))
+    return rows.withColumn("score", F.round(hybrid_score(F.col("cosine"), F.col("terms"), F.lower("text"), same, F.col("stage")), 4))
+
+
 def query_entries(queries: DataFrame, entries: DataFrame, k: int = 8, budget: int = 2000) -> DataFrame:
     """The best entries of each query (``id``, ``text``, ``component``) within ``budget`` characters of excerpts.
 
     ``entries`` are (``id``, ``text``, ``component``, ``stage``). Entries of step 2 and 3 of another component are left out. An
     entry that shares no bucket with a query has no part in its answer.
     """
-    scored = cosine_all(queries, entries)
-    q = queries.select(F.col("id").alias("query_id"), tokens(F.col("text")).alias("terms"), F.col("component").alias("query_component"))
-    rows = scored.join(q, "query_id").join(entries, "id")
     other = F.col("component").isNotNull() & F.col("query_component").isNotNull() & (F.col("component") != F.col("query_component")) & F.col("stage").rlike("^step[23]")
-    rows = rows.where(~F.coalesce(other, F.lit(False)))
-    same = F.coalesce(F.col("component") == F.col("query_component"), F.lit(False))
-    rows = rows.withColumn("score", F.round(hybrid_score(F.col("cosine"), F.col("terms"), F.lower("text"), same, F.col("stage")), 4)).withColumn("size", F.least(F.length(F.trim(F.regexp_replace("text", r"\s+", " "))), F.lit(260)))
+    rows = scored_entries(queries, entries).where(~F.coalesce(other, F.lit(False)))
+    rows = rows.withColumn("size", F.least(F.length(F.trim(F.regexp_replace("text", r"\s+", " "))), F.lit(260)))
     return within_budget(rows, ["query_id"], [F.desc("score"), "id"], "size", budget, k).select("query_id", "id", "score", "size", "rank")
 
 
@@ -99,26 +103,105 @@ def cosine_all(queries: DataFrame, entries: DataFrame) -> DataFrame:
     return hashed_vectors(entries).join(qv, "bucket").groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qw")).alias("cosine"))
 
 
-def chunk_text(docs: DataFrame, size: int = 1400, overlap: int = 180, text: str = "text") -> DataFrame:
-    """(``id``, ``chunk_no``, ``chunk``): paragraphs packed up to ``size`` characters, each chunk led by the last ``overlap`` of the one before; longer paragraphs are sliced.
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+
 
-    Packing is a fold over one document's paragraphs; documents are independent.
+def chunks(text: Column, size: int = 1400, overlap: int = 180) -> Column:
+    """Paragraphs (apart by blank lines) packed up to ``size`` characters; null and blank texts have no chunk.
+
+    A text that fits is one chunk. A paragraph that finds no more room opens the next chunk, led by the last ``overlap``
+    characters of the one before, and is not cut, however long; only a long paragraph that nothing is open before
+    is sliced, its slices overlapping alike. Packing is a fold over one text's paragraphs.
     """
-    parts = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), r"\n\s*\n|\n"), lambda p: F.trim(p)), lambda p: p != "")
-    step = size - overlap
-    sliced = F.flatten(F.transform(parts, lambda p: F.transform(F.sequence(F.lit(1), F.greatest(F.length(p), F.lit(1)), F.lit(step)), lambda i: F.substring(p, i, F.lit(size)))))
-    state = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    own = stripped(F.replace(F.coalesce(text.cast("string"), F.lit("")), F.lit("\r\n"), F.lit("\n")))
+    step = max(1, size - overlap)
+    none = F.array().cast("array<string>")
+    filled = lambda parts: F.filter(parts, lambda x: x != "")
+
+    def state(done: Column, open_: Column) -> Column:
+        return F.struct(done.alias("done"), open_.alias("open"))
 
     def add(s: Column, p: Column) -> Column:
-        joined = F.concat(s["open"], F.lit("\n"), p)
+        lead = stripped(F.right(s["open"], F.lit(overlap)))
+        sliced = F.transform(F.sequence(F.lit(1), F.length(p), F.lit(step)), lambda i: stripped(F.substring(p, i, F.lit(size))))
         return (
-            F.when(s["open"] == "", F.struct(s["done"].alias("done"), p.alias("open")))
-            .when(F.length(joined) <= size, F.struct(s["done"].alias("done"), joined.alias("open")))
-            .otherwise(F.struct(F.concat(s["done"], F.array(s["open"])).alias("done"), F.concat(F.when(F.length(p) + 1 < size, F.concat(F.right(s["open"], F.least(F.lit(overlap), size - F.length(p) - 1)), F.lit("\n"))).otherwise(""), p).alias("open")))
+            F.when((s["open"] == "") & (F.length(p) > size), state(F.concat(s["done"], filled(sliced)), F.lit("")))
+            .when(s["open"] == "", state(s["done"], p))
+            .when(F.length(s["open"]) + 2 + F.length(p) <= size, state(s["done"], F.concat_ws("\n\n", s["open"], p)))
+            .otherwise(state(F.concat(s["done"], F.array(s["open"])), F.concat(F.when(lead != "", F.concat(lead, F.lit("\n\n"))).otherwise(""), p)))
         )
 
-    folded = F.aggregate(sliced, state, add, lambda s: F.when(s["open"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))
-    return docs.select("id", F.posexplode(folded).alias("chunk_no", "chunk"))
+    def packed(own: Column) -> Column:
+        parts = filled(F.transform(F.split(own, r"(?U)\n\s*\n"), stripped))
+        folded = F.aggregate(parts, state(none, F.lit("")), add, lambda s: F.concat(s["done"], filled(F.array(s["open"]))))
+        return F.when(own == "", none).when(F.length(own) <= size, F.array(own)).otherwise(folded)
+
+    return F.get(F.transform(F.array(own), packed), F.lit(0))
+
+
+def chunk_text(docs: DataFrame, size: int = 1400, overlap: int = 180, text: str = "text") -> DataFrame:
+    """(``id``, ``chunk_no``, ``chunk``) of the texts' :func:`chunks`; documents are independent."""
+    return docs.select("id", F.posexplode(chunks(F.col(text), size, overlap)).alias("chunk_no", "chunk"))
+
+
+def corpus_documents(files: DataFrame, content_fields: tuple[str, ...] = (), metadata_fields: tuple[str, ...] = (), title: str = "", size: int = 1400, overlap: int = 180) -> DataFrame:
+    """The chunks of all ``files`` (``collection``, ``source_type``, ``tags``, ``path``, ``text``) with ids, titles, tags and metadata.
+
+    A JSON array (and each line of a ``.jsonl`` file) gives a document for each item, with the item's own tags and the fields asked
+    for; a JSON object one for each member that is an array or an object, or one in all if there is none; any other
+    text, a JSON file that doesn't parse included, is one document. Members of objects are in order of their names.
+    Null and blank texts give no rows; repeated files come back as often as they came.
+    """
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    suffix = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
+    stem = F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    # Lines of objects become one array.
+    as_array = F.concat(F.lit("["), F.array_join(F.filter(F.split("text", r"\r?\n"), lambda x: stripped(x) != ""), ","), F.lit("]"))
+    source = F.when(suffix == ".json", F.col("text")).when(suffix == ".jsonl", as_array)
+    rows = files.where(stripped(F.coalesce("text", F.lit(""))) != "").withColumns({"__name": name, "__suffix": suffix, "__stem": stem, "__json": F.try_parse_json(source)})
+    part = lambda item, key, value: F.struct(item.cast("int").alias("item"), key.cast("string").alias("key"), value.cast("variant").alias("value"))
+    null = F.lit(None)
+    is_complex = lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
+    kind = F.schema_of_variant("__json")
+    items = F.transform(F.try_variant_get("__json", "$", "array<variant>"), lambda v, i: part(i + 1, null, v))
+    members = F.transform(F.filter(F.map_entries(F.try_variant_get("__json", "$", "map<string,variant>")), lambda e: is_complex(e["value"])), lambda e: part(null, e["key"], e["value"]))
+    whole = F.array(part(null, null, F.col("__json")))
+    rows = rows.withColumn("__part", F.explode(F.when(kind.startswith("ARRAY"), items).when(kind.startswith("OBJECT") & (F.size(members) > 0), members).otherwise(whole)))
+    value, item, key = F.col("__part.value"), F.col("__part.item"), F.col("__part.key")
+    own_item = item.isNotNull() & F.schema_of_variant(value).startswith("OBJECT")
+    field = lambda f: F.when(own_item, F.try_variant_get(value, f"$['{f}']", "string"))
+    said = lambda f: F.when(~field(f).isin("", "[]", "{}"), F.concat(F.lit(f"{f}: "), field(f)))
+    chosen = F.nullif(F.concat_ws("\n", *map(said, content_fields)), F.lit("")) if content_fields else null.cast("string")
+    scalar = F.try_variant_get(value, "$", "string")
+    content = F.when(value.isNull(), F.col("text")).when(own_item, F.coalesce(chosen, F.to_json(value))).when(item.isNotNull(), scalar).otherwise(F.to_json(value))
+    item_tags = F.when(own_item, F.try_variant_get(value, "$.tags", "array<string>"))
+    none = F.array().cast("array<string>")
+    tags = F.array_distinct(F.filter(F.transform(F.concat(F.coalesce("tags", none), F.coalesce(item_tags, none)), lambda t: F.trim(t)), lambda t: t != ""))
+    numbered = F.when(item.isNotNull(), F.concat("__stem", F.lit(" item "), item.cast("string"))).when(key.isNotNull(), F.concat("__stem", F.lit(" | "), key)).otherwise(F.col("__stem"))
+    named = F.coalesce(F.nullif(field("title"), F.lit("")), F.nullif(field("name"), F.lit("")), F.when(value.isNull(), X.extract_title(F.col("text"), F.col("__stem"))), numbered)
+    empty = F.create_map().cast("map<string,string>")
+    selected = F.map_filter(F.create_map(*[x for f in metadata_fields for x in (F.lit(f), field(f))]), lambda k, v: v.isNotNull()) if metadata_fields else F.try_variant_get(value, "$", "map<string,string>")
+    base = F.map_filter(
+        F.create_map(F.lit("file_suffix"), F.col("__suffix"), F.lit("source_name"), F.col("__name"), F.lit("ingest_mode"), F.when(value.isNotNull(), F.lit("json_payload")), F.lit("item_index"), item.cast("string"), F.lit("top_level_key"), key),
+        lambda k, v: v.isNotNull(),
+    )
+    # What the file says of itself goes before an item's fields of the same name.
+    own = F.map_filter(F.when(own_item, F.coalesce(selected, empty)).otherwise(empty), lambda k, v: ~k.isin("file_suffix", "source_name", "ingest_mode", "item_index", "top_level_key", "chunk_index"))
+    place = F.when(item.isNotNull(), F.concat(F.lit("item-"), item.cast("string"), F.lit("-"))).when(key.isNotNull(), F.concat(key, F.lit("-"))).otherwise("")
+    out = rows.select(
+        "collection",
+        F.coalesce(F.nullif("source_type", F.lit("")), F.when(value.isNotNull(), F.lit("json")), F.nullif(F.substring("__suffix", 2, 99), F.lit("")), F.lit("text")).alias("source_type"),
+        F.substring(F.trim(F.lit(title) if title else named), 1, 160).alias("title"),
+        "path",
+        place.alias("__place"),
+        tags.alias("tags"),
+        F.map_concat(own, base).alias("metadata"),
+        F.posexplode(chunks(content, size, overlap)).alias("__pos", "content"),
+    )
+    number = (F.col("__pos") + 1).cast("string")
+    out = out.withColumn("source_ref", F.concat("path", F.lit("#"), "__place", F.lit("chunk-"), number)).withColumn("metadata", F.map_concat("metadata", F.create_map(F.lit("chunk_index"), number)))
+    return out.select(F.concat(F.lit("gk_"), X.stable_key(F.col("collection"), F.col("path"), F.col("source_ref"), F.col("title"), length=20)).alias("entry_id"), "collection", "source_type", "title", "content", "path", "source_ref", "tags", "metadata")
 
 
 def compile_pages(entries: DataFrame, samples: int = 8) -> DataFrame:

@@ -80,6 +80,25 @@ add("writeback_pages", lambda s, d: A.writeback_pages(matches(s, d)), f"WITH {_M
 add("apply_review", lambda s, d: A.apply_review(matches(s, d).withColumn("deleted", F.col("row_id") % 5 == 0).withColumn("source", F.col("code"))), f"WITH {_MATCHES} SELECT status, review, count(*) AS mappings, count(DISTINCT code) AS sources FROM matches WHERE row_id % 5 <> 0 GROUP BY 1, 2")
 
 
+def edited(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    said = F.col("p_partkey") % 4 > 0
+    return p.select(
+        F.when(said, F.concat(F.lit(" "), "p_name", F.lit(" "))).otherwise("  ").alias("source"),
+        F.when(said, F.concat("p_type", F.lit("；"), "p_brand", F.lit("\n ,"), "p_type")).alias("aliases"),
+        F.when(F.col("p_partkey") % 8 > 0, F.when(F.col("p_partkey") % 7 == 0, "bad").otherwise((F.col("p_size") / 20 - 0.5).cast("string"))).alias("confidence"),
+        (F.col("p_partkey") % 5 == 0).alias("deleted"),
+    )
+
+
+add(
+    "edit_records",
+    lambda s, d: A.edit_records(edited(s, d), ("aliases",)).withColumn("aliases", F.array_join("aliases", "|")),
+    """SELECT * FROM (SELECT CASE WHEN p_partkey % 4 > 0 THEN p_name END AS source, CASE WHEN p_partkey % 4 > 0 THEN p_type || '|' || p_brand || '|' || p_type ELSE '' END AS aliases,
+CASE WHEN p_partkey % 8 > 0 AND p_partkey % 7 <> 0 THEN greatest(0.0, least(1.0, p_size / 20 - 0.5)) END AS confidence FROM part WHERE p_partkey % 5 <> 0) WHERE source IS NOT NULL OR aliases <> '' OR confidence IS NOT NULL""",
+)
+
+
 def bill_item_summary(spark, sf_dir):
     f = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("row_id"), F.col("l_linenumber").alias("feature_order"), F.concat(F.lit(" F"), (F.col("l_partkey") % 9).cast("string")).alias("raw_text"))
     return A.bill_item_summary(matches(spark, sf_dir), f)

@@ -59,6 +59,7 @@ QUERIES["dense_topk"] = dense_topk
 ORACLE_SQL["dense_topk"] = """WITH p AS (SELECT q.vec_id AS query_id, v.vec_id AS id, round(list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)), 4) AS score FROM embeddings v, embeddings q WHERE q.vec_id % 20 = 0)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM p) WHERE rank <= 5"""
 
+QUERIES["hybrid_score"] = lambda spark, sf_dir: R.scored_entries(queries(spark, sf_dir), entries(spark, sf_dir)).select("query_id", "id", "score")
 QUERIES["query_knowledge"] = lambda spark, sf_dir: R.query_entries(queries(spark, sf_dir), entries(spark, sf_dir))
 _HYBRID = f"""{_COSINE}, h AS (
   SELECT c.query_id, c.id, round(cosine + least(0.35, 0.03 * len(list_filter(qt.terms, lambda t: contains(lower(e.text), t)))) + CASE WHEN e.component = qt.component THEN 0.18 ELSE 0.0 END + CASE WHEN e.stage LIKE 'step3%' THEN 0.05 ELSE 0.0 END, 4) AS score,
@@ -66,6 +67,7 @@ _HYBRID = f"""{_COSINE}, h AS (
   FROM cosines c JOIN entries e ON e.id = c.id JOIN (SELECT id, component, {_ALL} AS terms FROM queries) qt ON qt.id = c.query_id
 ), k AS (SELECT * FROM h WHERE NOT (component IS NOT NULL AND query_component IS NOT NULL AND component <> query_component AND regexp_matches(stage, '^step[23]'))),
 w AS (SELECT query_id, id, score, size, row_number() OVER o AS rank, sum(size) OVER (PARTITION BY query_id ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING) AS upto FROM k WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, id))"""
+ORACLE_SQL["hybrid_score"] = f"WITH {_HYBRID} SELECT query_id, id, score FROM h"
 ORACLE_SQL["query_knowledge"] = f"WITH {_HYBRID} SELECT query_id, id, score, size, rank FROM w WHERE (rank = 1 OR upto <= 2000) AND rank <= 8"
 
 
@@ -105,7 +107,51 @@ ORACLE_SQL["collect_entries"] = f"""WITH e AS (SELECT 'step1' AS stage, CAST(doc
 UNION ALL SELECT 'step2', CAST(p_partkey AS VARCHAR), p_name, p_brand || ' ' || p_type FROM part UNION ALL SELECT 'step3-' || role, conv_id || '-' || turn, role, {_S60} FROM conversations)
 SELECT {S.key('stage', 'ref', 'title')} AS entry_id, stage, title, content FROM e"""
 
+def _chunks(of: str, size: int = 1400, overlap: int = 180) -> str:
+    """SQL of chunks (``id``, ``chunk_no``, ``chunk``) of ``of`` (``id``, ``text``): a fold by recursion over the paragraphs."""
+    strip = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"""own AS (SELECT id, {strip("replace(coalesce(text, ''), chr(13) || chr(10), chr(10))")} AS own FROM {of}),
+paragraphs AS (SELECT id, list_filter(list_transform(regexp_split_to_array(own, '\\n\\s*\\n'), lambda x: {strip('x')}), lambda x: x <> '') AS ps FROM own WHERE length(own) > {size}),
+fold AS (
+  SELECT id, 0 AS k, CAST([] AS VARCHAR[]) AS done, '' AS open FROM paragraphs
+  UNION ALL
+  SELECT id, k + 1,
+    CASE WHEN open = '' AND length(p) > {size} THEN list_concat(done, list_filter(list_transform(range(0, length(p), {size - overlap}), lambda i: {strip(f'substr(p, i + 1, {size})')}), lambda x: x <> ''))
+         WHEN open = '' OR length(open) + 2 + length(p) <= {size} THEN done ELSE list_append(done, open) END,
+    CASE WHEN open = '' AND length(p) > {size} THEN '' WHEN open = '' THEN p WHEN length(open) + 2 + length(p) <= {size} THEN open || chr(10) || chr(10) || p
+         WHEN {strip(f'right(open, {overlap})')} <> '' THEN {strip(f'right(open, {overlap})')} || chr(10) || chr(10) || p ELSE p END
+  FROM (SELECT f.*, ps[k + 1] AS p FROM fold f JOIN paragraphs USING (id) WHERE k < len(ps))
+),
+ended AS (SELECT id, CASE WHEN open = '' THEN done ELSE list_append(done, open) END AS cs FROM fold JOIN paragraphs USING (id) WHERE k = len(ps) UNION ALL SELECT id, [own] FROM own WHERE own <> '' AND length(own) <= {size}),
+chunks AS (SELECT id, unnest(range(len(cs))) AS chunk_no, unnest(cs) AS chunk FROM ended)"""
+
+
 QUERIES["chunk_text"] = lambda spark, sf_dir: R.chunk_text(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
+ORACLE_SQL["chunk_text"] = f"WITH RECURSIVE d AS (SELECT doc_id AS id, text FROM documents), {_chunks('d')} SELECT id, CAST(chunk_no AS INT) AS chunk_no, chunk FROM chunks"
+
+
+def corpus_documents(spark, sf_dir):
+    """Texts as files of their own, parts of a brand as an array, benchmark items as an object."""
+    tagged = lambda df, kind: df.select(F.lit(kind).alias("collection"), F.lit("").alias("source_type"), F.array(F.lit("t"), F.lit(kind)).alias("tags"), "path", "text")
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("d/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), "text")
+    item = F.struct("p_partkey", F.to_json(F.struct(F.col("p_name").alias("name"), F.col("p_type").alias("kind"), F.array(F.col("p_brand"), F.lit("t")).alias("tags"))).alias("json"))
+    p = table(spark, sf_dir, "part").withColumn("item", item).groupBy("p_brand").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    p = p.select(F.concat(F.lit("p/"), "p_brand", F.lit(".json")).alias("path"), F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["json"]), ","), F.lit("]")).alias("text"))
+    b = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("b/"), F.col("item_id").cast("string"), F.lit(".json")).alias("path"), F.to_json(F.struct(F.lit(1).alias("n"), F.array("item_id").alias("ids"))).alias("text"))
+    out = R.corpus_documents(tagged(d, "docs").unionByName(tagged(p, "parts")).unionByName(tagged(b, "bench")), ("name", "kind"), ("kind",))
+    return out.select("entry_id", "collection", "source_type", "title", "content", "source_ref", F.array_join("tags", "|").alias("tags"), F.col("metadata.kind").alias("kind"), F.col("metadata.chunk_index").alias("chunk_index"))
+
+
+QUERIES["corpus_documents"] = corpus_documents
+ORACLE_SQL["corpus_documents"] = f"""WITH RECURSIVE d AS (SELECT doc_id AS id, text FROM documents), {_chunks('d')},
+parts AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part),
+r AS (
+  SELECT 'docs' AS collection, 'txt' AS source_type, substr(coalesce(nullif(trim(regexp_extract(text, '(?m)^#[ \t]+(\\S[^\\n]*)$', 1)), ''), nullif(trim(regexp_extract(text, '(?m)^[ \t]*(\\S[^\\n]*)$', 1)), ''), CAST(id AS VARCHAR)), 1, 160) AS title,
+    chunk AS content, 'd/' || id || '.txt' AS path, 'd/' || id || '.txt#chunk-' || (chunk_no + 1) AS source_ref, 't|docs' AS tags, NULL AS kind, CAST(chunk_no + 1 AS VARCHAR) AS chunk_index FROM chunks JOIN d USING (id)
+  UNION ALL SELECT 'parts', 'json', p_name, 'name: ' || p_name || chr(10) || 'kind: ' || p_type, 'p/' || p_brand || '.json', 'p/' || p_brand || '.json#item-' || k || '-chunk-1', 't|parts|' || p_brand, p_type, '1' FROM parts
+  UNION ALL SELECT 'bench', 'json', item_id || ' | ids', '[' || item_id || ']', 'b/' || item_id || '.json', 'b/' || item_id || '.json#ids-chunk-1', 't|bench', NULL, '1' FROM benchmark
+)
+SELECT 'gk_' || {S.key('collection', 'path', 'source_ref', 'trim(title)', length=20)} AS entry_id, collection, source_type, trim(title) AS title, content, source_ref, tags, kind, chunk_index FROM r"""
 
 
 def query_corpus(spark, sf_dir):

@@ -74,11 +74,54 @@ def test_pack_batches_loses_nothing(spark):
     assert all(len(s) <= 5 and (sum(s) <= 12 or len(s) == 1) for s in sizes.values())
 
 
+def test_chunks(spark):
+    long = "x" * 25
+    got = {r.id: r.c for r in spark.createDataFrame(
+        [(1, " aa\n\nbb "), (2, ""), (3, None), (4, "a1234\n \nb1234\n\nc1234567"), (5, f"{long}\n\nab"), (6, f"ab\n\n{long}"), (7, " \u3000\r\n"), (8, "same\n\nsame")], "id long, t string"
+    ).select("id", retrieval.chunks(F.col("t"), 12, 3).alias("c")).collect()}
+    assert got[1] == ["aa\n\nbb"] and got[2] == got[3] == got[7] == [] and got[8] == ["same\n\nsame"]
+    # The last three characters lead the next chunk.
+    assert got[4] == ["a1234\n\nb1234", "234\n\nc1234567"]
+    # A long paragraph is sliced only where nothing is open before it.
+    assert got[5] == [long[:12], long[9:21], long[18:], "ab"] and got[6] == ["ab", f"ab\n\n{long}"]
+
+
 def test_chunks_cover_the_text(spark):
-    text = "\n".join(f"paragraph {i} " + "x" * (1 + i * 37 % 400) for i in range(40)) + "\n" + "y" * 5000
+    text = "\n\n".join(f"paragraph {i} " + "x" * (1 + i * 37 % 400) for i in range(40)) + "\n\n" + "y" * 5000
     got = retrieval.chunk_text(spark.createDataFrame([(1, text), (2, ""), (3, None)], "id long, text string"), 300, 40).collect()
-    assert {r.id for r in got} == {1} and all(len(r.chunk) <= 300 for r in got)
-    assert all(any(f"paragraph {i} " in r.chunk for r in got) for i in range(40))
+    assert {r.id for r in got} == {1} and [r.chunk_no for r in got] == list(range(len(got)))
+    assert all(any(f"paragraph {i} " in r.chunk for r in got) for i in range(40)) and any("y" * 5000 in r.chunk for r in got)
+
+
+def test_corpus_documents(spark):
+    files = [
+        ("c", "", ["t", "t "], "d/a.json", '[{"title": "T", "text": "one", "tags": ["u", "t"], "n": 3}, "plain", {"text": ""}]'),
+        ("c", "kb", None, "d/b.json", '{"x": {"k": 1}, "y": 2, "z": [1]}'),
+        ("c", "", [], "d/c.json", '{"y": 2}'),
+        ("c", "", [], "d/d.json", "{broken"),
+        ("c", "", [], "d/e.jsonl", '{"name": "n1", "text": "r"}\n\n{"text": "s"}\n'),
+        ("c", "", [], "d/f.md", "\n# Head\nbody"),
+        ("c", "", [], "d/g.txt", "  "),
+        ("c", "", [], "d/h.txt", None),
+    ]
+    df = spark.createDataFrame(files, "collection string, source_type string, tags array<string>, path string, text string")
+    got = {r.source_ref: r for r in retrieval.corpus_documents(df, ("text",), ("n",)).collect()}
+    assert {k: r.content for k, r in got.items()} == {
+        "d/a.json#item-1-chunk-1": "text: one", "d/a.json#item-2-chunk-1": "plain", "d/a.json#item-3-chunk-1": '{"text":""}', "d/b.json#x-chunk-1": '{"k":1}', "d/b.json#z-chunk-1": "[1]",
+        "d/c.json#chunk-1": '{"y":2}', "d/d.json#chunk-1": "{broken", "d/e.jsonl#item-1-chunk-1": "text: r", "d/e.jsonl#item-2-chunk-1": "text: s", "d/f.md#chunk-1": "# Head\nbody",
+    }
+    first = got["d/a.json#item-1-chunk-1"]
+    assert first.title == "T" and first.tags == ["t", "u"] and first.source_type == "json"
+    assert first.metadata == {"n": "3", "file_suffix": ".json", "source_name": "a.json", "ingest_mode": "json_payload", "item_index": "1", "chunk_index": "1"}
+    assert got["d/a.json#item-2-chunk-1"].title == "a item 2" and got["d/b.json#x-chunk-1"].title == "b | x" and got["d/b.json#x-chunk-1"].source_type == "kb"
+    assert got["d/e.jsonl#item-1-chunk-1"].title == "n1" and got["d/f.md#chunk-1"].title == "Head" and got["d/c.json#chunk-1"].title == "c"
+    assert len({r.entry_id for r in got.values()}) == len(got)
+
+
+def test_edit_records(spark):
+    rows = [("a ", "x, y；z\n\nx", "1.5", False), (" ", None, "bad", False), ("b", None, None, True), (None, "q", "-1", None), (None, None, None, None)]
+    got = audit.edit_records(spark.createDataFrame(rows, "source string, names string, confidence string, deleted boolean"), ("names",)).collect()
+    assert sorted((r.source or "", r.names, r.confidence) for r in got) == [("", ["q"], 0.0), ("a", ["x", "y", "z", "x"], 1.0)]
 
 
 def test_fill_and_shift(spark):
