@@ -28,24 +28,34 @@ DEFAULT_GLOBS: tuple[tuple[str, str], ...] = (
 )
 
 
+#: The end of a host, in a rule's glob and as the byte of a text; no UTF-8 text has it.
+END, END_BYTE = "\udcff", 0xFF
+
+
 class GlobAutomaton:
-    """Simulates all ``globs`` (``*`` any run, ``?`` any byte) over batches of byte strings."""
+    """Simulates all ``globs`` (``*`` any run, ``?`` any byte) over batches of byte strings.
+
+    Only ``END`` fits ``END_BYTE``: no wildcard before it crosses that byte. Globs without ``END`` do not see the byte.
+    """
 
     def __init__(self, globs: Sequence[str]):
         cells: list[tuple[int, bool, bool]] = []  # (byte, 256 for any, -1 for a start; loops; ends a rule)
         self.ends = []
+        blind: list[bool] = []
         for g in globs:
-            raw, own = g.encode(), [[-1, False]]
+            raw, own = g.encode("utf-8", "surrogateescape"), [[-1, False]]
             for b in raw:
                 if b == ord("*"):
                     own[-1][1] = True
                 else:
                     own.append([256 if b == ord("?") else b, False])
             cells += [(b, loop, False) for b, loop in own]
+            blind += [END not in g] * len(own)
             self.ends.append(len(cells) - 1)
         self.words = -(-len(cells) // 64)
         self.start, self.loops = self._mask([c[0] == -1 for c in cells]), self._mask([c[1] for c in cells])
-        self.masks = np.stack([self._mask([c[0] in (b, 256) for c in cells]) for b in range(256)])
+        self.blind = self._mask(blind)
+        self.masks = np.stack([self._mask([c[0] == b or c[0] == 256 and b != END_BYTE for c in cells]) for b in range(256)])
 
     def _mask(self, bits: list[bool]) -> np.ndarray:
         padded = np.zeros(self.words * 64, bool)
@@ -76,7 +86,8 @@ class GlobAutomaton:
             now = state[:n]
             moved = now << np.uint64(1)
             moved[:, 1:] |= now[:, :-1] >> np.uint64(63)
-            state[:n] = (moved & self.masks[chars[:n, k]]) | (now & self.loops)
+            held = np.where((chars[:n, k] == END_BYTE)[:, None], self.blind, self.loops)
+            state[:n] = (moved & self.masks[chars[:n, k]]) | (now & held)
         ends = np.array(self.ends)
         found = (state[:, ends // 64] >> (ends % 64).astype(np.uint64)) & np.uint64(1)
         out = np.empty(found.shape, bool)
@@ -85,8 +96,8 @@ class GlobAutomaton:
 
 
 def rule_glob(host: str, path: str) -> str:
-    """The glob over ``.host/path`` that fits a host, its subdomains and all paths that start with ``path``."""
-    return f"*.{host}{path}*"
+    """The glob over ``.host``, the host's end and the path that fits a host, its subdomains and all paths that start with ``path``."""
+    return f"*.{host}{END}{path}*"
 
 
 def split_url(url: str) -> tuple[str, str]:
@@ -122,7 +133,7 @@ def judged(df: DataFrame, rules: Sequence[tuple[str, str, str]], globs: Sequence
         automaton = kept(("globs", *patterns), lambda: GlobAutomaton(patterns))
         both = [*map(split_url, urls)]
         # A dot before the host lets one glob fit the host itself and its subdomains.
-        found = automaton.fits([f".{h}{p}".encode() for h, p in both])
+        found = automaton.fits([f".{h}".encode() + bytes([END_BYTE]) + p.encode() for h, p in both])
         found = np.concatenate([found, np.ones((len(urls), 1), bool)], axis=1)
         named, verdicts = [], []
         for k in found.argmax(1).tolist():

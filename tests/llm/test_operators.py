@@ -238,6 +238,15 @@ def test_url_rules(spark):
     assert url_filter.judged(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_rules_stay_in_the_host(spark):
+    urls = {"http://x.net/a.org/b": (None, "allow"), "http://x.net/www.example.org/es/": (None, "allow"), "http://x.net/a.com/de/": (None, "allow"), "http://y.com/a.org/fr/": (None, "allow"), "http://b.example.org/es/a.com/fr/": ("example.org/es/", "block"), "http://com/de/x": ("com/de/", "block"), "http://a.org": (None, "allow")}
+    df = spark.createDataFrame([(u, u) for u in urls], "url string, copy string")
+    assert {r.copy: (r.rule, r.verdict) for r in url_filter.judged(df, queries.URL_RULES).collect()} == urls
+    globs = (("*", "allow"), ("*.net/a?b", "block"), ("*.com?x", "block"))
+    df = spark.createDataFrame([(u, u) for u in ("http://w.net/a.b", "http://w.com/x", "http://w.net/a/.b")], "url string, copy string")
+    assert [r.verdict for r in url_filter.judged(df, queries.URL_RULES, globs).orderBy("copy").collect()] == ["block", "block", "allow"]
+
+
 # -- 6, 8 quality -----------------------------------------------------------------------------------
 
 
