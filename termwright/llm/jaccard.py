@@ -1,0 +1,196 @@
+"""Near-duplicates by exact Jaccard likeness of word shingles.
+
+Two sets that are alike to 4/5 share one of the first ``n - ceil(4n / 5) + 1`` members of each, in any
+common order (prefix filter): no such pair is lost. Rare shingles come first in the order, which only
+saves work. Pairs that share a shingle of few texts are compared one by one. The texts of a shingle of many
+are dealt into tiles, and two tiles that such a shingle joins are compared whole by a matrix product
+of their members; only links that connect what is alike come back, never all pairs.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from termwright.llm._shared import extended, kept, written
+from termwright.llm.simhash import components, settled, unite
+
+#: Words of a shingle, and the least likeness of a pair as a fraction.
+WIDTH, ALIKE = 5, (4, 5)
+#: Texts whose shingles are counted for the order, and the most shingles listed as common.
+SAMPLE, COMMON = 4_000, 100_000
+#: Texts that share a shingle before they are compared in tiles, and about the texts in a tile.
+MANY, TILE = 64, 128
+
+
+class _Words(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, 5)
+        return found
+
+
+def shingles(text: str, width: int = WIDTH) -> np.ndarray:
+    """The distinct hashes of a text's runs of ``width`` words, in order; fewer words are one run.
+
+    Words are runs of anything but ASCII white space, A-Z in lower case.
+    """
+    known = kept("jaccard words", _Words)
+    own = np.array([known[w] for w in text.encode().lower().split()], np.uint64)
+    width = min(width, len(own))
+    out = np.zeros(len(own) - width + 1 if width else 0, np.uint64)
+    for k in range(width):
+        out = (out * np.uint64(0x9E3779B97F4A7C15)) ^ own[k : k + len(out)]
+        out ^= out >> np.uint64(29)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(32)
+    return np.unique(out)
+
+
+def node(text: Column) -> Column:
+    """The key of a text: 64 bits of its hash; all null and wordless texts have 0."""
+    return F.when(F.coalesce(text, F.lit("")).rlike("[^ \\t-\\r]"), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return ALIKE[1] * both >= ALIKE[0] * (len(a) + len(b) - both)
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """(``node``, ``shingles``) of ``texts`` (``node``, ``text``); made anew for each use, as they are larger than the texts."""
+    return extended(texts.select("node", "text"), lambda own: [[shingles(t).tobytes() for t in own]], "text", T.StructType().add("shingles", "binary"))
+
+
+def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles of a sample and their counts, by shingle. Any list gives the same groups."""
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+    some = _sets(texts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000) + 1))
+
+    def members(batches):
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), np.int64))], names=["h"])
+
+    rows = some.select("shingles").mapInArrow(members, "h long").groupBy("h").count().where("count >= 10").orderBy(F.desc("count"), "h").limit(COMMON).collect()
+    at, n = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    order = np.argsort(at)
+    return at[order], n[order]
+
+
+def prefix(own: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The members of a set that a like set must share one of: the rarest first, of equally rare ones the least."""
+    size = len(own) - -(-len(own) * ALIKE[0] // ALIKE[1]) + 1
+    if not len(own) or not len(at):
+        return own[: size if len(own) else 0]
+    place = np.minimum(np.searchsorted(at, own), len(at) - 1)
+    counts = np.where(at[place] == own, n[place], 0)
+    return own[np.lexsort((own, counts))[:size]]
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    at, n = _common(texts)
+
+    def run(batches):
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(y.as_buffer(), np.uint64)
+                found = prefix(own, at, n).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), x)), pa.array(np.full(len(found), len(own)))], names=["h", "node", "n"])
+
+    return _sets(texts).mapInArrow(run, "h long, node long, n long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``pairs`` (``src``, ``dst``) whose sets are alike."""
+    pairs = written(pairs.distinct(), "jaccard-pairs")
+    met = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    # Texts travel, not their sets, which are larger.
+    own = written(texts.join(met, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "jaccard-texts")
+    left, right = own.select(F.col("node").alias("src"), F.col("text").alias("a")), own.select(F.col("node").alias("dst"), F.col("text").alias("b"))
+
+    def run(batches):
+        for batch in batches:
+            good = pa.array([alike(shingles(x.as_py()), shingles(y.as_py())) for x, y in zip(batch.column(2), batch.column(3))], pa.bool_())
+            yield batch.select(["src", "dst"]).filter(good)
+
+    return written(pairs.join(left, "src").join(right, "dst").select("src", "dst", "a", "b").mapInArrow(run, "src long, dst long"), "jaccard-links")
+
+
+def groups(df: DataFrame, text: str = "text") -> DataFrame:
+    """(``node``, ``component``) for the texts' keys that chains of likeness of 4/5 or more connect to another; the least key connected.
+
+    Keys that are alike to no other are left out. Equal texts have equal keys. Texts are told apart
+    by 64-bit hashes, as are their shingles.
+    """
+    texts = df.select(node(F.col(text)).alias("node"), F.col(text).cast("string").alias("text")).where("node <> 0")
+    rows = _prefixes(texts)
+    sizes = rows.groupBy("h").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
+    rows = written(rows.join(sizes, "h").select("h", "node", "n", "least").distinct(), "jaccard-prefixes")
+    many = written(rows.groupBy("h").count().where(F.col("count") > MANY).select("h"), "jaccard-many")
+    few = rows.join(many, "h", "left_anti")
+    pairs = few.join(few.select("h", F.col("node").alias("dst"), F.col("n").alias("m")), "h").where("node < dst").where(_sizes("n", "m"))
+    links = _verified(pairs.select(F.col("node").alias("src"), "dst"), texts)
+    if many.limit(1).count():
+        links = links.union(_tiled(rows.join(many, "h", "left_semi"), texts))
+    return components(links)
+
+
+def _sizes(a: str, b: str) -> Column:
+    """Sets of such sizes can be alike."""
+    return ALIKE[1] * F.least(a, b) >= ALIKE[0] * F.greatest(a, b)
+
+
+def _tiled(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (``src``, ``dst``) that connect what alike pairs among the ``rows`` (``h``, ``node``, ``least``) of each ``h`` connect."""
+    # Texts that meet under the same least node share tiles: most pairs of tiles stay apart.
+    own = written(rows.groupBy("node").agg(F.min("least").alias("label")), "jaccard-labels")
+    tiles = own.groupBy("label").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    own = written(own.join(tiles, "label").select("node", F.xxhash64("label", F.pmod(F.xxhash64("node"), "tiles")).alias("tile")), "jaccard-dealt")
+    spans = written(rows.join(own, "node").select("h", "tile").distinct(), "jaccard-spans")
+    met = spans.join(spans.withColumnRenamed("tile", "other"), "h").where("tile <= other").select("tile", "other").distinct()
+    held = _sets(texts.join(own, "node", "left_semi")).groupBy("node").agg(F.first("shingles").alias("shingles")).join(own, "node")
+    held = written(held.groupBy("tile").agg(F.collect_list(F.struct("node", "shingles")).alias("a")), "jaccard-tiles")
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = met.join(held, "tile").join(held.select(F.col("tile").alias("other"), F.col("a").alias("b")), "other").select("a", "b")
+    return written(both.repartition(tasks).mapInArrow(_compare, "src long, dst long"), "jaccard-links")
+
+
+def _compare(batches):
+    for batch in batches:
+        for at in range(batch.num_rows):
+            (x, a), (y, b) = ((own.field("node").to_numpy(), [np.frombuffer(s.as_buffer(), np.uint64) for s in own.field("shingles")]) for own in (batch.column(i)[at].values for i in (0, 1)))
+            src, dst = stars(x, a, y, b)
+            if len(src):
+                yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
+
+
+def stars(x: np.ndarray, a: list[np.ndarray], y: np.ndarray, b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links from each node that is not the least of its group to the least; groups are those that alike pairs of the sets ``a`` (of ``x``) and ``b`` (of ``y``) connect."""
+    columns = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+    both = np.zeros((len(a), len(b)), np.int64)
+    for start in range(0, len(columns), 8192):
+        some = columns[start : start + 8192]
+        both += (_members(a, some) @ _members(b, some).T).astype(np.int64)
+    n, m = np.array([*map(len, a)]), np.array([*map(len, b)])
+    i, j = np.nonzero(ALIKE[1] * both >= ALIKE[0] * (n[:, None] + m[None, :] - both))
+    ids = np.unique(np.concatenate([x, y]))
+    root = np.arange(len(ids))
+    if len(i):
+        unite(root, np.searchsorted(ids, x[i]), np.searchsorted(ids, y[j]))
+    least = settled(root)
+    moved = np.flatnonzero(least != np.arange(len(ids)))
+    return ids[moved], ids[least[moved]]
+
+
+def _members(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(columns)), np.float32)
+    for i, own in enumerate(sets):
+        place = np.minimum(np.searchsorted(columns, own), len(columns) - 1)
+        out[i, place[columns[place] == own]] = 1
+    return out

@@ -396,3 +396,38 @@ def test_pipeline(spark, hard):
         assert stage(spark, none(spark), SF).count() == 0
     twice = spark.createDataFrame([(1, "b b b b"), (1, "b b b b"), (2, "q w e r t")], "doc_id long, text string")
     assert sorted(r.doc_id for r in c.near_duplicate_stage(spark, twice, SF).collect()) == [1, 2]
+
+
+def jaccard_sets(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_pipeline_drops_edited_copies(spark):
+    import corpus_pipeline as c
+
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(200)] + passage for _ in range(40)]
+    for base in texts[:30]:
+        copy = [*base]
+        for at in rng.sample(range(0, 240, 5), rng.randrange(1, 7)):
+            copy[at] += "x"
+        texts.append(copy)
+    group = [f"g{i}" for i in range(300)]
+    texts += [[*group[:i], f"n{i}", *group[i + 1 :]] for i in range(0, 300, 3)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [jaccard_sets(t) for _, t in rows]
+    root = [*range(len(rows))]
+    find = lambda i: i if root[i] == i else find(root[i])
+    edited = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            like = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            if like >= 0.8:
+                edited += like < 0.95 and i < 70
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    assert edited > 15
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in c.near_duplicate_stage(spark, df, SF).collect()) == sorted({find(i) for i in range(len(rows))})
