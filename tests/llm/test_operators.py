@@ -431,3 +431,16 @@ def test_pipeline_drops_edited_copies(spark):
     assert edited > 15
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted(r.doc_id for r in c.near_duplicate_stage(spark, df, SF).collect()) == sorted({find(i) for i in range(len(rows))})
+
+
+def test_pipeline_keeps_one_of_each_group_whatever_the_ids(spark):
+    import corpus_pipeline as c
+
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (1, text("c")), (1, text("d")), (2, text("c") + " end"), (3, text("d") + " end"), (None, text("d")), (4, None), (5, " "), (5, "x y"), (5, "X  y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.text or "") for r in c.near_duplicate_stage(spark, df, SF).collect()))
+    assert got == [(0, text("a")), (0, text("b")), (1, text("c")), (1, text("d")), (4, ""), (5, "X  y")]
+    assert c.near_duplicate_stage(spark, none(spark), SF).count() == 0
+    twice = spark.createDataFrame([(1, "b b b b"), (1, "b b b b"), (2, "q w e r t")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in c.near_duplicate_stage(spark, twice, SF).collect()) == [1, 2]
