@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termwright.llm._shared import extended, written
+from termwright.llm._shared import dropped, extended, written
 
 #: Distinct fingerprints in a tile.
 TILE = 16384
+#: Pairs that one numpy call compares: they stay in the processor's cache.
+CELLS = 131_072
 
 
 def fingerprint(words: list[bytes], width: int, seed: int) -> int:
@@ -53,46 +55,54 @@ def fingerprints(df: DataFrame, width: int = 4, seed: int = 42, text: str = "tex
     return extended(df, make, text, T.StructType().add("simhash", "long"))
 
 
-def linked(prints: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
-    """Links (``src``, ``dst``) that join exactly the ``prints`` (``node``, ``simhash``, distinct) within ``radius`` bits.
-
-    Two nodes are connected by the result if and only if a chain of nodes within ``radius`` connects them.
-    """
-    spark = prints.sparkSession
-    ones = F.bit_count("simhash").cast("int")
-    groups = prints.withColumn("ones", ones)
-    # Tiles: runs of equal population count, cut to ``tile``; salted counts give every row its place without a large group in a task.
-    salted = groups.withColumn("salt", F.pmod(F.xxhash64("simhash"), F.lit(64)).cast("int"))
+def tiled(prints: DataFrame, tile: int = TILE) -> DataFrame:
+    """``prints`` (``node``, ``simhash``) with ``ones``, their population count, and ``tile``: runs of equal population count, cut to ``tile`` rows."""
+    # Salted counts give every row its place without a large group in a task.
+    salted = prints.withColumn("ones", F.bit_count("simhash").cast("int")).withColumn("salt", F.pmod(F.xxhash64("simhash"), F.lit(64)).cast("int"))
     sizes = salted.groupBy("ones", "salt").count()
     before = Window.partitionBy("ones").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     place = Window.partitionBy("ones", "salt").orderBy("node")
-    rows = salted.join(F.broadcast(sizes), ["ones", "salt"]).withColumn("tile", ((F.col("first") + F.row_number().over(place) - 1) / tile).cast("long"))
-    tiles = rows.groupBy("ones", "tile").agg(F.collect_list(F.struct("simhash", "node")).alias("rows"))
-    packed = written(tiles.mapInArrow(_pack, "ones int, tile long, prints binary, nodes binary"), "simhash-tiles")
-    # Each tile meets the tiles of its own and of the next ``radius`` population counts.
-    heads = packed.select("ones", "tile")
-    pairs = (
+    # At most 65 * 64 sizes.
+    return salted.join(F.broadcast(sizes), ["ones", "salt"]).withColumn("tile", ((F.col("first") + F.row_number().over(place) - 1) / tile).cast("long")).drop("salt", "first")
+
+
+def packed(rows: DataFrame, *columns: str) -> DataFrame:
+    """A row for each tile of :func:`tiled`: the ``columns``, longs, as bytes, all in the order of the last."""
+    tiles = rows.groupBy("ones", "tile").agg(F.collect_list(F.struct(*columns)).alias("rows"))
+
+    def run(batches):
+        for batch in batches:
+            own = [batch.column("rows")[i].values for i in range(batch.num_rows)]
+            own = [[x.field(c).to_numpy(zero_copy_only=False) for c in columns] for x in own]
+            order = [np.argsort(x[-1], kind="stable") for x in own]
+            arrays = [pa.array([x[k][o].tobytes() for x, o in zip(own, order)], pa.binary()) for k in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([batch.column("ones"), batch.column("tile"), *arrays], names=["ones", "tile", *columns])
+
+    return tiles.mapInArrow(run, "ones int, tile long, " + ", ".join(f"{c} binary" for c in columns))
+
+
+def tile_pairs(packs: DataFrame, radius: int) -> DataFrame:
+    """Each tile with the tiles of its own and of the next ``radius`` population counts: ``ones``, ``tile``, ``other``, ``other_tile``."""
+    heads = packs.select("ones", "tile")
+    return (
         heads.withColumn("other", F.explode(F.sequence("ones", F.col("ones") + radius)))
         .join(heads.select(F.col("ones").alias("other"), F.col("tile").alias("other_tile")), "other")
         .where((F.col("ones") < F.col("other")) | (F.col("tile") <= F.col("other_tile")))
     )
-    left = packed.select("ones", "tile", "prints", "nodes")
-    right = packed.select(F.col("ones").alias("other"), F.col("tile").alias("other_tile"), F.col("prints").alias("prints2"), F.col("nodes").alias("nodes2"))
-    met = pairs.join(left, ["ones", "tile"]).join(right, ["other", "other_tile"]).select("prints", "nodes", "prints2", "nodes2")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return met.repartition(tasks).mapInArrow(lambda batches: _compare(batches, radius), "src long, dst long")
 
 
-def _pack(batches):
-    for batch in batches:
-        rows = batch.column("rows")
-        prints, nodes = [], []
-        for at in range(batch.num_rows):
-            own = rows[at].values
-            prints.append(own.field("simhash").to_numpy(zero_copy_only=False).tobytes())
-            nodes.append(own.field("node").to_numpy(zero_copy_only=False).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("ones"), batch.column("tile"), pa.array(prints, pa.binary()), pa.array(nodes, pa.binary())], names=["ones", "tile", "prints", "nodes"])
+def linked(prints: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
+    """Links (``src``, ``dst``) that join exactly the ``prints`` (``node``, ``simhash``, distinct) within ``radius`` bits.
+
+    Two nodes are connected by the result if and only if a chain of nodes within ``radius`` connects them.
+    """
+    packs = written(packed(tiled(prints, tile), "simhash", "node"), "simhash-tiles")
+    left = packs.select("ones", "tile", "simhash", "node")
+    right = packs.select(F.col("ones").alias("other"), F.col("tile").alias("other_tile"), F.col("simhash").alias("simhash2"), F.col("node").alias("node2"))
+    met = tile_pairs(packs, radius).join(left, ["ones", "tile"]).join(right, ["other", "other_tile"]).select("simhash", "node", "simhash2", "node2")
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return met.repartition(tasks).mapInArrow(lambda batches: _compare(batches, radius), "src long, dst long")
 
 
 def _compare(batches, radius):
@@ -113,7 +123,7 @@ def stars(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, radius: in
     ids = np.unique(np.concatenate([x, y]))
     root = np.arange(len(ids))
     at_x, at_y = np.searchsorted(ids, x), np.searchsorted(ids, y)
-    step = max(1, 1_048_576 // max(1, len(b)))
+    step = max(1, CELLS // max(1, len(b)))
     for start in range(0, len(a), step):
         rest = b[start:] if same else b
         near = np.bitwise_count(a[start : start + step, None] ^ rest[None, :]) <= radius
@@ -165,6 +175,7 @@ def components(links: DataFrame) -> DataFrame:
         leaf = following.groupBy("u").agg(F.count("*").alias("n"))
         open_leaves = leaf.where("n > 1").limit(1).count()
         open_centres = following.select("v").join(leaf.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
+        dropped(edges)
         edges = following
         if not open_leaves and not open_centres:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
@@ -176,9 +187,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", width: int = 4, radius:
     Fingerprints link at ``radius`` or fewer different bits. Null and wordless texts share the
     fingerprint zero and are linked like any other. Repeated rows come back as often as they came.
     A row with a null key has its fingerprint's component, and counts as least key only if no other
-    row shares the fingerprint: then its component is null.
+    row shares the fingerprint: then its component is null. An empty table gives no rows; a text of any
+    length is read whole, once. Further columns are ignored.
     """
-    prints = written(fingerprints(df.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")), width, seed), "simhash")
+    prints = written(fingerprints(df.select(F.col(f"`{key}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text")), width, seed), "simhash")
     distinct = prints.groupBy("simhash").agg(F.min("node").alias("node")).where("node is not null")
     distinct = written(distinct, "simhash-distinct")
     reached = components(linked(distinct, radius))
