@@ -18,6 +18,10 @@ URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
 _HARD = "\\### Assistant: </turn> ok"
 
 
+#: The vocabularies of the quality rules.
+VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -56,7 +60,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.measured(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), vocabulary("piece_bpe_32k.model")).drop("text", "lang")
+    return quality_rules.measured(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), [vocabulary(v) for v in VOCABULARIES]).drop("text", "lang")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
