@@ -37,7 +37,7 @@ FUNCTION_WORDS = frozenset(
     "el los las y del en un una que por con para su al lo como más se no es o".split()
 )
 _SYMBOLS = frozenset("#*$%&|<>{}[]\\^~_=")
-_MARKS = {ord(c): None for c in "!\"#$%&'()*+,-./0123456789:;<=>?@[\\]^_`{|}~"}
+_MARKS = b"!\"#$%&'()*+,-./0123456789:;<=>?@[\\]^_`{|}~"
 _SHAPE = {**{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "0" for c in "0123456789"}}
 
 
@@ -79,31 +79,36 @@ def shares(words: np.ndarray, text: str) -> tuple[float, ...]:
     n = max(1, len(words))
     flag = [float(((words >> k) & 1).sum()) / n for k in range(5)]
     lines = [x for x in text.split("\n") if x.strip()]
-    return (flag[0], flag[1], float((words[1:] == words[:-1]).sum()) / n, flag[2], flag[3], flag[4], 1 - len(set(lines)) / max(1, len(lines)), len(np.unique(words)) / n)
+    ordered = np.sort(words)
+    distinct = np.count_nonzero(ordered[1:] != ordered[:-1]) + (len(words) > 0)
+    return (flag[0], flag[1], float((words[1:] == words[:-1]).sum()) / n, flag[2], flag[3], flag[4], 1 - len(set(lines)) / max(1, len(lines)), distinct / n)
 
 
-def votes(words: np.ndarray, text: str) -> int:
-    """The votes of all labellers in one number, to the base of three. Short texts get none."""
-    n = len(words)
-    if n < 20:
-        return sum(NONE * 3**k for k in range(len(LABELLERS)))
-    symbols, capitals, repeats, function, ends, doubled, lines, distinct = shares(words, text)
-    marks = text.translate(_MARKS)
-    letters = 1 - (len(text) - len(marks)) / max(1, len(text))
+def votes(words: np.ndarray, text: str, own: tuple[float, ...] | None = None) -> int:
+    """The votes of all labellers in one number, to the base of three.
+
+    A vote stands only if it would be the same with one word (line) more or less on its side: so short
+    texts get few votes, by the same thresholds as all. ``own`` are the text's :func:`shares`, if they are known.
+    """
+    symbols, capitals, repeats, function, ends, doubled, lines, distinct = own or shares(words, text)
+    n = max(1, len(words))
+    one, line = 1 / n, 1 / (text.count("\n") + 1)
+    raw = text.encode()
+    letters = 1 - (len(raw) - len(raw.translate(None, _MARKS))) / max(1, len(text))
 
     def vote(bad: bool, good: bool) -> int:
         return BAD if bad else GOOD if good else NONE
 
     own = (
-        vote(symbols > 0.15, symbols < 0.03),
-        vote(capitals > 0.5, capitals < 0.2),
-        vote(repeats > 0.1, repeats < 0.03),
-        vote(n >= 40 and function < 0.05, function > 0.1),
-        vote(n >= 50 and ends < 0.015 or ends > 0.5, 0.03 < ends < 0.3),
-        vote(doubled > 0.2, doubled < 0.05),
-        vote(lines > 0.3, lines < 0.1),
-        vote(distinct < min(0.3, 30 / math.sqrt(n)) and n < 20000, distinct > min(0.5, 50 / math.sqrt(n))),
-        vote(letters < 0.87, letters > 0.93),
+        vote(symbols - one > 0.15, symbols + one < 0.03),
+        vote(capitals - one > 0.5, capitals + one < 0.2),
+        vote(repeats - one > 0.1, repeats + one < 0.03),
+        vote(function + one < 0.05, function - one > 0.1),
+        vote(ends + one < 0.015 or ends - one > 0.5, 0.03 + one < ends < 0.3 - one),
+        vote(doubled - one > 0.2, doubled + one < 0.05),
+        vote(lines - line > 0.3, lines + line < 0.1),
+        vote(distinct + one < min(0.3, 10 / math.sqrt(n)), distinct - one > min(0.5, 50 / math.sqrt(n))),
+        vote(letters + one < 0.87, letters - one > 0.93),
     )
     return sum(v * 3**k for k, v in enumerate(own))
 
@@ -142,12 +147,13 @@ def posteriors(counts: dict[int, int], rounds: int = 100, weight: float = 0.02)
     return dict(zip(patterns, at.tolist())), table, float(good)
 
 
-def features(words: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values of a document: shares of its words and shapes, and the dense ones."""
+def features(words: np.ndarray, text: str, own: tuple[float, ...] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and values of a document: shares of its words and shapes, and the dense ones. No more than ``BUCKETS`` + ``DENSE``, however long the text."""
     n = max(LEAST_WORDS, len(words))
-    hashed = np.concatenate([(words >> 8) & 0xFFFFFF, words >> 32])
-    at, counts = np.unique(hashed, return_counts=True)
-    s = shares(words, text)
+    hashed = np.sort(np.concatenate([(words >> 8) & 0xFFFFFF, words >> 32]).astype(np.int32))
+    first = np.flatnonzero(np.concatenate([[len(hashed) > 0], hashed[1:] != hashed[:-1]])[: len(hashed)])
+    at, counts = hashed[first], np.diff(np.append(first, len(hashed)))
+    s = own or shares(words, text)
     dense = np.array([1.0, s[2], s[6], s[0], s[1]])
     return np.concatenate([at, np.arange(BUCKETS, BUCKETS + DENSE)]), np.concatenate([counts / n, dense])
 
@@ -189,23 +195,26 @@ class Model:
 def trained(df: DataFrame, text: str = "text", most: int = TRAIN) -> Model:
     """Counts the votes on all documents, estimates the labellers, and fits the scorer on at most ``most`` documents.
 
-    The sample is drawn by a hash of the text and the other columns, so it is the same for any partitioning.
+    The sample is drawn by a hash of the text alone, so it is the same for any partitioning and whatever
+    columns stand beside it. Its documents go through the driver as hashed features, 4 + 4 bytes each: a long text has at most
+    ``BUCKETS`` of them, an ordinary one some hundreds. An empty table gives a model that keeps everything.
     """
-    counts = {r["votes"]: r["count"] for r in voted(df.select(F.col(text).alias("text"))).groupBy("votes").count().collect()}
+    own = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    counts = {r["votes"]: r["count"] for r in voted(own).groupBy("votes").count().collect()}
     posterior, table, good = posteriors(counts)
     total = sum(counts.values())
-    drawn = F.pmod(F.xxhash64(F.lit(17), *[F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if not kind.startswith(("map", "array", "struct", "binary"))]), F.lit(1_000_000))
+    drawn = F.pmod(F.xxhash64(F.lit(17), "text"), F.lit(1_000_000))
     share = math.ceil(1_000_000 * min(1.0, 1.1 * most / max(1, total)))
-    sample = df.select(drawn.alias("drawn"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).where(F.col("drawn") < share)
+    sample = own.select(drawn.alias("drawn"), "text").where(F.col("drawn") < share)
 
     def make(texts):
         reader = kept("quality", Reader)
         read = [reader.read(t) for t in texts]
         found = [features(w, t) for w, t in zip(read, texts)]
-        return [[votes(w, t) for w, t in zip(read, texts)], [a.astype("<i4").tobytes() for a, _ in found], [x.astype("<f8").tobytes() for _, x in found]]
+        return [[votes(w, t) for w, t in zip(read, texts)], [a.astype("<i4").tobytes() for a, _ in found], [x.astype("<f4").tobytes() for _, x in found]]
 
     rows = extended(sample, make, "text", T.StructType().add("votes", "integer").add("at", "binary").add("x", "binary")).orderBy("drawn", "at", "x").limit(most).collect()
-    weights = fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["x"], "<f8"), posterior.get(r["votes"], good)) for r in rows])
+    weights = fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["x"], "<f4"), posterior.get(r["votes"], good)) for r in rows])
     return Model(posterior, table, good, weights)
 
 
@@ -213,7 +222,8 @@ def scored(df: DataFrame, model: Model, text: str = "text", least: float = 0.5)
     """``df``, its texts kept, with ``score`` (0 to 1) and ``kept`` (a score of at least ``least``).
 
     A null or empty text has only the scorer's constant. Each row is judged alone, so repeated rows
-    get equal results; columns named as an added one give way.
+    get equal results; columns named as an added one give way. An empty table gives no rows; a text is
+    read whole, whatever its length.
     """
     weights = model.weights
 
@@ -225,4 +235,4 @@ def scored(df: DataFrame, model: Model, text: str = "text", least: float = 0.5)
             out.append(round(1 / (1 + math.exp(-max(-30.0, min(30.0, float(weights[at] @ x))))), 6))
         return [out, [x >= least for x in out]]
 
-    return extended(df.withColumn("__scored", F.col(text)), make, "__scored", T.StructType().add("score", "double").add("kept", "boolean"))
+    return extended(df, make, text, T.StructType().add("score", "double").add("kept", "boolean"), drop=False)
