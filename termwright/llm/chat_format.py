@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens of a window; half of them are for its own turns, so that history and system turn find room.
-BUDGET = 2048
+#: Tokens of a window; half of them are for its own turns, so that history and system turn find room. A turn counts as many as it has
+#: bytes, unless the caller brings counts: no vocabulary whose tokens hold a byte or more makes more of it.
+BUDGET = 8192
 #: Turns of the window before that are repeated.
 HISTORY = 2
 #: Turn numbers whose prefix sums are made in one group; sums of groups come before them.
@@ -35,16 +36,16 @@ def rendered(role: Column, text: Column) -> Column:
 
 
 def turn_tokens(role: Column, text: Column) -> Column:
-    """An estimate from above for most vocabularies: a token for every four bytes, and four for the markers."""
-    return (F.ceil((F.octet_length(role) + F.octet_length(text)) / 4) + 4).cast("long")
+    """A bound from above for every vocabulary whose tokens hold a byte or more: the bytes of the rendered turn, markers and escapes included."""
+    return F.octet_length(rendered(role, text)).cast("long")
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """``turns`` (``conv``, ``turn``, ``role``, ``text``) with ``tokens``, ``idx`` (from 0) and ``upto``, the tokens up to and with the turn.
+    """``turns`` (``conv``, ``turn``, ``role``, ``text``, ``tokens``) with ``idx`` (from 0) and ``upto``, the tokens up to and with the turn.
 
-    Sums of blocks of turn numbers come first, so a conversation's turns need not be in one task.
+    Sums of blocks of turn numbers come first, so a conversation's turns need not be in one task; those of one number, or without, are in one.
     """
-    rows = turns.withColumn("tokens", turn_tokens(F.col("role"), F.col("text"))).withColumn("block", F.floor(F.col("turn") / BLOCK))
+    rows = turns.withColumn("block", F.floor(F.col("turn") / BLOCK))
     sums = rows.groupBy("conv", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("s"))
     before = Window.partitionBy("conv").orderBy(F.col("block").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
@@ -59,20 +60,21 @@ def numbered(turns: DataFrame) -> DataFrame:
     )
 
 
-def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: str | None = None) -> DataFrame:
     """A row for each window: ``conv_id``, ``first_idx``, ``formatted``, ``loss_spans``, ``n_system``, ``n_history``, ``n_own``, ``tokens``, ``over_budget``.
 
     A window's own turns are those whose prefix sum ends in the same stretch of ``budget`` / 2 tokens;
     history is added, the latest first, while the budget lasts. ``loss_spans`` are code point offsets (start, end) of the escaped texts of
     its own assistant turns: each assistant turn is under the mask of one window. Turns are never
     cut; a window that a long turn brings over the budget says so. Turns go by number (null first),
-    then role and text; repeated rows are turns each. A null role or text is empty, null conversations are
-    one conversation; a conversation without rows has no window. Further columns are ignored.
+    then role and text; repeated rows are turns each. A null role or text is empty, rows without ``conv_id`` are
+    one conversation; a conversation without rows has no window, an empty table gives no rows. ``tokens`` names a column with the tokens of
+    each rendered turn; without one, or where it is null, the turn's bytes are the bound. Further columns are ignored.
     """
     half = max(1, budget // 2)
-    turns = conversations.select(
-        F.col("conv_id").alias("conv"), "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
+    given = F.col(f"`{tokens}`").cast("long") if tokens else F.lit(None).cast("long")
+    turns = conversations.select(F.col("conv_id").alias("conv"), "turn", role.alias("role"), text.alias("text"), F.coalesce(given, turn_tokens(role, text)).alias("tokens"))
     rows = numbered(turns).withColumn("win", F.floor((F.col("upto") - 1) / half))
     turn = F.struct("idx", "tokens", "role", rendered(F.col("role"), F.col("text")).alias("shown"), F.length(escaped(F.col("text"))).alias("size"))
     own = rows.groupBy("conv", "win").agg(F.array_sort(F.collect_list(turn)).alias("own"))
@@ -136,7 +138,10 @@ def read_back(windows: DataFrame) -> DataFrame:
 
 
 def digests(windows: DataFrame) -> DataFrame:
-    """A row for each conversation: how many turns, what the turns say and what the mask covers, read back from the windows."""
+    """A row for each conversation: how many turns, what the turns say and what the mask covers, read back from the windows.
+
+    A digest is of a whole conversation, which one task therefore holds at the end.
+    """
     back = read_back(windows).select(
         "conv_id",
         F.size("turns").alias("n"),
