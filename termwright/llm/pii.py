@@ -3,13 +3,21 @@
 Validated numbers and dates are permuted within their own format by a keyed Feistel network, so
 equal values have equal pseudonyms in all documents and different ones stay different. Addresses
 and secrets, which have no numeric format, get keyed digests of their own length.
+
+The rounds use HMAC-SHA-256. What it derives from the key stands in the plan as literals, so whoever may
+read plans or event logs can make the same pseudonyms: keep those as closed as the key, or hide the literals by
+``spark.sql.redaction.string.regex``.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termwright.llm._shared import plain
+
 ROUNDS = 10
 
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
@@ -19,16 +27,21 @@ _PHONE = r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/]|[.-]\d)"
 _CARD = r"(?<![\d-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
-#: What may be personal data, in the order in which alternatives are tried.
-PATTERN = "|".join((_EMAIL, _SECRET, _DATE, _IP, _PHONE, _SSN, _CARD))
+#: What may be personal data besides cards and telephone numbers, in the order in which alternatives are tried.
+PATTERN = "|".join((_EMAIL, _SECRET, _DATE, _IP, _SSN))
+#: Every place where a card number may begin, whatever else it may be part of.
+CARDS = f"(?=({_CARD}))"
 
 #: Dates of two centuries: their number is 17 * 4297.
 FIRST_DAY, LAST_DAY, DAYS = "1900-01-01", "2099-12-31", (17, 4297)
 
 
 def _digest(key: str, tag: str, *parts: Column) -> Column:
-    """A keyed digest in hex; the key stands on both sides of what is hashed."""
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), *[p.cast("string") for p in parts], F.lit(key)), 256)
+    """The HMAC-SHA-256 of ``tag`` and ``parts`` in hex."""
+    own = key.encode() if len(key.encode()) <= 64 else hashlib.sha256(key.encode()).digest()
+    inner, outer = (F.lit(bytes(x ^ pad for x in own.ljust(64, b"\0"))) for pad in (0x36, 0x5C))
+    said = F.concat_ws("|", F.lit(tag), *[p.cast("string") for p in parts]).cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, said), 256))), 256)
 
 
 def feistel(a: Column, b: Column, size_a: Column, size_b: Column, key: str, tag: str) -> Column:
@@ -143,7 +156,7 @@ def _secret(m: Column, key: str) -> Column:
 
 
 def kind(m: Column) -> Column:
-    """What a match is, or null if its validation fails: Luhn for cards, octets, areas, the calendar, 7 to 15 digits of a phone number."""
+    """What a match is, or null if its validation fails: octets, areas, the calendar, 7 to 15 digits of a phone number."""
     digits = _only_digits(m)
     whole = lambda p: m.rlike(f"^(?:{p})$")
     octets = F.forall(F.split(m, r"\."), lambda x: x.cast("int") <= 255)
@@ -155,41 +168,72 @@ def kind(m: Column) -> Column:
         .when(whole(_IP), F.when(octets, "ip"))
         .when(whole(_PHONE), F.when(F.length(digits).between(7, 15), "phone"))
         .when(whole(_SSN), F.when(area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0), "ssn"))
-        .when(whole(_CARD), F.when(luhn_sum(digits, 1) % 10 == 0, "card"))
     )
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """What stands for a match; a match that is not validated stays as it is."""
+_MAKE = {"email": _email, "secret": _secret, "date": _date, "ip": _ip, "phone": _phone, "ssn": _ssn}
+
+
+def _as_it_is(m: Column) -> Column:
+    return F.struct(m.alias("text"), F.lit(0).cast("long").alias("n"))
+
+
+def _by_kind(m: Column, key: str) -> Column:
+    """The struct (``text``, ``n``) that stands for a match; one that is not valid stays as it is."""
 
     def by(k: Column) -> Column:
-        out = F.when(k.isNull(), m)
-        for name, make in (("email", _email), ("secret", _secret), ("date", _date), ("ip", _ip), ("phone", _phone), ("ssn", _ssn), ("card", _card)):
-            out = out.when(k == name, make(m, key))
+        out = F.when(k.isNull(), _as_it_is(m))
+        for name, make in _MAKE.items():
+            out = out.when(k == name, F.struct(make(m, key).alias("text"), F.lit(1).cast("long").alias("n")))
         return out
 
     return _let(kind(m), by)
 
 
+def _over(own: Column, pattern: Column, make, rest) -> Column:
+    """The struct (``text``, ``n``) of a text whose matches of ``pattern`` give way to ``make`` of them, and the texts between to ``rest`` of them."""
+    between, new = F.transform(F.split(own, pattern, -1), rest), F.transform(F.regexp_extract_all(own, pattern, F.lit(0)), make)
+
+    def joined(rows: Column) -> Column:
+        return F.struct(F.array_join(F.transform(rows, lambda r: r["text"]), "").alias("text"), F.aggregate(rows, F.lit(0).cast("long"), lambda s, r: s + r["n"]).alias("n"))
+
+    # The texts between the matches are one more than these.
+    return _let(F.filter(F.flatten(F.zip_with(between, new, lambda a, b: F.array(a, b))), lambda r: r.isNotNull()), joined)
+
+
+def _replaced(own: Column, key: str) -> Column:
+    """The struct (``text``, ``n``) of a text without cards: telephone numbers are sought last, as they may look like the beginning of anything."""
+    phones = lambda t: _over(t, F.lit(_PHONE), lambda m: _by_kind(m, key), _as_it_is)
+    return _over(own, F.lit(PATTERN), lambda m: _by_kind(m, key), phones)
+
+
+def pseudonym(m: Column, key: str) -> Column:
+    """What stands for a text that is as a whole a match; anything else stays as it is."""
+    return _replaced(m, key)["text"]
+
+
 def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``df`` with personal data in its texts replaced, and ``n_pii``, how many were.
 
-    A null text stays null and has 0, an empty one stays empty; rows are judged one by one, so repeated rows stay equal.
-    A column named ``n_pii`` gives way.
+    Card numbers come first: every place where one may begin is tried, so none hides behind digits before it. A null text stays null
+    and has 0, an empty one stays empty; a text is read whole, whatever its length. Rows are judged one by one, so repeated rows stay
+    equal; an empty table gives no rows. A column named ``n_pii``, in any case, gives way.
     """
-    own = F.col(f"`{text}`").cast("string")
-    found = F.regexp_extract_all(own, F.lit(PATTERN), F.lit(0))
-    between = F.split(own, PATTERN, -1)
-
-    def both(m: Column) -> Column:
-        new = F.transform(m, lambda x: pseudonym(x, key))
-        # The texts between the matches are one more than these.
-        joined = F.array_join(F.flatten(F.zip_with(between, new, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-        return F.struct(joined.alias("text"), F.size(F.filter(m, lambda x: kind(x).isNotNull())).cast("long").alias("n"))
+    plain_df = plain(df)
+    at = df.columns.index(text)
+    own = F.col(f"c{at}").cast("string")
+    cards = F.filter(F.regexp_extract_all(own, F.lit(CARDS), F.lit(1)), lambda m: luhn_sum(_only_digits(m), 1) % 10 == 0)
+
+    def without_cards(valid: Column) -> Column:
+        # Card numbers hold digits, blanks and hyphens only: they are patterns of themselves.
+        pattern = F.concat(F.lit(r"(?<![\d-])(?:"), F.array_join(F.array_distinct(valid), "|"), F.lit(r")(?!\d)"))
+        card = lambda m: F.struct(_card(m, key).alias("text"), F.lit(1).cast("long").alias("n"))
+        split = _over(own, pattern, card, lambda t: _replaced(t, key))
+        return F.when(F.size(valid) > 0, split).otherwise(_replaced(own, key))
 
     # Most texts hold no digit that could be part of a match, and no address.
     maybe = own.rlike(r"[0-9@=:]")
-    out = F.when(own.isNotNull() & maybe, _let(found, both)).otherwise(F.struct(own.alias("text"), F.lit(0).cast("long").alias("n")))
-    keep = [c for c in df.columns if c not in (text, "n_pii", "__pii")]
-    rows = df.select(*[df[f"`{c}`"] for c in keep], out.alias("__pii"))
-    return rows.select(*keep, F.col("__pii.text").alias(text), F.col("__pii.n").alias("n_pii"))
+    out = F.when(own.isNotNull() & maybe, _let(cards, without_cards)).otherwise(F.struct(own.alias("text"), F.lit(0).cast("long").alias("n")))
+    keep = [i for i, c in enumerate(df.columns) if c.lower() != "n_pii" and i != at]
+    rows = plain_df.select(*[f"c{i}" for i in keep], out.alias("out"))
+    return rows.select(*[f"c{i}" for i in keep], "out.text", "out.n").toDF(*[df.columns[i] for i in keep], text, "n_pii")
