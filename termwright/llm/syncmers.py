@@ -3,7 +3,8 @@
 A text is a sequence of units (words; single characters in scripts without spaces). A run of ``K``
 units is an anchor if the least hash among its runs of ``S`` units lies at one of its edges: that
 depends on the run alone, so equal passages have equal anchors wherever they stand. The
-fingerprint is a bottom sketch of the anchors' hashes.
+fingerprint is the hashes of all anchors in the order of the text, each where it comes first. Two fingerprints are matched by
+position: equal anchors count where a neighbour matches at the same distance, as in a passage that both texts have.
 """
 
 from __future__ import annotations
@@ -15,8 +16,6 @@ from termwright.llm._shared import written
 
 #: Units of an anchor, and of the runs inside it. Their hashes stand at K - S + 1 places.
 K, S = 5, 2
-#: Hashes of a fingerprint.
-SKETCH = 64
 
 #: Ideographs, kana, Hangul syllables and Thai letters stand alone; other units are runs without white space.
 UNIT = r"[฀-๿぀-ヿ㐀-䶿一-鿿가-힯]|[^\s฀-๿぀-ヿ㐀-䶿一-鿿가-힯]+"
@@ -56,21 +55,54 @@ def anchors(text: Column) -> Column:
     return F.get(F.transform(F.array(units(F.coalesce(text, F.lit("")))), _anchors), F.lit(0))
 
 
-def sketch(text: Column, size: int = SKETCH) -> Column:
-    """The ``size`` least distinct hashes of a text's anchors, in order, as 32-bit numbers."""
-    return F.slice(F.array_sort(F.array_distinct(F.transform(anchors(text), lambda a: F.shiftright(a["hash"], 32).cast("int")))), 1, size)
+def marks(text: Column) -> Column:
+    """The distinct hashes of all anchors of a text, as 32-bit numbers, in the order in which they first come."""
+    return F.array_distinct(F.transform(anchors(text), lambda a: F.shiftright(a["hash"], 32).cast("int")))
 
 
 def fingerprint(own: Column) -> Column:
-    """A sketch as a string: 8 hex digits for each hash."""
+    """Marks as a string: 8 hex digits for each."""
     return F.array_join(F.transform(own, lambda h: F.lower(F.right(F.lpad(F.hex(h), 16, "0"), F.lit(8)))), "")
 
 
-def likeness(one: Column, other: Column, size: int = SKETCH) -> Column:
-    """The share of the least hashes of both sketches that are in both, 0 to 1: an estimate of the Jaccard likeness. Two empty sketches are alike."""
-    union = F.slice(F.array_sort(F.array_union(one, other)), 1, size)
-    both = F.size(F.array_intersect(F.array_intersect(union, one), other))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def matched(one: Column, other: Column) -> Column:
+    """array<struct<a, b>>: the places of the marks that both have, in the order of ``one``."""
+    tagged = lambda own, side: F.transform(own, lambda h, i: F.struct(h.alias("h"), F.lit(side).alias("side"), i.alias("at")))
+
+    def pairs(rows: Column) -> Column:
+        def pair(x: Column, k: Column) -> Column:
+            y = F.get(rows, k + 1)
+            return F.when((x["side"] == 0) & (y["h"] == x["h"]), F.struct(x["at"].alias("a"), y["at"].alias("b")))
+
+        return F.array_sort(F.filter(F.transform(rows, pair), lambda p: p.isNotNull()))
+
+    return _let(F.array_sort(F.concat(tagged(one, 0), tagged(other, 1))), pairs)
+
+
+def held(pairs: Column) -> Column:
+    """How many of the :func:`matched` places have a neighbour among them at the same distance."""
+    away = lambda p: p["b"] - p["a"]
+
+    def count(rows: Column) -> Column:
+        same = lambda x, k: F.coalesce(away(F.get(rows, k)) == away(x), F.lit(False))
+        return F.size(F.filter(rows, lambda x, k: F.when(k > 0, same(x, k - 1)).otherwise(F.lit(False)) | same(x, k + 1)))
+
+    return _let(pairs, count)
+
+
+def likeness(one: Column, other: Column) -> Column:
+    """Held matches as a share of the marks of both, 0 to 1. Where a text has a single mark, its match needs no neighbour; two texts without marks are alike."""
+
+    def share(pairs: Column) -> Column:
+        both = F.when(F.least(F.size(one), F.size(other)) <= 1, F.size(pairs)).otherwise(held(pairs))
+        return both / (F.size(one) + F.size(other) - both)
+
+    return F.when(F.size(one) + F.size(other) == 0, F.lit(1.0)).otherwise(_let(matched(one, other), share))
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -96,30 +128,31 @@ def compared(documents: DataFrame) -> DataFrame:
     The next document is that of the next lower ``doc_id``; after the lowest comes the highest. The
     edited text has the last floor(n / 2) code points replaced by the first as many of the next one's.
     A null text counts as empty. Of rows that share a ``doc_id``, each is compared, and the text of the least hash stands for them as a next document;
-    a row without ``doc_id`` has an empty next document and is nobody's. A lone document is its own next one. Further columns are ignored.
+    a row without ``doc_id`` has an empty next document and is nobody's. A lone document is its own next one. A text without a word or letter has no anchors and the
+    empty fingerprint. Texts are read whole, whatever their length; an empty table gives no rows. Further columns are ignored.
     """
     docs = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
     follows = neighbours(ids).select("id", F.col("prev.id").alias("for_id"), F.col("prev.half").alias("need"))
     # Both joins below read the same rows by the same key, so the texts are shuffled once for both.
-    own = docs.where("doc_id is not null").withColumn("sketch", sketch(F.col("text")))
-    # As a next document only the head that the other's edit needs travels, and the sketch.
+    own = docs.where("doc_id is not null").withColumn("marks", marks(F.col("text")))
+    # As a next document only the head that the other's edit needs travels, and the marks.
     head = F.substring(F.col("text"), F.lit(1), F.col("need").cast("int"))
-    heads = own.join(follows, own["doc_id"] == follows["id"]).select("for_id", F.struct(head.alias("head"), "sketch").alias("next"), F.xxhash64("text").alias("order"))
+    heads = own.join(follows, own["doc_id"] == follows["id"]).select("for_id", F.struct(head.alias("head"), "marks").alias("next"), F.xxhash64("text").alias("order"))
     heads = heads.groupBy("for_id").agg(F.min_by("next", "order").alias("next"))
     both = own.join(heads, own["doc_id"] == heads["for_id"], "left").drop("for_id")
-    alone = docs.where("doc_id is null").withColumn("sketch", sketch(F.col("text"))).withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
+    alone = docs.where("doc_id is null").withColumn("marks", marks(F.col("text"))).withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
     both = both.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = both.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), half)))
-    edited = edited.withColumn("edited_sketch", sketch(F.col("edited")))
-    none = F.slice(F.col("sketch"), 1, 0)
+    edited = edited.withColumn("edited_marks", marks(F.col("edited")))
+    none = F.slice(F.col("marks"), 1, 0)
     return edited.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("sketch")).alias("fingerprint"),
-        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.coalesce("next.sketch", none)).alias("near_next"),
+        fingerprint(F.col("marks")).alias("fingerprint"),
+        fingerprint(F.col("edited_marks")).alias("edited_fingerprint"),
+        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
+        likeness(F.col("marks"), F.coalesce("next.marks", none)).alias("near_next"),
     )
