@@ -1,6 +1,8 @@
 """The operators of the text preparation package against brute force and on hard inputs."""
 
+import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -9,11 +11,13 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
+import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from termwright.llm import bpe, chat_format, packing, pii, quality_model, quality_rules, queries, simhash, syncmers, token_counts, url_filter
+from termwright.llm import bpe, chat_format, near, packing, pii, quality_model, quality_rules, queries, simhash, syncmers, token_counts, url_filter
+from termwright.llm.packing import PATTERN
 
 SF = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor " * 4000
@@ -51,7 +55,7 @@ def turns(spark):
 
 def test_chat_round_trip(spark):
     df = turns(spark)
-    windows = chat_format.chat_windows(df.withColumn("win", F.lit(1)), budget=600)
+    windows = chat_format.chat_windows(df.withColumn("win", F.lit(1)), budget=2400)
     got = {r.conv_id: r for r in chat_format.digests(windows).collect()}
     want = {}
     for r in df.collect():
@@ -67,13 +71,26 @@ def test_chat_round_trip(spark):
 
 
 def test_chat_windows_keep_the_budget(spark):
-    rows = chat_format.chat_windows(turns(spark), budget=600).where("conv_id = 1").orderBy("first_idx").collect()
-    assert len(rows) > 5 and all(r.over_budget == (r.tokens > 600) for r in rows)
+    rows = chat_format.chat_windows(turns(spark), budget=2400).where("conv_id = 1").orderBy("first_idx").collect()
+    assert len(rows) > 5 and all(r.over_budget == (r.tokens > 2400) for r in rows)
     assert rows[0].n_system == 0 and all(r.n_system == 1 and r.formatted.startswith("### system: be brief</turn>\n") for r in rows[1:])
     assert any(r.n_history for r in rows) and all(not r.over_budget for r in rows)
     assert chat_format.chat_windows(turns(spark).limit(0)).count() == 0
 
 
+def test_chat_windows_hold_no_more_tokens_than_they_say(spark):
+    said = spark.read.parquet(f"{SF}/conversations.parquet").unionByName(turns(spark))
+    rows = chat_format.chat_windows(said, budget=1500).collect()
+    texts = [r.formatted for r in rows]
+    byte, word = (Tokenizer.from_file(queries.vocabulary(n)) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    piece = sentencepiece.SentencePieceProcessor(model_file=queries.vocabulary("piece_bpe_32k.model"))
+    for counts in ([len(e.ids) for e in byte.encode_batch(texts, add_special_tokens=False)], [len(e.ids) for e in word.encode_batch(texts, add_special_tokens=False)], [len(x) - 1 for x in piece.encode(texts)]):
+        assert all(n <= r.tokens for n, r in zip(counts, rows))
+    assert any(not r.over_budget for r in rows) and any(r.over_budget for r in rows) and all(r.over_budget == (r.tokens > 1500) for r in rows)
+    given = chat_format.chat_windows(turns(spark).withColumn("n", F.when(F.col("turn") > 0, F.lit(7))), budget=100, tokens="n").where("conv_id = 1").agg(F.max("n_own")).collect()[0][0]
+    assert 7 <= given <= 8
+
+
 def test_hard_conversation(spark):
     r = queries.op1_chat_format(spark, SF).where("conv_id = -7").collect()[0]
     text = "\\### Assistant: </turn> ok"
@@ -158,6 +175,63 @@ def test_syncmers(spark, docs, hard):
     assert syncmers.compared(none(spark)).count() == 0
 
 
+UNIT = re.compile("[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af]|[^\\s\u0e00-\u0e7f\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af]+", re.ASCII)
+
+
+def chained(*values):
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else int(v).to_bytes(8, "little", signed=True), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_marks(text):
+    own = UNIT.findall(text.lower())
+    if 0 < len(own) < 5:
+        found = [chained(" ".join(own))]
+    else:
+        inner = [chained(*own[i : i + 2]) for i in range(len(own) - 1)]
+        found = []
+        for i in range(len(own) - 4):
+            four = inner[i : i + 4]
+            if min(four) in (four[0], four[3]):
+                found.append(chained(four[0], four[2], four[3]))
+    return list(dict.fromkeys(f"{(h >> 32) & 0xFFFFFFFF:08x}" for h in found))
+
+
+def brute_likeness(a, b):
+    if not a and not b:
+        return 1.0
+    at = {h: i for i, h in enumerate(b)}
+    pairs = [(i, at[h]) for i, h in enumerate(a) if h in at]
+    away = [y - x for x, y in pairs]
+    n = len(pairs) if min(len(a), len(b)) <= 1 else sum(x in away[max(0, k - 1) : k] or x in away[k + 1 : k + 2] for k, x in enumerate(away))
+    return n / (len(a) + len(b) - n)
+
+
+def test_syncmers_against_brute_force(spark, docs):
+    texts = texts_of(docs)
+    own = sorted(texts.items(), reverse=True)
+    got = {r.doc_id: r for r in syncmers.compared(docs).collect()}
+    cut = lambda s: [s[i : i + 8] for i in range(0, len(s), 8)]
+    for k, (i, t) in enumerate(own):
+        n = own[(k + 1) % len(own)][1]
+        half = len(t) // 2
+        a, e, b = brute_marks(t), brute_marks(t[: len(t) - half] + n[:half]), brute_marks(n)
+        assert cut(got[i].fingerprint) == a and cut(got[i].edited_fingerprint) == e
+        assert abs(got[i].near_edited - brute_likeness(a, e)) < 1e-9 and abs(got[i].near_next - brute_likeness(a, b)) < 1e-9
+
+
+def test_a_passage_of_two_long_texts_is_held(spark):
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**5)}" for _ in range(n)]
+    passage = words(60)
+    a, b, c = words(9000) + passage + words(9000), words(4000) + passage + words(300), words(4000)
+    row = spark.createDataFrame([(" ".join(a), " ".join(b), " ".join(c))], "a string, b string, c string").select(*[syncmers.marks(F.col(x)).alias(x) for x in "abc"])
+    n, none, same = row.select(syncmers.held(syncmers.matched(F.col("a"), F.col("b"))), syncmers.held(syncmers.matched(F.col("a"), F.col("c"))), syncmers.likeness(F.col("b"), F.col("b"))).collect()[0]
+    assert n > 15 and none < 3 and same == 1
+
+
 def test_anchors_are_context_free(spark):
     words = [f"w{random.Random(3).randrange(10**6)}{i}" for i in range(80)]
     a, b = " ".join(words), "other start here " + " ".join(words[5:]) + " end"
@@ -273,9 +347,39 @@ def brute_repeats(words):
     return len({j for i in range(len(words) - 4) if grams[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)})
 
 
+def check_fertility(rows, paths):
+    piece = sentencepiece.SentencePieceProcessor(model_file=paths[0])
+    with open(paths[1], "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    multi = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fallback = ({piece.piece_to_id(f"<0x{b:02X}>") for b in range(256)}, {ranks[bytes([b])] for b in range(128, 256)})
+    line = piece.piece_to_id("<0x0A>")
+    for r in rows:
+        good = not r.base_failed
+        for k, ids in enumerate(([i for i in piece.encode(r.text) if i != line], multi.encode_ordinary(r.text))):
+            n = len(ids)
+            chars, share = (len(r.text) / n, sum(i in fallback[k] for i in ids) / n) if n else (0, 0)
+            entropy = -sum(c / n * math.log2(c / n) for c in Counter(ids).values()) / math.log2(min(max(n, 2), 1024)) if n else 0
+            s = f"_{k + 1}" if k else ""
+            got = r["n_tokens" + s], r["chars_per_token" + s], r["byte_share" + s], r["token_entropy" + s]
+            assert got[0] == n and all(abs(x - y) < 2e-6 for x, y in zip(got[1:], (chars, share, entropy)))
+            band = quality_rules.BANDS[queries.VOCABULARIES[k]][r.lang]
+            wide = 0.5 / math.sqrt(max(1, n))
+            good = good and band.least_chars * (1 - wide) <= chars <= band.most_chars * (1 + wide) and share <= band.most_bytes + wide and entropy >= band.least_entropy * (1 - wide)
+        assert r.kept == good
+
+
+def test_bands_reject_bad_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    rows = [r for r in quality_rules.measured(docs, [queries.vocabulary(v) for v in queries.VOCABULARIES]).collect() if not r.base_failed]
+    bad, good = [r.kept for r in rows if not r.quality], [r.kept for r in rows if r.quality]
+    assert np.mean(bad) < 0.3 and np.mean(good) > 0.98
+
+
 def test_quality_rules(spark, docs, hard):
-    path = queries.vocabulary("piece_bpe_32k.model")
-    rows = quality_rules.measured(docs, path).collect()
+    paths = [queries.vocabulary(v) for v in queries.VOCABULARIES]
+    rows = quality_rules.measured(docs, paths).collect()
+    check_fertility(rows, paths)
     for r in rows:
         words = re.findall("[^\x20\x09-\x0d]+", r.text)
         seen, dup = set(), 0
@@ -286,8 +390,7 @@ def test_quality_rules(spark, docs, hard):
         n = brute_repeats(words)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", r.text)), dup, n)
         assert r.base_failed == (len(words) < 10 or 100 * n > 20 * len(words)) and not (r.base_failed and r.kept)
-    assert sum(r.kept for r in rows) > 0.95 * sum(not r.base_failed for r in rows)
-    assert quality_rules.measured(hard, path).count() == len(HARD) and quality_rules.measured(none(spark).drop("lang"), path).count() == 0
+    assert quality_rules.measured(hard, paths).count() == len(HARD) and quality_rules.measured(none(spark).drop("lang"), paths).count() == 0
     rng = random.Random(1)
     for _ in range(200):
         w = [str(rng.randrange(3)) for _ in range(rng.randrange(30))]
@@ -318,6 +421,36 @@ def test_pii(spark, hard):
     assert pii.pseudonymised(hard, "k").count() == len(HARD) and pii.pseudonymised(none(spark), "k").count() == 0
 
 
+def test_pii_of_each_pair_of_kinds(spark):
+    known = {"email": "a.b@mail.de", "secret": "token=04dbebab91ab85687d33eeaaf9ac699e", "date": "2020-02-29", "day": "31.12.1999", "ip": "190.137.223.204", "phone": "+1 212-555-7713", "local": "(212) 555-7713", "ssn": "123-45-6789", "card": "4111 1111 1111 1111", "digits": "4111111111111111"}
+    rows = [(a + sep + b, a, b) for a in known.values() for b in known.values() for sep in (" ", ", ", "\n", " and ")]
+    rows += [(t, "4111 1111 1111 1111", "4111 1111 1111 1111") for t in ("+1 4111 1111 1111 1111", "+49 4111 1111 1111 1111", "1234 4111 1111 1111 1111", "+1 2 12 4111 1111 1111 1111")]
+    rows += [("+123 1234 1111 2020 2020-02-29", "2020-02-29", "2020-02-29")]
+    got = pii.pseudonymised(spark.createDataFrame(rows, "text string, a string, b string"), "k").collect()
+    assert not [r for r in got if r.a in r.text or r.b in r.text or r.n_pii < 1]
+
+
+def test_feistel_against_brute_force(spark):
+    import hmac
+
+    def permuted(digits, key, tag):
+        left = len(digits) // 2
+        sizes = 10**left, 10 ** (len(digits) - left)
+        half = [int(digits[:left]), int(digits[left:])]
+        for i in range(pii.ROUNDS):
+            said = "|".join([tag, str(i), str(sizes[0]), str(sizes[1]), str(half[1 - i % 2])])
+            half[i % 2] = (half[i % 2] + int(hmac.new(key.encode(), said.encode(), "sha256").hexdigest()[:14], 16)) % sizes[i % 2]
+        return f"{half[0]:0{left}d}{half[1]:0{len(digits) - left}d}"
+
+    given = ["00", "123", "4111111", "411111111111111", "9" * 18]
+    for key in ("k", "long " * 30):
+        got = spark.createDataFrame([(d,) for d in given], "d string").select("d", pii.permuted_digits(F.col("d"), key, "card").alias("x")).collect()
+        assert [r.x for r in got] == [permuted(r.d, key, "card") for r in got]
+    digits = permuted("411111111111111", "k", "card")
+    card = next(digits + c for c in "0123456789" if luhn(digits + c))
+    assert pii.pseudonymised(spark.createDataFrame([("4111111111111111",)], "text string"), "k").collect()[0].text == card
+
+
 def test_permutations_are_one_to_one(spark):
     ids = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     assert ids.select(pii.permuted_digits(F.col("d"), "k", "t").alias("x")).where("length(x) = 4").distinct().count() == 10_000
@@ -444,3 +577,45 @@ def test_pipeline_keeps_one_of_each_group_whatever_the_ids(spark):
     assert c.near_duplicate_stage(spark, none(spark), SF).count() == 0
     twice = spark.createDataFrame([(1, "b b b b"), (1, "b b b b"), (2, "q w e r t")], "doc_id long, text string")
     assert sorted(r.doc_id for r in c.near_duplicate_stage(spark, twice, SF).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("tile, first", [(16384, 8), (32, 1)])
+def test_near_groups_against_brute_force(spark, tile, first):
+    rng = random.Random(4)
+    base = [f"g{i}" for i in range(120)]
+    texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(1, 90))) for _ in range(120)]
+    for k in range(90):
+        own = [*base]
+        for at in rng.sample(range(120), 1 + k % 4):
+            own[at] = f"n{k}"
+        texts.append(" ".join(own))
+    texts += [t.upper() for t in texts[:20]] + ["", " \n", "one", "one two", "ONE two"]
+    prints = [simhash.fingerprint(t.encode().lower().split(), 5, 42) for t in texts]
+    sets = [jaccard_sets(t) for t in texts]
+    nodes = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").orderBy("i").select(near.node(F.col("t"))).collect()]
+    root = {n: n for n in nodes}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i in range(len(texts)):
+        for j in range(i):
+            if nodes[i] and nodes[j] and (prints[i] ^ prints[j]).bit_count() <= 12 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                p, q = sorted((find(nodes[i]), find(nodes[j])))
+                root[q] = p
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = {r.node: r.component for r in near.groups(df, tile=tile, first=first).collect()}
+    assert {n: got.get(n, n) for n in nodes} == {n: find(n) for n in nodes}
+    assert len({got[n] for n in nodes[120:210] if n in got}) >= 1 and len(got) > 60
+
+
+def test_stages_leave_foreign_columns_alone(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("n_chars < 3000")
+    odd = docs.select("*", F.lit("mine").alias("n_words"), F.lit(7).alias("Kept"), F.lit(1.5).alias("a.b"), F.create_map(F.lit("k"), F.col("doc_id")).alias("m"), F.lit("s").alias("score"), F.lit("p").alias("N_PII"), F.lit("c").alias("component"))
+    odd = odd.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, None).otherwise(F.col("doc_id")))
+    for _, stage in c.STAGES[:-1]:
+        out = stage(spark, odd, SF)
+        assert out.columns == odd.columns and [f.dataType for f in out.schema] == [f.dataType for f in odd.schema]
+        rows = out.collect()
+        assert rows and all((r["n_words"], r["Kept"], r["a.b"], r["score"], r["N_PII"], r["component"]) == ("mine", 7, 1.5, "s", "p", "c") and len(r["m"]) == 1 for r in rows)
+        assert any(r.doc_id is None for r in rows)
+    assert packing.packed(odd, queries.vocabulary("byte_bpe_50k.json")).where("doc_id is null").limit(1).count() == 1
