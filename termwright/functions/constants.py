@@ -196,3 +196,22 @@ CHAPTER_FALLBACK = {
 
 # Bases of a match that are strong.
 STRONG_BASES = ("exact", "normalized", "alias_bridge", "special_rule", "chapter_rule")
+
+# The headers of a table, each with the words it goes by, and those a table must have.
+TABLE_HEADERS = {
+    "项目编码": ("项目编码", "编码"),
+    "项目名称": ("项目名称", "名称"),
+    "项目特征": ("项目特征", "特征"),
+    "计量单位": ("计量单位", "单位"),
+    "工程量计算规则": ("工程量计算规则", "工程量计算代码", "工程量计算规则及说明"),
+    "工作内容": ("工作内容",),
+}
+REQUIRED_HEADERS = ("项目编码", "项目名称", "项目特征")
+
+# Units of measurement as a line of their own, and words by which a line is one of features.
+LINE_UNITS = ("m", "m2", "m3", "m²", "m³", "㎡", "m2/m3", "km", "kg", "t", "樘", "个", "项", "座", "套", "根", "孔", "处", "块", "延长米", "10m2", "100m2", "1000m2", "10m3", "100m3", "n?", "0?")
+FEATURE_LINE_WORDS = ("类别", "材质", "厚度", "深度", "方式", "品种", "规格", "做法", "名称", "尺寸", "部位", "面层", "运距", "强度", "断面", "高度", "宽度", "长度", "半径", "坡度", "掺量", "密实度", "土类别", "岩石类别")
+RULE_STARTS = ("按", "以", "并按")
+
+# Features that stand at the end of a name.
+TRAILING_FEATURES = ("开挖深度", "冻土厚度", "土类别", "岩石类别", "填方部位", "材料品种", "密实度")

@@ -9,8 +9,6 @@ from termwright.functions import constants as C
 from termwright.functions import text as X
 from termwright.operators.catalog import ordered
 
-#: Levels of an outline.
-LEVELS = (1, 2, 3)
 
 
 def _running(group: list[str], order: str = "pos"):
@@ -21,50 +19,103 @@ def _following(group: list[str], order: str = "pos"):
     return Window.partitionBy(*group).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
 
 
+def compact(line: Column) -> Column:
+    return F.regexp_replace(F.coalesce(line, F.lit("")), r"(?U)\s+", "")
+
+
+def is_unit(line: Column) -> Column:
+    return F.lower(compact(line)).isin(*C.LINE_UNITS)
+
+
+def is_rule(line: Column) -> Column:
+    return compact(line).rlike(f"^(?:{'|'.join(C.RULE_STARTS)})")
+
+
+def is_work(line: Column) -> Column:
+    """A work item: a number with a mark."""
+    return F.trim(line).rlike(r"^\d+\s*[.．、]")
+
+
+def is_code(line: Column) -> Column:
+    return F.trim(line).rlike(r"^[0-9OoIl]{9,12}(?:\D|$)")
+
+
+def is_feature(line: Column) -> Column:
+    return compact(line).rlike("|".join(C.FEATURE_LINE_WORDS)) & ~is_rule(line) & ~is_unit(line) & ~is_work(line)
+
+
+def header_of(line: Column) -> Column:
+    """The table header that a line is: one of its words, or little more than one."""
+    c, out = compact(line), F.lit(None).cast("string")
+    for name, words in reversed(C.TABLE_HEADERS.items()):
+        for w in reversed(words):
+            out = F.when((c == w) | (c.contains(w) & (F.length(c) <= len(w) + 2)), name).otherwise(out)
+    return out
+
+
 def classify_lines(lines: DataFrame) -> DataFrame:
-    """``tag`` of each line: code, unit, page mark, table title, continuation, heading, rule, feature, or text."""
-    t = F.trim("line")
+    """``tag`` of each line: header, continuation, table title, page mark, code, unit, heading, rule, work, feature, or text."""
+    t, c = F.trim("line"), compact(F.col("line"))
     tag = (
-        F.when(t.rlike(r"^[0-9OoIl]{9,12}(\D|$)"), "code")
-        .when(t.rlike(r"^(m|m2|m3|㎡|t|kg|个|根|套|座|樘|件|块)$"), "unit")
-        .when(t.rlike(r"^[-·]?\s*\d{1,4}\s*[-·]?$"), "page")
-        .when(t.rlike("^续表"), "continuation")
-        .when(t.rlike(r"^表\s*[A-Z]\.\d"), "table title")
-        .when(t.rlike(r"^(附录\s*[A-Z]|[A-Z]\.\d+(\.\d+)*\s|#{1,6}\s)"), "heading")
-        .when(t.rlike("按.*计算|以.*计"), "rule")
-        .when(t.rlike(r"^\d+\s*[.、]"), "feature")
+        F.when(header_of(F.col("line")).isNotNull(), "header")
+        .when(c.startswith("续表"), "continuation")
+        .when(c.startswith("表") & ~c.rlike("执行。?$"), "table title")
+        .when(c.rlike(r"^[•·-]?\d{1,3}[•·-]?$"), "page")
+        .when(is_code(t), "code")
+        .when(is_unit(t), "unit")
+        .when(t.rlike(r"^(?:附录\s*[A-Z]|[A-Z]\.\s*\d+(?:\.\d+)*|\d+\.\d+(?:\.\d+)*|\d+\s+[一-鿿]|#{1,6}\s)"), "heading")
+        .when(is_rule(t), "rule")
+        .when(is_work(t), "work")
+        .when(is_feature(t), "feature")
         .otherwise("text")
     )
     return lines.withColumn("tag", tag)
 
 
+def levels_of(outline: DataFrame) -> list[int]:
+    """The levels that an outline has: as many as its headings are deep, whatever its size."""
+    return sorted(r["level"] for r in outline.select("level").where("level is not null").distinct().collect())
+
+
+def _open_entries(levels: list[int], value: Column, window) -> tuple[list[Column], Column]:
+    """For each level the last entry so far (struct ``pos``, ``value``), and the array of those that no shallower or equal one has closed since, outermost first."""
+    latest = [F.last(F.when(F.col("level") == n, F.struct("pos", value.alias("value"))), ignorenulls=True).over(window).alias(f"l{n}") for n in levels]
+
+    def valid(n: int) -> Column:
+        before = [F.coalesce(F.col(f"l{m}.pos"), F.lit(-1)) for m in levels if m < n]
+        shallower = F.greatest(F.lit(-1), F.lit(-1), *before)
+        return F.when(F.col(f"l{n}.pos") > shallower, F.col(f"l{n}.value"))
+
+    return latest, F.array_compact(F.array(*[valid(n) for n in levels]))
+
+
 def outline_paths(outline: DataFrame) -> DataFrame:
-    """Each entry (``doc``, ``pos``, ``level``, ``title``) with its ancestors' titles as ``path`` and its ``parent``.
+    """Each entry (``doc``, ``pos``, ``level``, ``title``) with its ancestors' titles as ``path`` and its ``parent``, whatever the depth.
 
     The last entry of each level counts as long as no shallower one has come since.
     """
-    w = _running(["doc"])
-    latest = [F.last(F.when(F.col("level") == n, F.struct("pos", "title")), ignorenulls=True).over(w).alias(f"l{n}") for n in LEVELS]
-    rows = outline.select("*", *latest)
-    shallower = lambda n: F.greatest(*[F.coalesce(F.col(f"l{m}.pos"), F.lit(-1)) for m in LEVELS if m < n], F.lit(-1), F.lit(-1))
-    valid = [F.when((F.col("level") >= n) & (F.col(f"l{n}.pos") > shallower(n)), F.col(f"l{n}.title")) for n in LEVELS]
-    path = F.array_compact(F.array(*valid))
-    return rows.select("doc", "pos", "level", "title", F.array_join(path, " > ").alias("path"), F.get(path, F.size(path) - 2).alias("parent"))
+    latest, path = _open_entries(levels_of(outline), F.col("title"), _running(["doc"]))
+    rows = outline.select("*", *latest).withColumn("__path", path)
+    return rows.select("doc", "pos", "level", "title", F.array_join("__path", " > ").alias("path"), F.get("__path", F.size("__path") - 2).alias("parent"))
 
 
 def region_bounds(outline: DataFrame) -> DataFrame:
     """``end`` of each entry: the place of the next one that is not deeper; null for the last."""
-    w = _following(["doc"])
-    end = None
-    for n in LEVELS:
-        nearest = F.min(F.when(F.col("level") <= n, F.col("pos"))).over(w)
-        end = F.when(F.col("level") == n, nearest) if end is None else end.when(F.col("level") == n, nearest)
+    w, end = _following(["doc"]), F.lit(None).cast("long")
+    for n in levels_of(outline):
+        end = F.when(F.col("level") == n, F.min(F.when(F.col("level") <= n, F.col("pos"))).over(w)).otherwise(end)
     return outline.withColumn("end", end)
 
 
-def region_text(bounds: DataFrame, lines: DataFrame) -> DataFrame:
-    """The lines from an entry up to its end, as one text; lines are dealt to entries by the running number of entries, then joined over their spans."""
-    own = lines.join(bounds.select("doc", F.col("pos").alias("start"), "end"), "doc").where((F.col("pos") >= F.col("start")) & (F.col("end").isNull() | (F.col("pos") < F.col("end"))))
+def region_text(outline: DataFrame, lines: DataFrame) -> DataFrame:
+    """(``doc``, ``start``, ``text``, ``n_lines``): the lines from an entry up to the next that is not deeper, as one text.
+
+    Each line goes to the entries that are open where it stands: as many rows as an outline is deep, not as it is long.
+    """
+    both = outline.select("doc", "pos", "level", F.lit(None).cast("string").alias("line"), F.lit(0).alias("kind")).unionByName(lines.select("doc", "pos", F.lit(None).cast("int").alias("level"), "line", F.lit(1).alias("kind")))
+    w = Window.partitionBy("doc").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    latest, starts = _open_entries(levels_of(outline), F.col("pos"), w)
+    own = both.select("*", *latest).where("kind = 1").select("doc", "pos", "line", F.explode(starts).alias("start"))
     return own.groupBy("doc", "start").agg(F.array_join(ordered(F.col("line"), F.col("pos")), "\n").alias("text"), F.count("*").alias("n_lines"))
 
 
@@ -73,12 +124,45 @@ def body_pages(outline: DataFrame) -> DataFrame:
     return outline.groupBy("doc").agg(F.min(F.when(F.col("kind") == "body", F.col("pos"))).alias("body"), F.min(F.when(F.col("kind") == "back", F.col("pos"))).alias("back"))
 
 
+def header_runs(lines: DataFrame, within: int = 8, least: int = 4) -> DataFrame:
+    """``lines`` (``doc``, ``pos``, ``line``, not blank) with ``header`` and ``starts``: at the first line of a run of headers that has the required ones and ``least`` in all."""
+    w = Window.partitionBy("doc").orderBy("pos")
+    rows = lines.where(F.trim("line") != "").withColumn("header", header_of(F.col("line")))
+    rows = rows.withColumn("broken", F.sum(F.col("header").isNull().cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # What follows up to the first line that is no header: the lines with as many breaks before them.
+    ahead = F.collect_list(F.struct("broken", "header")).over(w.rowsBetween(0, within - 1))
+    run = F.array_distinct(F.transform(F.filter(ahead, lambda x: x["broken"] == F.col("broken")), lambda x: x["header"]))
+    first = F.col("header").isNotNull() & F.lag("header").over(w).isNull()
+    good = first & (F.size(F.array_compact(run)) >= least) & F.forall(F.array(*map(F.lit, C.REQUIRED_HEADERS)), lambda h: F.array_contains(run, h))
+    return rows.withColumn("starts", F.coalesce(good, F.lit(False))).drop("broken")
+
+
 def table_segments(lines: DataFrame) -> DataFrame:
-    """Lines of a table: from a line that starts one (``is_start``) up to the next that ends it (``is_end``); ``table_no`` counts from 1."""
-    w = _running(["doc"])
-    numbered = lines.withColumn("table_no", F.sum(F.col("is_start").cast("int")).over(w))
-    inside = Window.partitionBy("doc", "table_no").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return numbered.where("table_no > 0").withColumn("closed", F.max((F.col("is_end") & ~F.col("is_start")).cast("int")).over(inside)).where("closed = 0").drop("closed")
+    """The lines of tables (``doc``, ``pos``, ``line``, ``tag``) with ``table_no`` from 1: from a run of headers up to the first heading after a code line.
+
+    Headers inside a table belong to it. Only the few lines that can begin or end one are folded for a document.
+    """
+    rows = header_runs(lines)
+    mark = F.when(F.col("starts"), "start").when(F.col("tag") == "code", "code").when(F.col("tag") == "heading", "heading")
+    events = rows.select("doc", "pos", mark.alias("mark")).where("mark is not null").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "mark"))).alias("events"))
+    span = "array<struct<start:bigint,end:bigint>>"
+    state = F.struct(F.lit(None).cast("long").alias("start"), F.lit(False).alias("seen"), F.array().cast(span).alias("done"))
+
+    def add(s: Column, e: Column) -> Column:
+        pos, what = e["pos"].cast("long"), e["mark"]
+        make = lambda start, seen, done: F.struct(start.cast("long").alias("start"), seen.alias("seen"), done.alias("done"))
+        closed = F.concat(s["done"], F.array(F.struct(s["start"].alias("start"), pos.alias("end"))))
+        return (
+            F.when(s["start"].isNull() & (what == "start"), make(pos, F.lit(False), s["done"]))
+            .when(s["start"].isNotNull() & (what == "code"), make(s["start"], F.lit(True), s["done"]))
+            .when(s["start"].isNotNull() & s["seen"] & (what == "heading"), make(F.lit(None), F.lit(False), closed))
+            .otherwise(s)
+        )
+
+    whole = lambda s: F.when(s["start"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(F.struct(s["start"].alias("start"), F.lit(None).cast("long").alias("end")))))
+    spans = events.select("doc", F.posexplode(F.aggregate("events", state, add, whole)).alias("table_no", "span")).select("doc", (F.col("table_no") + 1).alias("table_no"), "span.*")
+    inside = (F.col("pos") >= F.col("start")) & (F.col("end").isNull() | (F.col("pos") < F.col("end")))
+    return rows.drop("starts").join(spans, "doc").where(inside).drop("start", "end")
 
 
 def code_sessions(lines: DataFrame) -> DataFrame:
@@ -88,18 +172,35 @@ def code_sessions(lines: DataFrame) -> DataFrame:
 
 
 def row_fields(sessions: DataFrame) -> DataFrame:
-    """A row for each session: code line, name (the text before the first unit), unit, features and rules, in order."""
-    g = ["doc", "table_no", "session"]
-    first = Window.partitionBy(*g)
-    unit = F.min(F.when(F.col("tag") == "unit", F.col("pos"))).over(first)
-    rows = sessions.withColumn("unit_pos", unit)
-    of = lambda test: F.array_join(ordered(F.when(test, F.trim("line")), F.col("pos")), "\n")
-    return rows.groupBy(*g).agg(
-        F.min_by("line", F.when(F.col("tag") == "code", F.col("pos"))).alias("code"),
-        F.replace(of((F.col("tag") == "text") & (F.col("unit_pos").isNull() | (F.col("pos") < F.col("unit_pos")))), F.lit("\n"), F.lit("")).alias("name"),
-        F.min_by("line", F.when(F.col("tag") == "unit", F.col("pos"))).alias("unit"),
-        of(F.col("tag") == "feature").alias("features"),
-        of(F.col("tag") == "rule").alias("rule"),
+    """A row for each session (``doc``, ``table_no``, ``session``): code, name, unit, features, rule and work.
+
+    The name is what follows the code, or the first line; a short second line without a mark of its own belongs to it. The first
+    line that is a unit is the unit. Of the rest, features come before the first rule, work begins at the first work item.
+    """
+    lines = sessions.groupBy("doc", "table_no", "session").agg(ordered(F.trim("line"), F.col("pos")).alias("lines"))
+    form = r"^\s*([0-9OoIl]{9,12})\s*(.*)$"
+    head = F.get("lines", F.lit(0))
+    rest = F.filter(F.concat(F.array(F.regexp_extract(head, form, 2)), F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))), lambda x: x != "")
+    inline = r"^(.*?)\s+(\d+\s*[.．、].+)$"
+    first = F.get("rest", F.lit(0))
+    parted = F.concat(F.array(F.trim(F.regexp_extract(first, inline, 1)), F.trim(F.regexp_extract(first, inline, 2))), F.slice("rest", 2, F.greatest(F.size("rest") - 1, F.lit(0))))
+    own = lines.withColumn("code", X.repair_code(F.regexp_extract(head, form, 1))).withColumn("rest", rest).withColumn("rest", F.when(first.rlike(inline), parted).otherwise(F.col("rest")))
+    second = F.get("rest", F.lit(1))
+    joins = second.isNotNull() & ~is_feature(second) & ~is_rule(second) & ~is_unit(second) & ~is_work(second) & (F.length(compact(first)) <= 6) & (F.length(compact(second)) <= 8)
+    n = F.when(F.size("rest") == 0, 0).when(F.coalesce(joins, F.lit(False)), 2).otherwise(1)
+    own = own.withColumn("n", n).withColumn("name", F.array_join(F.slice("rest", 1, F.col("n")), "\n"))
+    own = own.withColumn("rest", F.slice("rest", F.col("n") + 1, F.greatest(F.size("rest") - F.col("n"), F.lit(0))))
+    place = lambda rows, test: F.array_position(F.transform(rows, test), True)
+    own = own.withColumn("u", place(F.col("rest"), is_unit)).withColumn("unit", F.when(F.col("u") > 0, compact(F.get("rest", (F.col("u") - 1).cast("int")))))
+    own = own.withColumn("rest", F.filter("rest", lambda x, i: i + 1 != F.col("u")))
+    own = own.withColumn("w", place(F.col("rest"), is_work)).withColumn("before", F.when(F.col("w") > 0, F.slice("rest", 1, F.greatest(F.col("w").cast("int") - 1, F.lit(0)))).otherwise(F.col("rest")))
+    own = own.withColumn("r", place(F.col("before"), is_rule))
+    part = lambda test: F.array_join(F.filter("before", test), "\n")
+    return own.select(
+        "doc", "table_no", "session", "code", "name", "unit",
+        part(lambda x, i: (F.col("r") == 0) | (i + 1 < F.col("r"))).alias("features"),
+        part(lambda x, i: (F.col("r") > 0) & (i + 1 >= F.col("r"))).alias("rule"),
+        F.array_join(F.filter("rest", lambda x, i: (F.col("w") > 0) & (i + 1 >= F.col("w"))), "\n").alias("work"),
     )
 
 
@@ -127,19 +228,40 @@ def assign_columns(words: DataFrame, centres: DataFrame) -> DataFrame:
     return words.join(bounds, "doc").where((F.col("low").isNull() | (F.col("x") >= F.col("low"))) & (F.col("high").isNull() | (F.col("x") < F.col("high")))).drop("low", "high")
 
 
+#: Columns of a table, in order; lines that a code is looked for ahead.
+CELLS = ("code", "name", "features", "unit", "rule", "work")
+AHEAD = 6
+
+
 def rows_from_cells(cells: DataFrame) -> DataFrame:
-    """Lines of cells (``doc``, ``table_no``, ``pos``, ``code``, ``name``, ``rest``) as rows: a line without code belongs to the row before; the names before the first code lead its name.
+    """Lines of cells (``doc``, ``table_no``, ``pos``, ``continuation`` and the six ``CELLS``) as rows, their parts in order of the lines.
 
-    A table without any code has no rows.
+    A line without a code belongs to the row before, unless it begins the next one: a work sequence that starts anew at 1 with
+    a name, feature or unit in it or between it and a code at most six lines ahead (and all after it up to that code), or a
+    line of name, feature or unit right before a code. What a continuation table has before its first code belongs to that row. Other lines
+    before the first code, and tables without any, give nothing.
     """
-    code = F.nullif(F.trim("code"), F.lit(""))
-    lines = cells.withColumn("session", F.sum(F.when(code.isNotNull(), 1).otherwise(0)).over(_running(["doc", "table_no"])))
-    rows = lines.groupBy("doc", "table_no", F.greatest("session", F.lit(1)).alias("session")).agg(
-        F.min_by(code, F.when(code.isNotNull(), F.col("pos"))).alias("code"),
-        F.array_join(ordered(F.coalesce("name", F.lit("")), F.col("pos")), "").alias("name"),
-        F.array_join(ordered(F.when((F.col("session") > 0) & (F.col("rest") != ""), F.col("rest")), F.col("pos")), "\n").alias("rest"),
-    )
-    return rows.where("code is not null").select("doc", "table_no", "code", "name", "rest")
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    form = r"^([0-9OoIl]{9,12})\s*(.*)$"
+    rows = cells.select("doc", "table_no", "pos", F.coalesce("continuation", F.lit(False)).alias("continuation"), *[blank(c).alias(c) for c in CELLS])
+    code = F.when(F.col("code").rlike(form), X.repair_code(F.regexp_extract("code", form, 1)))
+    rows = rows.withColumn("inline", F.when(code.isNotNull(), F.regexp_extract("code", form, 2))).withColumn("code", code)
+    w = Window.partitionBy("doc", "table_no").orderBy("pos")
+    rows = rows.withColumn("at", F.row_number().over(w)).withColumn("is_code", F.col("code").isNotNull())
+    named = (F.col("name") != "") | (F.col("features") != "") | (F.col("unit") != "")
+    near = w.rowsBetween(1, AHEAD)
+    rows = rows.withColumn("named", named).withColumn("code_at", F.min(F.when(F.col("is_code"), F.col("at"))).over(near)).withColumn("named_at", F.min(F.when(F.col("named") & ~F.col("is_code"), F.col("at"))).over(near))
+    one = lambda c: F.regexp_extract(F.array_join(F.slice(F.filter(F.split(F.col(c), "\n"), lambda x: F.trim(x).rlike(r"^\d+\s*[.．、]")), 1, 1), ""), r"^\s*(\d+)", 1) == "1"
+    anew = ~F.col("is_code") & F.col("code_at").isNotNull() & (one("work") | one("rule")) & (F.col("named") | (F.coalesce("named_at", F.lit(2**31)) < F.col("code_at")))
+    right_before = ~F.col("is_code") & F.coalesce(F.col("code_at") == F.col("at") + 1, F.lit(False)) & F.col("named") & (F.col("rule") == "") & (F.col("work") == "")
+    rows = rows.withColumn("anew", anew).withColumn("session", F.sum(F.col("is_code").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    own = Window.partitionBy("doc", "table_no", "session").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = (F.max(F.col("anew").cast("int")).over(own) == 1) | right_before | (F.col("continuation") & (F.col("session") == 0))
+    rows = rows.withColumn("row", F.when(F.col("is_code"), F.col("session")).when(ahead, F.col("session") + 1).otherwise(F.col("session"))).where("row > 0")
+    joined = lambda c: F.array_join(ordered(F.when(F.col(c) != "", F.col(c)), F.col("pos")), "\n").alias(c)
+    out = rows.groupBy("doc", "table_no", "row").agg(F.max("code").alias("code"), F.max("inline").alias("inline"), *[joined(c) for c in CELLS[1:]])
+    name = F.array_join(F.filter(F.array("inline", "name"), lambda x: x.isNotNull() & (x != "")), "\n")
+    return out.where("code is not null").select("doc", "table_no", F.col("row").alias("row_no"), "code", name.alias("name"), *CELLS[2:])
 
 
 def merge_continuations(tables: DataFrame) -> DataFrame:
@@ -152,19 +274,19 @@ def merge_continuations(tables: DataFrame) -> DataFrame:
 
 
 def fill_shared(rows: DataFrame) -> DataFrame:
-    """Blank rules take the next one's, else the last one's; blank work texts take the last one's."""
+    """Blank rules take the next one that there is, else the last one; blank work texts take the last one."""
     w = Window.partitionBy("doc", "table_no").orderBy("pos")
-    rule, work = F.nullif(F.trim("rule"), F.lit("")), F.nullif(F.trim("work"), F.lit(""))
-    nxt = F.first(rule, ignorenulls=True).over(w.rowsBetween(0, 1))
-    last = F.last(rule, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("rule", F.coalesce(nxt, last)).withColumn("work", F.last(work, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    filled = lambda c: F.when(F.trim(F.coalesce(F.col(c), F.lit(""))) != "", F.col(c))
+    nxt = F.first(filled("rule"), ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    last = lambda c: F.last(filled(c), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumns({"rule": F.coalesce(nxt, last("rule")), "work": last("work")})
 
 
 def shift_split_work(rows: DataFrame) -> DataFrame:
     """A row whose work is the single item 1, before one whose work begins later, gives its text to that row."""
     w = Window.partitionBy("doc", "table_no").orderBy("pos")
     number = lambda c: F.regexp_extract(c, r"^\s*(\d+)", 1).try_cast("int")
-    items = F.size(F.filter(F.split("work", "\n"), lambda x: F.trim(x) != ""))
+    items = F.size(F.filter(F.split("work", "\n"), lambda x: F.trim(x).rlike(r"^\d+\s*[.．、]")))
     rows = rows.withColumn("n", number(F.col("work"))).withColumn("items", items)
     gives = (F.col("n") == 1) & (F.col("items") == 1) & (F.lead("n").over(w) > 1)
     rows = rows.withColumn("gives", F.coalesce(gives, F.lit(False)))
@@ -172,27 +294,34 @@ def shift_split_work(rows: DataFrame) -> DataFrame:
     return rows.withColumn("work", F.when(F.col("gives"), "").when(taken.isNotNull(), F.concat_ws("\n", taken, "work")).otherwise(F.col("work"))).drop("n", "items", "gives")
 
 
+def unit_of_text(text: Column) -> Column:
+    """What a rule measures: volume, area or length; null if it says none of them."""
+    c = compact(text)
+    return F.when(c.rlike("体积计算|立方米"), "m3").when(c.rlike("面积计算|建筑面积|投影面积"), "m2").when(c.rlike("延长米|长度计算|中心线长度"), "m")
+
+
 def infer_units(rows: DataFrame) -> DataFrame:
-    """The unit of a row: its own if it is whole, else what the rule measures."""
-    own = X.normalize_unit(F.col("unit"))
-    damaged = own.isin("", "n?", "0?") | own.rlike(r"^m.*\?$")
-    by_rule = F.when(F.col("rule").contains("体积"), "m3").when(F.col("rule").contains("面积"), "m2").when(F.col("rule").contains("长度"), "m")
-    return rows.withColumn("unit", F.when(~damaged, own).otherwise(F.coalesce(by_rule, own)))
+    """The ``unit`` of a row: its own if it is whole, else what the ``rule`` measures, else what the text of its table (``table_text``) does."""
+    own = compact(F.col("unit"))
+    fallback = F.coalesce(unit_of_text(F.col("rule")), unit_of_text(F.col("table_text")))
+    return rows.withColumn("unit", F.when(own == "", F.coalesce(fallback, F.lit(""))).when(own.isin("n?", "0?", "m*"), F.coalesce(fallback, own)).otherwise(F.col("unit")))
 
 
 def split_trailing_feature(rows: DataFrame) -> DataFrame:
     """A name that ends in a feature word, where there are no features, gives that word to these."""
-    words = ("厚度", "材质", "规格", "类型", "部位", "强度等级", "品种")
     blank = F.trim(F.coalesce("features", F.lit(""))) == ""
-    hit = F.regexp_extract(F.col("name"), f"^.+?({'|'.join(words)})$", 1)
+    hit = F.regexp_extract(F.col("name"), f"^(?s:.*\\S.*?)({'|'.join(C.TRAILING_FEATURES)})$", 1)
     split = blank & (hit != "")
-    features = F.when(split, F.concat(F.lit("1."), hit)).otherwise(F.col("features"))
-    name = F.when(split, F.substring(F.col("name"), F.lit(1), F.length("name") - F.length(hit))).otherwise(F.col("name"))
-    return rows.withColumns({"features": features, "name": name})
+    name = F.when(split, F.trim(F.substring(F.col("name"), F.lit(1), F.length("name") - F.length(hit)))).otherwise(F.col("name"))
+    return rows.withColumns({"features": F.when(split, hit).otherwise(F.col("features")), "name": name})
 
 
-def extraction_summary(outline: DataFrame) -> DataFrame:
-    return outline.groupBy("doc").agg(F.count("*").alias("entries"), F.max("level").alias("max_level"), *[F.count_if(F.col("level") == n).alias(f"level_{n}") for n in LEVELS])
+def extraction_summary(outline: DataFrame, tables: DataFrame, rows: DataFrame) -> DataFrame:
+    """For each ``doc`` its entries, their greatest level and those of each ``kind``, its tables (``doc``, ``table_no``) and rows (``doc``)."""
+    own = outline.groupBy("doc").agg(F.count("*").alias("entries"), F.max("level").alias("max_level"), *[F.count_if(F.col("kind") == k).alias(k) for k in ("front", "body", "back")])
+    n_tables = tables.select("doc", "table_no").distinct().groupBy("doc").agg(F.count("*").alias("tables"))
+    n_rows = rows.groupBy("doc").agg(F.count("*").alias("rows"))
+    return own.join(n_tables, "doc", "left").join(n_rows, "doc", "left").na.fill(0, ["tables", "rows"])
 
 
 def repair_rows(rows: DataFrame) -> DataFrame:
@@ -239,9 +368,42 @@ def extract_rules(paragraphs: DataFrame) -> DataFrame:
     return paragraphs.select("doc", "pos", F.array_join(types, "|").alias("types"), F.array_join(F.array_distinct(F.regexp_extract_all("paragraph", F.lit('"([^"]+)"'), F.lit(1))), "|").alias("terms"), F.array_join(calculation_codes(p), "|").alias("codes"))
 
 
+#: What a hit of a rule is worth, in hundredths, the least that counts and the most there is (fixed values).
+SCOPE, FEATURE, KEYWORD, TYPES, LEAST, MOST = 55, 25, 8, {"component_route": 8, "feature_hint": 4, "calculation_hint": 4}, 30, 98
+
+
+def _rule_hits(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    norm = lambda c: X.normalize_text(F.coalesce(F.col(c), F.lit("")))
+    own = rows.select("chapter", "row_id", X.normalize_text(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in ("name", "features", "rule", "path")])).alias("all"), norm("features").alias("said"))
+    # A rule's terms are normalised once, before they meet any row.
+    terms = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda t: F.struct(t.alias("t"), X.normalize_text(t).alias("n"))), lambda t: t["n"] != "").alias(f"__{c}")
+    r = rules.select("*", *[terms(c) for c in ("scope_terms", "feature_names", "keywords")])
+    both = own.join(r, "chapter")
+    found = lambda c, text: F.transform(F.filter(f"__{c}", lambda t: F.col(text).contains(t["n"])), lambda t: t["t"])
+    both = both.withColumns({"in_scope": found("scope_terms", "all"), "in_features": found("feature_names", "said"), "in_words": found("keywords", "all")})
+    both = both.withColumn("terms", F.array_distinct(F.concat("in_scope", "in_features", "in_words")))
+    score = F.when(F.size("in_scope") > 0, SCOPE).otherwise(0) + F.when(F.size("in_features") > 0, FEATURE).otherwise(0) + F.size("in_words") * KEYWORD
+    for kind, bonus in TYPES.items():
+        score = score + F.when(F.array_contains("types", kind) & (F.size("terms") > 0), bonus).otherwise(0)
+    return both.withColumn("score", F.least(score, F.lit(MOST))).where(F.col("score") >= LEAST)
+
+
 def attach_rules(rows: DataFrame, rules: DataFrame, top: int = 8) -> DataFrame:
-    """The rules (``chapter``, ``rule_id``, ``scope``, ``feature``) that apply to a row (``chapter``, ``row_id``, ``name``, ``features``): 0.55 for the scope, 0.25 for the feature, 0.12 for both; 0.3 at least, the best ``top``."""
-    scope, feature = F.col("name").contains(F.col("scope")), F.col("features").contains(F.col("feature"))
-    score = F.when(scope, 0.55).otherwise(0.0) + F.when(feature, 0.25).otherwise(0.0) + F.when(scope & feature, 0.12).otherwise(0.0)
-    hits = rows.join(rules, "chapter").withColumn("score", F.round(F.least(score, F.lit(0.98)), 4)).where("score >= 0.3")
-    return hits.withColumn("rank", F.row_number().over(Window.partitionBy("row_id").orderBy(F.desc("score"), "rule_id"))).where(F.col("rank") <= top).select("row_id", "rule_id", "score", "rank")
+    """(``row_id``, ``rule_id``, ``score``, ``terms``, ``rank``): the best ``top`` rules of each row's chapter, of equal scores those that come first (``pos``).
+
+    ``rows`` are (``chapter``, ``row_id``, ``name``, ``features``, ``rule``, ``path``), ``rules`` (``chapter``, ``rule_id``, ``pos``, ``types``, ``scope_terms``, ``feature_names``, ``keywords``). Scope terms
+    and keywords count anywhere in a row, feature names in its features, all in normal form.
+    """
+    hits = _rule_hits(rows, rules)
+    w = Window.partitionBy("row_id").orderBy(F.desc("score"), "pos")
+    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("row_id", "rule_id", (F.col("score") / 100).alias("score"), "terms", "rank")
+
+
+def rule_hints(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """(``row_id``, ``features``, ``targets``, ``codes``): what all rules that apply to a row hint at, in the rules' order, each once.
+
+    ``rules`` also have ``target_terms`` and ``codes``.
+    """
+    hits = _rule_hits(rows, rules)
+    every = lambda c: F.array_distinct(F.flatten(ordered(F.coalesce(F.col(c), F.array().cast("array<string>")), F.col("pos"))))
+    return hits.groupBy("row_id").agg(every("feature_names").alias("features"), every("target_terms").alias("targets"), every("codes").alias("codes"))

@@ -1,18 +1,42 @@
 """Retrieval: tokens, hashed vectors, hybrid scores, budgeted top-k, chunks and pages.
 
-Vectors are rows (``id``, ``bucket``, ``weight``): a dot product is an equi join on the bucket. Queries are a
-stated set; what is searched is never all compared with itself.
+A hashed vector is one array of whole numbers for each row, made without a shuffle. Queries are a stated set that goes
+to the tasks in blocks of bounded size; each row meets a block as one matrix product, and only the best of each
+task go on. What is searched is never all compared with itself.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termwright.functions import text as X
+from termwright.functions.found import automaton
 
 #: Buckets of a hashed vector.
 DIM = 192
+#: Queries that a task meets at once, and rows it scores at once.
+BLOCK, ROWS = 2048, 1024
+
+
+@dataclass(frozen=True)
+class Weights:
+    """What adds to the cosine: each term found, at most ``terms`` in all, the same component, a step-3 row, each tag in common."""
+
+    term: float = 0.03
+    terms: float = 0.35
+    same: float = 0.18
+    step3: float = 0.05
+    tag: float = 0.0
+
+
+#: For entries of the library's steps, and for documents of a corpus, where the component is the collection (fixed values).
+KNOWLEDGE, CORPUS = Weights(), Weights(terms=0.4, same=0.12, step3=0.0, tag=0.06)
 
 
 def tokens(text: Column) -> Column:
@@ -35,39 +59,206 @@ def sign_of(token: Column) -> Column:
     return F.when(F.conv(F.substring(F.sha1(token.cast("binary")), 9, 2), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
 
 
+def hashed(text: Column, dim: int = DIM) -> Column:
+    """array<struct<bucket, w>>: the signed counts of a text's tokens by bucket, those that are not zero, in order of buckets.
+
+    The tokens' places are sorted, and what is equal is counted by where its run begins and ends.
+    """
+    keys = F.array_sort(F.transform(tokens(text), lambda t: bucket_of(t, dim) * 2 + F.when(sign_of(t) > 0, 0).otherwise(1)))
+    let = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def runs(k: Column) -> Column:
+        at = F.filter(F.transform(k, lambda x, i: F.when((i == 0) | (F.get(k, i - 1) != x), i)), lambda i: i.isNotNull())
+        return let(at, lambda s: F.transform(s, lambda i, j: F.struct(F.get(k, i).alias("key"), (F.coalesce(F.get(s, j + 1), F.size(k)) - i).alias("n"))))
+
+    def merged(rs: Column) -> Column:
+        def one(r: Column, j: Column) -> Column:
+            after, before = F.get(rs, j + 1), F.when(j > 0, F.get(rs, j - 1))
+            minus = F.when(after["key"] == r["key"] + 1, after["n"]).otherwise(0)
+            alone = before.isNull() | (before["key"] != r["key"] - 1)
+            w = F.when(r["key"] % 2 == 0, r["n"] - minus).when(alone, -r["n"])
+            return F.struct(F.floor(r["key"] / 2).cast("int").alias("bucket"), w.alias("w"))
+
+        return F.filter(F.transform(rs, one), lambda x: x["w"].isNotNull() & (x["w"] != 0))
+
+    return F.when(F.size(keys) > 0, let(keys, lambda k: let(runs(k), merged))).otherwise(F.array().cast("array<struct<bucket:int,w:int>>"))
+
+
 def hashed_vectors(docs: DataFrame, text: str = "text", dim: int = DIM) -> DataFrame:
-    """(``id``, ``bucket``, ``weight``) of unit length; a text without tokens has no rows. Tokens are counted before they are hashed."""
-    counts = docs.select("id", F.explode(tokens(F.col(text))).alias("token")).groupBy("id", "token").count()
-    sums = counts.groupBy("id", bucket_of(F.col("token"), dim).alias("bucket")).agg(F.sum(sign_of(F.col("token")) * F.col("count")).alias("w")).where("w <> 0")
-    norms = sums.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return sums.join(norms, "id").select("id", "bucket", (F.col("w") / F.col("norm")).alias("weight"))
+    """(``id``, ``bucket``, ``weight``) of unit length; a text without tokens has no rows. Each row is hashed where it is, without a shuffle."""
+    rows = docs.select("id", hashed(F.col(text), dim).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x["w"].cast("long") * x["w"]).cast("double"))
+    return rows.select("id", norm.alias("norm"), F.inline("v")).select("id", "bucket", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """(``query_id``, ``id``, ``score``, ``rank``) of the best ``k`` for each query; equal scores go by id.
+def rounded(score: np.ndarray) -> np.ndarray:
+    """To four places, halves upwards."""
+    return np.floor(score * 10000 + 0.5) / 10000
 
-    Rows of a bucket meet the queries that have it: the queries are the stated set, the rest is all that is searched.
-    """
-    q = queries.select(F.col("id").alias("query_id"), "bucket", F.col("weight").alias("qw"))
-    scores = vectors.join(q, "bucket").groupBy("query_id", "id").agg(F.round(F.sum(F.col("weight") * F.col("qw")), 4).alias("score"))
-    return scores.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+
+def _blocks(queries: DataFrame, block: int):
+    """The queries, a stated set, in blocks of about ``block`` rows on the driver."""
+    n = -(-queries.count() // block) or 1
+    for k in range(n):
+        own = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == k).collect()
+        if own:
+            yield own
 
 
-def dense_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """The same for dense arrays (``id``, ``vector``), of which ``queries`` are few: each row meets the queries of all parts of the stated set."""
-    q = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    # The stated queries, packed into blocks, meet each row once.
-    blocks = q.groupBy((F.pmod(F.xxhash64("query_id"), F.lit(16))).alias("block")).agg(F.collect_list(F.struct("query_id", "qv")).alias("qs"))
-    met = vectors.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))).join(blocks, "block")
-    pairs = met.select("id", "vector", F.explode("qs").alias("q")).select(F.col("q.query_id").alias("query_id"), "id", F.round(dot(F.col("vector"), F.col("q.qv")), 4).alias("score"))
-    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+def _best(scores: np.ndarray, allowed: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, query) of the allowed pairs: all, or for each query the first ``k`` by score, of equal scores those of the first rows."""
+    if k is None or k >= len(scores):
+        return np.nonzero(allowed)
+    own = np.where(allowed, scores, -np.inf)
+    order = np.argsort(-own, axis=0, kind="stable")[:k]
+    column = np.broadcast_to(np.arange(own.shape[1]), order.shape)
+    good = np.isfinite(own[order, column])
+    return order[good], column[good]
 
 
-def hybrid_score(cosine: Column, terms: Column, haystack: Column, same_component: Column, stage: Column) -> Column:
-    """Cosine, 0.03 for each term found (0.35 at most), 0.18 for the same component, 0.05 for a step-3 entry."""
-    hits = F.size(F.filter(terms, lambda t: haystack.contains(t)))
-    return cosine + F.least(F.lit(0.35), hits * 0.03) + F.when(same_component, 0.18).otherwise(0.0) + F.when(stage.startswith("step3"), 0.05).otherwise(0.0)
+def top_scored(queries: DataFrame, rows: DataFrame, k: int | None = None, weights: Weights | None = None, apart: bool = False, within: bool = False, untagged: bool = False, facet: str | None = None, block: int = BLOCK) -> DataFrame:
+    """(``query_id``, ``id``, ``score``) of queries (``id``, ``text``) with ``rows`` (``id``, ``text``): the cosine of their hashed vectors, to four places.
+
+    With ``weights`` the score is the hybrid one: then queries have ``component``, ``terms`` (an array; without it the tokens) and ``tags``, and rows ``title``,
+    ``component``, ``stage`` and ``tags``, as far as they are there. ``apart`` leaves out rows of step 2 and 3 of another component than the query's, ``within`` all of
+    another component. Weights for tags leave out rows that have none of a query's tags, but with ``untagged`` not those without any. With ``k`` only the best
+    ``k`` of each query (and value of ``facet``, a column of ``rows``) come back; of equal scores the least id. Every row counts, also one that shares
+    no bucket with the query. Ids of rows are read as text in ``id`` if they are no whole numbers.
+    """
+    spark = queries.sparkSession
+    has = lambda df, c, kind: F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)
+    terms = F.col("terms") if "terms" in queries.columns else tokens(F.col("text"))
+    q = queries.select(F.col("id").alias("query_id"), hashed(F.col("text")).alias("v"), terms.alias("terms"), has(queries, "component", "string").alias("component"), has(queries, "tags", "array<string>").alias("tags"))
+    own = rows.select(
+        "id",
+        hashed(F.col("text")).alias("v"),
+        (F.lower(F.concat_ws("\n", *[F.col(c) for c in ("title", "text") if c in rows.columns])) if weights else F.lit("")).alias("said"),
+        has(rows, "component", "string").alias("component"),
+        F.coalesce(has(rows, "stage", "string"), F.lit("")).alias("stage"),
+        has(rows, "tags", "array<string>").alias("tags"),
+        *([F.col(facet).alias("facet")] if facet else []),
+    )
+    kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
+    schema = f"query_id {q.schema['query_id'].dataType.simpleString()}, id {kinds['id']}, score double" + (f", facet {kinds['facet']}" if facet else "")
+    out = None
+    for some in _blocks(q, block):
+        part = own.mapInArrow(_scorer([r.asDict(recursive=True) for r in some], k, weights, apart, within, untagged, facet), schema)
+        out = part if out is None else out.union(part)
+    if out is None:
+        return spark.createDataFrame([], schema)
+    if k is None:
+        return out
+    group = ["query_id", "facet"] if facet else ["query_id"]
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+
+
+def _dense(vectors: list) -> tuple[np.ndarray, np.ndarray]:
+    out = np.zeros((len(vectors), DIM))
+    for i, v in enumerate(vectors):
+        for x in v:
+            out[i, x["bucket"]] = x["w"]
+    return out, (out * out).sum(1)
+
+
+def _scorer(queries: list[dict], k: int | None, weights: Weights | None, apart: bool, within: bool, untagged: bool, facet: str | None):
+    def run(batches):
+        matrix, norms = _dense([q["v"] for q in queries])
+        names = np.array([q["component"] or "" for q in queries], object)
+        terms: dict[str, list[int]] = {}
+        for at, q in enumerate(queries):
+            for t in q["terms"] or ():
+                if t:
+                    terms.setdefault(t, []).append(at)
+        find = automaton([*terms]) if terms and weights else None
+        having = [np.array(x) for x in terms.values()]
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                own = batch.slice(start, ROWS)
+                # Least ids first, so that of equal scores they are taken.
+                own = own.take(pa.compute.sort_indices(own.column("id")))
+                yield from score(own, matrix, norms, names, find, having)
+
+    def score(own, matrix, norms, names, find, having):
+        lists = own.column("v")
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        dense = np.zeros((own.num_rows, DIM))
+        dense[np.repeat(np.arange(own.num_rows), np.diff(offsets)), flat.field("bucket").to_numpy()] = flat.field("w").to_numpy()
+        length = np.sqrt((dense * dense).sum(1)[:, None] * norms[None, :])
+        # Whole numbers below 2^53: the products are exact, whatever the order of their sums.
+        scores = np.divide(dense @ matrix.T, length, out=np.zeros_like(length), where=length > 0)
+        allowed = np.ones(scores.shape, bool)
+        if weights:
+            scores = scores + hits(own.column("said").to_pylist(), find, having, scores.shape)
+            component = np.array([x or "" for x in own.column("component").to_pylist()], object)
+            stage = own.column("stage").to_pylist()
+            same = (component[:, None] == names[None, :]) & (component != "")[:, None]
+            scores = scores + np.where(same, weights.same, 0.0) + np.array([weights.step3 if x.startswith("step3") else 0.0 for x in stage])[:, None]
+            if weights.tag:
+                asked = [set(q["tags"] or ()) for q in queries]
+                tags = [set(t or ()) for t in own.column("tags").to_pylist()]
+                common = np.array([[len(a & t) for a in asked] for t in tags], float).reshape(scores.shape)
+                scores = scores + common * weights.tag
+                allowed &= (common > 0) | np.array([not a for a in asked])[None, :] | np.array([untagged and not t for t in tags])[:, None]
+            other = (component != "")[:, None] & (names != "")[None, :] & ~same
+            if apart:
+                allowed &= ~(other & np.array([x[:5] in ("step2", "step3") for x in stage])[:, None])
+            if within:
+                allowed &= ~other
+        scores = rounded(scores)
+        ids, query_ids = own.column("id"), [q["query_id"] for q in queries]
+        facets = own.column("facet").to_pylist() if facet else None
+        for value in dict.fromkeys(facets) if facet else [None]:
+            mine = allowed & np.array([f == value for f in facets])[:, None] if facet else allowed
+            i, j = _best(scores, mine, k)
+            if len(i):
+                columns = [pa.array([query_ids[x] for x in j]), ids.take(pa.array(i)), pa.array(scores[i, j])] + ([pa.array([value] * len(i))] if facet else [])
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "id", "score"] + (["facet"] if facet else []))
+
+    def hits(texts, find, having, shape):
+        found = np.zeros(shape)
+        if find is not None:
+            for i, t in enumerate(texts):
+                at = {x for _, x in find.iter(t)}
+                if at:
+                    found[i] = np.bincount(np.concatenate([having[x] for x in at]), minlength=shape[1])
+        return np.minimum(weights.terms, found * weights.term)
+
+    return run
+
+
+def cosine_topk(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(``query_id``, ``id``, ``score``, ``rank``) of the best ``k`` ``rows`` (``id``, ``text``) for each query (``id``, ``text``); equal scores go by id."""
+    return top_scored(queries, rows, k)
+
+
+def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """The same by dot product of dense arrays (``id``, ``vector``); ``queries`` are a stated set that goes to the tasks in blocks."""
+    schema = f"query_id {queries.schema['id'].dataType.simpleString()}, id {vectors.schema['id'].dataType.simpleString()}, score double"
+    as_doubles = F.col("vector").cast("array<double>")
+
+    def scorer(some):
+        def run(batches):
+            for batch in batches:
+                for start in range(0, batch.num_rows, ROWS):
+                    own = batch.slice(start, ROWS)
+                    own = own.take(pa.compute.sort_indices(own.column("id")))
+                    mine = np.array(own.column("vector").to_pylist())
+                    # One place after another, as the sum is written down elsewhere: the last bit decides ties.
+                    scores = np.zeros((len(mine), len(some)))
+                    other = np.array([r["vector"] for r in some])
+                    for d in range(mine.shape[1]):
+                        scores += mine[:, d, None] * other[None, :, d]
+                    i, j = _best(rounded(scores), np.ones(scores.shape, bool), k)
+                    yield pa.RecordBatch.from_arrays([pa.array([some[x]["query_id"] for x in j]), own.column("id").take(pa.array(i)), pa.array(rounded(scores)[i, j])], names=["query_id", "id", "score"])
+
+        return run
+
+    out = None
+    for some in _blocks(queries.select(F.col("id").alias("query_id"), as_doubles.alias("vector")), block):
+        part = vectors.select("id", as_doubles.alias("vector")).mapInArrow(scorer(some), schema)
+        out = part if out is None else out.union(part)
+    out = out if out is not None else queries.sparkSession.createDataFrame([], schema)
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
 
 
 def within_budget(ranked: DataFrame, group: list[str], order: list, size: str, budget: int, most: int | None = None) -> DataFrame:
@@ -78,29 +269,49 @@ def within_budget(ranked: DataFrame, group: list[str], order: list, size: str, b
     return out.where(F.col("rank") <= most) if most else out
 
 
-def scored_entries(queries: DataFrame, entries: DataFrame) -> DataFrame:
-    """Each query (``id``, ``text``, ``component``) with the ``entries`` (``id``, ``text``, ``component``, ``stage``) that share a bucket with it, and their hybrid score."""
-    q = queries.select(F.col("id").alias("query_id"), tokens(F.col("text")).alias("terms"), F.col("component").alias("query_component"))
-    rows = cosine_all(queries, entries).join(q, "query_id").join(entries, "id")
-    same = F.coalesce(F.col("component") == F.col("query_component"), F.lit(False))
-    return rows.withColumn("score", F.round(hybrid_score(F.col("cosine"), F.col("terms"), F.lower("text"), same, F.col("stage")), 4))
+def excerpt_size(text: Column, most: int = 260) -> Column:
+    return F.least(F.length(F.trim(F.regexp_replace(text, r"\s+", " "))), F.lit(most))
 
 
-def query_entries(queries: DataFrame, entries: DataFrame, k: int = 8, budget: int = 2000) -> DataFrame:
-    """The best entries of each query (``id``, ``text``, ``component``) within ``budget`` characters of excerpts.
+def _within(rows: DataFrame, best: DataFrame, budget: int, k: int) -> DataFrame:
+    """Of the ``best`` rows of each query those whose excerpts fit the budget."""
+    sized = best.drop("rank").join(rows.select("id", excerpt_size(F.col("text")).alias("size")), "id")
+    return within_budget(sized, ["query_id"], [F.desc("score"), "id"], "size", budget, k).select("query_id", "id", "score", "size", "rank")
 
-    ``entries`` are (``id``, ``text``, ``component``, ``stage``). Entries of step 2 and 3 of another component are left out. An
-    entry that shares no bucket with a query has no part in its answer.
+
+def query_entries(queries: DataFrame, entries: DataFrame, pages: DataFrame | None = None, k: int = 8, budget: int = 2000, n_pages: int = 3) -> DataFrame:
+    """(``query_id``, ``kind``, ``id``, ``score``, ``size``, ``rank``): the best entries of each query (``id``, ``text``, ``component``) within ``budget`` characters of excerpts, and pages alike.
+
+    ``entries`` are (``id``, ``title``, ``text``, ``component``, ``stage``), ``pages`` the same. Entries of step 2 and 3 of another component are left out, as are pages of one.
     """
-    other = F.col("component").isNotNull() & F.col("query_component").isNotNull() & (F.col("component") != F.col("query_component")) & F.col("stage").rlike("^step[23]")
-    rows = scored_entries(queries, entries).where(~F.coalesce(other, F.lit(False)))
-    rows = rows.withColumn("size", F.least(F.length(F.trim(F.regexp_replace("text", r"\s+", " "))), F.lit(260)))
-    return within_budget(rows, ["query_id"], [F.desc("score"), "id"], "size", budget, k).select("query_id", "id", "score", "size", "rank")
+    out = _within(entries, top_scored(queries, entries, k, KNOWLEDGE, apart=True), budget, k)
+    out = out.select("query_id", F.lit("entry").alias("kind"), F.col("id").cast("string").alias("id"), "score", "size", "rank")
+    if pages is None:
+        return out
+    # A page counts as of step 3 here only to be kept apart from other components; it has no bonus for it.
+    fit = top_scored(queries, pages.withColumn("stage", F.lit("step2 page")), n_pages, KNOWLEDGE, apart=True)
+    found = _within(pages, fit, budget, n_pages)
+    return out.unionByName(found.select("query_id", F.lit("page").alias("kind"), F.col("id").cast("string").alias("id"), "score", "size", "rank"))
+
 
+def retrieve_context(queries: DataFrame, rows: DataFrame, facets: dict[str, int]) -> DataFrame:
+    """(``query_id``, ``facet``, ``id``, ``score``, ``rank``): of each facet of ``rows`` (``id``, ``text``, ``facet``) the best for each query, as many as ``facets`` says."""
+    own = rows.where(F.col("facet").isin(*facets))
+    best = top_scored(queries, own, max(facets.values()), facet="facet")
+    most = F.create_map(*[F.lit(x) for pair in facets.items() for x in pair])
+    return best.where(F.col("rank") <= most[F.col("facet")]).select("query_id", "facet", "id", "score", "rank")
 
-def cosine_all(queries: DataFrame, entries: DataFrame) -> DataFrame:
-    qv = hashed_vectors(queries).select(F.col("id").alias("query_id"), "bucket", F.col("weight").alias("qw"))
-    return hashed_vectors(entries).join(qv, "bucket").groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qw")).alias("cosine"))
+
+def query_corpus(queries: DataFrame, documents: DataFrame, pages: DataFrame | None = None, k: int = 4, budget: int = 2000, n_pages: int = 4) -> DataFrame:
+    """(``query_id``, ``kind``, ``id``, ``score``, ``rank``): the best ``documents`` (``id``, ``title``, ``text``, ``component``: the collection, ``tags``) of each query (``id``, ``text``, ``component``, ``tags``) within the budget, and pages.
+
+    A query with tags finds only what has one of them (or pages without tags), one with a component only what is of it (or pages of none). Its terms are its runs of ASCII letters, digits and ``_.:-``, and of at most 8 ideographs.
+    """
+    asked = queries.withColumn("terms", F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([A-Za-z0-9_.:-]+|[一-鿿]{1,8})"), F.lit(1)), lambda t: F.lower(t)))
+    out = _within(documents, top_scored(asked, documents, k, CORPUS, within=True), budget, k).select("query_id", F.lit("document").alias("kind"), F.col("id").cast("string").alias("id"), "score", "rank")
+    if pages is None:
+        return out
+    return out.unionByName(top_scored(asked, pages, n_pages, CORPUS, within=True, untagged=True).select("query_id", F.lit("page").alias("kind"), F.col("id").cast("string").alias("id"), "score", "rank"))
 
 
 def stripped(text: Column) -> Column:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termwright.functions import constants as C
 from termwright.functions import text as X
+from termwright.functions.found import terms_found
 from termwright.operators.retrieval import within_budget
 
 
@@ -19,27 +23,52 @@ def expand_terms(components: DataFrame) -> DataFrame:
     return components.select("component", F.explode(F.array_distinct(F.filter(options, lambda t: t.isNotNull() & (t != "")))).alias("term"))
 
 
-def score_regions(regions: DataFrame, terms: DataFrame, least: int = 2) -> DataFrame:
-    """(``batch``, ``region``, ``score``, ``hits``): each term scores by the first field that holds it, title before path before body.
+#: The fields of a region in the order in which a term is looked for, and its points in tenths: once, and for each of at most 8 characters (fixed values).
+FIELDS = {"title": (100, 10), "path": (80, 8), "table_titles": (60, 6), "headers": (40, 4), "body": (30, 3)}
+#: Where a term of one character counts, and its tenths (fixed values).
+SHORT_FIELDS, SHORT_POINTS = ("title", "path", "table_titles"), 8
+
+
+def score_regions(regions: DataFrame, terms: DataFrame) -> DataFrame:
+    """(``batch``, ``region``, ``score``, ``hits``): each distinct term scores by the first field that contains it, anywhere.
 
-    ``regions`` are (``region``, ``title``, ``path``, ``body``, ``tables``, ``rows``), ``terms`` are (``batch``, ``term``). Regions are cut
-    into words, and a term meets the regions that hold its first word, so terms are matched on word starts.
+    ``regions`` are (``region``, ``title``, ``path``, ``table_titles``, ``headers``, ``body``, ``tables``, ``rows``), ``terms`` are (``batch``, ``term``); both are compared in
+    their search form. The terms are a stated set: one pass over each text finds all of them, and no text leaves its task.
     """
-    n = F.least(F.length("term"), F.lit(8))
-    words = regions.select("region", F.explode(F.array_distinct(F.filter(F.split(F.lower(F.concat_ws(" ", "title", "path", "body")), r"[^a-z0-9一-鿿]+"), lambda w: w != ""))).alias("word"))
-    t = terms.select("batch", F.lower("term").alias("term")).distinct().withColumn("word", F.get(F.split("term", r"[^a-z0-9一-鿿]+"), F.lit(0))).where(F.length("term") >= least)
-    met = t.join(words, "word").join(regions, "region")
-    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    points = F.when(low("title").contains(F.col("term")), 10.0 + n).when(low("path").contains(F.col("term")), 8.0 + n * 0.8).when(low("body").contains(F.col("term")), 3.0 + n * 0.3)
-    scored = met.withColumn("points", points).where("points is not null").groupBy("batch", "region").agg(F.sum("points").alias("points"), F.count("*").alias("hits"), F.first("tables").alias("tables"), F.first("rows").alias("rows"))
-    return scored.select("batch", "region", F.round(F.col("points") + F.least("tables", F.lit(4)) * 0.3 + F.least("rows", F.lit(30)) * 0.05, 4).alias("score"), "hits")
+    own = regions.select("region", "tables", "rows", *[X.normalize_search_text(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in FIELDS])
+    t = terms.select("batch", X.normalize_search_text(F.col("term")).alias("term")).where("term <> ''").distinct()
+    found = terms_found(own, [*FIELDS], t)
+    inside = lambda c, term: F.array_contains(F.col(f"found_{c}"), term)
 
+    def points(term: Column) -> Column:
+        n = F.least(F.length(term), F.lit(8))
+        short = reduce(lambda a, b: a | b, [inside(c, term) for c in SHORT_FIELDS])
+        long = reduce(lambda w, c: w.when(inside(c, term), FIELDS[c][0] + n * FIELDS[c][1]), [*FIELDS][1:], F.when(inside("title", term), FIELDS["title"][0] + n * FIELDS["title"][1]))
+        return F.when(F.length(term) > 1, long).when(short, SHORT_POINTS)
 
-def budget_select(scored: DataFrame, budget: int, most: int) -> DataFrame:
-    """For each ``batch`` the best region of each ``group``, best first, within ``budget`` characters and ``most`` regions; the first always stays."""
-    order = [F.desc("score"), F.desc("hits"), "size", "region"]
-    best = scored.withColumn("g", F.row_number().over(Window.partitionBy("batch", "group").orderBy(*order))).where("g = 1")
-    return within_budget(best, ["batch"], order, "size", budget, most).select("batch", "region", "group", "score", "rank")
+    every = F.array_distinct(F.flatten(F.array(*[F.col(f"found_{c}") for c in FIELDS])))
+    hits = found.select("region", "tables", "rows", F.inline(F.transform(every, lambda x: F.struct(x.alias("term"), points(x).alias("points"))))).where("points is not null")
+    # Whole tenths and hundredths: sums don't depend on their order.
+    scored = hits.join(t, "term").groupBy("batch", "region").agg(F.sum("points").alias("points"), F.count("*").alias("hits"), F.first("tables").alias("tables"), F.first("rows").alias("rows"))
+    score = (F.col("points") * 10 + F.least("tables", F.lit(4)) * 30 + F.least("rows", F.lit(30)) * 5) / 100
+    return scored.select("batch", "region", score.alias("score"), "hits")
+
+
+def budget_select(scored: DataFrame, regions: DataFrame, batches: DataFrame, budget: int, most: int) -> DataFrame:
+    """For each ``batch`` the best region of each ``group``, best first, within ``budget`` characters and ``most`` regions; the first always stays.
+
+    ``regions`` are (``region``, ``group``, ``tables``, ``rows``, ``size``). A batch without any hit gets the regions with the most table rows, then tables, then the smallest.
+    """
+    order = [F.desc("score"), F.desc("hits"), F.desc("rows"), "size", "region"]
+    own = scored.join(regions.select("region", "group", "rows", "size"), "region")
+    best = own.groupBy("batch", "group").agg(F.min_by(F.struct("region", "score", "hits", "rows", "size"), F.struct(-F.col("score"), -F.col("hits"), -F.col("rows"), "size", "region")).alias("b")).select("batch", "group", "b.*")
+    chosen = within_budget(best, ["batch"], order, "size", budget, most).select("batch", "region", "group", "score", "rank")
+    # What a batch without hits gets is the same for all of them: one list of at most ``most`` regions.
+    plain = [F.desc("rows"), F.desc("tables"), "size", "region"]
+    first = regions.groupBy("group").agg(F.min_by(F.struct("region", "tables", "rows", "size"), F.struct(-F.col("rows"), -F.col("tables"), "size", "region")).alias("b")).select("group", "b.*")
+    listed = within_budget(first.orderBy(*plain).limit(most).withColumn("one", F.lit(1)), ["one"], plain, "size", budget, most)
+    without = batches.select("batch").distinct().join(scored.select("batch").distinct(), "batch", "left_anti").withColumn("one", F.lit(1))
+    return chosen.unionByName(without.join(F.broadcast(listed), "one").select("batch", "region", "group", F.lit(0.0).alias("score"), "rank"))
 
 
 def expand_groups(selected: DataFrame, regions: DataFrame) -> DataFrame:
@@ -48,10 +77,11 @@ def expand_groups(selected: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def prior_entries(entries: DataFrame, terms: DataFrame, most: int = 20) -> DataFrame:
-    """(``batch``, ``entry``, ``score``, ``rank``): earlier entries by the total length of the terms among their words."""
-    words = entries.select("entry", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^a-z0-9一-鿿]+"))).alias("term")).where("term <> ''")
-    t = terms.select("batch", F.lower("term").alias("term")).distinct()
-    scored = t.join(words, "term").groupBy("batch", "entry").agg(F.sum(F.length("term")).alias("score"))
+    """(``batch``, ``entry``, ``score``, ``rank``): earlier entries (``entry``, ``text``) by the total length of the distinct terms that stand anywhere in them, in search form."""
+    t = terms.select("batch", X.normalize_search_text(F.col("term")).alias("term")).where("term <> ''").distinct()
+    own = entries.select("entry", X.normalize_search_text(F.coalesce("text", F.lit(""))).alias("text"))
+    found = terms_found(own, ["text"], t).select("entry", F.explode("found_text").alias("term"))
+    scored = found.join(t, "term").groupBy("batch", "entry").agg(F.sum(F.length("term")).alias("score"))
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy("batch").orderBy(F.desc("score"), "entry"))).where(F.col("rank") <= most)
 
 
@@ -67,20 +97,25 @@ def bucket_components(name: Column, values: Column) -> Column:
 def pack_batches(components: DataFrame, most: int, budget: int) -> DataFrame:
     """(``bucket``, ``component``, ``batch``): components of a bucket in order of ``pos``, a new batch where count or size would pass the limit.
 
-    The fold needs a bucket's components in order; they are first cut into runs of 4096, each packed alone, so that no bucket is one task.
+    Where a batch ends depends on all before it, so a bucket is packed by one task, which holds a batch's worth of it at a time: rows arrive sorted and
+    leave as they come, and no bucket is gathered.
     """
-    runs = components.withColumn("run", F.floor(F.col("pos") / 4096))
-    own = runs.groupBy("bucket", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "component", "size"))).alias("own"))
-    start = F.struct(F.lit(0).alias("batch"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("chars"), F.array().cast("array<struct<component:string,batch:int>>").alias("out"))
+    out = components.select("bucket", "component", "pos", F.col("size").cast("long").alias("size")).repartition("bucket").sortWithinPartitions("bucket", "pos", "component")
 
-    def add(s: Column, x: Column) -> Column:
-        full = (s["n"] > 0) & ((s["n"] >= most) | (s["chars"] + x["size"] > budget))
-        batch = s["batch"] + F.when(full, 1).otherwise(0)
-        return F.struct(
-            batch.alias("batch"), F.when(full, 1).otherwise(s["n"] + 1).alias("n"), F.when(full, x["size"].cast("long")).otherwise(s["chars"] + x["size"]).alias("chars"), F.concat(s["out"], F.array(F.struct(x["component"].alias("component"), batch.alias("batch")))).alias("out")
-        )
+    def run(batches):
+        bucket, batch, n, chars, started = None, 0, 0, 0, False
+        for own in batches:
+            numbers = []
+            for b, size in zip(own.column("bucket").to_pylist(), own.column("size").to_pylist()):
+                if not started or b != bucket:
+                    bucket, batch, n, chars, started = b, 0, 0, 0, True
+                elif n >= most or chars + size > budget:
+                    batch, n, chars = batch + 1, 0, 0
+                n, chars = n + 1, chars + size
+                numbers.append(batch)
+            yield pa.RecordBatch.from_arrays([own.column("bucket"), own.column("component"), pa.array(numbers, pa.int32())], names=["bucket", "component", "batch"])
 
-    return own.select("bucket", "run", F.inline(F.aggregate("own", start, add, lambda s: s["out"])))
+    return out.mapInArrow(run, "bucket string, component string, batch int")
 
 
 def work_grid(chapters: DataFrame, batches: DataFrame, skip: int = 0, most: int | None = None) -> DataFrame:
@@ -95,8 +130,18 @@ def pending_work(grid: DataFrame, done: DataFrame) -> DataFrame:
     return same(grid).join(same(done), ["chapter", "batch", "components"], "left_anti").select("chapter", "batch", F.size("components").alias("components"))
 
 
-def assemble_payload(rows: DataFrame, matches: DataFrame, most: int = 3, length: int = 80) -> DataFrame:
-    """One JSON text for each batch: its rows in order, cut texts, and their candidates."""
-    first = matches.groupBy("row_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "component", "score"))), 1, most).alias("candidates"))
-    both = rows.join(first, "row_id", "left").withColumn("text", X.shorten(F.col("text"), length))
-    return both.groupBy("batch").agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("row_id", "text", "candidates"))).alias("rows"))).alias("payload"), F.count("*").alias("n"))
+def assemble_payload(rows: DataFrame, matches: DataFrame, catalog: DataFrame, regions: DataFrame, most: int = 3, length: int = 80, summary: int = 15, text: int = 400) -> DataFrame:
+    """(``batch``, ``payload``, ``n``): one JSON text for each batch with its rows and their candidates, the summaries of the candidates' components, and region texts.
+
+    ``rows`` are (``batch``, ``row_id``, ``text``), ``matches`` (``row_id``, ``rank``, ``component``, ``score``), ``catalog`` (``component``, ``attributes``, an array), ``regions`` (``batch``, ``region``,
+    ``body``). A row has its first ``most`` candidates, a component the first ``summary`` attributes, and is told once for a batch. A batch is bounded by :func:`pack_batches`.
+    """
+    top = matches.withColumn("k", F.row_number().over(Window.partitionBy("row_id").orderBy("rank", "component", "score"))).where(F.col("k") <= most)
+    first = top.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("rank", "component", "score"))).alias("candidates"))
+    own = rows.join(first, "row_id", "left").withColumn("text", X.shorten(F.col("text"), length))
+    told = own.select("batch", F.explode("candidates.component").alias("component")).distinct().join(catalog.select("component", F.slice("attributes", 1, summary).alias("attributes")), "component")
+    told = told.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("component", "attributes"))).alias("components"))
+    cut = regions.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("region", F.substring("body", 1, text).alias("body")))).alias("regions"))
+    whole = own.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("row_id", "text", "candidates"))).alias("rows"), F.count("*").alias("n"))
+    whole = whole.join(told, "batch", "left").join(cut, "batch", "left")
+    return whole.select("batch", F.to_json(F.struct("rows", "components", "regions")).alias("payload"), "n")

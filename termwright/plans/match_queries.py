@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from termwright.functions import constants as C
 from termwright.functions import text as X
+from termwright.operators import direct as D
 from termwright.operators import matching as M
 from termwright.plans import sqltext as S
-from termwright.sources.tables import BILL_ROWS, bill_rows, table
+from termwright.sources.tables import BILL_ROWS, bill_rows, pick, sql_pick, table
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -48,9 +49,18 @@ SELECT DISTINCT component, unnest([component, {S.strip('component')}, replace(co
 QUERIES["alias_index"] = lambda spark, sf_dir: index(spark, sf_dir)
 ORACLE_SQL["alias_index"] = f"WITH {_CATALOG}, {_ALIASES} SELECT key, component, priority, pos FROM idx"
 
-QUERIES["alias_candidates"] = lambda spark, sf_dir: M.alias_candidates(bill_rows(spark, sf_dir), index(spark, sf_dir))
-ORACLE_SQL["alias_candidates"] = f"""WITH {BILL_ROWS}, {_CATALOG}, {_ALIASES}
-SELECT DISTINCT row_id, component FROM bill_rows JOIN idx ON key IN ({S.normalize('name')}, {S.normalize(S.strip('name'))})"""
+
+
+def aliased_rows(spark, sf_dir):
+    """Rows named by a component, with affixes, brackets or neither."""
+    p = table(spark, sf_dir, "part")
+    lead, tail = pick(("现浇", "", "(", "预制"), (F.col("p_partkey") % 4).cast("int")), pick(("梁", "梁构件", "梁)", "梁", "墙"), (F.col("p_partkey") % 5).cast("int"))
+    return p.select(F.col("p_partkey").alias("row_id"), F.concat(lead, "p_name", tail).alias("name"))
+
+
+QUERIES["alias_candidates"] = lambda spark, sf_dir: M.alias_candidates(aliased_rows(spark, sf_dir), index(spark, sf_dir))
+ORACLE_SQL["alias_candidates"] = f"""WITH {_CATALOG}, {_ALIASES}, r AS (SELECT p_partkey AS row_id, {sql_pick(("现浇", "", "(", "预制"), 'p_partkey % 4')} || p_name || {sql_pick(("梁", "梁构件", "梁)", "梁", "墙"), 'p_partkey % 5')} AS name FROM part)
+SELECT DISTINCT row_id, component FROM r JOIN idx ON key IN ({S.normalize('name')}, {S.normalize(S.strip('name'))})"""
 
 _VERB = "CASE " + " ".join(f"WHEN starts_with(q, '{v}') AND length(q) > {len(v)} THEN substr(q, {len(v) + 1})" for v in C.VERB_PREFIXES) + " ELSE q END"
 _CUTS = ", ".join(f"CASE WHEN starts_with(v, '{m}') AND length(v) > {len(m)} THEN substr(v, {len(m) + 1}) END" for m in C.MODIFIERS)
@@ -159,15 +169,31 @@ ORACLE_SQL["chapter_fallback"] = _RANKED + """, fb AS (SELECT p_brand AS chapter
 SELECT b.row_id, fb.component, 0.65 AS score, 'chapter_fallback' AS basis, fb.rank FROM bill_rows b JOIN fb ON fb.chapter = trim(split_part(b.chapter, ' > ', 1)) WHERE fb.rank <= 3 AND b.row_id NOT IN (SELECT row_id FROM ranked)"""
 
 QUERIES["explode_features"] = lambda spark, sf_dir: M.explode_features(bill_rows(spark, sf_dir)).select("row_id", "feature_order", "raw_text")
-_FEATURES = """
+# The texts have no line that is only a number but the last, which numbers the line before.
+_FEATURES = r"""
+cleaned AS (SELECT row_id, list_filter(list_transform(string_split(trim(regexp_replace(regexp_replace(features, '[ \t]+', ' ', 'g'), '\n+', chr(10), 'g')), chr(10)), lambda x: regexp_replace(x, '^[ .。；;：:]+|[ .。；;：:]+$', '', 'g')), lambda x: x <> '') AS ls FROM bill_rows),
+marked AS (SELECT row_id, list_transform(ls, lambda x: regexp_replace(regexp_replace(regexp_replace(trim(translate(x, '．、：', '..:')), '^(\d+)\s*-\s*', '\1.'), '^(\d+)\s*\.\s*', '\1.'), '^(\d+)\s+', '\1.')) AS ls FROM cleaned),
+joined AS (SELECT row_id, list_filter(list_transform(ls, lambda x, i: CASE WHEN regexp_matches(x, '^\d+$') AND i > 1 THEN NULL WHEN regexp_matches(coalesce(ls[i + 1], ''), '^\d+$') THEN ls[i + 1] || '.' || regexp_replace(x, '^[.。]+', '') ELSE x END), lambda x: x IS NOT NULL) AS ls FROM marked),
+lines AS (SELECT row_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS seq FROM joined),
 features AS (
-  SELECT row_id, 1 AS feature_order, '厚度:' || regexp_extract(features, '([0-9]+)mm', 1) || 'mm' AS raw_text FROM bill_rows
-  UNION ALL SELECT row_id, 2, '强度等级大于等于C30' FROM bill_rows
-  UNION ALL SELECT row_id, 4, '3.' || split_part(chapter, ' > ', 2) FROM bill_rows
+  SELECT row_id, CASE WHEN regexp_matches(line, '^\s*\d+\s*[.\-]?\s*.+$') THEN CAST(regexp_extract(line, '^\s*(\d+)', 1) AS INT) ELSE CAST(seq AS INT) END AS feature_order,
+    CASE WHEN regexp_matches(line, '^\s*\d+\s*[.\-]?\s*.+$') THEN regexp_extract(line, '^\s*(\d+)\s*[.\-]?\s*(.+?)\s*$', 2) ELSE trim(line) END AS raw_text FROM lines
 )"""
 ORACLE_SQL["explode_features"] = f"WITH {BILL_ROWS}, {_FEATURES} SELECT * FROM features"
 QUERIES["feature_values"] = lambda spark, sf_dir: M.explode_features(bill_rows(spark, sf_dir)).select("row_id", "feature_order", M.feature_values(F.col("raw_text")).alias("v")).select("row_id", "feature_order", "v.label", "v.value")
-_VALUES = "feature_values AS (SELECT *, CASE feature_order WHEN 1 THEN '厚度' WHEN 2 THEN '强度等级' ELSE raw_text END AS label, CASE feature_order WHEN 1 THEN split_part(raw_text, ':', 2) WHEN 2 THEN '>=C30' ELSE '' END AS value FROM features)"
+_SIGNED = S.replaced("trim(coalesce(raw_text, ''))", C.COMPARISONS)
+_BARE = lambda x: f"regexp_replace({x}, '^[ ：:.]+|[ ：:.]+$', '', 'g')"
+_OP, _TAIL = "'^(.*?)(>=|<=|>|<|=)\\s*(.+?)$'", "'(?i)^(.*?)(C\\d{2,3}(?:\\.\\d+)?|\\d+(?:\\.\\d+)?\\s*(?:mm|cm|m|m2|m3|kg|t|MPa|%|级))$'"
+
+
+def _valued(of: str) -> str:
+    """``feature_values``: ``of`` with label and value."""
+    return f"""signed AS (SELECT *, {_SIGNED} AS own FROM {of}),
+feature_values AS (SELECT * EXCLUDE (own), CASE WHEN regexp_matches(own, {_OP}) THEN {_BARE(f'regexp_extract(own, {_OP}, 1)')} WHEN regexp_matches(own, {_TAIL}) THEN {_BARE(f'regexp_extract(own, {_TAIL}, 1)')} ELSE {_BARE("trim(coalesce(raw_text, ''))")} END AS label,
+  CASE WHEN regexp_matches(own, {_OP}) THEN regexp_extract(own, {_OP}, 2) || trim(regexp_extract(own, {_OP}, 3)) WHEN regexp_matches(own, {_TAIL}) THEN trim(regexp_extract(own, {_TAIL}, 2)) ELSE '' END AS value FROM signed)"""
+
+
+_VALUES = _valued("features")
 ORACLE_SQL["feature_values"] = f"WITH {BILL_ROWS}, {_FEATURES}, {_VALUES} SELECT row_id, feature_order, label, value FROM feature_values"
 
 
@@ -183,19 +209,45 @@ def matched_features(spark, sf_dir):
     return M.match_features(feats, attributes(spark, sf_dir))
 
 
-QUERIES["score_attributes"] = lambda spark, sf_dir: attributes(spark, sf_dir).crossJoin(F.broadcast(spark.range(1))).select("component", "code", F.explode(F.array(F.lit("厚度"), F.lit("强度等级"), F.lit("墙体厚"), F.lit("标号x"))).alias("label"), "name").select("component", "code", "label", M.attribute_score(F.col("label"), F.col("name"), F.col("code")).alias("score"))
-ORACLE_SQL["score_attributes"] = """WITH t AS (SELECT DISTINCT p_type AS component FROM part), s(code, label, score) AS (VALUES
-  ('HD', '厚度', 0.98), ('HD', '强度等级', 0.0), ('HD', '墙体厚', 1.0), ('HD', '标号x', 0.0),
-  ('TBH', '厚度', 0.0), ('TBH', '强度等级', 0.98), ('TBH', '墙体厚', 0.0), ('TBH', '标号x', 0.92),
-  ('GD', '厚度', 0.2), ('GD', '强度等级', 0.0), ('GD', '墙体厚', 0.0), ('GD', '标号x', 0.0),
-  ('BH', '厚度', 0.98), ('BH', '强度等级', 0.0), ('BH', '墙体厚', 0.92), ('BH', '标号x', 0.0))
-SELECT component, code, label, CAST(CASE WHEN code = 'GD' AND label = '厚度' THEN 0.0 ELSE score END AS DOUBLE) AS score FROM t, s"""
+_LABELS = ("厚度", "强度等级", "墙体厚", "标号x", "墙厚度", "备", "")
+
+
+def labelled(spark, sf_dir):
+    """Every part with a label made of its place and type, and one of the attributes."""
+    p = table(spark, sf_dir, "part")
+    label = F.concat(pick(_LABELS, (F.col("p_partkey") % 7).cast("int")), F.when(F.col("p_partkey") % 11 == 0, F.col("p_brand")).otherwise(""))
+    names, codes = ("墙体厚", "砼标号", "备用", "厚", "墙高"), ("HD", "TBH", "GD", "BH", "QG")
+    return p.select("p_partkey", label.alias("label"), pick(names, (F.col("p_size") % 5).cast("int")).alias("name"), pick(codes, (F.col("p_size") % 5).cast("int")).alias("code"))
+
+
+def _attribute_score(label: str, name: str, code: str) -> str:
+    """How well a label fits an attribute, as SQL."""
+    a, b = S.normalize(label), S.normalize(name)
+    hints = f"CASE {code} " + " ".join("WHEN '{}' THEN [{}]".format(k, ", ".join(S.normalize(f"'{w}'") for w in ws)) for k, ws in C.ATTRIBUTE_HINTS.items()) + " ELSE [] END"
+    words = f"list_filter(list_concat([{b}], {hints}), lambda k: k <> '')"
+    touching = f"len(list_filter({words}, lambda k: k <> {a} AND (contains(k, {a}) OR contains({a}, k)))) > 0"
+    best = f"greatest(CASE WHEN contains({b}, {a}) OR contains({a}, {b}) THEN 0.9::DOUBLE ELSE 0.0 END, CASE WHEN list_contains({words}, {a}) THEN 0.98::DOUBLE ELSE 0.0 END, CASE WHEN {touching} THEN 0.92::DOUBLE ELSE 0.0 END, {_jaccard(a, b)})"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE round({best}, 4) END"
+
+
+QUERIES["score_attributes"] = lambda spark, sf_dir: labelled(spark, sf_dir).select("p_partkey", "label", "code", M.attribute_score(F.col("label"), F.col("name"), F.col("code")).alias("score"))
+ORACLE_SQL["score_attributes"] = f"""WITH l AS (SELECT p_partkey, {sql_pick(_LABELS, 'p_partkey % 7')} || CASE WHEN p_partkey % 11 = 0 THEN p_brand ELSE '' END AS label, {sql_pick(("墙体厚", "砼标号", "备用", "厚", "墙高"), 'p_size % 5')} AS name, {sql_pick(("HD", "TBH", "GD", "BH", "QG"), 'p_size % 5')} AS code FROM part)
+SELECT p_partkey, label, code, {_attribute_score('label', 'name', 'code')} AS score FROM l"""
 QUERIES["match_features"] = lambda spark, sf_dir: matched_features(spark, sf_dir)
-ORACLE_SQL["match_features"] = f"""WITH {BILL_ROWS}, {_FEATURES}, {_VALUES}
-SELECT f.row_id, split_part(chapter, ' > ', 2) AS component, feature_order, raw_text, label, value,
-  CASE feature_order WHEN 1 THEN '墙体厚' WHEN 2 THEN '砼标号' END AS attribute_name, CASE feature_order WHEN 1 THEN 'HD' WHEN 2 THEN 'TBH' END AS attribute_code,
-  CASE feature_order WHEN 1 THEN label || ':HD=' || value WHEN 2 THEN label || ':TBH=' || value ELSE raw_text END AS expression, feature_order < 3 AS matched
-FROM feature_values f JOIN bill_rows b USING (row_id)"""
+_ATTRIBUTES = "attrs(pos, name, code) AS (VALUES (0, '墙体厚', 'HD'), (1, '砼标号', 'TBH'), (2, '备用', 'GD'), (3, '厚', 'BH'))"
+
+
+def _best_attributes(of: str) -> str:
+    """``described``: ``of`` (row_id, component, feature_order, raw_text, label, value) with the best attribute of its component, and the expression."""
+    return f"""labels AS (SELECT DISTINCT label FROM {of}),
+fit AS (SELECT label, name, code, {_attribute_score('label', 'name', 'code')} AS score, pos FROM labels CROSS JOIN attrs),
+fits AS (SELECT label, name, code FROM fit WHERE score >= 0.55 QUALIFY row_number() OVER (PARTITION BY label ORDER BY score DESC, pos) = 1),
+described AS (SELECT f.*, name AS attribute_name, code AS attribute_code, CASE WHEN code IS NULL THEN raw_text ELSE f.label || ':' || code || CASE WHEN value <> '' THEN '=' || value ELSE '' END END AS expression, code IS NOT NULL AS matched
+  FROM {of} f LEFT JOIN fits ON fits.label = f.label AND f.component IS NOT NULL)"""
+
+
+ORACLE_SQL["match_features"] = f"""WITH {BILL_ROWS}, {_FEATURES}, {_VALUES}, {_ATTRIBUTES}, own AS (SELECT f.row_id, split_part(chapter, ' > ', 2) AS component, feature_order, raw_text, label, value FROM feature_values f JOIN bill_rows b USING (row_id)),
+{_best_attributes('own')} SELECT row_id, component, feature_order, raw_text, label, value, attribute_name, attribute_code, expression, matched FROM described"""
 
 QUERIES["calculation_preference"] = lambda spark, sf_dir: bill_rows(spark, sf_dir).select("row_id", F.array_join(M.calculation_preference(F.col("name"), F.col("rule"), X.normalize_unit(F.col("unit"))), "|").alias("codes"))
 _PREFER = f"""prefer AS (SELECT *, {S.unit('unit')} AS u, CASE WHEN contains(name || rule, '模板') THEN ['MBMJ', 'DMMB', 'CMMB', 'ZMBMJ', 'ZMB'] WHEN contains(rule, '体积') THEN ['TJ', 'ZTJ', 'JLQTJ', 'DZJLQTJ', 'CGTJ']
@@ -221,3 +273,85 @@ g AS (SELECT r.*, list_filter(codes, lambda x: x IN ('TJ', 'MJ', 'CD', 'SL'))[1]
 SELECT g.row_id, g.component, coalesce(calc_code, generic, '') AS calc_code, coalesce(calc_name, CASE generic WHEN 'TJ' THEN '体积' WHEN 'MJ' THEN '面积' WHEN 'CD' THEN '长度' WHEN 'SL' THEN '数量' END, '') AS calc_name,
   CASE WHEN u <> '' THEN u ELSE coalesce(calc_unit, CASE generic WHEN 'TJ' THEN 'm3' WHEN 'MJ' THEN 'm2' WHEN 'CD' THEN 'm' END, '') END AS unit
 FROM g LEFT JOIN b USING (row_id)"""
+
+
+# -- items whose component is given ------------------------------------------------------------------
+
+_CALCULATIONS = (("ZTJ", "总体积", "m3"), ("MJ", "净面积", "m2"), ("MBMJ", "模板面积", "m2"))
+
+
+def given_items(spark, sf_dir):
+    """Bill rows whose component is given: by its name, by a form of it, or by one that is not known; every fourth has its rule in the work text."""
+    b = bill_rows(spark, sf_dir)
+    k, component = F.col("row_id"), F.split_part("chapter", F.lit(" > "), F.lit(2))
+    given = F.when(k % 4 == 0, component).when(k % 4 == 1, F.concat(F.lit("现浇("), component, F.lit(")构件"))).when(k % 4 == 2, F.concat(F.lit("（"), component, F.lit("） "))).otherwise(F.lit("unknown"))
+    features = F.concat(F.lit("1.厚度："), (k % 50).cast("string"), F.lit("mm、强度等级>=C30\n"), F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("2. "), "name", F.lit("；a@b"))))
+    return b.select("row_id", given.alias("given"), "name", F.when(k % 5 == 4, "").otherwise(features).alias("features"), "unit", F.when(k % 4 == 2, " ").otherwise(F.col("rule")).alias("rule"), F.col("rule").alias("work"))
+
+
+def given_catalog(spark, sf_dir):
+    p = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("component")).agg(F.min("p_partkey").alias("pos"))
+    return p.withColumn("names", F.array(F.concat(F.lit("预制"), "component")))
+
+
+def given_calculations(spark, sf_dir):
+    items = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("calc_code"), F.lit(n).alias("calc_name"), F.lit(u).alias("calc_unit")) for i, (c, n, u) in enumerate(_CALCULATIONS)])
+    return table(spark, sf_dir, "part").select(F.col("p_type").alias("component")).distinct().select("component", F.inline(items))
+
+
+def _directly(operator):
+    return lambda spark, sf_dir: operator(given_items(spark, sf_dir), given_catalog(spark, sf_dir), attributes(spark, sf_dir), given_calculations(spark, sf_dir))
+
+
+QUERIES["atomic_features"] = lambda spark, sf_dir: D.atomic_features(given_items(spark, sf_dir))
+QUERIES["forced_match"] = _directly(D.forced_match)
+QUERIES["direct_match"] = _directly(D.direct_match)
+_EDGES = "'^[ ：:。.;；,，]+|[ ：:。.;；,，]+$'"
+_GIVEN = rf"""
+given AS (SELECT row_id, split_part(chapter, ' > ', 2) AS type, name, unit, rule AS work, CASE WHEN row_id % 4 = 2 THEN rule ELSE rule END AS rule,
+  CASE row_id % 4 WHEN 0 THEN split_part(chapter, ' > ', 2) WHEN 1 THEN '现浇(' || split_part(chapter, ' > ', 2) || ')构件' WHEN 2 THEN '（' || split_part(chapter, ' > ', 2) || '） ' ELSE 'unknown' END AS given,
+  CASE WHEN row_id % 5 = 4 THEN '' ELSE '1.厚度：' || (row_id % 50) || 'mm、强度等级>=C30' || chr(10) || CASE WHEN row_id % 3 = 0 THEN '' ELSE '2. ' || name || '；a@b' END END AS features FROM bill_rows),
+glines AS (SELECT row_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(translate(features, '　．：', ' .:'), '[ 	]+', ' ', 'g'), '
++', chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM given),
+gbare AS (SELECT row_id, list_transform(ls, lambda x: CASE WHEN regexp_matches(x, '^\s*\d+\s*[.\-]?\s*.+$') THEN regexp_extract(x, '^\s*(\d+)\s*[.\-]?\s*(.+?)\s*$', 2) ELSE x END) AS ls FROM glines),
+gcut AS (SELECT row_id, flatten(list_transform(ls, lambda x: CASE WHEN len(list_filter(list_transform(regexp_split_to_array(x, '[、,，;；/]+'), lambda p: regexp_replace(p, {_EDGES}, '', 'g')), lambda p: p <> '')) > 1
+  THEN list_filter(list_transform(regexp_split_to_array(x, '[、,，;；/]+'), lambda p: regexp_replace(p, {_EDGES}, '', 'g')), lambda p: p <> '') ELSE [x] END)) AS fs FROM gbare),
+atomic AS (SELECT row_id, CAST(generate_subscripts(fs, 1) AS INT) AS feature_order, unnest(fs) AS raw_text FROM gcut)"""
+ORACLE_SQL["atomic_features"] = f"WITH {BILL_ROWS}, {_GIVEN} SELECT row_id, feature_order, raw_text FROM atomic"
+_RULE_CODES = _PREFER.replace("prefer AS", "gprefer AS").replace("FROM bill_rows", "FROM resolved").replace("WHEN {S.unit('unit')} = 'm2'", "WHEN {S.unit('unit')} = 'm2'")
+_RESOLVED = f"""
+gcat AS (SELECT p_type AS component, min(p_partkey) AS pos FROM part GROUP BY 1),
+gname AS (SELECT component, pos, component AS name FROM gcat UNION ALL SELECT component, pos, '预制' || component FROM gcat),
+gkey AS (SELECT key, arg_min(component, pos) AS found, min(pos) AS pos FROM (SELECT component, pos, {S.normalize('name')} AS key FROM gname UNION ALL SELECT component, pos, {S.normalize(S.strip('name'))} FROM gname) WHERE key <> '' GROUP BY 1),
+galias AS (SELECT row_id, arg_min(found, k.pos) AS found FROM given g JOIN gkey k ON k.key IN ({S.normalize('trim(given)')}, {S.normalize(S.strip('trim(given)'))}) GROUP BY 1),
+resolved AS (SELECT g.* EXCLUDE (type), coalesce(e.component, a.found) AS component, CASE WHEN e.component IS NOT NULL THEN 'exact' WHEN a.found IS NOT NULL THEN 'alias' ELSE 'none' END AS basis FROM given g LEFT JOIN gcat e ON e.component = trim(g.given) LEFT JOIN galias a USING (row_id)),
+{_RULE_CODES},
+gcalc(pos, calc_code, calc_name, calc_unit) AS (VALUES {", ".join(f"({i}, '{c}', '{n}', '{u}')" for i, (c, n, u) in enumerate(_CALCULATIONS))}),
+gr AS (SELECT *, CASE codes[1] WHEN 'MBMJ' THEN ['模板', '接触面积'] WHEN 'TJ' THEN ['体积'] WHEN 'MJ' THEN ['面积', '投影面积', '接触面积'] WHEN 'CD' THEN ['长度'] WHEN 'SL' THEN ['数量'] ELSE [] END AS words FROM gprefer WHERE component IS NOT NULL),
+gs AS (SELECT gr.row_id, c.*, round(CASE WHEN list_position(codes, calc_code) > 0 THEN 0.7 - (list_position(codes, calc_code) - 1) * 0.05 ELSE 0 END + CASE WHEN u <> '' AND u = calc_unit THEN 0.25 ELSE 0 END
+  + CASE WHEN len(list_filter(words, lambda w: contains(calc_name, w))) > 0 THEN 0.2 ELSE 0 END + CASE WHEN contains(name, '模板') AND contains(calc_name, '模板') THEN 0.25 ELSE 0 END, 4) AS score FROM gr CROSS JOIN gcalc c),
+gb AS (SELECT * FROM gs WHERE score >= 0.25 QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY score DESC, pos) = 1),
+gg AS (SELECT *, list_filter(codes, lambda x: x IN ('TJ', 'MJ', 'CD', 'SL'))[1] AS generic FROM gr),
+gfinal AS (SELECT gg.row_id, coalesce(calc_code, generic, '') AS calc_code, coalesce(calc_name, CASE generic WHEN 'TJ' THEN '体积' WHEN 'MJ' THEN '面积' WHEN 'CD' THEN '长度' WHEN 'SL' THEN '数量' END, '') AS calc_name,
+  CASE WHEN u <> '' THEN u ELSE coalesce(calc_unit, CASE generic WHEN 'TJ' THEN 'm3' WHEN 'MJ' THEN 'm2' WHEN 'CD' THEN 'm' END, '') END AS calc_unit FROM gg LEFT JOIN gb USING (row_id)),
+gown AS (SELECT a.row_id, component, feature_order, raw_text FROM atomic a JOIN resolved USING (row_id)),
+{_valued('gown')}, {_ATTRIBUTES}, {_best_attributes('feature_values')},
+gcount AS (SELECT row_id, count(*) AS features, count(*) FILTER (matched) AS found, string_agg(expression, '|' ORDER BY feature_order) AS expressions FROM described GROUP BY 1),
+gout AS (SELECT r.row_id, r.component, basis, coalesce(features, 0) AS features, coalesce(found, 0) AS found, coalesce(expressions, '') AS expressions, coalesce(calc_code, '') AS calc_code, coalesce(calc_name, '') AS calc_name, coalesce(calc_unit, '') AS calc_unit
+  FROM (SELECT row_id, component, basis FROM resolved) r LEFT JOIN gcount USING (row_id) LEFT JOIN gfinal USING (row_id))"""
+ORACLE_SQL["forced_match"] = f"WITH {BILL_ROWS}, {_GIVEN}, {_RESOLVED} SELECT * FROM gout"
+ORACLE_SQL["direct_match"] = f"""WITH {BILL_ROWS}, {_GIVEN}, {_RESOLVED}, s AS (SELECT *, CASE WHEN component IS NULL THEN 'unmatched' WHEN found = features AND calc_code <> '' THEN 'matched' WHEN found > 0 THEN 'candidate_only' ELSE 'unmatched' END AS status FROM gout)
+SELECT *, CASE WHEN component IS NULL THEN 0.0::DOUBLE WHEN status = 'matched' THEN 0.9::DOUBLE WHEN status = 'candidate_only' THEN 0.55::DOUBLE ELSE 0.1::DOUBLE END AS confidence FROM s"""
+
+
+def match_rows(spark, sf_dir):
+    """Local matches as rows whose component stands in one of several fields."""
+    k = F.col("row_id")
+    return local_match(spark, sf_dir).select("row_id", F.when(k % 3 == 0, F.col("component")).otherwise(" ").alias("quantity_component"), F.when(k % 3 == 1, F.col("component")).alias("resolved_component_name"), F.when(k % 2 == 0, F.col("name")).otherwise("").alias("component_type"), F.col("status").alias("match_status"))
+
+
+_HANDED = _LOCAL + """, handed AS (SELECT l.row_id, status, coalesce(CASE WHEN l.row_id % 3 < 2 THEN nullif(trim(l.component), '') END, CASE WHEN l.row_id % 2 = 0 THEN nullif(trim(b.name), '') END) AS given FROM local l JOIN bill_rows b USING (row_id))"""
+QUERIES["handoff_items"] = lambda spark, sf_dir: D.handoff_items(match_rows(spark, sf_dir)).select("row_id", "given")
+ORACLE_SQL["handoff_items"] = _HANDED + " SELECT row_id, given FROM handed WHERE given IS NOT NULL AND status IN ('matched', 'candidate_only')"
+QUERIES["skip_counts"] = lambda spark, sf_dir: D.skip_counts(match_rows(spark, sf_dir))
+ORACLE_SQL["skip_counts"] = _HANDED + " SELECT count(*) AS total, count(*) FILTER (given IS NULL) AS no_component, count(*) FILTER (given IS NOT NULL AND status NOT IN ('matched', 'candidate_only')) AS unmatched FROM handed"

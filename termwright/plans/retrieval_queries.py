@@ -13,7 +13,7 @@ QUERIES, ORACLE_SQL = {}, {}
 
 def entries(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), "text", F.when(F.col("doc_id") % 4 != 0, F.col("source")).alias("component"), F.concat(F.lit("step"), (F.col("doc_id") % 4).cast("string")).alias("stage"), "lang", "source"
+        F.col("doc_id").alias("id"), "text", F.concat_ws(" ", "source", "lang").alias("title"), F.when(F.col("doc_id") % 4 != 0, F.col("source")).alias("component"), F.concat(F.lit("step"), (F.col("doc_id") % 4).cast("string")).alias("stage"), "lang", "source"
     )
 
 
@@ -21,7 +21,7 @@ def queries(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text", F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("component"))
 
 
-_ENTRIES = "entries AS (SELECT doc_id AS id, text, CASE WHEN doc_id % 4 <> 0 THEN source END AS component, 'step' || (doc_id % 4) AS stage, lang, source FROM documents)"
+_ENTRIES = "entries AS (SELECT doc_id AS id, text, source || ' ' || lang AS title, CASE WHEN doc_id % 4 <> 0 THEN source END AS component, 'step' || (doc_id % 4) AS stage, lang, source FROM documents)"
 _QUERIES = "queries AS (SELECT item_id AS id, text, 'src' || (item_id % 20) AS component FROM benchmark)"
 _TOKENS = "regexp_extract_all(lower(trim(text)), '[a-z0-9_]+')"
 _COMPACT = "regexp_replace(lower(trim(text)), '\\s+', '', 'g')"
@@ -41,13 +41,20 @@ QUERIES["hashed_embedding"] = lambda spark, sf_dir: R.hashed_vectors(entries(spa
 ORACLE_SQL["hashed_embedding"] = f"WITH {_ENTRIES}, {_vectors('v', 'entries')} SELECT id, bucket, round(weight, 6) AS weight FROM v"
 
 
-def cosine_topk(spark, sf_dir):
-    return R.cosine_topk(R.hashed_vectors(queries(spark, sf_dir)), R.hashed_vectors(entries(spark, sf_dir)), 5)
+def _rounded(x: str) -> str:
+    return f"floor(({x}) * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE"
 
 
-QUERIES["cosine_topk"] = cosine_topk
-_COSINE = f"{_ENTRIES}, {_QUERIES}, {_vectors('v', 'entries')}, {_vectors('q', 'queries')}, cosines AS (SELECT q.id AS query_id, v.id, sum(v.weight * q.weight) AS cosine FROM v JOIN q USING (bucket) GROUP BY 1, 2)"
-ORACLE_SQL["cosine_topk"] = f"WITH {_COSINE} SELECT * FROM (SELECT query_id, id, round(cosine, 4) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 4) DESC, id) AS rank FROM cosines) WHERE rank <= 5"
+def _cosines(name: str, of: str, queries: str = "q") -> str:
+    """(``query_id``, ``id``, ``cosine``) of all pairs, from whole numbers: the sums are exact."""
+    return f"""{name}_n AS (SELECT id, sum(w * w) AS n FROM {of}_s GROUP BY 1),
+{name}_d AS (SELECT q.id AS query_id, v.id, sum(v.w * q.w) AS dot FROM {of}_s v JOIN {queries}_s q USING (bucket) GROUP BY 1, 2),
+{name} AS (SELECT q.id AS query_id, e.id, coalesce(dot::DOUBLE / sqrt((a.n * b.n)::DOUBLE), 0.0::DOUBLE) AS cosine FROM queries q CROSS JOIN (SELECT id FROM {of}_of) e LEFT JOIN {name}_d d ON d.query_id = q.id AND d.id = e.id LEFT JOIN {name}_n a ON a.id = e.id LEFT JOIN (SELECT id, sum(w * w) AS n FROM {queries}_s GROUP BY 1) b ON b.id = q.id)"""
+
+
+QUERIES["cosine_topk"] = lambda spark, sf_dir: R.cosine_topk(queries(spark, sf_dir), entries(spark, sf_dir), 5)
+_COSINE = f"{_ENTRIES}, {_QUERIES}, v_of AS (SELECT id FROM entries), {_vectors('v', 'entries')}, {_vectors('q', 'queries')}, {_cosines('cosines', 'v')}"
+ORACLE_SQL["cosine_topk"] = f"WITH {_COSINE} SELECT * FROM (SELECT query_id, id, {_rounded('cosine')} AS score, row_number() OVER (PARTITION BY query_id ORDER BY {_rounded('cosine')} DESC, id) AS rank FROM cosines) WHERE rank <= 5"
 
 
 def dense_topk(spark, sf_dir):
@@ -56,36 +63,58 @@ def dense_topk(spark, sf_dir):
 
 
 QUERIES["dense_topk"] = dense_topk
-ORACLE_SQL["dense_topk"] = """WITH p AS (SELECT q.vec_id AS query_id, v.vec_id AS id, round(list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)), 4) AS score FROM embeddings v, embeddings q WHERE q.vec_id % 20 = 0)
+ORACLE_SQL["dense_topk"] = f"""WITH p AS (SELECT q.vec_id AS query_id, v.vec_id AS id, {_rounded('list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE))')} AS score FROM embeddings v, embeddings q WHERE q.vec_id % 20 = 0)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM p) WHERE rank <= 5"""
 
-QUERIES["hybrid_score"] = lambda spark, sf_dir: R.scored_entries(queries(spark, sf_dir), entries(spark, sf_dir)).select("query_id", "id", "score")
-QUERIES["query_knowledge"] = lambda spark, sf_dir: R.query_entries(queries(spark, sf_dir), entries(spark, sf_dir))
-_HYBRID = f"""{_COSINE}, h AS (
-  SELECT c.query_id, c.id, round(cosine + least(0.35, 0.03 * len(list_filter(qt.terms, lambda t: contains(lower(e.text), t)))) + CASE WHEN e.component = qt.component THEN 0.18 ELSE 0.0 END + CASE WHEN e.stage LIKE 'step3%' THEN 0.05 ELSE 0.0 END, 4) AS score,
-    least(260, length(trim(regexp_replace(e.text, '\\s+', ' ', 'g')))) AS size, e.component, qt.component AS query_component, e.stage
-  FROM cosines c JOIN entries e ON e.id = c.id JOIN (SELECT id, component, {_ALL} AS terms FROM queries) qt ON qt.id = c.query_id
-), k AS (SELECT * FROM h WHERE NOT (component IS NOT NULL AND query_component IS NOT NULL AND component <> query_component AND regexp_matches(stage, '^step[23]'))),
-w AS (SELECT query_id, id, score, size, row_number() OVER o AS rank, sum(size) OVER (PARTITION BY query_id ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING) AS upto FROM k WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, id))"""
+
+def pages(spark, sf_dir):
+    """The component pages of all entries, as rows that can be searched."""
+    p = R.compile_pages(entries(spark, sf_dir)).where("component is not null")
+    return p.select(F.col("component").alias("id"), F.concat(F.lit("page "), "component").alias("title"), F.col("content").alias("text"), "component")
+
+
+QUERIES["hybrid_score"] = lambda spark, sf_dir: R.top_scored(queries(spark, sf_dir), entries(spark, sf_dir), weights=R.KNOWLEDGE)
+QUERIES["query_knowledge"] = lambda spark, sf_dir: R.query_entries(queries(spark, sf_dir), entries(spark, sf_dir), pages(spark, sf_dir))
+_SHORT80 = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
+_PAGES = f"""k AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY id) AS k, CASE WHEN length({_SHORT80}) > 80 THEN rtrim(substr({_SHORT80}, 1, 79)) || '…' ELSE {_SHORT80} END AS line FROM entries),
+compiled AS (SELECT component, count(*) AS entries, count(DISTINCT stage) AS stages, string_agg('- ' || line, chr(10) ORDER BY id) FILTER (k <= 8) AS content FROM k GROUP BY 1),
+pages AS (SELECT component AS id, 'page ' || component AS title, content AS text, component, 'step2' AS stage FROM compiled WHERE component IS NOT NULL)"""
+
+
+def _hybrid(name: str, of: str, cosines: str) -> str:
+    """The hybrid scores of all pairs of queries and rows of ``of``, those with another component in steps 2 and 3 marked ``other``."""
+    hits = "len(list_filter(qt.terms, lambda t: contains(lower(e.title || chr(10) || e.text), t)))"
+    score = f"cosine + least(0.35::DOUBLE, {hits}::DOUBLE * 0.03::DOUBLE) + CASE WHEN e.component = qt.component THEN 0.18::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN e.stage LIKE 'step3%' THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END"
+    return f"""{name} AS (SELECT c.query_id, c.id, {_rounded(score)} AS score, least(260, length({_SHORT80.replace('text', 'e.text')})) AS size, coalesce(e.component <> qt.component AND regexp_matches(e.stage, '^step[23]'), false) AS other
+  FROM {cosines} c JOIN {of} e ON e.id = c.id JOIN (SELECT id, component, {_ALL} AS terms FROM queries) qt ON qt.id = c.query_id)"""
+
+
+def _budgeted(name: str, of: str, most: int) -> str:
+    return f"""{name}_w AS (SELECT query_id, id, score, size, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, sum(size) OVER (PARTITION BY query_id ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING) AS upto FROM {of} WHERE NOT other),
+{name} AS (SELECT query_id, CAST(id AS VARCHAR) AS id, score, size, rank FROM {name}_w WHERE (rank = 1 OR upto <= 2000) AND rank <= {most})"""
+
+
+_HYBRID = f"{_COSINE}, {_hybrid('h', 'entries', 'cosines')}"
 ORACLE_SQL["hybrid_score"] = f"WITH {_HYBRID} SELECT query_id, id, score FROM h"
-ORACLE_SQL["query_knowledge"] = f"WITH {_HYBRID} SELECT query_id, id, score, size, rank FROM w WHERE (rank = 1 OR upto <= 2000) AND rank <= 8"
+_PAGED = f"{_PAGES}, p_of AS (SELECT id FROM pages), {_vectors('p', 'pages')}, {_cosines('page_cosines', 'p')}, {_hybrid('hp', 'pages', 'page_cosines')}"
+ORACLE_SQL["query_knowledge"] = f"WITH {_HYBRID}, {_PAGED}, {_budgeted('be', 'h', 8)}, {_budgeted('bp', 'hp', 3)} SELECT query_id, 'entry' AS kind, id, score, size, rank FROM be UNION ALL SELECT query_id, 'page', id, score, size, rank FROM bp"
+
+_FACETS = {"step1": 3, "step2": 3, "step0": 1, "page": 2}
 
 
 def retrieve_context(spark, sf_dir):
-    """Top entries of every query in each facet (stage)."""
-    e = entries(spark, sf_dir)
-    scored = R.cosine_all(queries(spark, sf_dir), e).join(e.select("id", "stage"), "id").withColumn("score", F.round("cosine", 4))
-    w = R.Window.partitionBy("query_id", "stage").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(w)).where("rank <= 3").select("query_id", "stage", "id", "score", "rank")
+    """The best entries of three steps and the best component pages for every query."""
+    e = entries(spark, sf_dir).select(F.col("id").cast("string").alias("id"), "text", F.col("stage").alias("facet"))
+    return R.retrieve_context(queries(spark, sf_dir), e.unionByName(pages(spark, sf_dir).select("id", "text", F.lit("page").alias("facet"))), _FACETS)
 
 
 QUERIES["retrieve_context"] = retrieve_context
-ORACLE_SQL["retrieve_context"] = f"WITH {_COSINE} SELECT * FROM (SELECT query_id, stage, id, round(cosine, 4) AS score, row_number() OVER (PARTITION BY query_id, stage ORDER BY round(cosine, 4) DESC, id) AS rank FROM cosines JOIN entries USING (id)) WHERE rank <= 3"
+ORACLE_SQL["retrieve_context"] = f"""WITH {_COSINE}, {_PAGES}, p_of AS (SELECT id FROM pages), {_vectors('p', 'pages')}, {_cosines('page_cosines', 'p')},
+f AS (SELECT query_id, stage AS facet, CAST(id AS VARCHAR) AS id, {_rounded('cosine')} AS score FROM cosines JOIN entries USING (id) UNION ALL SELECT query_id, 'page', id, {_rounded('cosine')} FROM page_cosines)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, facet ORDER BY score DESC, id) AS rank FROM f) WHERE rank <= CASE facet WHEN 'step1' THEN 3 WHEN 'step2' THEN 3 WHEN 'step0' THEN 1 WHEN 'page' THEN 2 ELSE 0 END"""
 
-_SHORT80 = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
 QUERIES["compile_pages"] = lambda spark, sf_dir: R.compile_pages(entries(spark, sf_dir))
-ORACLE_SQL["compile_pages"] = f"""WITH {_ENTRIES}, k AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY id) AS k, CASE WHEN length({_SHORT80}) > 80 THEN rtrim(substr({_SHORT80}, 1, 79)) || '…' ELSE {_SHORT80} END AS line FROM entries)
-SELECT component, count(*) AS entries, count(DISTINCT stage) AS stages, string_agg('- ' || line, chr(10) ORDER BY id) FILTER (k <= 8) AS content FROM k GROUP BY 1"""
+ORACLE_SQL["compile_pages"] = f"WITH {_ENTRIES}, {_PAGES} SELECT component, entries, stages, content FROM compiled"
 
 QUERIES["corpus_pages"] = lambda spark, sf_dir: R.corpus_pages(table(spark, sf_dir, "documents").select(F.col("source").alias("collection"), F.col("lang").alias("source_type"), "text"))
 ORACLE_SQL["corpus_pages"] = "SELECT source AS collection, lang AS source_type, grouping(source, lang) AS level, count(*) AS documents, sum(length(text)) AS characters FROM documents GROUP BY GROUPING SETS ((), (source), (source, lang))"
@@ -154,17 +183,31 @@ r AS (
 SELECT 'gk_' || {S.key('collection', 'path', 'source_ref', 'trim(title)', length=20)} AS entry_id, collection, source_type, trim(title) AS title, content, source_ref, tags, kind, chunk_index FROM r"""
 
 
-def query_corpus(spark, sf_dir):
-    """Only documents of the query's language and of long enough texts, by cosine."""
-    e = entries(spark, sf_dir).where("lang = 'en'")
-    scored = R.cosine_all(queries(spark, sf_dir), e).join(e.select("id", "component"), "id").join(queries(spark, sf_dir).select(F.col("id").alias("query_id"), F.col("component").alias("qc")), "query_id")
-    scored = scored.withColumn("score", F.round(F.col("cosine") + F.when(F.coalesce(F.col("component") == F.col("qc"), F.lit(False)), 0.12).otherwise(0.0), 4))
-    return scored.withColumn("rank", F.row_number().over(R.Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where("rank <= 4").select("query_id", "id", "score", "rank")
+def corpus(spark, sf_dir):
+    """Documents as a corpus: the source is the collection, the language a tag. Queries ask for their source, every second one for a language too."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("title"), "text", F.col("source").alias("component"), F.array("lang").alias("tags"))
+    q = queries(spark, sf_dir).withColumn("tags", F.when(F.col("id") % 2 == 0, F.array(F.lit("en"), F.lit("de"))))
+    p = d.groupBy("component").agg(F.min("text").alias("text")).select(F.col("component").alias("id"), F.lit("page").alias("title"), "text", "component")
+    return q, d, p
+
+
+QUERIES["query_corpus"] = lambda spark, sf_dir: R.query_corpus(*corpus(spark, sf_dir))
+
+
+def _corpus_scores(name: str, of: str, cosines: str, untagged: str) -> str:
+    hits = "len(list_filter(qt.terms, lambda t: contains(lower(e.title || chr(10) || e.text), t)))"
+    common = "len(list_intersect(coalesce(e.tags, []), coalesce(qt.tags, [])))"
+    score = f"cosine + least(0.4::DOUBLE, {hits}::DOUBLE * 0.03::DOUBLE) + CASE WHEN e.component = qt.component THEN 0.12::DOUBLE ELSE 0.0::DOUBLE END + 0.0::DOUBLE + {common}::DOUBLE * 0.06::DOUBLE"
+    return f"""{name} AS (SELECT c.query_id, c.id, {_rounded(score)} AS score, least(260, length({_SHORT80.replace('text', 'e.text')})) AS size, e.component <> qt.component OR (qt.tags IS NOT NULL AND {common} = 0 AND NOT {untagged}) AS other
+  FROM {cosines} c JOIN {of} e ON e.id = c.id JOIN asked qt ON qt.id = c.query_id)"""
 
 
-QUERIES["query_corpus"] = query_corpus
-ORACLE_SQL["query_corpus"] = f"""WITH {_COSINE}, s AS (SELECT c.query_id, c.id, round(cosine + CASE WHEN e.component = q2.component THEN 0.12 ELSE 0.0 END, 4) AS score FROM cosines c JOIN entries e ON e.id = c.id JOIN queries q2 ON q2.id = c.query_id WHERE e.lang = 'en')
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 4"""
+ORACLE_SQL["query_corpus"] = f"""WITH {_QUERIES}, asked AS (SELECT id, component, CASE WHEN id % 2 = 0 THEN ['en', 'de'] END AS tags, list_transform(regexp_extract_all(text, '[A-Za-z0-9_.:-]+|[一-鿿]{{1,8}}'), lambda t: lower(t)) AS terms FROM queries),
+entries AS (SELECT doc_id AS id, lang AS title, text, source AS component, [lang] AS tags FROM documents), pages AS (SELECT source AS id, 'page' AS title, min(text) AS text, source AS component, CAST(NULL AS VARCHAR[]) AS tags FROM documents GROUP BY source),
+v_of AS (SELECT id FROM entries), {_vectors('v', 'entries')}, {_vectors('q', 'queries')}, {_cosines('cosines', 'v')}, {_corpus_scores('h', 'entries', 'cosines', 'false')},
+p_of AS (SELECT id FROM pages), {_vectors('p', 'pages')}, {_cosines('page_cosines', 'p')}, {_corpus_scores('hp', 'pages', 'page_cosines', '(e.tags IS NULL)')},
+{_budgeted('be', 'h', 4)}, pr AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM hp WHERE NOT other)
+SELECT query_id, 'document' AS kind, id, score, rank FROM be UNION ALL SELECT query_id, 'page', id, score, rank FROM pr WHERE rank <= 4"""
 
 
 def budget_contexts(spark, sf_dir):

@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from termwright.operators import matching as M
 from termwright.sources import readers as R
 from termwright.sources.tables import table
 
@@ -112,51 +111,3 @@ def written_back(name, columns, by):
 
 add("write_match", written_back("matches", ["o_orderkey", "o_orderstatus", "o_totalprice"], None), "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 add("refresh_knowledge", written_back("knowledge", ["o_orderkey", "o_orderstatus", "o_totalprice"], "o_orderstatus"), "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
-
-
-def items(spark, sf_dir):
-    """Parts whose component is given: some exactly, some by an alias, some not known."""
-    p = table(spark, sf_dir, "part")
-    given = F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("("), "p_type", F.lit(") "))).otherwise("unknown")
-    return p.select(F.col("p_partkey").alias("row_id"), given.alias("given"), F.col("p_type").alias("component"))
-
-
-def forced_match(spark, sf_dir):
-    """The given component: its exact name first, then its normal form."""
-    from termwright.functions import text as X
-
-    known = table(spark, sf_dir, "part").select(F.col("p_type").alias("known")).distinct()
-    own = items(spark, sf_dir).withColumn("key", X.normalize_text(F.col("given")))
-    exact = own.join(known.withColumn("exact", F.col("known")), own["given"] == F.col("known"), "left").drop("known")
-    both = exact.join(known.select(X.normalize_text(F.col("known")).alias("k"), F.col("known").alias("alias")), F.col("key") == F.col("k"), "left")
-    return both.select("row_id", F.coalesce("exact", "alias").alias("component"), F.when(F.col("exact").isNotNull(), "exact").when(F.col("alias").isNotNull(), "alias").otherwise("none").alias("basis"))
-
-
-add("forced_match", forced_match, "SELECT p_partkey AS row_id, CASE WHEN p_partkey % 3 < 2 THEN p_type END AS component, ['exact', 'alias', 'none'][1 + p_partkey % 3] AS basis FROM part")
-
-
-def atomic(spark, sf_dir):
-    """Features ``a、b`` split into single ones and numbered anew."""
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.concat(F.lit("1."), "p_name", F.lit("、"), "p_brand", F.lit("\n2."), "p_type").alias("features"))
-    f = M.explode_features(p.withColumn("features", F.replace("features", F.lit("、"), F.lit("@"))))
-    w = M.Window.partitionBy("row_id").orderBy("feature_order", "at")
-    return f.select("row_id", "feature_order", F.posexplode(F.split("raw_text", "@")).alias("at", "raw_text")).withColumn("n", F.row_number().over(w)).select("row_id", F.col("n").alias("feature_order"), "raw_text")
-
-
-add("atomic_features", atomic, "SELECT p_partkey AS row_id, 1 AS feature_order, p_name AS raw_text FROM part UNION ALL SELECT p_partkey, 2, p_brand FROM part UNION ALL SELECT p_partkey, 3, p_type FROM part")
-
-
-def direct_match(spark, sf_dir):
-    """All, some or none of an item's features found: 0.9, 0.55 or 0.1."""
-    li = table(spark, sf_dir, "lineitem")
-    g = li.groupBy(F.col("l_partkey").alias("row_id")).agg(F.count("*").alias("features"), F.count_if(F.col("l_returnflag") == "A").alias("found"))
-    status = F.when(F.col("found") == F.col("features"), "matched").when(F.col("found") > 0, "candidate_only").otherwise("unmatched")
-    return g.select("row_id", "features", "found", status.alias("status"), F.when(F.col("found") == F.col("features"), 0.9).when(F.col("found") > 0, 0.55).otherwise(0.1).alias("confidence"))
-
-
-add("direct_match", direct_match, "SELECT l_partkey AS row_id, count(*) AS features, count(*) FILTER (l_returnflag = 'A') AS found, CASE WHEN count(*) FILTER (l_returnflag = 'A') = count(*) THEN 'matched' WHEN count(*) FILTER (l_returnflag = 'A') > 0 THEN 'candidate_only' ELSE 'unmatched' END AS status, CASE WHEN count(*) FILTER (l_returnflag = 'A') = count(*) THEN 0.9 WHEN count(*) FILTER (l_returnflag = 'A') > 0 THEN 0.55 ELSE 0.1 END AS confidence FROM lineitem GROUP BY 1")
-add(
-    "handoff_items",
-    lambda s, d: table(s, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("row_id"), F.coalesce(F.nullif(F.trim(F.when(F.col("o_orderkey") % 2 == 0, " ").otherwise(F.col("o_orderpriority"))), F.lit("")), F.lit("given")).alias("component")),
-    "SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 2 = 0 THEN 'given' ELSE trim(o_orderpriority) END AS component FROM orders WHERE o_orderstatus <> 'P'",
-)
