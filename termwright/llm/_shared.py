@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 #: Rows that a Python task holds as Python objects at once; Arrow batches are cut to it.
 ROWS = 256
 
+#: Things that a Python worker holds on to between batches: the most that one operator uses.
+HELD = 2
+
 _KEPT: dict = {}
+_FOLDER: list = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
         return where
     if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return kept("folder", lambda: tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    if not _FOLDER:
+        _FOLDER.append(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return _FOLDER[0]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -62,10 +68,18 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def kept(key, build: Callable):
-    """What ``build`` makes, made once in each Python worker."""
-    if key not in _KEPT:
-        _KEPT[key] = build()
-    return _KEPT[key]
+    """What ``build`` makes, made once in each Python worker.
+
+    A worker serves one operator after another; it holds the ``HELD`` things used last, so that one operator's
+    vocabulary and words don't stand beside the next one's.
+    """
+    if key in _KEPT:
+        _KEPT[key] = _KEPT.pop(key)
+        return _KEPT[key]
+    while len(_KEPT) >= HELD:
+        del _KEPT[next(iter(_KEPT))]
+    _KEPT[key] = found = build()
+    return found
 
 
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ NONE = np.int64(1) << np.int64(60)
 #: Words of more symbols than this have a tree of their own.
 SIDE_BY_SIDE = 256
 #: Entries of a worker's memory of encoded words; at more it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class MergeTable:
