@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termwright.operators.catalog import first_values, ordered
+from termwright.operators.catalog import first_rows, ordered, synonym_library
 
 
 def audit_items(features: DataFrame) -> DataFrame:
     """One row for each feature: ``component``, ``label``, ``value``, ``attribute``, ``matched``, ``row_id``, ``pos``; the raw text stands for a missing label."""
     return features.select(
-        F.coalesce("component", F.lit("unknown")).alias("component"), F.coalesce(F.nullif("label", F.lit("")), F.col("raw_text")).alias("label"), "value", "attribute", F.coalesce("matched", F.lit(False)).alias("matched"), "row_id", "pos"
+        F.coalesce("component", F.lit("unknown")).alias("component"), F.coalesce(F.nullif("label", F.lit("")), F.col("raw_text")).alias("label"), "value", "attribute", F.coalesce("matched", F.lit(False)).alias("matched"), "row_id", "pos", F.coalesce("raw_text", F.lit("")).alias("raw_text")
     )
 
 
@@ -42,20 +42,59 @@ def top_open_labels(audit: DataFrame, most: int = 30) -> DataFrame:
     return audit.where("kind <> 'matched'").groupBy("label").agg(F.count("*").alias("components")).orderBy(F.desc("components"), "label").limit(most)
 
 
-def gap_analysis(items: DataFrame, most: int = 20) -> DataFrame:
-    """For each component: features, open ones, their share, the rows they are in, and the ``most`` frequent open labels."""
+def top_labels(items: DataFrame, most: int, group: tuple[str, ...] = ("component",)) -> DataFrame:
+    """(``group``, ``labels``): the ``most`` frequent labels of each group with their counts; equal counts go by label."""
+    counts = items.groupBy(*group, "label").count()
+    w = Window.partitionBy(*group).orderBy(F.desc("count"), "label")
+    top = counts.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most)
+    return top.groupBy(*group).agg(F.array_join(ordered(F.concat_ws(":", "label", "count"), F.col("k")), "|").alias("labels"))
+
+
+def gap_analysis(items: DataFrame, most: int = 20, samples: int = 3) -> DataFrame:
+    """For each component: features, open ones, their share, the rows they are in, the ``most`` frequent open labels, and the first ``samples`` raw texts of each of these."""
     total = items.groupBy("component").agg(F.count("*").alias("items"), F.count_if(~F.col("matched")).alias("open"), F.count_distinct(F.when(~F.col("matched"), F.col("row_id"))).alias("rows"))
-    labels = items.where("not matched").groupBy("component", "label").count()
-    w = Window.partitionBy("component").orderBy(F.desc("count"), "label")
-    top = labels.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).groupBy("component").agg(F.array_join(ordered(F.concat_ws(":", "label", "count"), F.col("k")), "|").alias("labels"))
-    return total.join(top, "component", "left").select("component", "items", "open", F.round(F.col("open") / F.col("items"), 3).alias("gap_rate"), "rows", F.coalesce("labels", F.lit("")).alias("labels"))
+    open_ = items.where("not matched")
+    counts = open_.groupBy("component", "label").count()
+    top = counts.withColumn("k", F.row_number().over(Window.partitionBy("component").orderBy(F.desc("count"), "label"))).where(F.col("k") <= most)
+    first = first_rows(open_.where("raw_text <> ''").select("component", "label", "pos", "row_id", "raw_text"), ["component", "label"], [F.col("pos"), F.col("row_id"), F.col("raw_text")], samples)
+    texts = first.groupBy("component", "label").agg(F.array_join(ordered(F.col("raw_text"), F.col("rank")), ",").alias("texts"))
+    told = top.join(texts, ["component", "label"], "left").groupBy("component").agg(
+        F.array_join(ordered(F.concat_ws(":", "label", "count"), F.col("k")), "|").alias("labels"), F.array_join(ordered(F.concat_ws("=", "label", F.coalesce("texts", F.lit(""))), F.col("k")), "|").alias("samples")
+    )
+    rate = F.round(F.col("open") / F.col("items"), 3)
+    return total.join(told, "component", "left").select("component", "items", "open", rate.alias("gap_rate"), "rows", *[F.coalesce(c, F.lit("")).alias(c) for c in ("labels", "samples")])
+
+
+def top_gaps(items: DataFrame, most: int = 30) -> DataFrame:
+    """The open labels that are most frequent overall."""
+    return items.where("not matched").groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(most)
+
 
+def component_profile(matches: DataFrame, items: DataFrame) -> DataFrame:
+    """For each component, and for each of its chapters (``all_chapters`` 0): rows by status, those with a calculation and pending ones, features and how many are matched.
 
-def component_profile(matches: DataFrame) -> DataFrame:
-    """Statuses of each component, and of each component within a chapter, in one pass."""
-    return matches.groupingSets([["component"], ["component", "chapter"]], "component", "chapter").agg(
-        F.grouping("chapter").alias("all_chapters"), F.count("*").alias("rows"), *[F.count_if(F.col("status") == s).alias(s) for s in ("matched", "candidate_only", "unmatched")]
+    A component as a whole also has its share of matched features, its most frequent calculation codes (15) and matched (10) and open labels (20).
+    ``matches`` are (``row_id``, ``component``, ``chapter``, ``status``, ``review``, ``calc_code``), ``items`` (``row_id``, ``label``, ``matched``).
+    """
+    counted = items.groupBy("row_id").agg(F.count("*").alias("features"), F.count_if("matched").alias("found"))
+    own = matches.join(counted, "row_id", "left").withColumns({"features": F.coalesce("features", F.lit(0)), "found": F.coalesce("found", F.lit(0))})
+    calc = F.coalesce("calc_code", F.lit("")) != ""
+    rows = own.groupingSets([["component"], ["component", "chapter"]], "component", "chapter").agg(
+        F.grouping("chapter").alias("all_chapters"),
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("matched", "candidate_only", "unmatched")],
+        F.count_if(calc).alias("with_calculation"),
+        F.count_if(F.col("review") == "pending").alias("pending"),
+        F.sum("features").alias("features"),
+        F.sum("found").alias("found"),
     )
+    codes = top_labels(matches.where(calc).select("component", F.col("calc_code").alias("label")), 15).withColumnRenamed("labels", "codes")
+    told = items.select("row_id", "label", "matched").join(matches.select("row_id", "component"), "row_id")
+    found, open_ = (top_labels(told.where(F.col("matched") == m), n).withColumnRenamed("labels", c) for m, n, c in ((True, 10, "matched_labels"), (False, 20, "open_labels")))
+    tops = rows.where("all_chapters = 1").select("component", F.lit(1).alias("all_chapters")).join(codes, "component", "left").join(found, "component", "left").join(open_, "component", "left")
+    tops = tops.na.fill("", ["codes", "matched_labels", "open_labels"])
+    rate = F.when(F.col("all_chapters") == 1, F.round(F.col("found") / F.greatest("features", F.lit(1)) * 100, 1))
+    return rows.withColumn("feature_rate", rate).join(tops.withColumn("all_chapters", F.col("all_chapters").cast("tinyint")), ["component", "all_chapters"], "left")
 
 
 def with_state(audit: DataFrame, state: DataFrame) -> DataFrame:
@@ -64,9 +103,13 @@ def with_state(audit: DataFrame, state: DataFrame) -> DataFrame:
     return audit.join(latest, ["component", "label"], "left").withColumn("status", F.coalesce("s.status", F.lit("to-fill"))).withColumn("note", F.col("s.note")).withColumn("updated_at", F.col("s.updated_at")).drop("s")
 
 
-def audit_filter(audit: DataFrame, text: str = "", kinds: tuple = (), statuses: tuple = ()) -> DataFrame:
-    """Rows of the given kinds and statuses whose component, label or note holds ``text``, whatever its case."""
+def audit_filter(audit: DataFrame, text: str = "", kinds: tuple = (), statuses: tuple = (), component: str = "", label: str = "") -> DataFrame:
+    """Rows of the given kinds, statuses and component, whose label holds ``label``, and whose component, label or note holds ``text``, whatever the case."""
     out = audit
+    if component:
+        out = out.where(F.col("component") == component)
+    if label:
+        out = out.where(F.lower("label").contains(label.lower()))
     if kinds:
         out = out.where(F.col("kind").isin(*kinds))
     if statuses:
@@ -79,6 +122,15 @@ def audit_export(audit: DataFrame) -> DataFrame:
     return audit.where("status <> 'no-need'").groupBy("component").pivot("status", ["to-fill", "to-confirm", "confirmed"]).count().na.fill(0)
 
 
+def export_items(audit: DataFrame, most: int = 65_535) -> DataFrame:
+    """The rows to fill in, or where there are none all but those that need nothing: ``component``, ``label``, ``kind``, ``status`` and the ``file`` of its component, each of ``most`` rows."""
+    open_ = audit.where("status = 'to-fill'")
+    rows = open_ if open_.limit(1).count() else audit.where("status <> 'no-need'")
+    # A component's labels are distinct: they are as many as the catalogue's, not as the rows.
+    place = F.row_number().over(Window.partitionBy("component").orderBy("label")) - 1
+    return rows.select("component", "label", "kind", "status", F.floor(place / most).alias("file"))
+
+
 def import_diff(filled: DataFrame, audit: DataFrame) -> DataFrame:
     """Filled-in rows against the audit: added, modified or unchanged attributes."""
     a = audit.select("component", "label", F.col("attribute").alias("old"), F.lit(True).alias("known"))
@@ -107,18 +159,24 @@ def wiki_patch_rows(items: DataFrame, audit: DataFrame, most: int = 20) -> DataF
 
 
 def reviewed_upsert(pages: DataFrame, patch: DataFrame) -> DataFrame:
-    """Pages with a reviewed block, which replaces an older one; patches of unknown pages are skipped."""
-    block = patch.groupBy("component").agg(F.array_join(F.array_sort(F.collect_set("label")), "\n- ").alias("labels"))
+    """Pages with a reviewed block, which replaces an older one: the labels of ``patch`` (``component``, ``label``, ``matched``) that are matched, and those that are not; patches of unknown pages are skipped."""
+    listed = lambda test: F.array_join(F.array_sort(F.collect_set(F.when(test, F.col("label")))), "\n- ")
+    block = patch.groupBy("component").agg(listed(F.col("matched")).alias("yes"), listed(~F.col("matched")).alias("no"))
+    part = lambda title, c: F.when(F.col(c) != "", F.concat(F.lit(f"\n{title}\n- "), F.col(c))).otherwise("")
     bare = F.regexp_replace("content", r"(?s)\n<!-- reviewed -->.*?<!-- /reviewed -->", "")
-    new = F.concat(bare, F.lit("\n<!-- reviewed -->\n- "), F.col("labels"), F.lit("\n<!-- /reviewed -->"))
+    new = F.concat(bare, F.lit("\n<!-- reviewed -->"), part("matched:", "yes"), part("open:", "no"), F.lit("\n<!-- /reviewed -->"))
     return pages.join(block, "component", "left").select("component", F.coalesce(new, F.col("content")).alias("content"))
 
 
-def writeback_pages(matches: DataFrame, most: int = 30) -> DataFrame:
-    """A result page for each component: its first ``most`` rows."""
-    w = Window.partitionBy("component").orderBy("row_id")
-    rows = matches.withColumn("k", F.row_number().over(w))
-    return rows.groupBy("component").agg(F.count("*").alias("rows"), F.array_join(ordered(F.when(F.col("k") <= most, F.concat_ws(" ", "row_id", "status")), F.col("k")), "\n").alias("content"))
+def writeback_pages(matches: DataFrame, items: DataFrame, synonyms: DataFrame, most: int = 30, labels: int = 15) -> DataFrame:
+    """(``kind``, ``name``, ``rows``, ``content``): a result page for each component with its first ``most`` rows and its ``labels`` most frequent labels, and a page for each entry of ``synonyms`` (``source``, ``selected``, ``aliases``)."""
+    first = first_rows(matches.select("component", "row_id", "status"), ["component"], [F.col("row_id"), F.col("status")], most)
+    lines = first.groupBy("component").agg(F.array_join(ordered(F.concat_ws(" ", "row_id", "status"), F.col("rank")), "\n").alias("lines"))
+    told = top_labels(items.join(matches.select("row_id", F.col("component").alias("c")), "row_id").select(F.col("c").alias("component"), "label"), labels)
+    own = matches.groupBy("component").agg(F.count("*").alias("rows")).join(lines, "component").join(told, "component", "left")
+    results = own.select(F.lit("results").alias("kind"), F.col("component").alias("name"), "rows", F.concat(F.col("lines"), F.coalesce(F.concat(F.lit("\nlabels: "), F.col("labels")), F.lit(""))).alias("content"))
+    said = F.concat(F.lit("name: "), F.coalesce("selected", F.lit("")), F.lit("\naliases: "), F.array_join("aliases", "|"))
+    return results.unionByName(synonyms.select(F.lit("synonym").alias("kind"), F.col("source").alias("name"), F.size("aliases").cast("long").alias("rows"), said.alias("content")))
 
 
 def review_queue(matches: DataFrame) -> DataFrame:
@@ -131,6 +189,12 @@ def apply_review(mappings: DataFrame) -> DataFrame:
     return mappings.where("not deleted").groupBy("status", "review").agg(F.count("*").alias("mappings"), F.count_distinct("source").alias("sources"))
 
 
+def reviewed_synonyms(mappings: DataFrame, old: DataFrame | None = None) -> DataFrame:
+    """The synonyms after a review: rebuilt from the mappings that stayed, or, with an ``old`` library, the old entries of all sources whose mappings were not deleted one and all."""
+    left = mappings.where("not deleted")
+    return synonym_library(left) if old is None else old.join(left.select("source").distinct(), "source", "left_semi")
+
+
 def edit_records(records: DataFrame, lists: tuple[str, ...] = (), confidence: str = "confidence", deleted: str = "deleted") -> DataFrame:
     """Rows of an editor as records: ``deleted`` ones and those without content are dropped.
 
@@ -150,22 +214,41 @@ def edit_records(records: DataFrame, lists: tuple[str, ...] = (), confidence: st
     return out.where(F.greatest(*says) if len(says) > 1 else says[0])
 
 
+#: Ranks of a row's status and review state; others come after them (fixed values).
+STATUS_RANK, REVIEW_RANK = {"matched": 0, "candidate_only": 1}, {"reviewed": 0, "suggested": 1}
+
+
 def bill_item_summary(matches: DataFrame, features: DataFrame, most: int = 12) -> DataFrame:
-    """For each project code the row of the best status, then confidence, and its first distinct features."""
-    rank = F.struct((F.col("status") == "matched").cast("int").alias("m"), F.col("confidence"), (-F.col("row_id")).alias("r"))
-    best = matches.groupBy("code").agg(F.max_by(F.struct("row_id", "status", "confidence"), rank).alias("b"), F.count("*").alias("rows"))
-    seen = matches.select("row_id", "code").join(features, "row_id").groupBy("code", F.lower(F.trim("raw_text")).alias("folded")).agg(F.min(F.struct("row_id", "feature_order")).alias("first"))
-    top = seen.withColumn("k", F.row_number().over(Window.partitionBy("code").orderBy("first", "folded"))).where(F.col("k") <= most).groupBy("code").agg(F.array_join(ordered(F.col("folded"), F.col("k")), "|").alias("features"))
-    return best.join(top, "code", "left").select("code", "rows", F.col("b.row_id").alias("row_id"), F.col("b.status").alias("status"), F.coalesce("features", F.lit("")).alias("features"))
+    """For each project code its best row, by status, review state, candidate rank and confidence, and its first ``most`` distinct features, in that order of rows.
+
+    ``matches`` are (``row_id``, ``code``, ``status``, ``review``, ``candidate_rank``, ``confidence``), ``features`` (``row_id``, ``feature_order``, ``label``, ``value``, ``expression``). Features are one if label and value
+    are, whatever their case.
+    """
+    ranked = lambda c, ranks: F.coalesce(F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])[F.trim(F.coalesce(c, F.lit("")))], F.lit(2))
+    priority = F.struct(ranked("status", STATUS_RANK).alias("s"), ranked("review", REVIEW_RANK).alias("v"), F.coalesce("candidate_rank", F.lit(9999)).alias("k"), (-F.coalesce("confidence", F.lit(0.0))).alias("c"), F.col("row_id").alias("id"))
+    own = matches.withColumn("priority", priority)
+    best = own.groupBy("code").agg(F.min_by(F.struct("row_id", "status"), "priority").alias("b"), F.count("*").alias("rows"))
+    same = F.lower(F.concat_ws("|", F.coalesce("label", F.lit("")), F.coalesce("value", F.lit(""))))
+    seen = own.select("row_id", "code", "priority").join(features.where("expression <> ''"), "row_id").groupBy("code", same.alias("same")).agg(F.min(F.struct("priority", "feature_order", "expression")).alias("first"))
+    top = seen.withColumn("k", F.row_number().over(Window.partitionBy("code").orderBy("first", "same"))).withColumn("of", F.count("*").over(Window.partitionBy("code"))).where(F.col("k") <= most)
+    told = top.groupBy("code").agg(F.array_join(ordered(F.col("first.expression"), F.col("k")), "|").alias("features"), F.max("of").alias("n_features"))
+    return best.join(told, "code", "left").select("code", "rows", F.col("b.row_id").alias("row_id"), F.col("b.status").alias("status"), F.coalesce("features", F.lit("")).alias("features"), F.coalesce("n_features", F.lit(0)).alias("n_features"))
 
 
 def mapping_rules(bindings: DataFrame, least: int = 3) -> DataFrame:
-    """Confirmed bindings (``component``, ``label``, ``attribute``) as rules: the same in ``least`` components is global, others are the component's own."""
-    spread = bindings.groupBy("label", "attribute").agg(F.count_distinct("component").alias("components"), F.min("component").alias("component"), F.count("*").alias("seen"))
-    wide = spread.where(F.col("components") >= least).select(F.lit("global").alias("scope"), F.lit("").alias("component"), "label", "attribute", "seen")
+    """Confirmed bindings (``component``, ``label``, ``attribute``) as rules: the same in ``least`` components is global, others are the component's own.
+
+    ``aliases`` are the other labels that a component binds to the same attribute (for a global rule, any component).
+    """
     own = bindings.groupBy("component", "label", "attribute").agg(F.count("*").alias("seen"))
+    spread = own.groupBy("label", "attribute").agg(F.count("*").alias("components"), F.sum("seen").alias("seen"))
+    wide = spread.where(F.col("components") >= least).select(F.lit("global").alias("scope"), F.lit("").alias("component"), "label", "attribute", "seen")
     narrow = own.join(wide.select("label", "attribute"), ["label", "attribute"], "left_anti").select(F.lit("component").alias("scope"), "component", "label", "attribute", "seen")
-    return wide.union(narrow)
+    # Labels of an attribute are names from the catalogue's side: few.
+    by_component = own.groupBy("component", "attribute").agg(F.collect_set("label").alias("all"))
+    by_all = own.select("attribute", "label").distinct().groupBy("attribute").agg(F.collect_set("label").alias("all"))
+    others = lambda rows: rows.withColumn("aliases", F.array_join(F.array_sort(F.array_remove("all", F.col("label"))), "|")).drop("all")
+    return others(wide.join(by_all, "attribute")).unionByName(others(narrow.join(by_component, ["component", "attribute"])))
 
 
 def merge_mapping_rules(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -186,9 +269,22 @@ def mapping_override(scores: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def run_audit(summaries: DataFrame) -> DataFrame:
-    """The newest summary of each step, and what is wrong with it."""
-    newest = summaries.groupBy("step").agg(F.max_by(F.struct("run", "status", "total", "matched"), F.struct("modified", "run")).alias("n")).select("step", "n.*")
+    """(``step``, ``run``, ``code``, ``severity``, ``evidence``): the newest summary of each step, and what is wrong with it; a step without fault has one row without code.
+
+    ``summaries`` are (``step``, ``run``, ``modified``, ``status``, ``total``, ``matched``, ``candidate_only``, ``unmatched``, ``synonyms``).
+    """
+    newest = summaries.groupBy("step").agg(F.max_by(F.struct("run", "status", "total", "matched", "candidate_only", "unmatched", "synonyms"), F.struct("modified", "run")).alias("n")).select("step", "n.*")
+    count = lambda c: F.coalesce(F.col(c), F.lit(0))
+    issue = lambda test, code, severity, evidence: F.when(test, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), evidence.alias("evidence")))
+    step, said = F.col("step"), F.concat(F.lit("status="), F.coalesce("status", F.lit("")))
+    backlog = F.concat_ws(" ", F.concat(F.lit("candidate_only="), count("candidate_only").cast("string")), F.concat(F.lit("unmatched="), count("unmatched").cast("string")))
     issues = F.array_compact(
-        F.array(F.when(F.col("status") != "F", "not finished"), F.when(F.col("total") == 0, "empty"), F.when(F.col("matched") < F.col("total") * 0.5, "mostly unmatched"))
+        F.array(
+            issue((step == "step2") & (F.col("status") == "failed"), "STEP2_FAILED", "blocker", said),
+            issue((step == "step3") & (F.col("status") == "completed_local_only"), "STEP3_LOCAL_ONLY", "blocker", F.concat_ws(" ", F.concat(F.lit("matched="), count("matched").cast("string")), backlog)),
+            issue((step == "step3") & (F.trim(F.coalesce("synonyms", F.lit(""))) == ""), "STEP3_NO_SYNONYMS", "warning", F.lit("synonyms is empty")),
+            issue((step == "step3") & (count("candidate_only") + count("unmatched") > 0), "STEP3_REVIEW_BACKLOG", "warning", backlog),
+            issue(count("total") == 0, "EMPTY", "warning", F.lit("total=0")),
+        )
     )
-    return newest.select("step", "run", F.explode_outer(issues).alias("issue"))
+    return newest.select("step", "run", F.explode_outer(issues).alias("i")).select("step", "run", "i.code", "i.severity", "i.evidence")

@@ -22,6 +22,19 @@ def first_values(value: Column, *order: Column) -> Column:
     return F.array_distinct(ordered(value, *order))
 
 
+def distinct_values(df: DataFrame, group: list[str], value: Column, order: Column, name: str) -> DataFrame:
+    """(``group``, ``name``): the distinct values of each group in the order of their first place. A value is reduced to that place before values are gathered, so a hot group gathers no more than it has values."""
+    first = df.where(value.isNotNull()).groupBy(*group, value.alias("__value")).agg(F.min(order).alias("__first"))
+    return first.groupBy(*group).agg(ordered(F.col("__value"), F.col("__first"), F.col("__value")).alias(name))
+
+
+def first_rows(df: DataFrame, group: list[str], order: list[Column], k: int | Column, salts: int = 32) -> DataFrame:
+    """The first ``k`` rows of each group in order, as ``rank``, found within salted parts of the group first: no task sorts a hot group."""
+    rows = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    near = rows.withColumn("__k", F.row_number().over(Window.partitionBy(*group, "__salt").orderBy(*order))).where(F.col("__k") <= k)
+    return near.drop("__k", "__salt").withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= k)
+
+
 def meaningful_attributes(attributes: DataFrame) -> DataFrame:
     """Attributes (``name``, ``code``, ...) without those that every component has."""
     name, code = X.blank_to_empty(F.col("name")), X.blank_to_empty(F.col("code"))
@@ -104,18 +117,24 @@ def coerce_results(raw: DataFrame, column: str = "answer") -> DataFrame:
 
 
 def synonym_library(mappings: DataFrame) -> DataFrame:
-    """Mappings grouped by source: aliases in order of appearance, first selected name, last status, review states."""
+    """Mappings grouped by source: aliases in order of appearance, the chapters and types they stand in, first selected name, last status, review states.
+
+    ``mappings`` are (``source``, ``pos``, ``selected``, ``candidates``, ``status``, ``review``) and, if there are such columns, ``chapter`` and ``type``.
+    """
     generic = ("面积", "周长", "体积", "长度", "高度", "厚度", "宽度", "数量", "重量", "净面积", "外放面积")
     alias = F.col("alias")
     aliases = mappings.where("status in ('matched', 'candidate_only', 'conflict')").select("source", "pos", F.posexplode(F.array_compact(F.concat(F.array("selected"), F.col("candidates")))).alias("at", "alias"))
-    aliases = aliases.where((F.trim(alias) != "") & (alias != F.col("source")) & ~alias.isin(*generic)).groupBy("source").agg(first_values(alias, F.col("pos"), F.col("at")).alias("aliases"))
-    rest = mappings.groupBy("source").agg(
-        F.min_by(F.when(F.col("selected").isNotNull(), F.col("selected")), F.when(F.col("selected").isNotNull(), F.col("pos"))).alias("selected"),
-        F.max_by("status", "pos").alias("status"),
-        first_values(F.col("review"), F.col("pos")).alias("reviews"),
-        F.count("*").alias("mappings"),
+    aliases = aliases.where((F.trim(alias) != "") & (alias != F.col("source")) & ~alias.isin(*generic))
+    out = mappings.groupBy("source").agg(
+        F.min_by(F.when(F.col("selected").isNotNull(), F.col("selected")), F.when(F.col("selected").isNotNull(), F.col("pos"))).alias("selected"), F.max_by("status", "pos").alias("status"), F.count("*").alias("mappings")
     )
-    return rest.join(aliases, "source", "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
+    out = out.join(distinct_values(mappings, ["source"], F.col("review"), F.col("pos"), "reviews"), "source", "left")
+    out = out.join(distinct_values(aliases, ["source"], alias, F.struct("pos", "at"), "aliases"), "source", "left")
+    for column, name in (("chapter", "chapters"), ("type", "types")):
+        if column in mappings.columns:
+            out = out.join(distinct_values(mappings.where(F.trim(column) != ""), ["source"], F.col(column), F.col("pos"), name), "source", "left")
+    none = F.array().cast("array<string>")
+    return out.withColumns({c: F.coalesce(c, none) for c in ("reviews", "aliases", "chapters", "types") if c in out.columns})
 
 
 def synonym_bridges(synonyms: DataFrame, components: DataFrame) -> DataFrame:

@@ -288,8 +288,11 @@ def local_match(rows: DataFrame, catalog: DataFrame, index: DataFrame) -> DataFr
 
 
 def match_statistics(matches: DataFrame) -> DataFrame:
-    """Totals by status."""
+    """Totals by status; of the rows with ``features`` and with a ``calc_code`` too, where there are such columns."""
+    has = lambda c, test: [F.count_if(test).alias(f"with_{c}")] if c in matches.columns else []
     return matches.agg(
+        *has("features", ~F.trim(F.coalesce(F.col("features").cast("string"), F.lit(""))).isin("", "0")),
+        *has("calc_code", F.coalesce("calc_code", F.lit("")) != ""),
         F.count("*").alias("total"),
         F.count_if(F.col("status") == "matched").alias("matched"),
         F.count_if(F.col("status") == "candidate_only").alias("candidate_only"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from termwright.functions import text as X
 from termwright.functions.found import automaton
+from termwright.operators.catalog import first_rows, ordered
 
 #: Buckets of a hashed vector.
 DIM = 192
@@ -415,19 +416,63 @@ def corpus_documents(files: DataFrame, content_fields: tuple[str, ...] = (), met
     return out.select(F.concat(F.lit("gk_"), X.stable_key(F.col("collection"), F.col("path"), F.col("source_ref"), F.col("title"), length=20)).alias("entry_id"), "collection", "source_type", "title", "content", "path", "source_ref", "tags", "metadata")
 
 
-def compile_pages(entries: DataFrame, samples: int = 8) -> DataFrame:
-    """A page for each component: counts and its first ``samples`` entries, by id."""
-    first = entries.withColumn("k", F.row_number().over(Window.partitionBy("component").orderBy("id")))
-    line = F.when(F.col("k") <= samples, F.struct("id", X.shorten(F.col("text"), 80).alias("line")))
-    pages = first.groupBy("component").agg(F.count("*").alias("entries"), F.size(F.collect_set("stage")).cast("long").alias("stages"), F.array_sort(F.collect_list(line)).alias("lines"))
-    return pages.select("component", "entries", "stages", F.array_join(F.transform("lines", lambda x: F.concat(F.lit("- "), x["line"])), "\n").alias("content"))
+#: Entries of each step that a component page shows, those of a chapter page and of a pattern, and the entries a chapter must have (fixed values).
+SHOWN, CHAPTER_SHOWN, PATTERN_SHOWN, CHAPTER_LEAST = {"step2": 8, "step3": 10, "step1": 6}, 10, 6, 2
 
 
-def corpus_pages(documents: DataFrame) -> DataFrame:
-    """Counts overall, for each collection, and for each collection and type, in one pass."""
-    return documents.groupingSets([[], ["collection"], ["collection", "source_type"]], "collection", "source_type").agg(
-        F.grouping_id().alias("level"), F.count("*").alias("documents"), F.sum(F.length("text")).alias("characters")
+def compile_pages(entries: DataFrame) -> DataFrame:
+    """(``page_type``, ``name``, ``entries``, ``content``) of entries (``id``, ``title``, ``text``, ``component``, ``chapter``, ``stage``), shown in order of ``id``.
+
+    A page for each component with its first entries of steps 2, 3 and 1; for each chapter of two entries or more with its first
+    ten; a pattern of step 3 for each component with its first six; and an overview with the entries of each step.
+    """
+    step = F.regexp_extract("stage", "^(step[0-9])", 1)
+    own = entries.withColumn("step", step)
+    line = lambda n: F.concat(F.lit("- "), F.col("title"), F.lit(": "), X.shorten(F.col("text"), n))
+    filled = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
+    order = [F.col("id")]
+    most = F.create_map(*[F.lit(x) for kv in SHOWN.items() for x in kv])
+
+    told = first_rows(own.where(filled("component") & F.col("step").isin(*SHOWN)).select("component", "step", "id", line(220).alias("line")), ["component", "step"], order, most[F.col("step")])
+    parts = told.groupBy("component", "step").agg(F.array_join(ordered(F.col("line"), F.col("rank")), "\n").alias("lines"))
+    at = F.array_position(F.array(*map(F.lit, SHOWN)), F.col("step"))
+    sections = parts.groupBy("component").agg(F.array_join(ordered(F.concat(F.lit("## "), F.col("step"), F.lit("\n"), F.col("lines")), at), "\n").alias("content"))
+    pages = own.where(filled("component")).groupBy("component").agg(F.count("*").alias("entries")).join(sections, "component", "left")
+    out = pages.select(F.lit("component").alias("page_type"), F.col("component").alias("name"), "entries", F.coalesce("content", F.lit("")).alias("content"))
+
+    def page(kind: str, rows: DataFrame, by: str, shown: int, length: int, least: int) -> DataFrame:
+        first = first_rows(rows.select(by, "id", line(length).alias("line")), [by], order, shown)
+        lines = first.groupBy(by).agg(F.array_join(ordered(F.col("line"), F.col("rank")), "\n").alias("content"))
+        return rows.groupBy(by).agg(F.count("*").alias("entries")).where(F.col("entries") >= least).join(lines, by).select(F.lit(kind).alias("page_type"), F.col(by).alias("name"), "entries", "content")
+
+    out = out.unionByName(page("chapter", own.where(filled("chapter")), "chapter", CHAPTER_SHOWN, 180, CHAPTER_LEAST))
+    out = out.unionByName(page("pattern", own.where(filled("component") & (F.col("step") == "step3")), "component", PATTERN_SHOWN, 140, 1))
+    counts = own.groupBy("step").agg(F.count("*").alias("n"))
+    overview = counts.agg(F.sum("n").alias("entries"), F.array_join(ordered(F.concat_ws(": ", "step", "n"), F.col("step")), "\n").alias("content")).where("entries is not null")
+    return out.unionByName(overview.select(F.lit("overview").alias("page_type"), F.lit("").alias("name"), "entries", "content"))
+
+
+def corpus_pages(documents: DataFrame, tags: int = 20, samples: int = 20, refs: int = 50) -> DataFrame:
+    """(``page_type``, ``name``, ``documents``, ``characters``, ``tags``, ``samples``, ``refs``): an overview, and a page for each collection, tag and type of the documents.
+
+    ``documents`` are (``id``, ``title``, ``text``, ``collection``, ``source_type``, ``tags``). A page has its most frequent ``tags`` with counts, the titles of its first
+    ``samples`` documents by id, and the ids of its first ``refs``, numbers of which are arguments.
+    """
+    own = documents.select("id", "title", F.length("text").alias("size"), "collection", "source_type", F.coalesce("tags", F.array().cast("array<string>")).alias("tags"))
+    of = lambda kind, name: F.struct(F.lit(kind).alias("page_type"), name.alias("name"))
+    pages = F.concat(
+        F.array(of("overview", F.lit("")), of("collection", F.col("collection")), of("type", F.col("source_type"))), F.transform(F.array_distinct("tags"), lambda t: F.struct(F.lit("tag").alias("page_type"), t.alias("name")))
     )
+    rows = own.select("id", "title", "size", "tags", F.inline(pages)).where("name is not null")
+    page = ["page_type", "name"]
+    counts = rows.groupBy(*page).agg(F.count("*").alias("documents"), F.sum("size").alias("characters"))
+    used = rows.select(*page, F.explode(F.array_distinct("tags")).alias("tag")).groupBy(*page, "tag").agg(F.count("*").alias("n"))
+    top = used.withColumn("k", F.row_number().over(Window.partitionBy(*page).orderBy(F.desc("n"), "tag"))).where(F.col("k") <= tags)
+    top = top.groupBy(*page).agg(F.array_join(ordered(F.concat_ws(":", "tag", "n"), F.col("k")), "|").alias("tags"))
+    first = first_rows(rows.select(*page, "id", "title"), page, [F.col("id")], max(samples, refs))
+    shown = lambda c, most: F.array_join(ordered(F.when(F.col("rank") <= most, F.col(c).cast("string")), F.col("rank")), "|")
+    told = first.groupBy(*page).agg(shown("title", samples).alias("samples"), shown("id", refs).alias("refs"))
+    return counts.join(told, page).join(top, page, "left").withColumn("tags", F.coalesce("tags", F.lit("")))
 
 
 def budget_contexts(requests: DataFrame, pages: DataFrame, budget: int) -> DataFrame:

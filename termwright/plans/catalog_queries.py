@@ -115,8 +115,9 @@ CASE WHEN event_id % 5 = 0 THEN 0.25 WHEN event_id % 3 = 0 THEN 0.7 WHEN event_i
 
 
 def synonym_library(spark, sf_dir):
-    lib = K.synonym_library(mappings(spark, sf_dir))
-    return lib.withColumn("aliases", F.array_join("aliases", "|")).withColumn("reviews", F.array_join("reviews", "|"))
+    own = mappings(spark, sf_dir).withColumn("chapter", F.concat(F.lit("ch"), (F.col("pos") % 7).cast("string"))).withColumn("type", F.when(F.col("pos") % 3 > 0, F.concat(F.lit("t"), (F.col("pos") % 3).cast("string"))).otherwise(" "))
+    lib = K.synonym_library(own)
+    return lib.select("source", "selected", "status", "mappings", *[F.array_join(c, "|").alias(c) for c in ("aliases", "reviews", "chapters", "types")])
 
 
 QUERIES["synonym_library"] = synonym_library
@@ -127,7 +128,9 @@ al2 AS (SELECT source, string_agg(alias, '|' ORDER BY first, alias) AS aliases F
 rv AS (SELECT source, string_agg(review, '|' ORDER BY first, review) AS reviews FROM (SELECT source, review, min(pos) AS first FROM normal GROUP BY 1, 2) GROUP BY 1),
 synonyms AS (SELECT n.source, arg_min(selected, pos) FILTER (selected IS NOT NULL) AS selected, arg_max(status, pos) AS status, any_value(rv.reviews) AS reviews, count(*) AS mappings, coalesce(any_value(al2.aliases), '') AS aliases
 FROM normal n LEFT JOIN rv USING (source) LEFT JOIN al2 USING (source) GROUP BY 1)"""
-ORACLE_SQL["synonym_library"] = f"WITH {_SYNONYMS} SELECT source, selected, status, reviews, mappings, aliases FROM synonyms"
+_FIRST = lambda value, test: f"(SELECT source, string_agg(v, '|' ORDER BY first) AS v FROM (SELECT source, {value} AS v, min(pos) AS first FROM normal WHERE {test} GROUP BY 1, 2) GROUP BY 1)"
+_NODES = f"chs AS (SELECT source, v AS chapters FROM {_FIRST(chr(39) + 'ch' + chr(39) + ' || (pos % 7)', 'true')}), tys AS (SELECT s.source, coalesce(v, '') AS types FROM (SELECT DISTINCT source FROM normal) s LEFT JOIN {_FIRST(chr(39) + 't' + chr(39) + ' || (pos % 3)', 'pos % 3 > 0')} f USING (source))"
+ORACLE_SQL["synonym_library"] = f"WITH {_SYNONYMS}, {_NODES} SELECT source, selected, status, reviews, mappings, aliases, chapters, types FROM synonyms LEFT JOIN chs USING (source) LEFT JOIN tys USING (source)"
 
 
 def synonym_bridges(spark, sf_dir):

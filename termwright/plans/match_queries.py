@@ -151,7 +151,7 @@ _STATUS = "CASE WHEN score IS NULL THEN 'unmatched' WHEN score >= 0.8 AND basis
 _LOCAL = _RANKED + f", local AS (SELECT b.row_id, r.component, r.score, r.basis, {_STATUS} AS status FROM bill_rows b LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) r USING (row_id))"
 ORACLE_SQL["local_match"] = _LOCAL + " SELECT row_id, component, score, basis, status FROM local"
 QUERIES["match_statistics"] = lambda spark, sf_dir: M.match_statistics(local_match(spark, sf_dir))
-ORACLE_SQL["match_statistics"] = _LOCAL + " SELECT count(*) AS total, count(*) FILTER (status = 'matched') AS matched, count(*) FILTER (status = 'candidate_only') AS candidate_only, count(*) FILTER (status = 'unmatched') AS unmatched, count(DISTINCT component) AS components FROM local"
+ORACLE_SQL["match_statistics"] = _LOCAL + " SELECT count(*) AS total, count(*) FILTER (status = 'matched') AS matched, count(*) FILTER (status = 'candidate_only') AS candidate_only, count(*) FILTER (status = 'unmatched') AS unmatched, count(DISTINCT component) AS components, count(*) FILTER (trim(features) <> '') AS with_features FROM local JOIN bill_rows USING (row_id)"
 QUERIES["unmatched_report"] = lambda spark, sf_dir: local_match(spark, sf_dir).where("status = 'unmatched'").select("row_id", "name", F.lit("no candidate reached the least score").alias("reason"))
 ORACLE_SQL["unmatched_report"] = _LOCAL + " SELECT row_id, name, 'no candidate reached the least score' AS reason FROM local JOIN bill_rows USING (row_id) WHERE status = 'unmatched'"
 QUERIES["confidence_bands"] = lambda spark, sf_dir: local_match(spark, sf_dir).select("row_id", F.when((F.col("score") >= 0.85) & F.col("basis").isin(*C.STRONG_BASES), "A").when(F.col("score") >= 0.65, "B").otherwise("C").alias("band"))

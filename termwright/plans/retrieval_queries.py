@@ -13,7 +13,7 @@ QUERIES, ORACLE_SQL = {}, {}
 
 def entries(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), "text", F.concat_ws(" ", "source", "lang").alias("title"), F.when(F.col("doc_id") % 4 != 0, F.col("source")).alias("component"), F.concat(F.lit("step"), (F.col("doc_id") % 4).cast("string")).alias("stage"), "lang", "source"
+        F.col("doc_id").alias("id"), "text", F.concat_ws(" ", "source", "lang").alias("title"), F.when(F.col("doc_id") % 4 != 0, F.col("source")).alias("component"), F.concat(F.lit("step"), (F.col("doc_id") % 4).cast("string")).alias("stage"), "lang", "source", F.col("lang").alias("chapter")
     )
 
 
@@ -21,7 +21,7 @@ def queries(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text", F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("component"))
 
 
-_ENTRIES = "entries AS (SELECT doc_id AS id, text, source || ' ' || lang AS title, CASE WHEN doc_id % 4 <> 0 THEN source END AS component, 'step' || (doc_id % 4) AS stage, lang, source FROM documents)"
+_ENTRIES = "entries AS (SELECT doc_id AS id, text, source || ' ' || lang AS title, CASE WHEN doc_id % 4 <> 0 THEN source END AS component, 'step' || (doc_id % 4) AS stage, lang, source, lang AS chapter FROM documents)"
 _QUERIES = "queries AS (SELECT item_id AS id, text, 'src' || (item_id % 20) AS component FROM benchmark)"
 _TOKENS = "regexp_extract_all(lower(trim(text)), '[a-z0-9_]+')"
 _COMPACT = "regexp_replace(lower(trim(text)), '\\s+', '', 'g')"
@@ -69,16 +69,24 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score
 
 def pages(spark, sf_dir):
     """The component pages of all entries, as rows that can be searched."""
-    p = R.compile_pages(entries(spark, sf_dir)).where("component is not null")
-    return p.select(F.col("component").alias("id"), F.concat(F.lit("page "), "component").alias("title"), F.col("content").alias("text"), "component")
+    p = R.compile_pages(entries(spark, sf_dir)).where("page_type = 'component'")
+    return p.select(F.col("name").alias("id"), F.concat(F.lit("page "), "name").alias("title"), F.col("content").alias("text"), F.col("name").alias("component"))
 
 
 QUERIES["hybrid_score"] = lambda spark, sf_dir: R.top_scored(queries(spark, sf_dir), entries(spark, sf_dir), weights=R.KNOWLEDGE)
 QUERIES["query_knowledge"] = lambda spark, sf_dir: R.query_entries(queries(spark, sf_dir), entries(spark, sf_dir), pages(spark, sf_dir))
 _SHORT80 = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
-_PAGES = f"""k AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY id) AS k, CASE WHEN length({_SHORT80}) > 80 THEN rtrim(substr({_SHORT80}, 1, 79)) || '…' ELSE {_SHORT80} END AS line FROM entries),
-compiled AS (SELECT component, count(*) AS entries, count(DISTINCT stage) AS stages, string_agg('- ' || line, chr(10) ORDER BY id) FILTER (k <= 8) AS content FROM k GROUP BY 1),
-pages AS (SELECT component AS id, 'page ' || component AS title, content AS text, component, 'step2' AS stage FROM compiled WHERE component IS NOT NULL)"""
+
+
+def _line(n: int) -> str:
+    return f"'- ' || title || ': ' || CASE WHEN length({_SHORT80}) > {n} THEN rtrim(substr({_SHORT80}, 1, {n - 1})) || '…' ELSE {_SHORT80} END"
+
+
+_PAGES = f"""k AS (SELECT *, row_number() OVER (PARTITION BY component, stage ORDER BY id) AS k, CASE stage WHEN 'step2' THEN 8 WHEN 'step3' THEN 10 WHEN 'step1' THEN 6 ELSE 0 END AS most, CASE stage WHEN 'step2' THEN 1 WHEN 'step3' THEN 2 ELSE 3 END AS place FROM entries WHERE component IS NOT NULL),
+sections AS (SELECT component, place, '## ' || any_value(stage) || chr(10) || string_agg({_line(220)}, chr(10) ORDER BY id) AS section FROM k WHERE k <= most GROUP BY 1, 2),
+cp AS (SELECT component, string_agg(section, chr(10) ORDER BY place) AS content FROM sections GROUP BY 1),
+compiled AS (SELECT 'component' AS page_type, component AS name, count(*) AS entries, coalesce(any_value(content), '') AS content FROM k LEFT JOIN cp USING (component) GROUP BY 2),
+pages AS (SELECT name AS id, 'page ' || name AS title, content AS text, name AS component, 'step2' AS stage FROM compiled)"""
 
 
 def _hybrid(name: str, of: str, cosines: str) -> str:
@@ -114,10 +122,24 @@ f AS (SELECT query_id, stage AS facet, CAST(id AS VARCHAR) AS id, {_rounded('cos
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, facet ORDER BY score DESC, id) AS rank FROM f) WHERE rank <= CASE facet WHEN 'step1' THEN 3 WHEN 'step2' THEN 3 WHEN 'step0' THEN 1 WHEN 'page' THEN 2 ELSE 0 END"""
 
 QUERIES["compile_pages"] = lambda spark, sf_dir: R.compile_pages(entries(spark, sf_dir))
-ORACLE_SQL["compile_pages"] = f"WITH {_ENTRIES}, {_PAGES} SELECT component, entries, stages, content FROM compiled"
+ORACLE_SQL["compile_pages"] = f"""WITH {_ENTRIES}, {_PAGES}, ch AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY id) AS n FROM entries), pt AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY id) AS n FROM entries WHERE component IS NOT NULL AND stage = 'step3')
+SELECT * FROM compiled UNION ALL SELECT 'chapter', chapter, count(*), string_agg({_line(180)}, chr(10) ORDER BY id) FILTER (n <= 10) FROM ch GROUP BY 2 HAVING count(*) >= 2
+UNION ALL SELECT 'pattern', component, count(*), string_agg({_line(140)}, chr(10) ORDER BY id) FILTER (n <= 6) FROM pt GROUP BY 2
+UNION ALL SELECT 'overview', '', sum(n)::BIGINT, string_agg(stage || ': ' || n, chr(10) ORDER BY stage) FROM (SELECT stage, count(*) AS n FROM entries GROUP BY 1)"""
+
+
+def tagged(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("title"), "text", F.col("source").alias("collection"), F.col("lang").alias("source_type"), F.array(F.concat(F.lit("t"), (F.col("doc_id") % 30).cast("string")), F.col("lang"), F.col("lang")).alias("tags"))
+
 
-QUERIES["corpus_pages"] = lambda spark, sf_dir: R.corpus_pages(table(spark, sf_dir, "documents").select(F.col("source").alias("collection"), F.col("lang").alias("source_type"), "text"))
-ORACLE_SQL["corpus_pages"] = "SELECT source AS collection, lang AS source_type, grouping(source, lang) AS level, count(*) AS documents, sum(length(text)) AS characters FROM documents GROUP BY GROUPING SETS ((), (source), (source, lang))"
+QUERIES["corpus_pages"] = lambda spark, sf_dir: R.corpus_pages(tagged(spark, sf_dir))
+ORACLE_SQL["corpus_pages"] = """WITH d AS (SELECT doc_id AS id, length(text) AS size, source, lang, ['t' || (doc_id % 30), lang] AS tags FROM documents),
+r AS (SELECT id, size, tags, 'overview' AS page_type, '' AS name FROM d UNION ALL SELECT id, size, tags, 'collection', source FROM d UNION ALL SELECT id, size, tags, 'type', lang FROM d UNION ALL SELECT id, size, tags, 'tag', unnest(tags) FROM d),
+k AS (SELECT *, row_number() OVER (PARTITION BY page_type, name ORDER BY id) AS k FROM r),
+u AS (SELECT page_type, name, tag, count(*) AS n, row_number() OVER (PARTITION BY page_type, name ORDER BY count(*) DESC, tag) AS k FROM (SELECT page_type, name, unnest(tags) AS tag FROM r) GROUP BY 1, 2, 3),
+t AS (SELECT page_type, name, string_agg(tag || ':' || n, '|' ORDER BY k) AS tags FROM u WHERE k <= 20 GROUP BY 1, 2)
+SELECT k.page_type, k.name, count(*) AS documents, sum(size)::BIGINT AS characters, any_value(t.tags) AS tags, string_agg('d' || id, '|' ORDER BY k) FILTER (k <= 20) AS samples, string_agg(id::VARCHAR, '|' ORDER BY k) FILTER (k <= 50) AS refs FROM k JOIN t ON t.page_type = k.page_type AND t.name = k.name GROUP BY 1, 2"""
 
 
 def collect_entries(spark, sf_dir):

@@ -18,8 +18,12 @@ def add(name, query, sql):
 
 
 def folder(spark, name):
-    """A new place in ``spark.checkpoint.dir``, or in a local folder where none is set."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A new place in ``spark.checkpoint.dir``, or in a local folder where none is set and the session is local."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -62,7 +66,11 @@ add(
     """SELECT code, region_id, path, title, name, 'm2' AS unit FROM (SELECT CAST(p_partkey % 700 AS VARCHAR) AS code, p_brand || '/' || p_type AS region_id, p_brand || ' > ' || p_type AS path, '表' || replace(p_type, ' ', '') AS title, p_name AS name,
 row_number() OVER (PARTITION BY p_partkey % 700 ORDER BY p_brand || '/' || p_type, p_partkey) AS k FROM part) WHERE k = 1""",
 )
-add("chapter_packages", lambda s, d: R.chapter_packages(regions(s, d)), "WITH c AS (SELECT p_brand AS chapter, CAST(min(p_partkey) AS INT) AS first_page, CAST(max(p_partkey) AS INT) AS last_page, count(DISTINCT p_type) AS regions, count(DISTINCT p_type) AS tables FROM part GROUP BY 1) SELECT *, dense_rank() OVER (ORDER BY first_page, chapter) AS number FROM c")
+add(
+    "chapter_packages",
+    lambda s, d: R.chapter_packages(regions(s, d).withColumn("path", F.transform("path", lambda x: F.replace(x, F.lit("Brand#"), F.lit("附录 A"))).cast("array<string>")).where("path[0] not like '附录 A1%'").unionByName(regions(s, d))),
+    "WITH c AS (SELECT replace(p_brand, 'Brand#', '附录 A') AS chapter, CAST(min(p_partkey) AS INT) AS first_page, CAST(max(p_partkey) AS INT) AS last_page, count(DISTINCT p_type) AS regions, count(DISTINCT p_type) AS tables FROM part WHERE p_brand NOT LIKE 'Brand#1%' GROUP BY 1) SELECT *, CAST(row_number() OVER (ORDER BY first_page, chapter) AS INT) AS number FROM c",
+)
 add("load_chapters", lambda s, d: R.load_chapters(regions(s, d), table(s, d, "part").select(F.col("p_brand").alias("title")), "^Brand#[12]").select("region_id", "chapter"), "SELECT DISTINCT p_brand || '/' || p_type AS region_id, p_brand AS chapter FROM part WHERE regexp_matches(p_brand, '^Brand#[12]')")
 add("chapter_texts", lambda s, d: R.chapter_texts(regions(s, d)), "SELECT p_brand AS chapter, string_agg(p_type, chr(10) ORDER BY f) AS text FROM (SELECT p_brand, p_type, min(p_partkey) AS f FROM part GROUP BY 1, 2) GROUP BY 1")
 
@@ -81,6 +89,15 @@ def read_corpus_files(spark, sf_dir):
 add("read_corpus_files", read_corpus_files, "SELECT source, count(*) AS lines, sum(octet_length(encode(text)) + 1) AS bytes FROM documents GROUP BY 1")
 
 
+def skipped_files(spark, sf_dir):
+    """Files of one source each, told apart by a size that some pass."""
+    sizes = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum(F.octet_length("text") + 1).alias("n"))
+    return R.skipped_files(spark, corpus(spark, sf_dir, "skipped"), sizes.agg(F.expr("CAST(avg(n) AS BIGINT)")).collect()[0][0])
+
+
+add("skipped_files", skipped_files, "WITH s AS (SELECT source, sum(octet_length(encode(text)) + 1)::BIGINT AS n FROM documents GROUP BY 1), a AS (SELECT CAST(floor(avg(n)) AS BIGINT) AS most FROM s) SELECT count(*) AS files, coalesce(sum(n), 0)::BIGINT AS bytes FROM s, a WHERE n > most")
+
+
 def read_manifest(spark, sf_dir):
     path = corpus(spark, sf_dir, "manifest")
     m = R.read_manifest(spark, [{"path": f"{path}/source=src{i}", "collection": f"c{i}", "tags": ["t", str(i)], "glob": "*.txt"} for i in (1, 2)])

@@ -35,11 +35,15 @@ def flatten_bill_rows(regions: DataFrame) -> DataFrame:
     return rows.groupBy("code").agg(F.min_by(F.struct("region_id", "path", "title", "name", "unit"), F.struct("region_id", "table_pos", "row_pos")).alias("r")).select("code", "r.*")
 
 
-def chapter_packages(regions: DataFrame) -> DataFrame:
-    """Totals for each first path element; chapters are numbered by their first page."""
+#: The titles of bill chapters (fixed value).
+BILL_CHAPTER = r"(?i)^附录\s*[A-Z]"
+
+
+def chapter_packages(regions: DataFrame, pattern: str = BILL_CHAPTER) -> DataFrame:
+    """Totals for each first path element that is a bill chapter by ``pattern``; those chapters are numbered from 1 by their first page, without gaps."""
     c = regions.groupBy(F.get("path", F.lit(0)).alias("chapter")).agg(F.min("page_start").alias("first_page"), F.max("page_end").alias("last_page"), F.count("*").alias("regions"), F.sum(F.size("tables")).alias("tables"))
-    # One row for each chapter.
-    return c.withColumn("number", F.dense_rank().over(Window.orderBy("first_page", "chapter")))
+    # One row for each chapter of a standard: their titles are few, whatever the pages.
+    return c.where(F.col("chapter").rlike(pattern)).withColumn("number", F.row_number().over(Window.orderBy("first_page", "chapter")))
 
 
 def load_chapters(regions: DataFrame, index: DataFrame, pattern: str) -> DataFrame:
@@ -49,7 +53,7 @@ def load_chapters(regions: DataFrame, index: DataFrame, pattern: str) -> DataFra
 
 
 def read_corpus_files(spark: SparkSession, path: str, glob: str = "*", extensions: tuple[str, ...] = (".txt", ".md", ".json"), exclude: str = "", most: int = 2_000_000) -> DataFrame:
-    """(``path``, ``text``, ``size``) of the text files of a tree; bad bytes are marked, larger files left out."""
+    """(``path``, ``text``, ``size``) of the text files of a tree; bad bytes are marked. Files of more than ``most`` bytes are left out: :func:`skipped_files` counts them, a larger ``most`` reads them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     fits = F.lower("path").rlike("(" + "|".join(e.replace(".", r"\.") for e in extensions) + ")$")
     files = files.where(fits & (F.col("length") <= most))
@@ -57,6 +61,12 @@ def read_corpus_files(spark: SparkSession, path: str, glob: str = "*", extension
     return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), F.col("length").alias("size"))
 
 
+def skipped_files(spark: SparkSession, path: str, most: int = 2_000_000) -> DataFrame:
+    """How many files of a tree are larger than ``most`` bytes, and their bytes; only the listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length").where(F.col("length") > most)
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
 def read_manifest(spark: SparkSession, sources: list[dict]) -> DataFrame:
     """Several trees, each with its collection, type and tags."""
     out = None
