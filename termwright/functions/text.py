@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -160,9 +162,30 @@ def extract_title(text: Column, fallback: Column, length: int = 160) -> Column:
     return F.substring(F.coalesce(F.nullif(heading, F.lit("")), F.nullif(first, F.lit("")), fallback), 1, length)
 
 
+def strip_front_matter(text: Column) -> Column:
+    """A page without the block between ``---`` marks that it begins with, and without blanks around it."""
+    own = F.coalesce(text, F.lit(""))
+    return F.regexp_replace(F.regexp_replace(own, r"(?s)\A---.*?---", ""), r"\A\s+|\s+\z", "")
+
+
 def extract_section(text: Column, heading: str) -> Column:
-    """What stands under a level-two heading, up to the next heading of level one or two."""
-    return F.trim(F.regexp_extract(F.concat(F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("\n## ")), rf"(?s)\n## {heading}[ \t]*\n(.*?)\n##? ", 1))
+    """What stands under the first heading of level two or three that says ``heading``, up to the next of its level or a higher one; without front matter."""
+    own, name = strip_front_matter(text), re.escape(heading)
+    part = lambda n: rf"(?sm)^#{{{n}}}\s+{name}[ \t]*$(.*?)(?=^#{{1,{n}}}\s|\z)"
+    place = lambda n: F.regexp_instr(own, F.lit(part(n)))
+    first = (place(2) > 0) & ((place(3) == 0) | (place(2) < place(3)))
+    found = F.when(first, F.regexp_extract(own, part(2), 1)).otherwise(F.regexp_extract(own, part(3), 1))
+    return F.regexp_replace(found, r"\A\s+|\s+\z", "")
+
+
+def page_summary(text: Column, tables: dict[str, int], bold: tuple[str, ...] = (), most: int = 600) -> Column:
+    """A short form of a page: of each section of ``tables`` its first table lines, as many as given, then the values of the ``bold`` names; at most ``most`` characters, cut at a line."""
+    lines = lambda h: F.filter(F.split(extract_section(text, h), "\n"), lambda x: x.startswith("|"))
+    picked = [F.when(F.size(lines(h)) > 0, F.concat(F.lit(f"{h}: "), F.array_join(F.slice(lines(h), 1, n), " "))) for h, n in tables.items()]
+    said = [F.regexp_extract(strip_front_matter(text), rf"(?m)\*\*{re.escape(b)}\*\*:[ \t]*([^\n]+)", 1) for b in bold]
+    picked += [F.when(v != "", F.concat(F.lit(f"{b}: "), F.substring(v, 1, 200))) for b, v in zip(bold, said)]
+    whole = F.concat_ws("\n", *picked)
+    return F.when(F.length(whole) <= most, whole).otherwise(F.concat(F.regexp_replace(F.substring(whole, 1, most), r"\n[^\n]*\z", ""), F.lit("\n…")))
 
 
 def repair_code(text: Column) -> Column:

@@ -261,10 +261,11 @@ def promote_hints(rules: DataFrame, least: int = 10) -> DataFrame:
     return rules.where((F.col("scope") == "global") & (F.col("seen") >= least)).select("label", "attribute", "seen")
 
 
-def mapping_override(scores: DataFrame, rules: DataFrame) -> DataFrame:
-    """Scores of (``component``, ``label``, ``attribute``) raised by reviewed rules: 0.99 by the component's own, 0.98 by a global one."""
-    own = rules.where("scope = 'component'").select("component", "label", "attribute", F.lit(0.99).alias("own"))
-    wide = rules.where("scope = 'global'").select("label", "attribute", F.lit(0.98).alias("wide"))
+def mapping_override(scores: DataFrame, rules: DataFrame, tiers: tuple[str, ...] = ()) -> DataFrame:
+    """Scores of (``component``, ``label``, ``attribute``) raised by reviewed rules: 0.99 by the component's own, 0.98 by a global one. With ``tiers`` only rules of these (column ``tier``) count."""
+    rules = rules.where(F.col("tier").isin(*tiers)) if tiers else rules
+    own = rules.where("scope = 'component'").select("component", "label", "attribute", F.lit(0.99).alias("own")).distinct()
+    wide = rules.where("scope = 'global'").select("label", "attribute", F.lit(0.98).alias("wide")).distinct()
     return scores.join(own, ["component", "label", "attribute"], "left").join(wide, ["label", "attribute"], "left").select("component", "label", "attribute", F.greatest("score", "own", "wide").alias("score"))
 
 

@@ -53,42 +53,46 @@ def characters(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(text, ""), lambda c: c != ""))
 
 
-def score_names(query: Column, names: Column) -> Column:
-    """struct<score, basis> of a query against an ordered array of names.
+def query_form(query: Column) -> Column:
+    """struct<q, s, tokens, chars>: what :func:`score_forms` needs of a query, made once for each."""
+    n = X.normalize_text(query)
+    return F.struct(n.alias("q"), X.normalize_text(X.strip_affixes(query)).alias("s"), X.core_tokens(query).alias("tokens"), characters(n).alias("chars"))
+
+
+def name_forms(names: Column) -> Column:
+    """array<struct<n, s, chars>>: what :func:`score_forms` needs of a component's names, made once for each."""
+    return F.transform(F.transform(names, lambda n: F.struct(X.normalize_text(n).alias("n"), X.normalize_text(X.strip_affixes(n)).alias("s"))), lambda x: F.struct(x["n"].alias("n"), x["s"].alias("s"), characters(x["n"]).alias("chars")))
+
+
+def score_forms(f: Column, forms: Column) -> Column:
+    """struct<score, basis> of a query's form against the forms of an ordered array of names.
 
     Names are folded in order: the score is the best one's, while the basis is what the last
     rule that applied has set. An equal name ends the search.
     """
-    q, s, tokens = X.normalize_text(query), X.normalize_text(X.strip_affixes(query)), X.core_tokens(query)
+
+    def step(a: Column, c: Column) -> Column:
+        put = lambda score, basis, done=False: F.struct(score.alias("score"), basis.alias("basis"), F.lit(done).alias("done"))
+        jaccard = F.size(F.array_intersect(f["chars"], c["chars"])) / F.greatest(F.size(F.array_union(f["chars"], c["chars"])), F.lit(1))
+        token = F.exists(f["tokens"], lambda t: c["n"].contains(t) | t.contains(c["n"]))
+        return (
+            F.when(a["done"] | (c["n"] == ""), a)
+            .when(f["q"] == c["n"], put(F.lit(1.0), F.lit("exact"), True))
+            .when(((f["s"] != "") & (f["s"] == c["n"])) | ((c["s"] != "") & (f["q"] == c["s"])), put(F.greatest(a["score"], F.lit(0.95)), F.lit("normalized")))
+            .when((f["q"] != "") & (c["n"].contains(f["q"]) | f["q"].contains(c["n"])), put(F.greatest(a["score"], F.lit(0.88)), F.when(a["basis"] == "normalized", "normalized").otherwise("contains")))
+            .when(token, F.when(a["score"] < 0.82, put(F.lit(0.82), F.lit("token_contains"))).otherwise(a))
+            .when(jaccard > a["score"], put(jaccard, F.lit("fuzzy")))
+            .otherwise(a)
+        )
+
+    start = F.struct(F.lit(0.0).alias("score"), F.lit("fuzzy").alias("basis"), F.lit(False).alias("done"))
+    return F.aggregate(forms, start, step)
+
+
+def score_names(query: Column, names: Column) -> Column:
+    """struct<score, basis> of a query against an ordered array of names, see :func:`score_forms`."""
     # The query's own forms are bound once, as the first element of an array.
-    forms = F.array(F.struct(q.alias("q"), s.alias("s"), tokens.alias("tokens"), characters(q).alias("chars")))
-
-    def fold(f: Column) -> Column:
-        prepared = F.transform(names, lambda n: F.struct(X.normalize_text(n).alias("n"), X.normalize_text(X.strip_affixes(n)).alias("s")))
-
-        def step(a: Column, c: Column) -> Column:
-            keep = F.struct(a["score"].alias("score"), a["basis"].alias("basis"), a["done"].alias("done"))
-            put = lambda score, basis, done=False: F.struct(score.alias("score"), basis.alias("basis"), F.lit(done).alias("done"))
-            chars = characters(c["n"])
-            jaccard = F.size(F.array_intersect(f["chars"], chars)) / F.greatest(F.size(F.array_union(f["chars"], chars)), F.lit(1))
-            token = F.exists(f["tokens"], lambda t: c["n"].contains(t) | t.contains(c["n"]))
-            return (
-                F.when(a["done"] | (c["n"] == ""), keep)
-                .when(f["q"] == c["n"], put(F.lit(1.0), F.lit("exact"), True))
-                .when(((f["s"] != "") & (f["s"] == c["n"])) | ((c["s"] != "") & (f["q"] == c["s"])), put(F.greatest(a["score"], F.lit(0.95)), F.lit("normalized")))
-                .when(
-                    (f["q"] != "") & (c["n"].contains(f["q"]) | f["q"].contains(c["n"])),
-                    put(F.greatest(a["score"], F.lit(0.88)), F.when(a["basis"] == "normalized", "normalized").otherwise("contains")),
-                )
-                .when(token, F.when(a["score"] < 0.82, put(F.lit(0.82), F.lit("token_contains"))).otherwise(keep))
-                .when(jaccard > a["score"], put(jaccard, F.lit("fuzzy")))
-                .otherwise(keep)
-            )
-
-        start = F.struct(F.lit(0.0).alias("score"), F.lit("fuzzy").alias("basis"), F.lit(False).alias("done"))
-        return F.aggregate(prepared, start, step)
-
-    return F.get(F.transform(forms, fold), F.lit(0))
+    return F.get(F.transform(F.array(query_form(query)), lambda f: score_forms(f, name_forms(names))), F.lit(0))
 
 
 def block_pairs(rows: DataFrame, names: DataFrame, least: float = 0.55) -> DataFrame:
@@ -135,7 +139,10 @@ def rank_candidates(rows: DataFrame, catalog: DataFrame, index: DataFrame, top:
     specials = special.withColumn("special", F.lit(True))
     # Names repeat from row to row: each name is scored against a component once.
     named_pairs = pairs.join(rows, "row_id")
-    scores = named_pairs.select("name", "component").distinct().join(catalog.select("component", "names"), "component").select("name", "component", score_names(F.col("name"), F.col("names")).alias("s"))
+    # The forms of a name and of a component's names are made before they meet.
+    asked = rows.select("name").distinct().withColumn("f", query_form(F.col("name")))
+    known = catalog.select("component", name_forms(F.col("names")).alias("forms"))
+    scores = named_pairs.select("name", "component").distinct().join(asked, "name").join(known, "component").select("name", "component", score_forms(F.col("f"), F.col("forms")).alias("s"))
     scored = (
         named_pairs.join(scores, ["name", "component"])
         .join(catalog.select("component", "pos", "units"), "component")
@@ -210,6 +217,14 @@ def attribute_score(label: Column, name: Column, code: Column) -> Column:
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(F.round(best, 4))
 
 
+def features_or_hints(features: DataFrame, hints: DataFrame) -> DataFrame:
+    """Features (``row_id``, ``feature_order``, ``raw_text``), and for rows without any the ``hints`` (``row_id``, ``features``: an array) of their chapter's rules, each once and numbered."""
+    own = features.select("row_id", "feature_order", "raw_text")
+    rest = hints.join(own.select("row_id").distinct(), "row_id", "left_anti")
+    told = F.array_distinct(F.filter("features", lambda x: F.trim(x) != ""))
+    return own.unionByName(rest.select("row_id", F.posexplode(told).alias("at", "raw_text")).select("row_id", (F.col("at") + 1).alias("feature_order"), "raw_text"))
+
+
 def match_features(features: DataFrame, attributes: DataFrame, least: float = 0.55) -> DataFrame:
     """Each feature (``row_id``, ``component``, ``feature_order``, ``raw_text``) with its best attribute (``component``, ``name``, ``code``, ``pos``), the first of equals, if it scores ``least``."""
     parts = features.withColumn("v", feature_values(F.col("raw_text"))).select("*", F.col("v.label").alias("label"), F.col("v.value").alias("value")).drop("v")
@@ -287,6 +302,22 @@ def local_match(rows: DataFrame, catalog: DataFrame, index: DataFrame) -> DataFr
     return rows.join(best, "row_id", "left").withColumn("status", match_status(F.col("score"), F.col("basis")))
 
 
+def local_results(matches: DataFrame, attributes: DataFrame, calculations: DataFrame, hints: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`local_match` with the features and the calculation of their component: ``n_features``, ``found``, ``expressions``, ``calc_code``, ``calc_unit``.
+
+    Rows without features of their own take the ``hints`` of their chapter.
+    """
+    known = matches.where("component is not null")
+    own = explode_features(known)
+    own = features_or_hints(own, hints) if hints is not None else own
+    features = match_features(own.join(known.select("row_id", "component"), "row_id"), attributes)
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("feature_order", "expression"))), lambda x: x["expression"]), "|")
+    counted = features.groupBy("row_id").agg(F.count("*").alias("n_features"), F.count_if("matched").alias("found"), said.alias("expressions"))
+    calculation = select_calculation(known.select("row_id", "component", "name", "rule", X.normalize_unit(F.col("unit")).alias("unit")), calculations)
+    out = matches.select("row_id", "component", "score", "basis", "status").join(counted, "row_id", "left").join(calculation.select("row_id", "calc_code", F.col("unit").alias("calc_unit")), "row_id", "left")
+    return out.na.fill(0, ["n_features", "found"]).na.fill("", ["expressions", "calc_code", "calc_unit"])
+
+
 def match_statistics(matches: DataFrame) -> DataFrame:
     """Totals by status; of the rows with ``features`` and with a ``calc_code`` too, where there are such columns."""
     has = lambda c, test: [F.count_if(test).alias(f"with_{c}")] if c in matches.columns else []

@@ -97,12 +97,26 @@ def needs_revalidation(quality: DataFrame, least: float = 0.6) -> DataFrame:
     return quality.where((F.col("deviation") >= least) | (F.col("matched") == 0)).select("batch", "deviation")
 
 
-def overlay_results(local: DataFrame, newer: DataFrame, key: str) -> DataFrame:
-    """``local`` with the fields that ``newer`` supplies (column ``provided``) and that are not blank; fields of ``newer`` for other keys are left out."""
+def items_of_text(text: Column) -> Column:
+    """array<struct<order, expression, matched>>: the lines of a text as feature items, without their numbers; a line with a colon counts as matched."""
+    lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "<br>|\r\n?", "\n"), "\n")
+    own = F.transform(lines, lambda x, i: F.struct((i + 1).alias("order"), F.regexp_replace(F.trim(x), r"^\d+[.、]\s*", "").alias("expression"), (F.trim(x) == "").alias("blank")))
+    return F.transform(F.filter(own, lambda x: ~x["blank"]), lambda x: F.struct(x["order"].alias("order"), x["expression"].alias("expression"), x["expression"].contains(":").alias("matched")))
+
+
+def overlay_results(local: DataFrame, newer: DataFrame, key: str, items: tuple[str, ...] = ()) -> DataFrame:
+    """``local`` with the fields that ``newer`` supplies (column ``provided``) and that are not blank; fields of ``newer`` for other keys are left out.
+
+    Columns of ``items`` are item lists (:func:`items_of_text`): one that is supplied always replaces the other, an empty one too; where ``newer`` has a text it is made a list.
+    """
     values = [c for c in local.columns if c != key]
-    n = newer.select(key, F.struct("provided", *[c for c in values if c in newer.columns]).alias("n"))
-    supplied = lambda c: F.array_contains("n.provided", c) & F.col(f"n.{c}").isNotNull() & (F.trim(F.col(f"n.{c}").cast("string")) != "")
-    return local.join(n, key, "left").select(key, *[F.when(supplied(c), F.col(f"n.{c}")).otherwise(F.col(c)).alias(c) if c in newer.columns else F.col(c) for c in values])
+    text = {c for c, kind in newer.dtypes if kind == "string"}
+    n = newer.select(key, F.struct("provided", *[(items_of_text(F.col(c)) if c in items and c in text else F.col(c)).alias(c) for c in values if c in newer.columns]).alias("n"))
+    given = lambda c: F.array_contains("n.provided", c)
+    filled = lambda c: F.col(f"n.{c}").isNotNull() & (F.trim(F.col(f"n.{c}").cast("string")) != "")
+    supplied = lambda c: given(c) if c in items else given(c) & filled(c)
+    none = lambda c: F.coalesce(F.col(f"n.{c}"), F.array().cast(local.schema[c].dataType)) if c in items else F.col(f"n.{c}")
+    return local.join(n, key, "left").select(key, *[F.when(supplied(c), none(c)).otherwise(F.col(c)).alias(c) if c in newer.columns else F.col(c) for c in values])
 
 
 def recover_partial(chapters: DataFrame, batches: DataFrame, expected: DataFrame) -> DataFrame:

@@ -14,13 +14,18 @@ from termwright.functions.found import terms_found
 from termwright.operators.retrieval import within_budget
 
 
-def expand_terms(components: DataFrame) -> DataFrame:
-    """(``component``, ``term``): the name, its normal form, the synonyms of its parts, the focus words in it."""
+def expand_terms(components: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """(``component``, ``term``): the name, its normal form, the synonyms of its parts, the focus words in it; and the names of every entry of ``aliases`` (``source``, ``aliases``) that goes by it."""
     n = X.blank_to_empty(F.col("component"))
     options = F.array(
         n, X.normalize_search_text(n), *[F.when(n.contains(a), F.lit(b)) for a, b in C.SEARCH_REPLACEMENTS], *[F.when(n.contains(t), F.lit(t)) for t in C.FOCUS_TERMS], F.when(n.endswith("墙面"), F.lit("墙")), F.when(n.endswith("柱面"), F.lit("柱"))
     )
-    return components.select("component", F.explode(F.array_distinct(F.filter(options, lambda t: t.isNotNull() & (t != "")))).alias("term"))
+    out = components.select("component", F.explode(F.array_distinct(F.filter(options, lambda t: t.isNotNull() & (t != "")))).alias("term"))
+    if aliases is None:
+        return out
+    names = aliases.select("source", F.explode(F.array_union(F.array("source"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("term")).where("trim(term) <> ''")
+    shared = components.select("component", n.alias("term")).distinct().join(names, "term").select("component", "source").distinct().join(names, "source")
+    return out.union(shared.select("component", "term")).distinct()
 
 
 #: The fields of a region in the order in which a term is looked for, and its points in tenths: once, and for each of at most 8 characters (fixed values).

@@ -239,10 +239,10 @@ add(
 )
 add(
     "mapping_override",
-    lambda s, d: A.mapping_override(items(s, d).groupBy("component", "label", F.lit("a0").alias("attribute")).agg((F.count_if("matched") / F.count("*")).alias("score")), rules(s, d)),
+    lambda s, d: A.mapping_override(items(s, d).groupBy("component", "label", F.lit("a0").alias("attribute")).agg((F.count_if("matched") / F.count("*")).alias("score")), rules(s, d).withColumn("tier", F.when(F.col("seen") % 2 == 0, "a").otherwise("b")), ("a",)),
     f"""WITH {_RULES}, sc AS (SELECT component, label, 'a0' AS attribute, count(*) FILTER (matched) / count(*)::DOUBLE AS score FROM items GROUP BY 1, 2)
 SELECT sc.component, sc.label, sc.attribute, greatest(score, CASE WHEN o.label IS NOT NULL THEN 0.99 END, CASE WHEN w.label IS NOT NULL THEN 0.98 END) AS score FROM sc
-LEFT JOIN rules o ON o.scope = 'component' AND o.component = sc.component AND o.label = sc.label AND o.attribute = sc.attribute LEFT JOIN rules w ON w.scope = 'global' AND w.label = sc.label AND w.attribute = sc.attribute""",
+LEFT JOIN rules o ON o.seen % 2 = 0 AND o.scope = 'component' AND o.component = sc.component AND o.label = sc.label AND o.attribute = sc.attribute LEFT JOIN rules w ON w.seen % 2 = 0 AND w.scope = 'global' AND w.label = sc.label AND w.attribute = sc.attribute""",
 )
 
 

@@ -9,6 +9,7 @@ from termwright.functions import text as X
 from termwright.operators import direct as D
 from termwright.operators import matching as M
 from termwright.plans import sqltext as S
+from termwright.plans.source_queries import folder
 from termwright.sources.tables import BILL_ROWS, bill_rows, pick, sql_pick, table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -355,3 +356,37 @@ QUERIES["handoff_items"] = lambda spark, sf_dir: D.handoff_items(match_rows(spar
 ORACLE_SQL["handoff_items"] = _HANDED + " SELECT row_id, given FROM handed WHERE given IS NOT NULL AND status IN ('matched', 'candidate_only')"
 QUERIES["skip_counts"] = lambda spark, sf_dir: D.skip_counts(match_rows(spark, sf_dir))
 ORACLE_SQL["skip_counts"] = _HANDED + " SELECT count(*) AS total, count(*) FILTER (given IS NULL) AS no_component, count(*) FILTER (given IS NOT NULL AND status NOT IN ('matched', 'candidate_only')) AS unmatched FROM handed"
+
+
+def hinted(spark, sf_dir):
+    b = bill_rows(spark, sf_dir)
+    own = M.explode_features(b.where("row_id % 3 > 0"))
+    return own, b.select("row_id", F.array(F.lit("厚度"), F.concat(F.lit("h"), (F.col("row_id") % 5).cast("string")), F.lit(" "), F.lit("厚度")).alias("features"))
+
+
+QUERIES["features_or_hints"] = lambda spark, sf_dir: M.features_or_hints(*hinted(spark, sf_dir))
+ORACLE_SQL["features_or_hints"] = f"""WITH {BILL_ROWS}, {_FEATURES} SELECT row_id, feature_order, raw_text FROM features WHERE row_id % 3 > 0
+UNION ALL SELECT row_id, 1, '厚度' FROM bill_rows WHERE row_id % 3 = 0 UNION ALL SELECT row_id, 2, 'h' || (row_id % 5) FROM bill_rows WHERE row_id % 3 = 0"""
+
+
+def local_catalog_parts(spark, sf_dir):
+    """Attributes and calculations of every catalogue component."""
+    names = catalog(spark, sf_dir).select("component")
+    attrs = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name"), F.lit(c).alias("code")) for i, (n, c) in enumerate((("墙体厚", "HD"), ("砼标号", "TBH"), ("备用", "GD"), ("厚", "BH")))])
+    calcs = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("calc_code"), F.lit(n).alias("calc_name"), F.lit(u).alias("calc_unit")) for i, (c, n, u) in enumerate(_CALCULATIONS)])
+    return names.select("component", F.inline(attrs)), names.select("component", F.inline(calcs))
+
+
+
+
+def local_results(spark, sf_dir):
+    """The matches are written once, as features, calculations and the result all read them."""
+    path = folder(spark, "local-matches")
+    local_match(spark, sf_dir).write.parquet(path)
+    return M.local_results(spark.read.parquet(path), *local_catalog_parts(spark, sf_dir))
+
+
+QUERIES["local_results"] = local_results
+_LOCAL_PARTS = _RESOLVED[_RESOLVED.index("gcalc(pos"):]
+ORACLE_SQL["local_results"] = _LOCAL + f""", resolved AS (SELECT b.*, l.component FROM bill_rows b JOIN local l USING (row_id)), {_RULE_CODES}, {_FEATURES}, atomic AS (SELECT * FROM features WHERE row_id IN (SELECT row_id FROM local WHERE component IS NOT NULL)),
+{_LOCAL_PARTS[:_LOCAL_PARTS.index("gout AS")]} lout AS (SELECT l.row_id, l.component, score, basis, status, coalesce(c.features, 0) AS n_features, coalesce(found, 0) AS found, coalesce(expressions, '') AS expressions, coalesce(calc_code, '') AS calc_code, coalesce(calc_unit, '') AS calc_unit FROM local l LEFT JOIN gcount c USING (row_id) LEFT JOIN gfinal USING (row_id)) SELECT * FROM lout"""

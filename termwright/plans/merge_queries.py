@@ -95,14 +95,20 @@ ORACLE_SQL["needs_revalidation"] = f"WITH {_QUALITY} SELECT batch, deviation FRO
 
 
 def overlay_results(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    local = o.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"))
-    newer = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise("N").alias("status"), F.lit("TOP").alias("priority"), (F.col("o_totalprice") + 1).alias("price"), F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("status"))).otherwise(F.array(F.lit("status"), F.lit("price"))).alias("provided"))
-    return G.overlay_results(local, newer, "o_orderkey")
+    """Orders as local results; newer ones supply some fields, and item lists as text."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    own = G.items_of_text(F.concat(F.lit("1. a:"), F.col("o_orderstatus")))
+    local = o.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"), own.alias("features"))
+    provided = F.when(k % 3 == 0, F.array(F.lit("status"))).when(k % 3 == 1, F.array(F.lit("status"), F.lit("price"))).otherwise(F.array(F.lit("price"), F.lit("features")))
+    said = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("1、x:"), k.cast("string"), F.lit("<br> \n2. y")))
+    newer = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.when(k % 4 == 0, " ").otherwise("N").alias("status"), F.lit("TOP").alias("priority"), (F.col("o_totalprice") + 1).alias("price"), said.alias("features"), provided.alias("provided"))
+    out = G.overlay_results(local, newer, "o_orderkey", ("features",))
+    return out.withColumn("features", F.array_join(F.transform("features", lambda x: F.concat_ws("/", x["order"].cast("string"), x["expression"], x["matched"].cast("string"))), "|"))
 
 
 QUERIES["overlay_results"] = overlay_results
-ORACLE_SQL["overlay_results"] = "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 2 THEN 'N' ELSE o_orderstatus END AS status, o_orderpriority AS priority, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders"
+ORACLE_SQL["overlay_results"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 2 AND o_orderkey % 3 < 2 THEN 'N' ELSE o_orderstatus END AS status, o_orderpriority AS priority, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 > 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 = 2 THEN CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '1/x:' || o_orderkey || '/true|3/y/false' END ELSE '1/a:' || o_orderstatus || '/true' END AS features FROM orders"""
 
 
 def recover_partial(spark, sf_dir):

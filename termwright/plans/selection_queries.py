@@ -19,10 +19,20 @@ def add(name, query, sql):
 
 
 _TERMS = ", ".join(["name", S.search("name"), *(f"CASE WHEN contains(name, '{a}') THEN '{b}' END" for a, b in C.SEARCH_REPLACEMENTS), *(f"CASE WHEN contains(name, '{t}') THEN '{t}' END" for t in C.FOCUS_TERMS)])
+
+
+def named(spark, sf_dir):
+    """Every brand as an entry that goes by the names of its parts of one size."""
+    b = bill_rows(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), "p_brand", "p_size"), "row_id")
+    return b.where("p_size < 5").groupBy(F.col("p_brand").alias("source")).agg(F.collect_set(F.trim("name")).alias("aliases"))
+
+
 add(
     "expand_terms",
-    lambda s, d: L.expand_terms(bill_rows(s, d).select(F.trim("name").alias("component")).distinct()),
-    f"WITH {BILL_ROWS}, n AS (SELECT DISTINCT trim(name) AS name FROM bill_rows) SELECT DISTINCT name AS component, term FROM (SELECT name, unnest([{_TERMS}]) AS term FROM n) WHERE term IS NOT NULL AND term <> ''",
+    lambda s, d: L.expand_terms(bill_rows(s, d).select(F.trim("name").alias("component")).distinct(), named(s, d)),
+    f"""WITH {BILL_ROWS}, n AS (SELECT DISTINCT trim(name) AS name FROM bill_rows), al AS (SELECT DISTINCT p_brand AS source, trim(name) AS term FROM bill_rows JOIN part ON p_partkey = row_id WHERE p_size < 5),
+names AS (SELECT * FROM al UNION SELECT source, source FROM al)
+SELECT DISTINCT name AS component, term FROM (SELECT name, unnest([{_TERMS}]) AS term FROM n) WHERE term IS NOT NULL AND term <> '' UNION SELECT DISTINCT n.name, b.term FROM n JOIN names a ON a.term = n.name JOIN names b ON b.source = a.source WHERE trim(b.term) <> ''""",
 )
 
 

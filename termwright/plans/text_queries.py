@@ -97,11 +97,26 @@ _on_table(
     lambda: X.extract_title(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\n# Part "), "source", F.lit("\n"), "text")).otherwise(F.col("text")), F.col("source")),
     "CASE WHEN doc_id % 2 = 0 THEN 'Part ' || source ELSE substr(coalesce(nullif(trim(regexp_extract(text, '(?m)^[ \\t]*(\\S[^\\n]*)$', 1)), ''), source), 1, 160) END",
 )
-_on_table(
-    "extract_section",
-    "documents",
-    "doc_id",
-    lambda: F.md5(X.extract_section(F.concat(F.lit("# A\n## Facts\n"), F.regexp_replace("text", "#", ""), F.lit("\n## More\nx")), "Facts").cast("binary")),
-    "md5(trim(replace(text, '#', '')))",
-)
+
+
+def _page():
+    """A document as a page: its lines in sections of changing levels, some with front matter."""
+    k = F.col("doc_id")
+    mark = F.when(k % 2 == 0, "##").otherwise("###")
+    front = F.when(k % 3 == 0, "---\nfacts: ## Facts\n---\n").otherwise("")
+    tail = F.when(k % 5 == 0, "\n#### Deep\nd").when(k % 5 == 1, "\n### Next\nn").otherwise("\n## More\nx")
+    return F.concat(front, F.lit("# A\n**Names**: a, b\n"), mark, F.lit(" Facts \n| h |\n| "), F.col("source"), F.lit(" |\n"), F.regexp_replace("text", "[#|]", ""), tail)
+
+
+_PAGE = "CASE WHEN doc_id % 3 = 0 THEN '---' || chr(10) || 'facts: ## Facts' || chr(10) || '---' || chr(10) ELSE '' END || '# A' || chr(10) || '**Names**: a, b' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '##' ELSE '###' END || ' Facts ' || chr(10) || '| h |' || chr(10) || '| ' || source || ' |' || chr(10) || regexp_replace(text, '[#|]', '', 'g') || CASE doc_id % 5 WHEN 0 THEN chr(10) || '#### Deep' || chr(10) || 'd' WHEN 1 THEN chr(10) || '### Next' || chr(10) || 'n' ELSE chr(10) || '## More' || chr(10) || 'x' END"
+_SECTION = f"""WITH p AS (SELECT doc_id, source, {_PAGE} AS page FROM documents),
+l AS (SELECT doc_id, source, string_split(CASE WHEN starts_with(page, '---') THEN regexp_replace(page, '(?s)^---.*?---', '') ELSE page END, chr(10)) AS ls FROM p),
+i AS (SELECT *, list_position(list_transform(ls, lambda x: regexp_matches(x, '^#{{2,3}}\\s+Facts\\s*$')), true) AS i FROM l),
+r AS (SELECT *, length(regexp_extract(ls[i], '^#+')) AS level, ls[i + 1:] AS rest FROM i),
+j AS (SELECT *, coalesce(list_position(list_transform(rest, lambda x: regexp_matches(x, '^#{{1,3}}\\s') AND length(regexp_extract(x, '^#+')) <= level), true), 0) AS j FROM r),
+s AS (SELECT doc_id, source, regexp_replace(array_to_string(CASE WHEN j > 0 THEN rest[1:j - 1] ELSE rest END, chr(10)), '^\\s+|\\s+$', '', 'g') AS section FROM j)"""
+QUERIES["extract_section"] = lambda spark, sf_dir: table(spark, sf_dir, "documents").select("doc_id", F.md5(X.extract_section(_page(), "Facts").cast("binary")).alias("section"))
+ORACLE_SQL["extract_section"] = f"{_SECTION} SELECT doc_id, md5(section) AS section FROM s"
+QUERIES["page_summary"] = lambda spark, sf_dir: table(spark, sf_dir, "documents").select("doc_id", X.page_summary(_page(), {"Facts": 2, "None": 3}, ("Names", "Other"), 40).alias("summary"))
+ORACLE_SQL["page_summary"] = "SELECT doc_id, CASE WHEN length(t) <= 40 THEN t ELSE regexp_replace(substr(t, 1, 40), '\\n[^\\n]*$', '') || chr(10) || '…' END AS summary FROM (SELECT doc_id, 'Facts: | h | | ' || source || ' |' || chr(10) || 'Names: a, b' AS t FROM documents)"
 _on_table("repair_codes", "orders", "o_orderkey", lambda: X.repair_code(F.concat(F.lit("OIl"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0"), F.lit(" x"))), "'011' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')")
