@@ -71,28 +71,34 @@ def _let(value: Column, use) -> Column:
 
 
 def matched(one: Column, other: Column) -> Column:
-    """array<struct<a, b>>: the places of the marks that both have, in the order of ``one``."""
-    tagged = lambda own, side: F.transform(own, lambda h, i: F.struct(h.alias("h"), F.lit(side).alias("side"), i.alias("at")))
+    """array<long>: the places of the marks that both have, in the order of ``one``; its place stands in the upper 32 bits, that in ``other`` in the lower.
+
+    Marks, sides and places are packed into whole numbers, so that what is equal lies side by side after one plain sort.
+    """
+    half = 1 << 31
+    packed = lambda own, side: F.transform(own, lambda h, i: F.shiftleft(h.cast("long"), 32) + side * half + i)
 
     def pairs(rows: Column) -> Column:
         def pair(x: Column, k: Column) -> Column:
             y = F.get(rows, k + 1)
-            return F.when((x["side"] == 0) & (y["h"] == x["h"]), F.struct(x["at"].alias("a"), y["at"].alias("b")))
+            # Equal but for the side and the place: of one text, and then of the other.
+            same = (F.shiftright(y, 32) == F.shiftright(x, 32)) & (x.bitwiseAND(half) == 0)
+            return F.when(same, F.shiftleft(x.bitwiseAND(half - 1), 32) + y.bitwiseAND(half - 1))
 
-        return F.array_sort(F.filter(F.transform(rows, pair), lambda p: p.isNotNull()))
+        return F.sort_array(F.filter(F.transform(rows, pair), lambda p: p.isNotNull()))
 
-    return _let(F.array_sort(F.concat(tagged(one, 0), tagged(other, 1))), pairs)
+    return _let(F.sort_array(F.concat(packed(one, 0), packed(other, 1))), pairs)
 
 
 def held(pairs: Column) -> Column:
     """How many of the :func:`matched` places have a neighbour among them at the same distance."""
-    away = lambda p: p["b"] - p["a"]
+    away = lambda p: p.bitwiseAND((1 << 32) - 1) - F.shiftright(p, 32)
 
     def count(rows: Column) -> Column:
-        same = lambda x, k: F.coalesce(away(F.get(rows, k)) == away(x), F.lit(False))
-        return F.size(F.filter(rows, lambda x, k: F.when(k > 0, same(x, k - 1)).otherwise(F.lit(False)) | same(x, k + 1)))
+        beside = lambda i, x: F.coalesce(F.get(rows, i) == x, F.lit(False))
+        return F.size(F.filter(rows, lambda x, k: F.when(k > 0, beside(k - 1, x)).otherwise(F.lit(False)) | beside(k + 1, x)))
 
-    return _let(pairs, count)
+    return _let(F.transform(pairs, away), count)
 
 
 def likeness(one: Column, other: Column) -> Column:
