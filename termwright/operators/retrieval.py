@@ -52,20 +52,14 @@ def tokens(text: Column) -> Column:
     return F.get(F.transform(F.array(all_), lambda a: F.when((compact != "") & (F.length(compact) <= 24) & ~F.array_contains(a, compact), F.concat(a, F.array(compact))).otherwise(a)), F.lit(0))
 
 
-def bucket_of(token: Column, dim: int = DIM) -> Column:
-    return (F.conv(F.substring(F.sha1(token.cast("binary")), 1, 8), 16, 10).cast("long") % dim).cast("int")
-
-
-def sign_of(token: Column) -> Column:
-    return F.when(F.conv(F.substring(F.sha1(token.cast("binary")), 9, 2), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
-
-
 def hashed(text: Column, dim: int = DIM) -> Column:
     """array<struct<bucket, w>>: the signed counts of a text's tokens by bucket, those that are not zero, in order of buckets.
 
     The tokens' places are sorted, and what is equal is counted by where its run begins and ends.
     """
-    keys = F.array_sort(F.transform(tokens(text), lambda t: bucket_of(t, dim) * 2 + F.when(sign_of(t) > 0, 0).otherwise(1)))
+    # Ten digits of a token's hash: eight for the bucket, two for the sign.
+    numbers = F.transform(tokens(text), lambda t: F.conv(F.substring(F.sha1(t.cast("binary")), 1, 10), 16, 10).cast("long"))
+    keys = F.sort_array(F.transform(numbers, lambda x: (F.shiftright(x, 8) % dim * 2 + x % 2).cast("int")))
     let = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
 
     def runs(k: Column) -> Column:
@@ -82,7 +76,7 @@ def hashed(text: Column, dim: int = DIM) -> Column:
 
         return F.filter(F.transform(rs, one), lambda x: x["w"].isNotNull() & (x["w"] != 0))
 
-    return F.when(F.size(keys) > 0, let(keys, lambda k: let(runs(k), merged))).otherwise(F.array().cast("array<struct<bucket:int,w:int>>"))
+    return let(keys, lambda k: let(runs(k), merged))
 
 
 def hashed_vectors(docs: DataFrame, text: str = "text", dim: int = DIM) -> DataFrame:
