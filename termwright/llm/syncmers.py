@@ -140,15 +140,15 @@ def compared(documents: DataFrame) -> DataFrame:
     docs = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
     follows = neighbours(ids).select("id", F.col("prev.id").alias("for_id"), F.col("prev.half").alias("need"))
-    # Both joins below read the same rows by the same key, so the texts are shuffled once for both.
-    own = docs.where("doc_id is not null").withColumn("marks", marks(F.col("text")))
+    # Both joins below read the same rows by the same key, so the texts are shuffled once for both; marks are made behind it.
+    own = docs.where("doc_id is not null")
     # As a next document only the head that the other's edit needs travels, and the marks.
     head = F.substring(F.col("text"), F.lit(1), F.col("need").cast("int"))
-    heads = own.join(follows, own["doc_id"] == follows["id"]).select("for_id", F.struct(head.alias("head"), "marks").alias("next"), F.xxhash64("text").alias("order"))
+    heads = own.join(follows, own["doc_id"] == follows["id"]).select("for_id", F.struct(head.alias("head"), marks(F.col("text")).alias("marks")).alias("next"), F.xxhash64("text").alias("order"))
     heads = heads.groupBy("for_id").agg(F.min_by("next", "order").alias("next"))
     both = own.join(heads, own["doc_id"] == heads["for_id"], "left").drop("for_id")
-    alone = docs.where("doc_id is null").withColumn("marks", marks(F.col("text"))).withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
-    both = both.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
+    alone = docs.where("doc_id is null").withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
+    both = both.unionByName(alone).withColumn("n_chars", F.length("text").cast("long")).withColumn("marks", marks(F.col("text")))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = both.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), half)))
     edited = edited.withColumn("edited_marks", marks(F.col("edited")))
