@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termwright.llm import bpe, chat_format, packing, pii, quality_model, quality_rules, simhash, syncmers, token_counts, url_filter
+from termwright.llm import bpe, chat_format, html_text, packing, pii, quality_model, quality_rules, simhash, syncmers, token_counts, url_filter
 from termwright.llm._shared import table
 
 #: The key of the pseudonyms in the queries; whoever runs the operator gives their own.
@@ -71,13 +71,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_syncmers, op4_token_counts, op5_url_filter, op6_quality_model, op7_bpe, op8_quality_rules, op9_pii, op10_packing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_syncmers, op4_token_counts, op5_url_filter, op6_quality_model, op7_bpe, op8_quality_rules, op9_pii, op10_packing, op13_html_text, pipeline)}
 
 _OP5 = """
 WITH cut AS (
