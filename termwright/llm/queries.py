@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termwright.llm import bpe, chat_format, html_text, packing, pii, quality_model, quality_rules, repair, simhash, syncmers, token_counts, url_filter
+from termwright.llm import bpe, chat_format, html_text, packing, pii, prefix_trie, quality_model, quality_rules, repair, simhash, syncmers, token_counts, url_filter
 from termwright.llm._shared import table
 
 #: The key of the pseudonyms in the queries; whoever runs the operator gives their own.
@@ -71,6 +71,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.damaged_and_repaired(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -85,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_syncmers, op4_token_counts, op5_url_filter, op6_quality_model, op7_bpe, op8_quality_rules, op9_pii, op10_packing, op12_conversation_repair, op13_html_text, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_syncmers, op4_token_counts, op5_url_filter, op6_quality_model, op7_bpe, op8_quality_rules, op9_pii, op10_packing, op11_prefix_trie, op12_conversation_repair, op13_html_text, pipeline)}
 
 _OP5 = """
 WITH cut AS (
