@@ -215,3 +215,79 @@ RULE_STARTS = ("按", "以", "并按")
 
 # Features that stand at the end of a name.
 TRAILING_FEATURES = ("开挖深度", "冻土厚度", "土类别", "岩石类别", "填方部位", "材料品种", "密实度")
+
+# Units of what is counted.
+COUNT_UNITS = ("个", "樘", "套", "座", "块", "根", "孔", "件", "处", "项")
+
+# Words of a paragraph that rules something, and the mark that one begins with.
+RULE_TRIGGERS = ("项目特征", "可描述", "列项", "应按", "按本标准", "按本附录", "并入", "适用于", "包括", "不增加相应工程量", "工程量按")
+RULE_MARK = r"^[A-Za-z][.,]?\s*\d+(?:\s*[.,]\s*\d+)*"
+
+# What a paragraph is cleaned of, in order, and what stands around a term.
+PARAGRAPH_REPLACEMENTS = (("|", "\n"), ("“", '"'), ("”", '"'), ("‘", "'"), ("’", "'"), ("．", "."), ("•", " "))
+TERM_EDGES = " ：:，,。；;（）()"
+
+# Between the terms of a scope; terms that are none; terms of one character that are.
+SCOPE_BREAKS = r"[、,，;；/\n]|以及|及|和|与|或"
+SCOPE_STOP_WORDS = ("本附录", "本标准", "项目特征", "工程量计算规则", "工程量", "工作内容", "项目编码", "编码", "相关项目", "相关", "相应", "设计要求", "设计文件", "本附录中", "本标准中", "项目")
+SHORT_TERMS = ("墙", "梁", "柱", "板", "桩", "门", "窗", "沟", "井", "池")
+
+# What a term of a scope loses: a size, a word before it, a phrase after it, words anywhere.
+SCOPE_SIZE = r"(?i)面积\s*[<>=W≤≥]?\s*[\d.]+\s*(?:m2|m3|m|㎡|m²)?\s*的"
+SCOPE_LEADS = "^(?:各种|各类|少量分散的|一般|其他|同类|本附录中|本标准中|本附录|本标准)"
+SCOPE_TAILS = "(?:应按.*|可描述为.*|适用于.*|工作内容.*|工程量.*|项目编码列项.*|相关项目编码列项.*)$"
+SCOPE_DROPPED = ("中的", "项目特征", "工程量计算规则", "工程量", "编码列项", "列项")
+SCOPE_END = "项目"
+
+# What a target loses: the standard before it, and words anywhere.
+TARGET_LEAD = "^(?:本附录|本标准)[^的中]*[的中]"
+TARGET_DROPPED = ("相关项目编码列项", "相应项目编码列项", "项目编码列项", "项目列项", "相关项目", "相应项目", "相关", "相应")
+
+# The forms that clauses of a rule have.
+ROUTE_FORM = r"(.+?)(?:应)?按(.+?)(?:相关项目|相应项目|项目)(?:编码)?列项"
+INCLUDE_FORM, INCLUDE_NOT = r"^(.+?)包括(.+)", "工作内容"
+DESCRIBED, DESCRIBED_FORM, DESCRIBED_NOT = "可描述为", r'^(.+?)的\s*"[^"]+"\s*可描述为', "项目特征中的"
+ADDED_FORM = r"^(.+?)应在项目特征中(?:增加|明确)(.+?)描述"
+CALCULATED_FORM, MERGED_FORM = r"^(.+?)(?:工程量)?按.+?计算", r"^(.+?)并入.+?(?:体积|面积|长度)"
+FEATURE_NAMES, FEATURE_EXAMPLES = 4, 8
+
+# Words that point to codes of calculations, in order (the first also needs a word of the second list), and words that make a rule one of calculation.
+RULE_CODES = (("TJ", ("体积", "并入")), ("JCD", ("中心线长度", "净长")), ("CD", ("长度",)), ("MJ", ("面积",)), ("SL", ("数量",)))
+FORMWORK, FORMWORK_WORDS, FORMWORK_CODE = "模板", ("接触面积", "模板面积"), "MBMJ"
+RULE_KEYWORDS = ("模板", "体积", "面积", "接触面积", "中心线长度", "长度", "数量", "并入")
+CALCULATED_WORDS = ("不增加相应工程量", "并入")
+
+# The codes that words of a row point to, best first, and the words that a calculation's name then has; then those of the units.
+PREFERRED_CODES = (
+    (("模板",), ("MBMJ", "DMMB", "CMMB", "ZMBMJ", "ZMB"), ("模板", "接触面积")),
+    (("体积",), ("TJ", "ZTJ", "JLQTJ", "DZJLQTJ", "CGTJ"), ("体积",)),
+    (("面积",), ("MJ", "TYMJ", "MBMJ", "TQMJ", "DMMJ", "CMMJ"), ("面积", "投影面积", "接触面积")),
+    (("长度",), ("CD", "JCD", "YCD"), ("长度",)),
+    (("数量",), ("SL",), ("数量",)),
+)
+UNIT_CODES = (("m3", ("TJ", "ZTJ"), ("体积",)), ("m2", ("MJ", "TYMJ", "MBMJ"), ("面积",)), ("m", ("CD", "JCD"), ("长度",)))
+CHAPTER_WORDS = ("体积", "面积", "长度", "数量", "模板")
+
+# Words in the name of an attribute that holds text, and of one that holds numbers.
+TEXT_NAME_HINTS = ("类型", "类别", "做法", "备注", "状态", "方式", "节点", "名称", "楼层", "区域", "编号", "标号", "钢筋", "模板", "规则", "砼", "抗震")
+NUMBER_NAME_HINTS = ("宽", "高", "厚", "长", "径", "半径", "直径", "面积", "体积", "周长", "数量", "长度", "高度", "厚度", "标高", "坡度", "角度", "距离", "重量", "质量", "容重")
+
+# The kinds of a workbook's sheets, in order, with the words in a sheet's name that say so.
+SHEET_NAMES = {
+    "attributes": ("属性", "attributes", "attr", "property", "properties", "属性列表", "项目特征", "特征", "feature", "features"),
+    "calculations": ("计算", "calculations", "calc", "计算项目", "计算公式", "工程量"),
+    "core_params": ("核心", "core", "coreparams", "核心项目", "核心参数", "参数"),
+}
+
+# Columns of a sheet, each with the names that it goes by, the first that is filled counts.
+SHEET_COLUMNS = {
+    "name": ("名称",),
+    "code": ("CODE",),
+    "choices": ("下拉",),
+    "kind": ("数据类型",),
+    "values": ("可选值", "下拉", "values", "值"),
+    "value": ("属性值", "默认值", "value", "数值", "值"),
+    "unit": ("单位", "unit", "计量单位"),
+    "expression": ("计算表达式", "表达式", "formula", "公式"),
+}
+SHEET_DEFAULTS, VALUE_BREAKS = "属性值", r"[\r\n、,，|;；]+"

@@ -143,13 +143,16 @@ def clamp_confidence(value: Column) -> Column:
 
 
 def infer_value_type(values: Column, sample: Column, name: Column, unit: Column) -> Column:
-    """``number`` or ``text``: by the values if there are any, else the sample, else words in the name, else the unit."""
-    number = r"^[+-]?\d+(\.\d+)?$"
+    """``number`` or ``text``: by the values that are not empty if there are any, else a sample that is a number, else words of text in the name, a unit, words of number in the name."""
+    own = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")) != "")
+    number = lambda x: F.trim(x).rlike(r"^[+-]?\d+(\.\d+)?$")
+    named = lambda words: F.coalesce(name, F.lit("")).rlike("|".join(words))
     return (
-        F.when(F.size(F.coalesce(values, F.array().cast("array<string>"))) > 0, F.when(F.forall(values, lambda x: F.trim(x).rlike(number)), "number").otherwise("text"))
-        .when(F.trim(F.coalesce(sample, F.lit(""))).rlike(number), "number")
-        .when(F.lower(F.coalesce(name, F.lit(""))).rlike("长|宽|高|厚|径|面积|体积|数量|size|length|width|height"), "number")
+        F.when(F.size(own) > 0, F.when(F.forall(own, number), "number").otherwise("text"))
+        .when(number(F.coalesce(sample, F.lit(""))), "number")
+        .when(named(C.TEXT_NAME_HINTS), "text")
         .when(F.coalesce(unit, F.lit("")) != "", "number")
+        .when(named(C.NUMBER_NAME_HINTS), "number")
         .otherwise("text")
     )
 

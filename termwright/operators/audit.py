@@ -159,13 +159,16 @@ def wiki_patch_rows(items: DataFrame, audit: DataFrame, most: int = 20) -> DataF
 
 
 def reviewed_upsert(pages: DataFrame, patch: DataFrame) -> DataFrame:
-    """Pages with a reviewed block, which replaces an older one: the labels of ``patch`` (``component``, ``label``, ``matched``) that are matched, and those that are not; patches of unknown pages are skipped."""
+    """Pages with a reviewed block, which replaces an older one: the labels of ``patch`` (``component``, ``label``, ``matched``) that are matched, and those that are not.
+
+    A page without a patch stays as it is, with the block that it has; patches of unknown pages are skipped.
+    """
     listed = lambda test: F.array_join(F.array_sort(F.collect_set(F.when(test, F.col("label")))), "\n- ")
-    block = patch.groupBy("component").agg(listed(F.col("matched")).alias("yes"), listed(~F.col("matched")).alias("no"))
+    block = patch.groupBy("component").agg(listed(F.col("matched")).alias("yes"), listed(~F.col("matched")).alias("no"), F.lit(True).alias("patched"))
     part = lambda title, c: F.when(F.col(c) != "", F.concat(F.lit(f"\n{title}\n- "), F.col(c))).otherwise("")
     bare = F.regexp_replace("content", r"(?s)\n<!-- reviewed -->.*?<!-- /reviewed -->", "")
     new = F.concat(bare, F.lit("\n<!-- reviewed -->"), part("matched:", "yes"), part("open:", "no"), F.lit("\n<!-- /reviewed -->"))
-    return pages.join(block, "component", "left").select("component", F.coalesce(new, F.col("content")).alias("content"))
+    return pages.join(block, "component", "left").select("component", F.when(F.col("patched"), new).otherwise(F.col("content")).alias("content"))
 
 
 def writeback_pages(matches: DataFrame, items: DataFrame, synonyms: DataFrame, most: int = 30, labels: int = 15) -> DataFrame:

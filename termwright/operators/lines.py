@@ -353,57 +353,3 @@ def rule_paragraphs(regions: DataFrame, mark: str, triggers: tuple[str, ...]) ->
     parts = lines.groupBy("doc", "part").agg(F.array_join(ordered(F.trim("line"), F.col("pos")), " ").alias("paragraph"), F.min("pos").alias("pos"))
     hit = F.exists(F.array(*map(F.lit, triggers)), lambda t: F.lower("paragraph").contains(t))
     return parts.where(hit).groupBy("doc", "paragraph").agg(F.min("pos").alias("pos"))
-
-
-def calculation_codes(text: Column) -> Column:
-    """The calculation codes that a text's words point to, in the fixed order."""
-    pairs = (("模板", "MBMJ"), ("体积", "TJ"), ("中心线长度", "JCD"), ("长度", "CD"), ("面积", "MJ"), ("数量", "SL"))
-    return F.array_compact(F.array(*[F.when(text.contains(w), F.lit(c)) for w, c in pairs]))
-
-
-def extract_rules(paragraphs: DataFrame) -> DataFrame:
-    """What a paragraph rules: its types, the terms in quotes, the codes."""
-    p = F.col("paragraph")
-    types = F.array_compact(F.array(F.when(p.rlike("应按|列项|license"), "route"), F.when(p.rlike("项目特征|可描述|token"), "feature_hint"), F.when(p.rlike("体积|面积|长度|数量|工程量"), "calculation_hint")))
-    return paragraphs.select("doc", "pos", F.array_join(types, "|").alias("types"), F.array_join(F.array_distinct(F.regexp_extract_all("paragraph", F.lit('"([^"]+)"'), F.lit(1))), "|").alias("terms"), F.array_join(calculation_codes(p), "|").alias("codes"))
-
-
-#: What a hit of a rule is worth, in hundredths, the least that counts and the most there is (fixed values).
-SCOPE, FEATURE, KEYWORD, TYPES, LEAST, MOST = 55, 25, 8, {"component_route": 8, "feature_hint": 4, "calculation_hint": 4}, 30, 98
-
-
-def _rule_hits(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    norm = lambda c: X.normalize_text(F.coalesce(F.col(c), F.lit("")))
-    own = rows.select("chapter", "row_id", X.normalize_text(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in ("name", "features", "rule", "path")])).alias("all"), norm("features").alias("said"))
-    # A rule's terms are normalised once, before they meet any row.
-    terms = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda t: F.struct(t.alias("t"), X.normalize_text(t).alias("n"))), lambda t: t["n"] != "").alias(f"__{c}")
-    r = rules.select("*", *[terms(c) for c in ("scope_terms", "feature_names", "keywords")])
-    both = own.join(r, "chapter")
-    found = lambda c, text: F.transform(F.filter(f"__{c}", lambda t: F.col(text).contains(t["n"])), lambda t: t["t"])
-    both = both.withColumns({"in_scope": found("scope_terms", "all"), "in_features": found("feature_names", "said"), "in_words": found("keywords", "all")})
-    both = both.withColumn("terms", F.array_distinct(F.concat("in_scope", "in_features", "in_words")))
-    score = F.when(F.size("in_scope") > 0, SCOPE).otherwise(0) + F.when(F.size("in_features") > 0, FEATURE).otherwise(0) + F.size("in_words") * KEYWORD
-    for kind, bonus in TYPES.items():
-        score = score + F.when(F.array_contains("types", kind) & (F.size("terms") > 0), bonus).otherwise(0)
-    return both.withColumn("score", F.least(score, F.lit(MOST))).where(F.col("score") >= LEAST)
-
-
-def attach_rules(rows: DataFrame, rules: DataFrame, top: int = 8) -> DataFrame:
-    """(``row_id``, ``rule_id``, ``score``, ``terms``, ``rank``): the best ``top`` rules of each row's chapter, of equal scores those that come first (``pos``).
-
-    ``rows`` are (``chapter``, ``row_id``, ``name``, ``features``, ``rule``, ``path``), ``rules`` (``chapter``, ``rule_id``, ``pos``, ``types``, ``scope_terms``, ``feature_names``, ``keywords``). Scope terms
-    and keywords count anywhere in a row, feature names in its features, all in normal form.
-    """
-    hits = _rule_hits(rows, rules)
-    w = Window.partitionBy("row_id").orderBy(F.desc("score"), "pos")
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("row_id", "rule_id", (F.col("score") / 100).alias("score"), "terms", "rank")
-
-
-def rule_hints(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """(``row_id``, ``features``, ``targets``, ``codes``): what all rules that apply to a row hint at, in the rules' order, each once.
-
-    ``rules`` also have ``target_terms`` and ``codes``.
-    """
-    hits = _rule_hits(rows, rules)
-    every = lambda c: F.array_distinct(F.flatten(ordered(F.coalesce(F.col(c), F.array().cast("array<string>")), F.col("pos"))))
-    return hits.groupBy("row_id").agg(every("feature_names").alias("features"), every("target_terms").alias("targets"), every("codes").alias("codes"))

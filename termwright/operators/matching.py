@@ -244,33 +244,30 @@ def match_features(features: DataFrame, attributes: DataFrame, least: float = 0.
     )
 
 
-def calculation_preference(name: Column, rule: Column, unit: Column) -> Column:
-    """The calculation codes that a row points to, best first: by words of name and rule, else by the unit."""
+def _preferred(name: Column, rule: Column, unit: Column, chapter: Column | None) -> Column:
+    """Struct of the ``codes`` of calculations that a row points to, best first, and the ``words`` that a calculation's name then has."""
     text = F.concat_ws("\n", name, rule)
-    has = lambda *words: reduce(lambda a, b: a | b, [text.contains(w) for w in words])
-    codes = lambda *c: F.array(*[F.lit(x) for x in c])
-    return (
-        F.when(has("模板"), codes("MBMJ", "DMMB", "CMMB", "ZMBMJ", "ZMB"))
-        .when(has("体积"), codes("TJ", "ZTJ", "JLQTJ", "DZJLQTJ", "CGTJ"))
-        .when(has("面积"), codes("MJ", "TYMJ", "MBMJ", "TQMJ", "DMMJ", "CMMJ"))
-        .when(has("长度"), codes("CD", "JCD", "YCD"))
-        .when(has("数量"), codes("SL"))
-        .when(unit == "m3", codes("TJ", "ZTJ"))
-        .when(unit == "m2", codes("MJ", "TYMJ", "MBMJ"))
-        .when(unit == "m", codes("CD", "JCD"))
-        .when(unit.isin("个", "根", "套", "座", "樘", "件", "块", "榀"), codes("SL"))
-        .otherwise(F.array().cast("array<string>"))
-    )
+    array = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
+    both = lambda codes, words: F.struct(codes.alias("codes"), words.alias("words"))
+    cases = [(reduce(lambda a, b: a | b, [text.contains(w) for w in said]), both(array(codes), array(words))) for said, codes, words in C.PREFERRED_CODES]
+    if chapter is not None:
+        # None of the words stands in the row here: the codes are the words.
+        cases.append((F.size(F.coalesce(chapter, array(()))) > 0, both(chapter, chapter)))
+    cases += [(unit == u, both(array(codes), array(words))) for u, codes, words in C.UNIT_CODES]
+    cases.append((unit.isin(*C.COUNT_UNITS), both(array(("SL",)), array(("数量",)))))
+    first, *rest = cases
+    return reduce(lambda w, c: w.when(*c), rest, F.when(*first)).otherwise(both(array(()), array(())))
 
 
-def calculation_words(codes: Column) -> Column:
-    first = F.get(codes, F.lit(0))
-    return F.when(first == "MBMJ", F.array(F.lit("模板"), F.lit("接触面积"))).when(first == "TJ", F.array(F.lit("体积"))).when(first == "MJ", F.array(F.lit("面积"), F.lit("投影面积"), F.lit("接触面积"))).when(first == "CD", F.array(F.lit("长度"))).when(first == "SL", F.array(F.lit("数量"))).otherwise(F.array().cast("array<string>"))
+def calculation_preference(name: Column, rule: Column, unit: Column, chapter: Column | None = None) -> Column:
+    """The calculation codes that a row points to, best first: by words of name and rule, else those of its ``chapter``'s rules, else by the unit."""
+    return _preferred(name, rule, unit, chapter)["codes"]
 
 
 def select_calculation(rows: DataFrame, calculations: DataFrame, least: float = 0.25) -> DataFrame:
-    """Each row (``row_id``, ``component``, ``name``, ``rule``, ``unit``) with the best calculation (``component``, ``calc_code``, ``calc_name``, ``calc_unit``, ``pos``), else a generic code."""
-    own = rows.withColumn("codes", calculation_preference(F.col("name"), F.col("rule"), F.col("unit"))).withColumn("words", calculation_words(F.col("codes")))
+    """Each row (``row_id``, ``component``, ``name``, ``rule``, ``unit``, and ``chapter_codes`` if there are) with the best calculation (``component``, ``calc_code``, ``calc_name``, ``calc_unit``, ``pos``), else a generic code."""
+    chapter = F.col("chapter_codes") if "chapter_codes" in rows.columns else None
+    own = rows.withColumn("preferred", _preferred(F.col("name"), F.col("rule"), F.col("unit"), chapter)).select("*", "preferred.*").drop("preferred")
     place = F.array_position("codes", F.col("calc_code"))
     score = F.round(
         F.when(place > 0, 0.7 - (place - 1) * 0.05).otherwise(0.0)
@@ -305,7 +302,7 @@ def local_match(rows: DataFrame, catalog: DataFrame, index: DataFrame) -> DataFr
 def local_results(matches: DataFrame, attributes: DataFrame, calculations: DataFrame, hints: DataFrame | None = None) -> DataFrame:
     """The rows of :func:`local_match` with the features and the calculation of their component: ``n_features``, ``found``, ``expressions``, ``calc_code``, ``calc_unit``.
 
-    Rows without features of their own take the ``hints`` of their chapter.
+    Rows without features of their own take the ``hints`` of their chapter, and where no word of a row says how it is counted, their ``codes`` do.
     """
     known = matches.where("component is not null")
     own = explode_features(known)
@@ -313,7 +310,10 @@ def local_results(matches: DataFrame, attributes: DataFrame, calculations: DataF
     features = match_features(own.join(known.select("row_id", "component"), "row_id"), attributes)
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("feature_order", "expression"))), lambda x: x["expression"]), "|")
     counted = features.groupBy("row_id").agg(F.count("*").alias("n_features"), F.count_if("matched").alias("found"), said.alias("expressions"))
-    calculation = select_calculation(known.select("row_id", "component", "name", "rule", X.normalize_unit(F.col("unit")).alias("unit")), calculations)
+    priced = known.select("row_id", "component", "name", "rule", X.normalize_unit(F.col("unit")).alias("unit"))
+    if hints is not None and "codes" in hints.columns:
+        priced = priced.join(hints.select("row_id", F.col("codes").alias("chapter_codes")), "row_id", "left")
+    calculation = select_calculation(priced, calculations)
     out = matches.select("row_id", "component", "score", "basis", "status").join(counted, "row_id", "left").join(calculation.select("row_id", "calc_code", F.col("unit").alias("calc_unit")), "row_id", "left")
     return out.na.fill(0, ["n_features", "found"]).na.fill("", ["expressions", "calc_code", "calc_unit"])
 

@@ -250,30 +250,9 @@ described AS (SELECT f.*, name AS attribute_name, code AS attribute_code, CASE W
 ORACLE_SQL["match_features"] = f"""WITH {BILL_ROWS}, {_FEATURES}, {_VALUES}, {_ATTRIBUTES}, own AS (SELECT f.row_id, split_part(chapter, ' > ', 2) AS component, feature_order, raw_text, label, value FROM feature_values f JOIN bill_rows b USING (row_id)),
 {_best_attributes('own')} SELECT row_id, component, feature_order, raw_text, label, value, attribute_name, attribute_code, expression, matched FROM described"""
 
-QUERIES["calculation_preference"] = lambda spark, sf_dir: bill_rows(spark, sf_dir).select("row_id", F.array_join(M.calculation_preference(F.col("name"), F.col("rule"), X.normalize_unit(F.col("unit"))), "|").alias("codes"))
 _PREFER = f"""prefer AS (SELECT *, {S.unit('unit')} AS u, CASE WHEN contains(name || rule, '模板') THEN ['MBMJ', 'DMMB', 'CMMB', 'ZMBMJ', 'ZMB'] WHEN contains(rule, '体积') THEN ['TJ', 'ZTJ', 'JLQTJ', 'DZJLQTJ', 'CGTJ']
   WHEN contains(rule, '面积') THEN ['MJ', 'TYMJ', 'MBMJ', 'TQMJ', 'DMMJ', 'CMMJ'] WHEN contains(rule, '长度') THEN ['CD', 'JCD', 'YCD'] WHEN contains(rule, '数量') THEN ['SL']
   WHEN {S.unit('unit')} = 'm3' THEN ['TJ', 'ZTJ'] WHEN {S.unit('unit')} = 'm2' THEN ['MJ', 'TYMJ', 'MBMJ'] ELSE [] END AS codes FROM bill_rows)"""
-ORACLE_SQL["calculation_preference"] = f"WITH {BILL_ROWS}, {_PREFER} SELECT row_id, array_to_string(codes, '|') AS codes FROM prefer"
-
-
-def select_calculation(spark, sf_dir):
-    rows = bill_rows(spark, sf_dir).select("row_id", "name", "rule", X.normalize_unit(F.col("unit")).alias("unit"), F.split_part("chapter", F.lit(" > "), F.lit(2)).alias("component"))
-    items = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("calc_code"), F.lit(n).alias("calc_name"), F.lit(u).alias("calc_unit")) for i, (c, n, u) in enumerate((("ZTJ", "总体积", "m3"), ("MJ", "净面积", "m2"), ("MBMJ", "模板面积", "m2")))])
-    calculations = table(spark, sf_dir, "part").where("p_type <> 'PROMO'").select(F.col("p_type").alias("component")).distinct().select("component", F.inline(items))
-    return M.select_calculation(rows, calculations)
-
-
-QUERIES["select_calculation"] = select_calculation
-ORACLE_SQL["select_calculation"] = f"""WITH {BILL_ROWS}, {_PREFER}, c(pos, calc_code, calc_name, calc_unit) AS (VALUES (0, 'ZTJ', '总体积', 'm3'), (1, 'MJ', '净面积', 'm2'), (2, 'MBMJ', '模板面积', 'm2')),
-r AS (SELECT *, split_part(chapter, ' > ', 2) AS component, CASE codes[1] WHEN 'MBMJ' THEN ['模板', '接触面积'] WHEN 'TJ' THEN ['体积'] WHEN 'MJ' THEN ['面积', '投影面积', '接触面积'] WHEN 'CD' THEN ['长度'] WHEN 'SL' THEN ['数量'] ELSE [] END AS words FROM prefer),
-s AS (SELECT r.row_id, c.*, round(CASE WHEN list_position(codes, calc_code) > 0 THEN 0.7 - (list_position(codes, calc_code) - 1) * 0.05 ELSE 0 END + CASE WHEN u <> '' AND u = calc_unit THEN 0.25 ELSE 0 END
-  + CASE WHEN len(list_filter(words, lambda w: contains(calc_name, w))) > 0 THEN 0.2 ELSE 0 END + CASE WHEN contains(name, '模板') AND contains(calc_name, '模板') THEN 0.25 ELSE 0 END, 4) AS score FROM r, c WHERE component <> 'PROMO'),
-b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, pos) AS k FROM s WHERE score >= 0.25) WHERE k = 1),
-g AS (SELECT r.*, list_filter(codes, lambda x: x IN ('TJ', 'MJ', 'CD', 'SL'))[1] AS generic FROM r)
-SELECT g.row_id, g.component, coalesce(calc_code, generic, '') AS calc_code, coalesce(calc_name, CASE generic WHEN 'TJ' THEN '体积' WHEN 'MJ' THEN '面积' WHEN 'CD' THEN '长度' WHEN 'SL' THEN '数量' END, '') AS calc_name,
-  CASE WHEN u <> '' THEN u ELSE coalesce(calc_unit, CASE generic WHEN 'TJ' THEN 'm3' WHEN 'MJ' THEN 'm2' WHEN 'CD' THEN 'm' END, '') END AS unit
-FROM g LEFT JOIN b USING (row_id)"""
 
 
 # -- items whose component is given ------------------------------------------------------------------

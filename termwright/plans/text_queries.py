@@ -83,12 +83,20 @@ _on_table(
     lambda: X.clamp_confidence(F.when(F.col("event_id") % 5 == 0, F.lit("bad")).otherwise((F.col("value") / 50).cast("string"))),
     "CASE WHEN event_id % 5 = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, coalesce(value / 50, 0.0))) END",
 )
+_VALUES, _SAMPLES = (None, "", "12", "+1.5", "x", "1."), ("", "12", "a1", "-3.25")
+_NAMED, _LINKED = ("墙厚", "截面类型", "厚度做法", "备注", "数量", "plain", "标高", "模板面积"), ("", "m2")
+_NAMES = "[" + ", ".join(f"'{x}'" for x in _NAMED) + "]"
+_VALUE = "[" + ", ".join("NULL" if x is None else f"'{x}'" for x in _VALUES) + "]"
+_at = lambda options, by: F.get(F.array(*[F.lit(x).cast("string") for x in options]), (F.floor(F.col("p_partkey") / by) % len(options)).cast("int"))
 _on_table(
+    # Every combination of values, samples, names and units, and the parts' own sizes and names.
     "infer_value_type",
     "part",
     "p_partkey",
-    lambda: X.infer_value_type(F.when(F.col("p_partkey") % 4 == 0, F.array(F.col("p_size").cast("string"), F.lit("2.5"))).when(F.col("p_partkey") % 4 == 1, F.array("p_name")), F.when(F.col("p_partkey") % 4 == 2, "12"), F.col("p_type"), F.when(F.col("p_size") > 25, "m2")),
-    "CASE WHEN p_partkey % 4 = 0 THEN 'number' WHEN p_partkey % 4 = 1 THEN CASE WHEN regexp_full_match(trim(p_name), '[+-]?\\d+(\\.\\d+)?') THEN 'number' ELSE 'text' END WHEN p_partkey % 4 = 2 THEN 'number' WHEN regexp_matches(lower(p_type), '长|宽|高|厚|径|面积|体积|数量|size|length|width|height') OR p_size > 25 THEN 'number' ELSE 'text' END",
+    lambda: X.infer_value_type(F.array(_at(_VALUES, 1), F.when(F.col("p_size") % 5 == 0, F.col("p_size").cast("string"))), F.when(F.col("p_partkey") % 2 == 0, _at(_SAMPLES, 6)), F.concat("p_name", _at(_NAMED, 24)), _at(_LINKED, 192)),
+    f"""(SELECT CASE WHEN len(vs) > 0 THEN CASE WHEN len(list_filter(vs, lambda v: NOT regexp_full_match(trim(v), '[+-]?\\d+(\\.\\d+)?'))) = 0 THEN 'number' ELSE 'text' END
+WHEN p_partkey % 2 = 0 AND ['', '12', 'a1', '-3.25'][1 + p_partkey // 6 % 4] IN ('12', '-3.25') THEN 'number' WHEN regexp_matches(nm, '{"|".join(C.TEXT_NAME_HINTS)}') THEN 'text' WHEN p_partkey // 192 % 2 = 1 THEN 'number' WHEN regexp_matches(nm, '{"|".join(C.NUMBER_NAME_HINTS)}') THEN 'number' ELSE 'text' END
+FROM (SELECT list_filter([{_VALUE}[1 + p_partkey % 6], CASE WHEN p_size % 5 = 0 THEN CAST(p_size AS VARCHAR) END], lambda v: coalesce(v, '') <> '') AS vs, p_name || {_NAMES}[1 + p_partkey // 24 % 8] AS nm))""",
 )
 _on_table(
     "extract_title",

@@ -224,15 +224,17 @@ def test_terms_in_blocks(spark):
 
 
 def test_rules_score_by_kind(spark):
+    from termwright.operators import rules as rules_
+
     rows = spark.createDataFrame([("c", 1, "砖墙", "1.厚度", "按体积计算", "p"), ("c", 2, "柱", "", "", "x > 砖墙"), ("d", 3, "砖墙", "厚度", "", "")], "chapter string, row_id long, name string, features string, rule string, path string")
     rules = spark.createDataFrame(
         [("c", "r1", 1, ["component_route"], ["砖墙"], ["厚度"], ["体积", "面积"], ["t"], ["TJ"]), ("c", "r2", 2, ["feature_hint"], [], ["厚度"], [], ["t", "u"], []), ("c", "r3", 3, ["calculation_hint"], ["柱"], [], ["体积"], [], ["MJ"])],
         "chapter string, rule_id string, pos int, types array<string>, scope_terms array<string>, feature_names array<string>, keywords array<string>, target_terms array<string>, codes array<string>",
     )
-    got = {(r.row_id, r.rule_id): (r.score, r.terms) for r in lines.attach_rules(rows, rules).collect()}
+    got = {(r.row_id, r.rule_id): (r.score, r.terms) for r in rules_.attach_rules(rows, rules).collect()}
     # r2 has 0.25 + 0.04 on row 1: below the least.
     assert got == {(1, "r1"): (0.96, ["砖墙", "厚度", "体积"]), (2, "r1"): (0.63, ["砖墙"]), (2, "r3"): (0.59, ["柱"])}
-    hints = {r.row_id: (r.features, r.targets, r.codes) for r in lines.rule_hints(rows, rules).collect()}
+    hints = {r.row_id: (r.features, r.targets, r.codes) for r in rules_.rule_hints(rows, rules).collect()}
     assert hints == {1: (["厚度"], ["t"], ["TJ"]), 2: (["厚度"], ["t"], ["TJ", "MJ"])}
 
 
