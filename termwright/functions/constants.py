@@ -291,3 +291,14 @@ SHEET_COLUMNS = {
     "expression": ("计算表达式", "表达式", "formula", "公式"),
 }
 SHEET_DEFAULTS, VALUE_BREAKS = "属性值", r"[\r\n、,，|;；]+"
+
+# Words of titles before and behind the body, titles of a table of contents, and how a title of the body begins.
+FRONT_TITLES = ("封面", "题名页", "版权页", "公告", "前言", "目次", "contents")
+BACK_TITLES = ("本标准用词说明", "引用标准名录", "条文说明", "封底")
+CATALOGUE_TITLES = ("目次", "contents")
+BODY_TITLE = r"^(?:\d|附录\s*[A-Z]|[A-Z]\.\d)"
+
+# What a title has before its words, and the shortest form of it that is looked for.
+TITLE_NUMBER = r"^(?:[A-Za-z]\.\d+(?:\.\d+)*|\d+(?:\.\d+)*|附录\s*[A-Z])\s*"
+TITLE_APPENDIX = r"^附录\s*[A-Z]\s*"
+LEAST_ANCHOR = 2

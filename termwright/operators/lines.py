@@ -107,7 +107,7 @@ def region_bounds(outline: DataFrame) -> DataFrame:
     return outline.withColumn("end", end)
 
 
-def region_text(outline: DataFrame, lines: DataFrame) -> DataFrame:
+def region_lines(outline: DataFrame, lines: DataFrame) -> DataFrame:
     """(``doc``, ``start``, ``text``, ``n_lines``): the lines from an entry up to the next that is not deeper, as one text.
 
     Each line goes to the entries that are open where it stands: as many rows as an outline is deep, not as it is long.
@@ -119,11 +119,6 @@ def region_text(outline: DataFrame, lines: DataFrame) -> DataFrame:
     return own.groupBy("doc", "start").agg(F.array_join(ordered(F.col("line"), F.col("pos")), "\n").alias("text"), F.count("*").alias("n_lines"))
 
 
-def body_pages(outline: DataFrame) -> DataFrame:
-    """For each document the first page of the body and of the back matter, from the titles' class."""
-    return outline.groupBy("doc").agg(F.min(F.when(F.col("kind") == "body", F.col("pos"))).alias("body"), F.min(F.when(F.col("kind") == "back", F.col("pos"))).alias("back"))
-
-
 def header_runs(lines: DataFrame, within: int = 8, least: int = 4) -> DataFrame:
     """``lines`` (``doc``, ``pos``, ``line``, not blank) with ``header`` and ``starts``: at the first line of a run of headers that has the required ones and ``least`` in all."""
     w = Window.partitionBy("doc").orderBy("pos")

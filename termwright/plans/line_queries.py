@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from termwright.functions import constants as C
 from termwright.operators import lines as N
+from termwright.operators import positions as P
 from termwright.plans import sqltext as S
 from termwright.sources.tables import pick, sql_pick, table
 
@@ -76,12 +78,11 @@ SELECT doc, pos, level, title, array_to_string(path, ' > ') AS path, CASE WHEN l
 )
 add("region_bounds", lambda s, d: N.region_bounds(sample(s, d)).select("doc", "pos", "end"), f'WITH {_S} SELECT a.doc, a.pos, min(b.pos) AS "end" FROM sample a LEFT JOIN sample b ON a.doc = b.doc AND b.pos > a.pos AND b.level <= a.level GROUP BY 1, 2')
 add(
-    "region_text",
-    lambda s, d: N.region_text(sample(s, d), sample(s, d)),
+    "region_lines",
+    lambda s, d: N.region_lines(sample(s, d), sample(s, d)),
     f"""WITH {_S}, b AS (SELECT a.doc, a.pos AS start, min(b.pos) AS e FROM sample a LEFT JOIN sample b ON a.doc = b.doc AND b.pos > a.pos AND b.level <= a.level GROUP BY 1, 2)
 SELECT b.doc, start, string_agg(line, chr(10) ORDER BY s.pos) AS text, count(*) AS n_lines FROM b JOIN sample s ON s.doc = b.doc AND s.pos >= start AND (e IS NULL OR s.pos < e) GROUP BY 1, 2""",
 )
-add("body_pages", lambda s, d: N.body_pages(sample(s, d).withColumn("kind", pick(("front", "body", "back"), (F.col("part") % 3).cast("int")))), f"WITH {_S} SELECT doc, min(pos) FILTER (part % 3 = 1) AS body, min(pos) FILTER (part % 3 = 2) AS back FROM sample GROUP BY 1")
 
 
 _BLOCKS = (
@@ -205,19 +206,47 @@ def cells(spark, sf_dir):
 
 
 _one = lambda c: f"regexp_matches({c}, '^1\\s*[.．、]')"
-add(
-    "rows_from_cells",
-    lambda s, d: N.rows_from_cells(cells(s, d)),
-    f"""WITH b AS (SELECT l_suppkey AS doc, l_orderkey * 8 + l_linenumber AS pos, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2),
-p AS (SELECT doc, pos % 40 AS table_no, pos, part, [{", ".join("[" + ", ".join(f"'{x}'" for x in r) + "]" for r in _CELL_ROWS)}][1 + part % {len(_CELL_ROWS)}] AS r FROM b),
+
+
+def _rows_sql(number: str) -> str:
+    """Rows of the cells, whose table has this number."""
+    return f"""WITH b AS (SELECT l_suppkey AS doc, l_orderkey * 8 + l_linenumber AS pos, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2),
+p AS (SELECT doc, {number} AS table_no, pos, part, [{", ".join("[" + ", ".join(f"'{x}'" for x in r) + "]" for r in _CELL_ROWS)}][1 + part % {len(_CELL_ROWS)}] AS r FROM b),
 c AS (SELECT doc, table_no, pos, doc % 2 = 0 AS continuation, translate(nullif(regexp_extract(r[1], '^([0-9OoIl]{{9,12}})', 1), ''), 'OoIl', '0011') AS code, regexp_extract(r[1], '^[0-9OoIl]{{9,12}}\\s*(.*)$', 1) AS inline, CASE WHEN r[2] <> '' THEN r[2] || part ELSE '' END AS name, r[3] AS features, r[4] AS unit, r[5] AS rule, r[6] AS work FROM p),
 a AS (SELECT *, row_number() OVER w AS seq, code IS NOT NULL AS is_code, name <> '' OR features <> '' OR unit <> '' AS named FROM c WINDOW w AS (PARTITION BY doc, table_no ORDER BY pos)),
 n AS (SELECT *, min(CASE WHEN is_code THEN seq END) OVER w AS code_at, min(CASE WHEN named AND NOT is_code THEN seq END) OVER w AS named_at FROM a WINDOW w AS (PARTITION BY doc, table_no ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING)),
 s AS (SELECT *, NOT is_code AND code_at IS NOT NULL AND ({_one('work')} OR {_one('rule')}) AND (named OR coalesce(named_at < code_at, false)) AS anew, NOT is_code AND coalesce(code_at = seq + 1, false) AND named AND rule = '' AND work = '' AS before, sum(is_code::INT) OVER (PARTITION BY doc, table_no ORDER BY pos) AS session FROM n),
 m AS (SELECT *, CASE WHEN is_code THEN session WHEN bool_or(anew) OVER (PARTITION BY doc, table_no, session ORDER BY pos) OR before OR (continuation AND session = 0) THEN session + 1 ELSE session END AS row_no FROM s)
 SELECT doc, table_no, row_no, max(code) AS code, concat_ws(chr(10), nullif(max(inline), ''), string_agg(nullif(name, ''), chr(10) ORDER BY pos)) AS name, {", ".join(f"coalesce(string_agg(nullif({c}, ''), chr(10) ORDER BY pos), '') AS {c}" for c in ("features", "unit", "rule", "work"))}
-FROM m WHERE row_no > 0 GROUP BY 1, 2, 3 HAVING max(code) IS NOT NULL""",
-)
+FROM m WHERE row_no > 0 GROUP BY 1, 2, 3 HAVING max(code) IS NOT NULL"""
+
+
+add("rows_from_cells", lambda s, d: N.rows_from_cells(cells(s, d)), _rows_sql("pos % 40"))
+
+
+def page_words(spark, sf_dir):
+    """The cells as words on pages: a table on each, with a title, a header of one of three makes, page marks, and centres that move a little from page to page."""
+    own = cells(spark, sf_dir).withColumn("nth", F.dense_rank().over(Window.partitionBy("doc").orderBy("table_no")))
+    data = own.withColumn("k", F.row_number().over(Window.partitionBy("doc", "table_no").orderBy("pos")))
+    centre = lambda i: F.lit(100.0 * i + 50) + F.col("table_no") % 5
+    boxed = lambda word, x, y: F.struct((x - 6).alias("x0"), y.cast("double").alias("y0"), (x + 6).alias("x1"), (y + 8).cast("double").alias("y1"), word.alias("word"))
+    y = F.col("k") * 12 + 40
+    # A code and what stands after it are two words of one cell; lines are a little uneven.
+    said = [boxed(F.split_part(c, F.lit(" "), F.lit(n)), centre(i) + 9 * (n - 1), y + (i + n) % 3) for i, c in enumerate(N.CELLS) for n in (1, 2)]
+    marks = boxed(F.lit("• 12 •"), F.lit(300.0), y + 6)
+    body = data.select("doc", F.col("table_no").alias("page"), F.inline(F.filter(F.array(*said), lambda w: w["word"] != ""))).unionByName(data.where("k % 4 = 0").select("doc", F.col("table_no").alias("page"), F.inline(F.array(marks))))
+    top = own.select("doc", "table_no", "nth", "continuation").distinct()
+    line = F.lit(20)
+    full = F.array(*[boxed(F.lit(h), centre(i), line) for i, h in enumerate(C.TABLE_HEADERS)])
+    some = F.array(*[boxed(F.lit(h), centre(i), line) for i, h in enumerate(C.TABLE_HEADERS) if h not in ("计量单位", "工程量计算规则")])
+    text = F.array(boxed(F.lit("项目编码项目名称项目特征"), centre(1), line), boxed(F.lit(" 工作内容"), centre(4), line))
+    header = F.when((F.col("nth") == 1) | (F.col("table_no") % 3 == 0), full).when(F.col("table_no") % 3 == 1, some).otherwise(text)
+    title = F.array(boxed(F.when(F.col("continuation"), "续 表").otherwise("表"), centre(2), F.lit(4)), boxed(F.lit("A.1"), centre(3), F.lit(5)))
+    tops = top.select("doc", F.col("table_no").alias("page"), F.inline(F.concat(title, header)))
+    return tops.unionByName(body)
+
+
+add("rows_from_words", lambda s, d: P.rows_from_words(page_words(s, d)), _rows_sql("dense_rank() OVER (PARTITION BY doc ORDER BY pos % 40)"))
 _TITLES = ("表 E.1.1 a", "续表 E.1.1", "续表", "表 E.2.1 b", "续表 E.9.9")
 add(
     "merge_continuations",

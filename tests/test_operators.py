@@ -147,7 +147,7 @@ def test_outline_of_any_depth(spark):
     got = [(r.path, r.parent) for r in lines.outline_paths(rows).orderBy("pos").collect()]
     assert got[4] == ("t0 > t1 > t2 > t3 > t4", "t3") and got[5] == ("t0 > t1 > t2 > t5", "t2") and got[7] == ("t0 > t6 > t7", "t6") and got[8] == ("t8", None)
     assert [r.end for r in lines.region_bounds(rows).orderBy("pos").collect()] == [8, 6, 6, 5, 5, 6, 8, 8, None]
-    text = {r.start: r.text for r in lines.region_text(rows, rows.withColumnRenamed("title", "line")).collect()}
+    text = {r.start: r.text for r in lines.region_lines(rows, rows.withColumnRenamed("title", "line")).collect()}
     assert text[1] == "t1\nt2\nt3\nt4\nt5" and text[8] == "t8" and len(text[0].split("\n")) == 8
 
 
