@@ -23,8 +23,8 @@ BUCKETS = 1 << 15
 DENSE = 5
 #: The scorer is fitted on at most so many documents.
 TRAIN = 4000
-#: Shares of hashed features are of so many words at least: a short text has little to say against it.
-LEAST_WORDS = 60
+#: Words that every text is taken to have besides its own, which say nothing: by one formula for all lengths, a short text has little to say against it.
+SILENT_WORDS = 60
 #: Votes of a labeller.
 BAD, GOOD, NONE = 0, 1, 2
 LABELLERS = ("symbols", "capitals", "repeats", "function words", "sentence ends", "doubled marks", "lines", "variety", "letters")
@@ -149,7 +149,7 @@ def posteriors(counts: dict[int, int], rounds: int = 100, weight: float = 0.02)
 
 def features(words: np.ndarray, text: str, own: tuple[float, ...] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values of a document: shares of its words and shapes, and the dense ones. No more than ``BUCKETS`` + ``DENSE``, however long the text."""
-    n = max(LEAST_WORDS, len(words))
+    n = SILENT_WORDS + len(words)
     hashed = np.sort(np.concatenate([(words >> 8) & 0xFFFFFF, words >> 32]).astype(np.int32))
     first = np.flatnonzero(np.concatenate([[len(hashed) > 0], hashed[1:] != hashed[:-1]])[: len(hashed)])
     at, counts = hashed[first], np.diff(np.append(first, len(hashed)))
@@ -158,18 +158,20 @@ def features(words: np.ndarray, text: str, own: tuple[float, ...] | None = None)
     return np.concatenate([at, np.arange(BUCKETS, BUCKETS + DENSE)]), np.concatenate([counts / n, dense])
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 300, rate: float = 0.5, decay: float = 1e-5) -> np.ndarray:
-    """Weights of a logistic scorer by full-batch Adam; ``rows`` are buckets, values and the posterior."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, float, float]], rounds: int = 300, rate: float = 0.5, decay: float = 1e-5) -> np.ndarray:
+    """Weights of a logistic scorer by full-batch Adam; ``rows`` are buckets, values, the posterior and the row's weight."""
     w = np.zeros(BUCKETS + DENSE)
     w[BUCKETS] = 2.0
     if not rows:
         return w
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     at, x, y = np.concatenate([r[0] for r in rows]).astype(np.int64), np.concatenate([r[1] for r in rows]), np.array([r[2] for r in rows])
+    own = np.array([r[3] for r in rows])
+    own = own / own.sum()
     m, v = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=w[at] * x, minlength=len(rows)), -30, 30)))
-        g = np.bincount(at, weights=(p - y)[row] * x, minlength=len(w)) / len(rows) + decay * w
+        g = np.bincount(at, weights=((p - y) * own)[row] * x, minlength=len(w)) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
     return w
@@ -193,19 +195,20 @@ class Model:
 
 
 def trained(df: DataFrame, text: str = "text", most: int = TRAIN) -> Model:
-    """Counts the votes on all documents, estimates the labellers, and fits the scorer on at most ``most`` documents.
+    """Counts the votes on all documents, estimates the labellers, and fits the scorer on at most ``most`` different texts.
 
     The sample is drawn by a hash of the text alone, so it is the same for any partitioning and whatever
-    columns stand beside it. Its documents go through the driver as hashed features, 4 + 4 bytes each: a long text has at most
+    columns stand beside it. A text that is repeated is in it once, and weighs one more than the logarithm of its copies. Its documents go through the driver as hashed features, 4 + 4 bytes each: a long text has at most
     ``BUCKETS`` of them, an ordinary one some hundreds. An empty table gives a model that keeps everything.
     """
     own = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     counts = {r["votes"]: r["count"] for r in voted(own).groupBy("votes").count().collect()}
     posterior, table, good = posteriors(counts)
-    total = sum(counts.values())
+    # How many texts there are is needed roughly only: it says which share of them is drawn.
+    total = own.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
     drawn = F.pmod(F.xxhash64(F.lit(17), "text"), F.lit(1_000_000))
-    share = math.ceil(1_000_000 * min(1.0, 1.1 * most / max(1, total)))
-    sample = own.select(drawn.alias("drawn"), "text").where(F.col("drawn") < share)
+    share = math.ceil(1_000_000 * min(1.0, 1.25 * most / max(1, total)))
+    sample = own.where(drawn < share).groupBy(drawn.alias("drawn"), F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
 
     def make(texts):
         reader = kept("quality", Reader)
@@ -213,8 +216,8 @@ def trained(df: DataFrame, text: str = "text", most: int = TRAIN) -> Model:
         found = [features(w, t) for w, t in zip(read, texts)]
         return [[votes(w, t) for w, t in zip(read, texts)], [a.astype("<i4").tobytes() for a, _ in found], [x.astype("<f4").tobytes() for _, x in found]]
 
-    rows = extended(sample, make, "text", T.StructType().add("votes", "integer").add("at", "binary").add("x", "binary")).orderBy("drawn", "at", "x").limit(most).collect()
-    weights = fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["x"], "<f4"), posterior.get(r["votes"], good)) for r in rows])
+    rows = extended(sample, make, "text", T.StructType().add("votes", "integer").add("at", "binary").add("x", "binary")).orderBy("drawn", "digest").limit(most).collect()
+    weights = fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["x"], "<f4"), posterior.get(r["votes"], good), 1 + math.log(r["copies"])) for r in rows])
     return Model(posterior, table, good, weights)
 
 

@@ -9,12 +9,14 @@ more repetitive tokens than prose of its language.
 from __future__ import annotations
 
 import base64
+import heapq
 import math
 import os
 import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -136,22 +138,50 @@ class Pieces(PieceEncoder):
 class Ranks:
     """A byte-level vocabulary given as ranks; ids of single bytes beyond ASCII are its byte fallback."""
 
-    #: A run of one class this long is cut, as the library's time grows with the square of a run; the measures hardly notice.
+    #: A text with a run of one class this long is split here, and what is long merged here: the library's time grows with the square of a run.
     RUN = 10_000
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.byte_ids = np.array([i for x, i in ranks.items() if len(x) == 1 and x[0] > 127])
-        self.library = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.byte_ids = np.array([i for x, i in self.ranks.items() if len(x) == 1 and x[0] > 127])
+        self.library = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.long = re.compile(r"\S{%d}|\s{%d}" % (self.RUN, self.RUN))
+        self.split = regex.compile(PATTERN)
 
     def measured(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(sum(map(self.library.encode_ordinary, self._cut(t)), []) if len(t) > self.RUN else self.library.encode_ordinary(t), np.int64) for t in texts]
-
-    def _cut(self, text: str) -> list[str]:
-        ends = [m.end() for m in self.long.finditer(text)]
-        return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])]
+        return [np.array(self._parts(t) if len(t) >= self.RUN and self.long.search(t) else self.library.encode_ordinary(t), np.int64) for t in texts]
+
+    def _parts(self, text: str) -> list[int]:
+        out: list[int] = []
+        for m in self.split.finditer(text):
+            part = m[0]
+            out += self.library.encode_ordinary(part) if len(part) < 100 else self.merged(part.encode())
+        return out
+
+    def merged(self, part: bytes) -> list[int]:
+        """The ids of one pre-token of any length, in time n log n: the pair of the lowest rank, of equal ones the first, until none is left."""
+        if part in self.ranks:
+            return [self.ranks[part]]
+        pieces: list[bytes | None] = [part[i : i + 1] for i in range(len(part))]
+        after, before = [*range(1, len(part) + 1)], [*range(-1, len(part) - 1)]
+        rank = lambda i: self.ranks.get(pieces[i] + pieces[after[i]]) if after[i] < len(part) else None
+        heap = [(r, i) for i in range(len(part)) if (r := rank(i)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            # A pair that has changed since is out of date.
+            if pieces[i] is None or rank(i) != r:
+                continue
+            j = after[i]
+            pieces[i] += pieces[j]
+            pieces[j], after[i] = None, after[j]
+            if after[i] < len(part):
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and (x := rank(k)) is not None:
+                    heapq.heappush(heap, (x, k))
+        return [self.ranks[p] for p in pieces if p is not None]
 
 
 def vocabulary(path: str) -> Pieces | Ranks:

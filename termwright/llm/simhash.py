@@ -186,15 +186,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", width: int = 4, radius:
 
     Fingerprints link at ``radius`` or fewer different bits. Null and wordless texts share the
     fingerprint zero and are linked like any other. Repeated rows come back as often as they came.
-    A row with a null key has its fingerprint's component, and counts as least key only if no other
-    row shares the fingerprint: then its component is null. An empty table gives no rows; a text of any
+    A row with a null key links like any other but names no component: one of such rows alone has null. An empty table gives no rows; a text of any
     length is read whole, once. Further columns are ignored.
     """
     prints = written(fingerprints(df.select(F.col(f"`{key}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text")), width, seed), "simhash")
-    distinct = prints.groupBy("simhash").agg(F.min("node").alias("node")).where("node is not null")
-    distinct = written(distinct, "simhash-distinct")
-    reached = components(linked(distinct, radius))
-    label = distinct.join(reached, "node", "left").select("simhash", F.coalesce("component", "node").alias("component_id"))
+    # A fingerprint is its own node, so that one whose rows have no key links what is near it; keys give a component its name only.
+    distinct = written(prints.groupBy("simhash").agg(F.min("node").alias("id")).withColumn("node", F.col("simhash")), "simhash-distinct")
+    reached = components(linked(distinct.select("simhash", "node"), radius))
+    member = distinct.join(reached, "node", "left").select("simhash", "id", F.coalesce("component", "node").alias("component"))
+    named = member.groupBy("component").agg(F.min("id").alias("component_id"))
+    label = member.join(named, "component").select("simhash", "component_id")
     return (
         prints.join(label, "simhash", "left")
         .select(F.col("node").alias(key), F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")

@@ -518,11 +518,12 @@ def test_pipeline(spark, hard):
         assert docs.columns == before.columns
         docs = docs.persist()
         kept[name] = {r.doc_id: r.text for r in docs.collect()}
-    prints = {i: brute_simhash(t) for i, t in kept["quality classifier"].items()}
-    left = sorted(kept["near duplicates"])
-    f = np.array([prints[i] for i in left], np.uint64)
-    assert all((np.bitwise_count(f ^ x) <= 4).sum() == 1 for x in f)
-    assert all(any((prints[i] ^ prints[j]).bit_count() <= 4 for j in prints if j != i) for i in prints if i not in kept["near duplicates"])
+    texts, left = kept["quality classifier"], kept["near duplicates"]
+    sets = {i: jaccard_sets(t) for i, t in texts.items()}
+    prints = {i: simhash.fingerprint(t.encode().lower().split(), 5, 42) for i, t in texts.items()}
+    alike = lambda i, j: texts[i] == texts[j] or (prints[i] ^ prints[j]).bit_count() <= near.RADIUS and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert not any(alike(i, j) for i in left for j in left if i < j)
+    assert all(any(alike(i, j) for j in texts if j != i) for i in texts if i not in left)
     rows = c.run(spark, SF).collect()
     assert check_packing(rows, kept["personal data"], queries.vocabulary("byte_bpe_50k.json")) == 0
     for _, stage in c.STAGES[:-1]:
@@ -597,7 +598,7 @@ def test_near_groups_against_brute_force(spark, tile, first):
     find = lambda i: i if root[i] == i else find(root[i])
     for i in range(len(texts)):
         for j in range(i):
-            if nodes[i] and nodes[j] and (prints[i] ^ prints[j]).bit_count() <= 12 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            if nodes[i] and nodes[j] and (prints[i] ^ prints[j]).bit_count() <= near.RADIUS and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 p, q = sorted((find(nodes[i]), find(nodes[j])))
                 root[q] = p
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
