@@ -107,15 +107,6 @@ def read_manifest(spark, sf_dir):
 add("read_manifest", read_manifest, "SELECT 'c' || substr(source, 4) AS collection, sum(length(text) + 1) AS characters, 't|' || substr(source, 4) AS tags FROM documents WHERE source IN ('src1', 'src2') GROUP BY source")
 
 
-def sheet_catalog(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    cells = p.select(F.col("p_brand").alias("sheet"), F.col("p_partkey").alias("row"), F.inline(F.array(F.struct(F.lit("name").alias("column"), F.col("p_name").alias("value")), F.struct(F.when(F.col("p_brand") < "Brand#3", "expression").otherwise("code").alias("column"), F.col("p_type").alias("value")))))
-    return R.sheet_catalog(cells, ["name", "code", "expression"])
-
-
-add("sheet_catalog", sheet_catalog, "SELECT p_brand AS sheet, p_partkey AS row, p_name AS name, CASE WHEN p_brand >= 'Brand#3' THEN p_type END AS code, CASE WHEN p_brand < 'Brand#3' THEN p_type END AS expression, CASE WHEN p_brand < 'Brand#3' THEN 'calculation' ELSE 'attribute' END AS kind FROM part")
-
-
 def written_back(name, columns, by):
     def query(spark, sf_dir):
         path = folder(spark, name)

@@ -78,15 +78,6 @@ def read_manifest(spark: SparkSession, sources: list[dict]) -> DataFrame:
     return out
 
 
-def sheet_catalog(cells: DataFrame, columns: list[str]) -> DataFrame:
-    """Cells (``sheet``, ``row``, ``column``, ``value``) as rows, with the kind of their sheet: by its columns, else its name."""
-    kinds = cells.groupBy("sheet").agg(F.collect_set("column").alias("columns"))
-    has = lambda c: F.array_contains("columns", c)
-    kind = F.when(has("expression"), "calculation").when(has("values"), "attribute").when(F.lower("sheet").contains("core"), "core").otherwise("attribute")
-    rows = cells.groupBy("sheet", "row").pivot("column", columns).agg(F.min("value"))
-    return rows.join(kinds.select("sheet", kind.alias("kind")), "sheet")
-
-
 def write_table(df: DataFrame, path: str, by: str | None = None) -> str:
     """Writes a full refresh as Parquet, in folders by a column if asked for; returns the path."""
     w = df.write.mode("overwrite")
