@@ -142,22 +142,6 @@ t AS (SELECT page_type, name, string_agg(tag || ':' || n, '|' ORDER BY k) AS tag
 SELECT k.page_type, k.name, count(*) AS documents, sum(size)::BIGINT AS characters, any_value(t.tags) AS tags, string_agg('d' || id, '|' ORDER BY k) FILTER (k <= 20) AS samples, string_agg(id::VARCHAR, '|' ORDER BY k) FILTER (k <= 50) AS refs FROM k JOIN t ON t.page_type = k.page_type AND t.name = k.name GROUP BY 1, 2"""
 
 
-def collect_entries(spark, sf_dir):
-    """Entries of several sources in one table, with content keys."""
-    from termwright.functions import text as X
-
-    d = table(spark, sf_dir, "documents").select(F.lit("step1").alias("stage"), F.col("doc_id").cast("string").alias("ref"), F.col("source").alias("title"), X.shorten(F.col("text"), 60).alias("content"))
-    p = table(spark, sf_dir, "part").select(F.lit("step2").alias("stage"), F.col("p_partkey").cast("string").alias("ref"), F.col("p_name").alias("title"), F.concat_ws(" ", "p_brand", "p_type").alias("content"))
-    c = table(spark, sf_dir, "conversations").select(F.concat(F.lit("step3-"), "role").alias("stage"), F.concat_ws("-", "conv_id", "turn").alias("ref"), F.col("role").alias("title"), X.shorten(F.col("text"), 60).alias("content"))
-    return d.unionByName(p).unionByName(c).select(X.stable_key(F.col("stage"), F.col("ref"), F.col("title")).alias("entry_id"), "stage", "title", "content")
-
-
-QUERIES["collect_entries"] = collect_entries
-_S60 = f"CASE WHEN length({_SHORT80}) > 60 THEN rtrim(substr({_SHORT80}, 1, 59)) || '…' ELSE {_SHORT80} END"
-ORACLE_SQL["collect_entries"] = f"""WITH e AS (SELECT 'step1' AS stage, CAST(doc_id AS VARCHAR) AS ref, source AS title, {_S60} AS content FROM documents
-UNION ALL SELECT 'step2', CAST(p_partkey AS VARCHAR), p_name, p_brand || ' ' || p_type FROM part UNION ALL SELECT 'step3-' || role, conv_id || '-' || turn, role, {_S60} FROM conversations)
-SELECT {S.key('stage', 'ref', 'title')} AS entry_id, stage, title, content FROM e"""
-
 def _chunks(of: str, size: int = 1400, overlap: int = 180) -> str:
     """SQL of chunks (``id``, ``chunk_no``, ``chunk``) of ``of`` (``id``, ``text``): a fold by recursion over the paragraphs."""
     strip = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
