@@ -7,6 +7,9 @@ task go on. What is searched is never all compared with itself.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from termwright.functions import text as X
 from termwright.functions.found import automaton
 from termwright.operators.catalog import first_rows, ordered
+from termwright.sources.shared import written
 
 #: Buckets of a hashed vector.
 DIM = 192
@@ -52,36 +56,72 @@ def tokens(text: Column) -> Column:
     return F.get(F.transform(F.array(all_), lambda a: F.when((compact != "") & (F.length(compact) <= 24) & ~F.array_contains(a, compact), F.concat(a, F.array(compact))).otherwise(a)), F.lit(0))
 
 
-def hashed(text: Column, dim: int = DIM) -> Column:
-    """array<struct<bucket, w>>: the signed counts of a text's tokens by bucket, those that are not zero, in order of buckets.
+#: Tokens whose buckets a task remembers.
+REMEMBERED = 200_000
+_WORDS, _IDEOGRAPHS, _SPACE = re.compile("[a-z0-9_]+"), re.compile("[一-鿿]+"), re.compile(r"[ \t-\r]+")
+
+
+def token_counts(text: str | None) -> Counter:
+    """How often each of the :func:`tokens` of a text comes."""
+    own = (text or "").strip(" ").lower()
+    found = Counter(_WORDS.findall(own))
+    for block in _IDEOGRAPHS.findall(own):
+        if len(block) <= 8:
+            found[block] += 1
+        for n in (2, 3, 4):
+            found.update(block[i : i + n] for i in range(len(block) - n + 1))
+    compact = _SPACE.sub("", own)
+    if compact and len(compact) <= 24 and compact not in found:
+        found[compact] = 1
+    return found
 
-    The tokens' places are sorted, and what is equal is counted by where its run begins and ends.
-    """
-    # Ten digits of a token's hash: eight for the bucket, two for the sign.
-    numbers = F.transform(tokens(text), lambda t: F.conv(F.substring(F.sha1(t.cast("binary")), 1, 10), 16, 10).cast("long"))
-    keys = F.sort_array(F.transform(numbers, lambda x: (F.shiftright(x, 8) % dim * 2 + x % 2).cast("int")))
-    let = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def runs(k: Column) -> Column:
-        at = F.filter(F.transform(k, lambda x, i: F.when((i == 0) | (F.get(k, i - 1) != x), i)), lambda i: i.isNotNull())
-        return let(at, lambda s: F.transform(s, lambda i, j: F.struct(F.get(k, i).alias("key"), (F.coalesce(F.get(s, j + 1), F.size(k)) - i).alias("n"))))
+class _Buckets(dict):
+    """The bucket of a token, and its sign in the last bit: ten digits of its hash, eight for the bucket, two for the sign."""
 
-    def merged(rs: Column) -> Column:
-        def one(r: Column, j: Column) -> Column:
-            after, before = F.get(rs, j + 1), F.when(j > 0, F.get(rs, j - 1))
-            minus = F.when(after["key"] == r["key"] + 1, after["n"]).otherwise(0)
-            alone = before.isNull() | (before["key"] != r["key"] - 1)
-            w = F.when(r["key"] % 2 == 0, r["n"] - minus).when(alone, -r["n"])
-            return F.struct(F.floor(r["key"] / 2).cast("int").alias("bucket"), w.alias("w"))
+    def __init__(self, dim: int):
+        self.dim = dim
 
-        return F.filter(F.transform(rs, one), lambda x: x["w"].isNotNull() & (x["w"] != 0))
+    def __missing__(self, token: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        x = int(hashlib.sha1(token.encode()).hexdigest()[:10], 16)
+        self[token] = key = (x >> 8) % self.dim * 2 + x % 2
+        return key
 
-    return let(keys, lambda k: let(runs(k), merged))
+
+def hashed(df: DataFrame, text: str = "text", dim: int = DIM) -> DataFrame:
+    """``df`` with ``v``, array<struct<bucket, w>>: the signed counts of its texts' tokens by bucket, those that are not zero, in order of buckets.
+
+    A text's tokens are counted first, so that each is hashed once for a task. Nothing is shuffled.
+    """
+    names = df.columns
+
+    def run(batches):
+        buckets = _Buckets(dim)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                own = batch.slice(start, ROWS)
+                at, where, weight = [0], [], []
+                for t in own.column(names.index(text)).to_pylist():
+                    counts = token_counts(t)
+                    row = np.zeros(2 * dim, np.int64)
+                    np.add.at(row, np.fromiter((buckets[x] for x in counts), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+                    w = row[::2] - row[1::2]
+                    filled = np.flatnonzero(w)
+                    where.append(filled)
+                    weight.append(w[filled])
+                    at.append(at[-1] + len(filled))
+                flat = pa.StructArray.from_arrays([pa.array(np.concatenate(where or [[]]), pa.int32()), pa.array(np.concatenate(weight or [[]]), pa.int32())], ["bucket", "w"])
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)], names=[*names, "v"])
+
+    schema = df.select("*", F.lit(None).cast("array<struct<bucket:int,w:int>>").alias("v")).schema
+    return df.mapInArrow(run, schema)
 
 
 def hashed_vectors(docs: DataFrame, text: str = "text", dim: int = DIM) -> DataFrame:
     """(``id``, ``bucket``, ``weight``) of unit length; a text without tokens has no rows. Each row is hashed where it is, without a shuffle."""
-    rows = docs.select("id", hashed(F.col(text), dim).alias("v"))
+    rows = hashed(docs.select("id", F.col(text).alias("text")), "text", dim)
     norm = F.sqrt(F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x["w"].cast("long") * x["w"]).cast("double"))
     return rows.select("id", norm.alias("norm"), F.inline("v")).select("id", "bucket", (F.col("w") / F.col("norm")).alias("weight"))
 
@@ -123,20 +163,26 @@ def top_scored(queries: DataFrame, rows: DataFrame, k: int | None = None, weight
     spark = queries.sparkSession
     has = lambda df, c, kind: F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)
     terms = F.col("terms") if "terms" in queries.columns else tokens(F.col("text"))
-    q = queries.select(F.col("id").alias("query_id"), hashed(F.col("text")).alias("v"), terms.alias("terms"), has(queries, "component", "string").alias("component"), has(queries, "tags", "array<string>").alias("tags"))
+    q = hashed(queries.select(F.col("id").alias("query_id"), "text", terms.alias("terms"), has(queries, "component", "string").alias("component"), has(queries, "tags", "array<string>").alias("tags"))).drop("text")
     own = rows.select(
         "id",
-        hashed(F.col("text")).alias("v"),
+        "text",
         (F.lower(F.concat_ws("\n", *[F.col(c) for c in ("title", "text") if c in rows.columns])) if weights else F.lit("")).alias("said"),
         has(rows, "component", "string").alias("component"),
         F.coalesce(has(rows, "stage", "string"), F.lit("")).alias("stage"),
         has(rows, "tags", "array<string>").alias("tags"),
         *([F.col(facet).alias("facet")] if facet else []),
     )
+    own = hashed(own).drop("text")
     kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
     schema = f"query_id {q.schema['query_id'].dataType.simpleString()}, id {kinds['id']}, score double" + (f", facet {kinds['facet']}" if facet else "")
     out = None
-    for some in _blocks(q, block):
+    for n, some in enumerate(_blocks(q, block)):
+        if n == 1:
+            # More than one block of queries: the rows are hashed once, and each block reads what was written.
+            own = written(own, "hashed")
+            out = own.mapInArrow(_scorer(first, k, weights, apart, within, untagged, facet), schema)
+        first = [r.asDict(recursive=True) for r in some]
         part = own.mapInArrow(_scorer([r.asDict(recursive=True) for r in some], k, weights, apart, within, untagged, facet), schema)
         out = part if out is None else out.union(part)
     if out is None:

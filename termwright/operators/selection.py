@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from termwright.functions import constants as C
 from termwright.functions import text as X
-from termwright.functions.found import terms_found
+from termwright.functions.found import first_found, terms_found
 from termwright.operators.retrieval import within_budget
 
 
@@ -42,17 +42,12 @@ def score_regions(regions: DataFrame, terms: DataFrame) -> DataFrame:
     """
     own = regions.select("region", "tables", "rows", *[X.normalize_search_text(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in FIELDS])
     t = terms.select("batch", X.normalize_search_text(F.col("term")).alias("term")).where("term <> ''").distinct()
-    found = terms_found(own, [*FIELDS], t)
-    inside = lambda c, term: F.array_contains(F.col(f"found_{c}"), term)
-
-    def points(term: Column) -> Column:
-        n = F.least(F.length(term), F.lit(8))
-        short = reduce(lambda a, b: a | b, [inside(c, term) for c in SHORT_FIELDS])
-        long = reduce(lambda w, c: w.when(inside(c, term), FIELDS[c][0] + n * FIELDS[c][1]), [*FIELDS][1:], F.when(inside("title", term), FIELDS["title"][0] + n * FIELDS["title"][1]))
-        return F.when(F.length(term) > 1, long).when(short, SHORT_POINTS)
-
-    every = F.array_distinct(F.flatten(F.array(*[F.col(f"found_{c}") for c in FIELDS])))
-    hits = found.select("region", "tables", "rows", F.inline(F.transform(every, lambda x: F.struct(x.alias("term"), points(x).alias("points"))))).where("points is not null")
+    found = first_found(own, [*FIELDS], t).select("region", "tables", "rows", F.inline("found"))
+    # The fields in which a short term counts come first.
+    n, at = F.length("term"), F.col("at")
+    long = reduce(lambda w, k: w.when(at == k, [*FIELDS.values()][k][0] + F.least(n, F.lit(8)) * [*FIELDS.values()][k][1]), range(1, len(FIELDS)), F.when(at == 0, [*FIELDS.values()][0][0] + F.least(n, F.lit(8)) * [*FIELDS.values()][0][1]))
+    points = F.when(n > 1, long).when(at < len(SHORT_FIELDS), SHORT_POINTS)
+    hits = found.select("region", "tables", "rows", "term", points.alias("points")).where("points is not null")
     # Whole tenths and hundredths: sums don't depend on their order.
     scored = hits.join(t, "term").groupBy("batch", "region").agg(F.sum("points").alias("points"), F.count("*").alias("hits"), F.first("tables").alias("tables"), F.first("rows").alias("rows"))
     score = (F.col("points") * 10 + F.least("tables", F.lit(4)) * 30 + F.least("rows", F.lit(30)) * 5) / 100
