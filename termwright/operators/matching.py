@@ -6,6 +6,7 @@ catalogue's order is its column ``pos``, which breaks every tie.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,12 +96,43 @@ def score_names(query: Column, names: Column) -> Column:
     return F.get(F.transform(F.array(query_form(query)), lambda f: score_forms(f, name_forms(names))), F.lit(0))
 
 
-def block_pairs(rows: DataFrame, names: DataFrame, least: float = 0.55) -> DataFrame:
-    """(``row_id``, ``component``) pairs that can score at least ``least``, found by equi joins on characters, without comparing all.
+#: Pairs of a key that one task makes; a key with more is dealt over so many tasks that none makes more. Heavy keys up to which their list is broadcast.
+HEAVY, FEW = 1_000_000, 10_000
+
+
+def dealt_join(left: DataFrame, right: DataFrame, key: list[str], heavy: int = HEAVY) -> DataFrame:
+    """The inner join of two sides on ``key``. The left rows of a key with more than ``heavy`` pairs are dealt over salts, and only its right rows are repeated for each salt."""
+    count = lambda side, name: side.groupBy(*key).agg(F.count("*").alias(name))
+    pairs = F.col("__l") * F.col("__r")
+    large = count(left, "__l").join(count(right, "__r"), key).where(pairs > heavy).select(*key, F.least(F.ceil(pairs / heavy), F.col("__l")).cast("int").alias("__salts"))
+    few = large.count()
+    if not few:
+        return left.join(right, key)
+    marks = F.broadcast(large) if few <= FEW else large
+    salts = F.coalesce("__salts", F.lit(1))
+    others = [c for c in left.columns if c not in key]
+    dealt = left.join(marks, key, "left").withColumn("__salt", F.pmod(F.xxhash64(*others), salts).cast("int")).drop("__salts")
+    repeated = right.join(marks, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    return dealt.join(repeated, [*key, "__salt"]).drop("__salt")
+
+
+def grams(text: Column, n: int) -> Column:
+    """The distinct runs of ``n`` characters of a text; empty if it is shorter."""
+    return F.when(F.length(text) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+
+
+#: Characters of the runs by which a text is found inside another; a shorter text is one run.
+GRAM = 3
+
+
+def block_pairs(rows: DataFrame, names: DataFrame, least: float = 0.55, heavy: int = HEAVY) -> DataFrame:
+    """(``row_id``, ``component``) pairs that can score at least ``least``, found by equi joins, without comparing all.
 
     ``rows`` are (``row_id``, ``name``), ``names`` are (``component``, ``name``). Characters are ranked by how many
     names have them, rarest first. Sets whose Jaccard likeness reaches ``least`` share one of the first
-    n - ceil(``least`` n) + 1 of each; a text inside another has its rarest character among those of the other.
+    n - ceil(``least`` n) + 1 of each, have sizes of the same or of neighbouring classes (which grow by 1 / ``least``), and from the first one that they share on
+    there are enough left in both. A text inside another has its rarest run of ``GRAM`` characters among those of the other. Keys with many pairs are
+    dealt over tasks.
     """
     a = rows.select("row_id", X.normalize_text(F.col("name")).alias("n")).where("n <> ''")
     b = names.select("component", X.normalize_text(F.col("name")).alias("n")).where("n <> ''")
@@ -110,14 +142,36 @@ def block_pairs(rows: DataFrame, names: DataFrame, least: float = 0.55) -> DataF
     rank = chars.groupBy("c").agg(F.count("*").alias("often"))
     order = Window.partitionBy("n").orderBy("often", "c")
     ranked = chars.join(rank, "c").withColumn("place", F.row_number().over(order)).withColumn("size", F.count("*").over(Window.partitionBy("n")))
-    # Three ways to meet in one join: prefix with prefix, the left one's rarest with any, any with the right one's rarest.
-    prefix, rarest = F.when(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1, "prefix"), F.when(F.col("place") == 1, "rarest")
-    left = ranked.where("l = 1").select("c", F.col("n").alias("x"), F.explode(F.array_compact(F.array(prefix, F.when(rarest.isNotNull(), "left"), F.lit("right")))).alias("way"))
-    right = ranked.where("r = 1").select("c", F.col("n").alias("y"), F.explode(F.array_compact(F.array(prefix, F.lit("left"), F.when(rarest.isNotNull(), "right")))).alias("way"))
-    both = left.join(right, ["c", "way"]).select("x", "y").distinct()
+    head = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1)
+    # A likeness of ``least`` allows one class of sizes more or less.
+    head = head.withColumn("class", F.floor(F.log("size") / math.log(1 / least) + 1e-9).cast("int"))
+    left = head.where("l = 1").select("c", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"), F.col("n").alias("x"), F.col("place").alias("px"), F.col("size").alias("sx"))
+    right = head.where("r = 1").select("c", "class", F.col("n").alias("y"), F.col("place").alias("py"), F.col("size").alias("sy"))
+    met = dealt_join(left, right, ["c", "class"], heavy)
+    enough = F.least(F.col("sx") - F.col("px"), F.col("sy") - F.col("py")) + 1 >= (F.col("sx") + F.col("sy")) * (least / (1 + least)) - 1e-9
+    alike = met.where((F.least("sx", "sy") >= F.greatest("sx", "sy") * least - 1e-9) & enough).select("x", "y").distinct()
     jaccard = F.size(F.array_intersect(characters(F.col("x")), characters(F.col("y")))) / F.size(F.array_union(characters(F.col("x")), characters(F.col("y"))))
-    close = both.where((jaccard >= least) | F.col("x").contains(F.col("y")) | F.col("y").contains(F.col("x")))
-    return a.join(close, a["n"] == close["x"]).join(b.withColumnRenamed("n", "m"), F.col("y") == F.col("m")).select("row_id", "component").distinct()
+    alike = alike.where(jaccard >= least)
+    inside = _inside(texts.where("l = 1").select("n"), texts.where("r = 1").select("n"), heavy).select(F.col("whole").alias("x"), F.col("part").alias("y"))
+    around = _inside(texts.where("r = 1").select("n"), texts.where("l = 1").select("n"), heavy).select(F.col("part").alias("x"), F.col("whole").alias("y"))
+    close = alike.union(inside).union(around).distinct()
+    # Components are found first, so that a name that many rows have meets each once.
+    reached = close.join(b.withColumnRenamed("n", "y"), "y").select("x", "component").distinct()
+    return a.join(reached, F.col("n") == F.col("x")).select("row_id", "component").distinct()
+
+
+def _inside(wholes: DataFrame, parts: DataFrame, heavy: int) -> DataFrame:
+    """(``whole``, ``part``): the texts ``n`` of ``parts`` that stand in those of ``wholes``."""
+    size = F.least(F.length("n"), F.lit(GRAM))
+    own = F.concat(*[F.when(size == n, grams(F.col("n"), n)).otherwise(F.array().cast("array<string>")) for n in range(1, GRAM + 1)])
+    runs = parts.select("n", F.explode(own).alias("gram"))
+    every = wholes.select("n", F.explode(F.concat(*[grams(F.col("n"), n) for n in range(1, GRAM + 1)])).alias("gram"))
+    often = every.groupBy("gram").agg(F.count("*").alias("often"))
+    # A run that no whole text has ends the search for its part.
+    known = runs.join(often, "gram", "left").groupBy("n").agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "gram")).alias("rarest"))
+    key = known.where("rarest.often > 0").select(F.col("n").alias("part"), F.col("rarest.gram").alias("gram"))
+    met = dealt_join(every.select("gram", F.col("n").alias("whole")), key, ["gram"], heavy)
+    return met.where(F.col("whole").contains(F.col("part"))).select("whole", "part")
 
 
 def rank_candidates(rows: DataFrame, catalog: DataFrame, index: DataFrame, top: int = 3) -> DataFrame:

@@ -38,6 +38,27 @@ def test_block_pairs_equals_all_pairs(spark):
     assert {(r.row_id, r.component) for r in matching.block_pairs(rows, names).collect()} == want
 
 
+def test_block_pairs_over_a_small_alphabet(spark):
+    """Every character is frequent: keys are heavy, and dealt over salts the pairs are the same."""
+    import random
+
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[: rng.choice((4, 9, 26))]) for _ in range(rng.randrange(1, 14))) for _ in range(220)})
+    words += [w[2:9] for w in words[:40] if len(w) > 5]
+    want = {(i, b) for i, a in enumerate(words) for b in words if a in b or b in a or len({*a} & {*b}) / len({*a} | {*b}) >= 0.55}
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "row_id int, name string")
+    names = spark.createDataFrame([(w, w) for w in words], "component string, name string")
+    for heavy in (20, 10**6):
+        assert {(r.row_id, r.component) for r in matching.block_pairs(rows, names, heavy=heavy).collect()} == want
+
+
+def test_heavy_keys_are_dealt(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(400)] + [("cold", i) for i in range(3)] + [(None, 1)], "k string, l int")
+    right = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1), ("none", 2), (None, 1)], "k string, r int")
+    out = matching.dealt_join(left, right, ["k"], 500)
+    assert out.columns == ["k", "l", "r"] and out.count() == out.distinct().count() == 400 * 50 + 3
+
+
 def test_empty_tables(spark):
     rows = spark.createDataFrame([], "row_id long, name string, unit string")
     cat = spark.createDataFrame([], "component string, pos long, names array<string>, units array<string>")
