@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from termwright.sources import published as P
 from termwright.sources import readers as R
+from termwright.sources.shared import new_place as folder
 from termwright.sources.tables import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -17,16 +16,6 @@ def add(name, query, sql):
     QUERIES[name], ORACLE_SQL[name] = query, sql
 
 
-def folder(spark, name):
-    """A new place in ``spark.checkpoint.dir``, or in a local folder where none is set and the session is local."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def regions(spark, sf_dir):
     """Each brand and type is a region; its parts are the rows of its table."""
     p = table(spark, sf_dir, "part")
@@ -82,7 +71,7 @@ def corpus(spark, sf_dir, name):
 
 
 def read_corpus_files(spark, sf_dir):
-    files = R.read_corpus_files(spark, corpus(spark, sf_dir, "corpus"), "*.txt", most=10**9)
+    files = R.read_corpus_files(spark, corpus(spark, sf_dir, "corpus"), "*.txt", at_once=20_000)
     return files.groupBy(F.regexp_extract("path", "source=([^/]+)", 1).alias("source")).agg(F.sum(F.size(F.split("text", "\n")) - 1).alias("lines"), F.sum("size").alias("bytes"))
 
 
@@ -98,24 +87,60 @@ def skipped_files(spark, sf_dir):
 add("skipped_files", skipped_files, "WITH s AS (SELECT source, sum(octet_length(encode(text)) + 1)::BIGINT AS n FROM documents GROUP BY 1), a AS (SELECT CAST(floor(avg(n)) AS BIGINT) AS most FROM s) SELECT count(*) AS files, coalesce(sum(n), 0)::BIGINT AS bytes FROM s, a WHERE n > most")
 
 
+def sources_of(spark, sf_dir, name):
+    """Each source of the documents as a tree of its own; files of some are beyond a size that is set for them alone."""
+    path = corpus(spark, sf_dir, name)
+    names = [r[0] for r in table(spark, sf_dir, "documents").select("source").distinct().orderBy("source").collect()]
+    return [{"path": f"{path}/source={n}", "collection": f"c-{n}", "tags": ["t", n], "glob": "*.txt", **({"most": 10} if n.endswith("7") else {})} for n in names]
+
+
 def read_manifest(spark, sf_dir):
-    path = corpus(spark, sf_dir, "manifest")
-    m = R.read_manifest(spark, [{"path": f"{path}/source=src{i}", "collection": f"c{i}", "tags": ["t", str(i)], "glob": "*.txt"} for i in (1, 2)])
+    m = R.read_manifest(spark, sources_of(spark, sf_dir, "manifest"))
     return m.groupBy("collection").agg(F.sum(F.length("text")).alias("characters"), F.min(F.array_join("tags", "|")).alias("tags"))
 
 
-add("read_manifest", read_manifest, "SELECT 'c' || substr(source, 4) AS collection, sum(length(text) + 1) AS characters, 't|' || substr(source, 4) AS tags FROM documents WHERE source IN ('src1', 'src2') GROUP BY source")
+add("read_manifest", read_manifest, "SELECT 'c-' || source AS collection, sum(length(text) + 1) AS characters, 't|' || source AS tags FROM documents WHERE NOT ends_with(source, '7') GROUP BY source")
+add(
+    "manifest_skips",
+    lambda s, d: R.manifest_skips(s, sources_of(s, d, "skips")),
+    "SELECT 'c-' || source AS collection, CASE WHEN ends_with(source, '7') THEN 1 ELSE 0 END AS files, CASE WHEN ends_with(source, '7') THEN sum(octet_length(encode(text)) + 1)::BIGINT ELSE 0 END AS bytes FROM documents GROUP BY source",
+)
+
+
+def write_match(spark, sf_dir):
+    """A run and the next one, whose open orders are gone: all four tables of the last generation, and which generation wrote their parts."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    root = folder(spark, "matches")
+    runs = [o, o.where("status <> 'O' or o_orderkey % 2 = 0")]
+    for own in runs:
+        last = P.write_match(root, own, table(spark, sf_dir, "nation").select("n_name"), table(spark, sf_dir, "region").select("r_name"), own.agg(F.count("*").alias("rows")))
+    first = {p["path"].split("/data/")[1].split("/")[0] for t in last.tables.values() for p in t["parts"].values()}
+    assert len(first) == 2, "two generations have written what the last one shows"
+    matches = P.read_published(spark, root, "matches").groupBy("status").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    others = [P.read_published(spark, root, n).agg(F.lit(n).alias("status"), F.count("*").alias("n"), F.lit(0.0).alias("total")) for n in ("rules", "catalog")]
+    return matches.unionByName(others[0]).unionByName(others[1]).unionByName(P.read_published(spark, root, "summary").select(F.lit("summary").alias("status"), F.col("rows").alias("n"), F.lit(0.0).alias("total")))
 
 
-def written_back(name, columns, by):
-    def query(spark, sf_dir):
-        path = folder(spark, name)
-        R.write_table(table(spark, sf_dir, "orders").select(*columns), path, by)
-        back = spark.read.parquet(path)
-        return back.groupBy(by).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")) if by else back
+add(
+    "write_match",
+    write_match,
+    """WITH m AS (SELECT * FROM orders WHERE o_orderstatus <> 'O' OR o_orderkey % 2 = 0) SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM m GROUP BY 1
+UNION ALL SELECT 'rules', count(*), 0 FROM nation UNION ALL SELECT 'catalog', count(*), 0 FROM region UNION ALL SELECT 'summary', count(*), 0 FROM m""",
+)
+
 
-    return query
+def refresh_knowledge(spark, sf_dir):
+    """Documents as entries, refreshed with those of one language changed: rows of each part, and whether the second refresh wrote it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("step-"), "lang").alias("stage"), "text")
+    pages = table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("page_type"), "n_name")
+    root = folder(spark, "knowledge")
+    P.refresh_knowledge(root, d, pages)
+    before = {p["path"] for t in P.manifest(spark, root).tables.values() for p in t["parts"].values()}
+    changed = d.withColumn("text", F.when(F.col("stage") == "step-en", F.upper("text")).otherwise(F.col("text"))).repartition(3)
+    P.refresh_knowledge(root, changed, pages)
+    old = F.array(*map(F.lit, sorted(x.split("/data/")[1] for x in before)))
+    own = P.read_published(spark, root, "entries").select("stage", F.length("text").alias("size"), F.regexp_extract(F.col("_metadata.file_path"), "/data/(.*)/[^/]*$", 1).alias("part"))
+    return own.groupBy("stage").agg(F.count("*").alias("n"), F.sum("size").alias("characters"), F.max(~F.array_contains(old, F.col("part"))).alias("written"))
 
 
-add("write_match", written_back("matches", ["o_orderkey", "o_orderstatus", "o_totalprice"], None), "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
-add("refresh_knowledge", written_back("knowledge", ["o_orderkey", "o_orderstatus", "o_totalprice"], "o_orderstatus"), "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+add("refresh_knowledge", refresh_knowledge, "SELECT 'step-' || lang AS stage, count(*) AS n, sum(length(text)) AS characters, lang = 'en' AS written FROM documents GROUP BY lang")

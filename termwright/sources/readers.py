@@ -52,37 +52,70 @@ def load_chapters(regions: DataFrame, index: DataFrame, pattern: str) -> DataFra
     return regions.withColumn("chapter", F.get("path", F.lit(0))).join(listed, "chapter", "left_semi")
 
 
-def read_corpus_files(spark: SparkSession, path: str, glob: str = "*", extensions: tuple[str, ...] = (".txt", ".md", ".json"), exclude: str = "", most: int = 2_000_000) -> DataFrame:
-    """(``path``, ``text``, ``size``) of the text files of a tree; bad bytes are marked. Files of more than ``most`` bytes are left out: :func:`skipped_files` counts them, a larger ``most`` reads them."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    fits = F.lower("path").rlike("(" + "|".join(e.replace(".", r"\.") for e in extensions) + ")$")
-    files = files.where(fits & (F.col("length") <= most))
-    files = files.where(~F.col("path").rlike(exclude)) if exclude else files
-    return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), F.col("length").alias("size"))
+#: Files up to this size are read at once; larger ones by ranges of bytes.
+AT_ONCE = 2_000_000
+
+
+def _fits(column: str, extensions: tuple[str, ...], exclude: str):
+    fits = F.lower(column).rlike("(" + "|".join(e.replace(".", r"\.") for e in extensions) + ")$")
+    return fits & ~F.col(column).rlike(exclude) if exclude else fits
+
+
+def read_file_ranges(spark: SparkSession, path: str, glob: str = "*", extensions: tuple[str, ...] = (".txt", ".md", ".json"), exclude: str = "", above: int = AT_ONCE) -> DataFrame:
+    """(``path``, ``size``, ``start``, ``text``, ``last``) of the files of more than ``above`` bytes: a row for each range of bytes that a task reads, in order of ``start``.
+
+    A line belongs to the range it begins in, so no character is cut. The pieces of a file, joined by new lines, are its text; it ends with one more if ``size`` says so.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
+    own = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"))
+    own = own.where((F.col("size") > above) & _fits("path", extensions, exclude)).withColumn("at", F.monotonically_increasing_id())
+    return own.groupBy("path", "size", "start").agg(F.array_join(ordered(F.col("value"), F.col("at")), "\n").alias("text"), F.sum(F.octet_length("value") + 1).alias("bytes"))
 
 
-def skipped_files(spark: SparkSession, path: str, most: int = 2_000_000) -> DataFrame:
+def read_corpus_files(spark: SparkSession, path: str, glob: str = "*", extensions: tuple[str, ...] = (".txt", ".md", ".json"), exclude: str = "", most: int | None = None, at_once: int = AT_ONCE) -> DataFrame:
+    """(``path``, ``text``, ``size``) of the text files of a tree, whatever their size; bad bytes are marked, and an empty file has no row.
+
+    Files of more than ``at_once`` bytes are read in ranges, by as many tasks, and stitched by offset; a text of 2 GB or more fits into no row: :func:`read_file_ranges` has its
+    pieces. With ``most``, larger files are left out, and :func:`skipped_files` counts them.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    files = files.where(_fits("path", extensions, exclude) & (F.col("length") <= (at_once if most is None else min(at_once, most))))
+    small = files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), F.col("length").alias("size"))
+    if most is not None and most <= at_once:
+        return small
+    parts = read_file_ranges(spark, path, glob, extensions, exclude, at_once)
+    whole = parts.groupBy("path", "size").agg(F.array_join(ordered(F.col("text"), F.col("start")), "\n").alias("text"), F.sum("bytes").alias("bytes"))
+    whole = whole.where(F.col("size") <= most) if most is not None else whole
+    # The bytes of all lines, each with a new line, are the size, or one more where the last line has none.
+    text = F.when(F.col("bytes") == F.col("size"), F.concat("text", F.lit("\n"))).otherwise(F.col("text"))
+    return small.unionByName(whole.select("path", F.make_valid_utf8(text).alias("text"), "size"))
+
+
+def skipped_files(spark: SparkSession, path: str, most: int) -> DataFrame:
     """How many files of a tree are larger than ``most`` bytes, and their bytes; only the listing is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length").where(F.col("length") > most)
     return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
-def read_manifest(spark: SparkSession, sources: list[dict]) -> DataFrame:
-    """Several trees, each with its collection, type and tags."""
+def read_manifest(spark: SparkSession, sources: list[dict], most: int | None = None) -> DataFrame:
+    """Several trees, each with its collection, type and tags; with ``most`` (of all, or of a source) without files larger than that, which :func:`manifest_skips` counts."""
     out = None
     for s in sources:
-        own = read_corpus_files(spark, s["path"], s.get("glob", "*"), exclude=s.get("exclude", "")).select(
+        own = read_corpus_files(spark, s["path"], s.get("glob", "*"), exclude=s.get("exclude", ""), most=s.get("most", most)).select(
             F.lit(s["collection"]).alias("collection"), F.lit(s.get("source_type", "")).alias("source_type"), F.array(*map(F.lit, s.get("tags", []))).cast("array<string>").alias("tags"), "path", "text"
         )
         out = own if out is None else out.unionByName(own)
     return out
 
 
-def write_table(df: DataFrame, path: str, by: str | None = None) -> str:
-    """Writes a full refresh as Parquet, in folders by a column if asked for; returns the path."""
-    w = df.write.mode("overwrite")
-    (w.partitionBy(by) if by else w).parquet(path)
-    return path
+def manifest_skips(spark: SparkSession, sources: list[dict], most: int | None = None) -> DataFrame:
+    """(``collection``, ``files``, ``bytes``): what :func:`read_manifest` leaves out of each source for its size."""
+    out = None
+    for s in sources:
+        limit = s.get("most", most)
+        own = skipped_files(spark, s["path"], 2**63 - 1 if limit is None else limit).select(F.lit(s["collection"]).alias("collection"), "files", "bytes")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def chapter_texts(regions: DataFrame) -> DataFrame:
