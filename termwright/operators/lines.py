@@ -135,29 +135,33 @@ def header_runs(lines: DataFrame, within: int = 8, least: int = 4) -> DataFrame:
 def table_segments(lines: DataFrame) -> DataFrame:
     """The lines of tables (``doc``, ``pos``, ``line``, ``tag``) with ``table_no`` from 1: from a run of headers up to the first heading after a code line.
 
-    Headers inside a table belong to it. Only the few lines that can begin or end one are folded for a document.
+    Headers inside a table belong to it. A document falls into blocks, each from a code line to the next. Whether a table is open at a
+    block's end follows from whether one was at its beginning: it always is, never is, is as before, or is the other way round. So the last block that
+    settles it, and how many have turned it since, say it for every block, by windows over the blocks alone.
     """
     rows = header_runs(lines)
-    mark = F.when(F.col("starts"), "start").when(F.col("tag") == "code", "code").when(F.col("tag") == "heading", "heading")
-    events = rows.select("doc", "pos", mark.alias("mark")).where("mark is not null").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "mark"))).alias("events"))
-    span = "array<struct<start:bigint,end:bigint>>"
-    state = F.struct(F.lit(None).cast("long").alias("start"), F.lit(False).alias("seen"), F.array().cast(span).alias("done"))
-
-    def add(s: Column, e: Column) -> Column:
-        pos, what = e["pos"].cast("long"), e["mark"]
-        make = lambda start, seen, done: F.struct(start.cast("long").alias("start"), seen.alias("seen"), done.alias("done"))
-        closed = F.concat(s["done"], F.array(F.struct(s["start"].alias("start"), pos.alias("end"))))
-        return (
-            F.when(s["start"].isNull() & (what == "start"), make(pos, F.lit(False), s["done"]))
-            .when(s["start"].isNotNull() & (what == "code"), make(s["start"], F.lit(True), s["done"]))
-            .when(s["start"].isNotNull() & s["seen"] & (what == "heading"), make(F.lit(None), F.lit(False), closed))
-            .otherwise(s)
-        )
-
-    whole = lambda s: F.when(s["start"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(F.struct(s["start"].alias("start"), F.lit(None).cast("long").alias("end")))))
-    spans = events.select("doc", F.posexplode(F.aggregate("events", state, add, whole)).alias("table_no", "span")).select("doc", (F.col("table_no") + 1).alias("table_no"), "span.*")
-    inside = (F.col("pos") >= F.col("start")) & (F.col("end").isNull() | (F.col("pos") < F.col("end")))
-    return rows.drop("starts").join(spans, "doc").where(inside).drop("start", "end")
+    doc = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("block", F.sum((F.col("tag") == "code").cast("int")).over(doc))
+    heading, start = F.when(F.col("tag") == "heading", F.col("pos")), F.when(F.col("starts"), F.col("pos"))
+    # A line that starts a table is no heading: the first start counts that stands behind the first heading.
+    rows = rows.withColumn("heading", F.min(heading).over(Window.partitionBy("doc", "block")))
+    blocks = rows.groupBy("doc", "block").agg(F.min("heading").alias("heading"), F.min(start).alias("first"), F.min(F.when(F.col("pos") > F.col("heading"), start)).alias("after"))
+    if_open = F.col("heading").isNull() | F.col("after").isNotNull()
+    if_closed = F.col("first").isNotNull()
+    w = Window.partitionBy("doc").orderBy("block")
+    blocks = blocks.withColumns({"settles": F.when(if_open == if_closed, if_open), "turns": (~if_open & if_closed).cast("int")})
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("turned", F.coalesce(F.sum("turns").over(before), F.lit(0)))
+    # The last block that settles it, with the turns up to and with it: nothing is open before the first block.
+    last = F.coalesce(F.last(F.when(F.col("settles").isNotNull(), F.struct(F.col("settles").alias("open"), (F.col("turned") + F.col("turns")).alias("turned"))), ignorenulls=True).over(before), F.struct(F.lit(False).alias("open"), F.lit(0).cast("long").alias("turned")))
+    was_open = last["open"] != ((F.col("turned") - last["turned"]) % 2 == 1)
+    blocks = blocks.withColumn("was_open", was_open)
+    opens = F.when(F.col("was_open"), F.col("after")).otherwise(F.col("first"))
+    marks = blocks.select("doc", "block", opens.alias("opens"), F.when(F.col("was_open"), F.col("heading")).alias("closes"))
+    rows = rows.join(marks, ["doc", "block"])
+    running = lambda c: F.sum(F.coalesce(F.col("pos") == F.col(c), F.lit(False)).cast("int")).over(doc)
+    rows = rows.withColumns({"table_no": running("opens"), "closed": running("closes")})
+    return rows.where(F.col("table_no") > F.col("closed")).withColumn("table_no", F.col("table_no").cast("int")).drop("starts", "block", "heading", "opens", "closes", "closed")
 
 
 def code_sessions(lines: DataFrame) -> DataFrame:

@@ -52,6 +52,39 @@ def test_block_pairs_over_a_small_alphabet(spark):
         assert {(r.row_id, r.component) for r in matching.block_pairs(rows, names, heavy=heavy).collect()} == want
 
 
+def test_table_segments_against_a_fold(spark):
+    """Random codes, headings and header runs: windows say what a walk from line to line says."""
+    import random
+
+    rng = random.Random(9)
+    headers = ["项目编码", "项目名称", "项目特征", "工作内容"]
+    rows, want = [], []
+    for doc in range(60):
+        pos, walk = 0, []
+        for _ in range(rng.randrange(1, 30)):
+            kind = rng.choice(("start", "start", "code", "heading", "text"))
+            for line in headers if kind == "start" else [{"code": "010101001 x", "heading": "E.1 head", "text": "plain"}[kind]]:
+                rows.append((doc, pos, line))
+                walk.append((pos, kind if line in ("010101001 x", "E.1 head") or line == headers[0] else ""))
+                pos += 1
+        start, seen, number, before = False, False, 0, ""
+        for at, kind in walk:
+            # A run of headers goes on where one follows another at once.
+            first = kind == "start" and before != "header"
+            if first and not start:
+                start, seen, number = True, False, number + 1
+            elif kind == "code" and start:
+                seen = True
+            elif kind == "heading" and start and seen:
+                start = False
+            if start:
+                want.append((doc, at, number))
+            before = "header" if kind in ("start", "") and rows[-len(walk) + walk.index((at, kind))][2] in headers else kind
+    df = spark.createDataFrame(rows, "doc int, pos int, line string")
+    got = sorted((r.doc, r.pos, r.table_no) for r in lines.table_segments(lines.classify_lines(df)).collect())
+    assert got == sorted(want) and len({r[:1] for r in got}) > 20
+
+
 def test_heavy_keys_are_dealt(spark):
     left = spark.createDataFrame([("hot", i) for i in range(400)] + [("cold", i) for i in range(3)] + [(None, 1)], "k string, l int")
     right = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1), ("none", 2), (None, 1)], "k string, r int")
