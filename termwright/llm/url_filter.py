@@ -1,13 +1,16 @@
 """URL filters by a bit-parallel wildcard automaton.
 
 All glob rules are packed side by side into one multiword Shift-And automaton: a bit for each state
-of each rule, so that one shift and one mask per byte move every rule of every URL of a batch.
+of each rule, so that one shift and one mask per byte move every rule of every URL of a batch. Literal rules are held against a
+URL's host and path as they stand, globs against its canonical form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +18,7 @@ from pyspark.sql import types as T
 
 from termwright.llm._shared import extended, kept
 
-#: Rules for URLs that no listed rule fits: (glob over ``.host/path``, verdict); the longest glob that fits wins.
+#: Rules for URLs that no listed rule fits: (glob over the canonical ``.host/path``, verdict); the longest glob that fits wins.
 DEFAULT_GLOBS: tuple[tuple[str, str], ...] = (
     ("*", "allow"),
     ("*.spam-*", "block"),
@@ -111,14 +114,51 @@ def split_url(url: str) -> tuple[str, str]:
     return host, path[: min((at for c in "?#" if (at := path.find(c)) >= 0), default=len(path))]
 
 
+_ESCAPE = re.compile("%([0-9A-Fa-f]{2})")
+#: Characters that need no escape, and ports that a scheme has anyway (fixed values).
+_UNRESERVED = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-._~")
+_PORTS = {"http": "80", "https": "443"}
+
+
+def _lower(text: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def canonical(url: str) -> tuple[str, str]:
+    """Host and path of a URL as globs see them, A-Z in lower case; both empty where ``://`` is missing.
+
+    The host loses user, password, a port that its scheme has anyway and a last dot. In the path what needs no escape loses it, once, and dot segments are resolved.
+    """
+    scheme, mark, _ = url.partition("://")
+    if not mark:
+        return "", ""
+    host, path = split_url(url)
+    host = host.rpartition("@")[2]
+    host = host.removesuffix(":" + _PORTS.get(scheme.lower(), "")).removesuffix(":").removesuffix(".")
+    path = _ESCAPE.sub(lambda m: c if (c := chr(int(m[1], 16))) in _UNRESERVED else m[0].upper(), path)
+    if "/." in path:
+        out: list[str] = []
+        parts = path.split("/")
+        for k, part in enumerate(parts):
+            if part == "..":
+                del out[max(1, len(out) - 1) :]
+            elif part != ".":
+                out.append(part)
+            if part in (".", "..") and k == len(parts) - 1:
+                out.append("")
+        path = "/".join(out)
+    return host, _lower(path)
+
+
 def judged(df: DataFrame, rules: Sequence[tuple[str, str, str]], globs: Sequence[tuple[str, str]] = DEFAULT_GLOBS, url: str = "url") -> DataFrame:
     """``df`` with ``host``, ``path``, ``rule`` and ``verdict`` of each URL, in place of the URL.
 
     ``rules`` are (verdict, host, path); of those that fit, the one with the most characters decides
     (of equals the first) and is the ``rule``. Where none fits, ``rule`` is null and the longest of
-    ``globs`` decides (``allow`` if none fits). A null URL, or one without ``://``, has an empty host
+    ``globs`` that fits the :func:`canonical` URL decides (``allow`` if none does). A null URL, or one without ``://``, has an empty host
     and path, fits no rule, and is judged by ``globs`` like any other. Rules must not contain
-    ``*`` or ``?``. The number of rules is a parameter of the caller, not of the data.
+    ``*`` or ``?``. The number of rules is a parameter of the caller, not of the data. Each row is judged alone, so repeated rows get equal
+    results; a URL of any length is read whole; columns named as an added one give way; an empty table gives no rows.
     """
     if bad := [h + p for _, h, p in rules if set("*?") & set(h + p)]:
         raise ValueError(f"rules are literal; wildcards belong into globs: {bad}")
@@ -127,19 +167,22 @@ def judged(df: DataFrame, rules: Sequence[tuple[str, str, str]], globs: Sequence
     first = by_length(rules, lambda r: len(r[1] + r[2]))
     then = by_length(globs, lambda g: len(g[0]))
     added = T.StructType().add("host", "string").add("path", "string").add("rule", "string").add("verdict", "string")
-    patterns = [rule_glob(*rules[i][1:]) for i in first] + [globs[i][0] for i in then]
+    literal, patterns = [rule_glob(*rules[i][1:]) for i in first], [_lower(globs[i][0]) for i in then]
 
-    def make(urls):
-        automaton = kept(("globs", *patterns), lambda: GlobAutomaton(patterns))
-        both = [*map(split_url, urls)]
+    def found_by(globs: list[str], both: list[tuple[str, str]]) -> list[int]:
+        """The place of the first of ``globs`` that fits each URL, or behind the last."""
+        automaton = kept(("globs", *globs), lambda: GlobAutomaton(globs))
         # A dot before the host lets one glob fit the host itself and its subdomains.
         found = automaton.fits([f".{h}".encode() + bytes([END_BYTE]) + p.encode() for h, p in both])
-        found = np.concatenate([found, np.ones((len(urls), 1), bool)], axis=1)
+        return np.concatenate([found, np.ones((len(both), 1), bool)], axis=1).argmax(1).tolist()
+
+    def make(urls):
+        both = [*map(split_url, urls)]
         named, verdicts = [], []
-        for k in found.argmax(1).tolist():
-            r = rules[first[k]] if k < len(first) else None
-            named.append(r[1] + r[2] if r else None)
-            verdicts.append(r[0] if r else globs[then[k - len(first)]][1] if k < len(patterns) else "allow")
+        for r, g in zip(found_by(literal, both), found_by(patterns, [*map(canonical, urls)])):
+            rule = rules[first[r]] if r < len(literal) else None
+            named.append(rule[1] + rule[2] if rule else None)
+            verdicts.append(rule[0] if rule else globs[then[g]][1] if g < len(patterns) else "allow")
         return [[h for h, _ in both], [p for _, p in both], named, verdicts]
 
     return extended(df, make, url, added)
