@@ -128,3 +128,17 @@ def test_recall_by_likeness(spark):
             bits = (simhash.fingerprint(" ".join(own).encode().split(), 5, 42) ^ simhash.fingerprint(" ".join(other).encode().split(), 5, 42)).bit_count()
             found[min(2, int((likeness - 0.8) * 20))].append(bits <= near.RADIUS)
     assert all(len(x) > 20 and np.mean(x) >= 0.9 for x in found.values()), {k: (len(x), np.mean(x)) for k, x in found.items()}
+
+
+def test_the_sessions_key_makes_the_pseudonyms(spark):
+    import corpus_pipeline as c
+
+    df = spark.createDataFrame([(1, "mail a.b@example.org, card 4111 1111 1111 1111")], "doc_id long, text string")
+    stage = dict(c.STAGES)["personal data"]
+    test_key = stage(spark, df, "").first().text
+    spark.conf.set(c.PII_SETTING, "another secret")
+    try:
+        own = stage(spark, df, "").first().text
+    finally:
+        spark.conf.unset(c.PII_SETTING)
+    assert own != test_key and stage(spark, df, "").first().text == test_key and "4111 1111 1111 1111" not in own
