@@ -33,6 +33,8 @@ OUTSIDE_WORDS = frozenset(
     " subscription sidebar sidebars menu nav navbar navigation breadcrumb breadcrumbs footer footnav masthead topbar toolbar comment comments disqus reply replies respond"
     " share sharing social discussion copyright related recommended popup modal overlay widget widgets login signin signup pagination pager skip rail outbrain taboola paywall".split()
 )
+#: Beginnings and ends of such words that are written in one with others, and words that only look like it.
+OUTSIDE_STEMS, OUTSIDE_ENDS, NOT_OUTSIDE = ("comment", "advert", "sidebar", "sponsor", "newsletter", "cookie", "breadcrumb", "navig", "footer", "disqus", "pagin", "subscri"), ("nav", "menu", "navbar", "banner", "sidebar", "ads"), frozenset(("commentary", "commentator", "heads", "threads", "reads", "leads", "roads", "loads", "downloads"))
 #: Values of the role attribute that say the same.
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words before which such a word says what else a page has.
@@ -230,7 +232,11 @@ def _outside(tag: str, attributes: str, in_article: bool, holds: bool) -> bool:
         return False
     if not in_article and any("header" in words and not INSIDE_WORDS & set(words) for words in names):
         return True
-    return any(w in OUTSIDE_WORDS and not (i and words[i - 1] in NEUTRAL) for words in names for i, w in enumerate(words))
+    return any(_says_outside(w) and not (i and words[i - 1] in NEUTRAL) for words in names for i, w in enumerate(words))
+
+
+def _says_outside(word: str) -> bool:
+    return word in OUTSIDE_WORDS or word not in NOT_OUTSIDE and (word.startswith(OUTSIDE_STEMS) or len(word) > 4 and word.endswith(OUTSIDE_ENDS))
 
 
 def main_blocks(source: str) -> list[str]:

@@ -29,6 +29,7 @@ PAGES = {
     "open": (f"<article><p>{A}</p><p>{B}", [A, B]),
     "cut": (f"<article><p>{A}</p><a href=\"never ends", [A]),
     "comment": (f"<article><p>{A}</p><!-- never ends <p>{B}</p>", [A]),
+    "joined words": (f"<article><ul class=mainnav><li>{B}</li></ul><p class=commentary>{A}</p><ol class=commentlist><li>{B}</li></ol><div id=topBanner2>{C}</div><p class=threads>{C}</p></article>", [A, C]),
     "signs": ("<p>1 < 2 and 3 > 2 &am x</p>", ["1 < 2 and 3 > 2 &am x"]),
     "plain": ("only text\n  here", ["only text here"]),
     "nothing": ("<html><body><nav>menu</nav></body></html>", []),
