@@ -19,6 +19,7 @@ import numpy as np
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termwright.llm._shared import extended, kept
@@ -231,3 +232,30 @@ def measured(df: DataFrame, paths: list[str], text: str = "text", lang: str | No
         return [list(c) for c in zip(*rows)] if rows else [[] for _ in added.fields]
 
     return extended(df, make, [text] + ([lang] if lang in df.columns else []), added, drop=False)
+
+
+#: Bands that accept everything.
+OPEN = Band(0.0, float("inf"), 1.0, 0.0)
+
+
+def bands_of(good: DataFrame, paths: list[str], text: str = "text", lang: str = "lang", share: float = 0.002, least: int = 100) -> dict[str, dict[str, Band]]:
+    """Bands for :func:`measured` from documents that are known to be good: for each vocabulary of ``paths`` and each value of ``lang``, ``share`` of them lie beyond each edge.
+
+    The slack of short texts is taken out of the measures first, as it is put in when a document is judged. Languages with fewer than
+    ``least`` documents, and documents without one, get no band of their own: scripts keep those of :data:`BANDS`, or wide ones for a vocabulary that has none there. Only the edges come to
+    the driver, four numbers for each language and vocabulary.
+    """
+    names = [os.path.basename(p) for p in paths]
+    own = measured(good.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")), paths, bands={n: {"other": OPEN, "latin": OPEN, "cyrillic": OPEN, "cjk": OPEN} for n in names}, lang=None)
+    own = own.where("not base_failed and lang is not null")
+    out = {n: {k: b for k, b in BANDS.get(n, dict.fromkeys(("latin", "cyrillic", "cjk", "other"), OPEN)).items() if k in ("latin", "cyrillic", "cjk", "other")} for n in names}
+    edges = []
+    for k in range(len(names)):
+        of = lambda c, k=k: F.col(c + (f"_{k + 1}" if k else ""))
+        slack = F.least(F.lit(WIDER) / F.sqrt(F.greatest(of("n_tokens"), F.lit(1))), F.lit(0.95))
+        for name, value, at in (("low", of("chars_per_token") / (1 - slack), share), ("high", of("chars_per_token") / (1 + slack), 1 - share), ("bytes", of("byte_share") - slack, 1 - share), ("entropy", of("token_entropy") / (1 - slack), share)):
+            edges.append(F.percentile_approx(value, F.lit(at), F.lit(100_000)).alias(f"{name}{k}"))
+    for r in own.groupBy("lang").agg(F.count("*").alias("n"), *edges).where(F.col("n") >= least).collect():
+        for k, n in enumerate(names):
+            out[n][r["lang"]] = Band(r[f"low{k}"], r[f"high{k}"], max(0.0, r[f"bytes{k}"]), r[f"entropy{k}"])
+    return out

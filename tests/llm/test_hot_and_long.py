@@ -142,3 +142,16 @@ def test_the_sessions_key_makes_the_pseudonyms(spark):
     finally:
         spark.conf.unset(c.PII_SETTING)
     assert own != test_key and stage(spark, df, "").first().text == test_key and "4111 1111 1111 1111" not in own
+
+
+def test_bands_hold_for_documents_they_were_not_made_of(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("quality is not null")
+    paths = [queries.vocabulary(v) for v in queries.VOCABULARIES]
+    bands = quality_rules.bands_of(docs.where("quality = 1 and doc_id % 2 = 0"), paths)
+    assert all({"en", "de", "fr", "es", "latin", "other"} <= set(b) for b in bands.values())
+    held = quality_rules.measured(docs.where("doc_id % 2 = 1"), paths, bands=bands).where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {r.quality: r.kept for r in held}
+    assert kept[1] > 0.97 and kept[0] < 0.5
+    # Nothing is known of a language with few documents.
+    few = quality_rules.bands_of(docs.where("quality = 1 and doc_id < 300"), paths, least=10_000)
+    assert all("en" not in b for b in few.values())
