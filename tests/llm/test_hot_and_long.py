@@ -155,3 +155,27 @@ def test_bands_hold_for_documents_they_were_not_made_of(spark):
     # Nothing is known of a language with few documents.
     few = quality_rules.bands_of(docs.where("quality = 1 and doc_id < 300"), paths, least=10_000)
     assert all("en" not in b for b in few.values())
+
+
+def test_no_alike_pair_fails_the_bound():
+    """The classes bound what two texts share from above, so a pair with 4/5 in common always passes; most of those with 2/3 don't."""
+    rng = random.Random(31)
+    passed = {True: [], False: []}
+    for _ in range(300):
+        own = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(8, 260))]
+        other = [*own]
+        for _ in range(rng.randrange(0, 2 + len(own) // 18)):
+            other[rng.randrange(len(own))] = f"n{rng.random()}"
+        a, b = (near.shingles(" ".join(x)) for x in (own, other))
+        both = len(np.intersect1d(a, b))
+        counts = [near.classes(x).astype(int) for x in (a, b)]
+        assert np.minimum(*counts).sum() >= both
+        fits = 9 * np.minimum(*counts).sum() >= 4 * (len(a) + len(b))
+        likeness = both / (len(a) + len(b) - both)
+        if likeness >= 0.8:
+            passed[True].append(fits)
+        elif likeness < 0.66 and len(a) > 60:
+            passed[False].append(fits)
+    assert all(passed[True]) and len(passed[True]) > 50 and len(passed[False]) > 20 and np.mean(passed[False]) < 0.2
+    huge = near.classes(np.arange(64 * 255, dtype=np.uint64))
+    assert (huge == 255).all() and near.classes(np.zeros(0, np.uint64)).sum() == 0
