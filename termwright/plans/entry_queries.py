@@ -59,7 +59,7 @@ mt AS (SELECT *, CASE WHEN s_suppkey % 3 > 0 THEN s_name ELSE 'canon' END AS nam
 e AS (
   SELECT {_id('step1_catalog', "'catalog_summary'", "'Step1 总览'")} AS entry_id, CAST(NULL AS VARCHAR) AS parent_id, 'step1_catalog' AS stage, 'Step1 总览' AS title, '{{"brands":' || count(DISTINCT p_brand) || ',"rows":' || count(*) || '}}' AS content, 'catalog_summary' AS source_ref, '目录总览' AS chapter_title, '' AS component_type FROM part
   UNION ALL SELECT {_id('step1_rule', 'ref', 'title')}, NULL, 'step1_rule', title, '章节路径: ' || path || chr(10) || '规则说明:' || chr(10) || 'rule of ' || p_brand, ref, chapter, '' FROM ru WHERE ruled
-  UNION ALL SELECT {_id('step1_table', 'ref', 'title')}, CASE WHEN ruled THEN {_id('step1_rule', 'rule_ref', 'rule_title')} END, 'step1_table', trim(title), {_lines(('章节路径', 'path'), ('表格标题', 'named'), ('表格原文', 'raw'))}, ref, chapter, '' FROM t WHERE raw <> ''
+  UNION ALL SELECT {_id('step1_table', 'ref', 'title')}, CASE WHEN ruled THEN {_id('step1_rule', 'rule_ref', 'rule_title')} END, 'step1_table', regexp_replace(title, '^\\s+|\\s+$', '', 'g'), {_lines(('章节路径', 'path'), ('表格标题', 'named'), ('表格原文', 'raw'))}, ref, chapter, '' FROM t WHERE raw <> ''
   UNION ALL SELECT {_id('step1_row', "ref || '-row-' || k", "'Step1 清单行 | ' || p_partkey || ' ' || p_name")}, CASE WHEN raw <> '' THEN {_id('step1_table', 'ref', 'title')} END, 'step1_row', 'Step1 清单行 | ' || p_partkey || ' ' || p_name, {_lines(*_row)}, ref || '-row-' || k, chapter, '' FROM ro
   UNION ALL SELECT {_id('step2_mapping', "'step2_mapping#' || n_nationkey", "'Step2 构件映射 | ' || CASE WHEN src <> '' THEN src ELSE 'mapping_' || n_nationkey END")}, NULL, 'step2_mapping', 'Step2 构件映射 | ' || CASE WHEN src <> '' THEN src ELSE 'mapping_' || n_nationkey END,
     trim({_blank(E.MAPPING_PARTS, {'source': 'src', 'selected': "'std '", 'aliases': "'[\"it''s\", ''' || n_name || ''']'", 'status': "'matched'", 'confidence': "'0.5'"})}), 'step2_mapping#' || n_nationkey, 'std', src FROM nm
