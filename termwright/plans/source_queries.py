@@ -136,11 +136,11 @@ def refresh_knowledge(spark, sf_dir):
     root = folder(spark, "knowledge")
     P.refresh_knowledge(root, d, pages)
     before = {p["path"] for t in P.manifest(spark, root).tables.values() for p in t["parts"].values()}
-    changed = d.withColumn("text", F.when(F.col("stage") == "step-en", F.upper("text")).otherwise(F.col("text"))).repartition(3)
+    changed = d.withColumn("text", F.when(F.col("stage") == "step-en", F.concat("text", F.lit("!"))).otherwise(F.col("text"))).repartition(3)
     P.refresh_knowledge(root, changed, pages)
     old = F.array(*map(F.lit, sorted(x.split("/data/")[1] for x in before)))
     own = P.read_published(spark, root, "entries").select("stage", F.length("text").alias("size"), F.regexp_extract(F.col("_metadata.file_path"), "/data/(.*)/[^/]*$", 1).alias("part"))
     return own.groupBy("stage").agg(F.count("*").alias("n"), F.sum("size").alias("characters"), F.max(~F.array_contains(old, F.col("part"))).alias("written"))
 
 
-add("refresh_knowledge", refresh_knowledge, "SELECT 'step-' || lang AS stage, count(*) AS n, sum(length(text)) AS characters, lang = 'en' AS written FROM documents GROUP BY lang")
+add("refresh_knowledge", refresh_knowledge, "SELECT 'step-' || lang AS stage, count(*) AS n, sum(length(text)) + CASE WHEN lang = 'en' THEN count(text) ELSE 0 END AS characters, lang = 'en' AS written FROM documents GROUP BY lang")
