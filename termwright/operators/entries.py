@@ -64,26 +64,26 @@ def region_entries(regions: DataFrame) -> DataFrame:
     chapter = X.section_root(path)
     rules = _strip(F.col("text"))
     rule = _entry("step1_rule", F.concat(path, F.lit("#rule")), F.concat(F.lit("Step1 章节规则 | "), F.when(path != "", path).otherwise(F.concat(F.lit("region_"), F.col("region_no").cast("string")))), F.concat(F.lit("章节路径: "), path, F.lit("\n规则说明:\n"), rules), chapter)
-    rows = regions.select(path.alias("path"), chapter.alias("chapter"), F.when(rules != "", rule).alias("rule"), F.coalesce("tables", F.expr("array()").cast(regions.schema["tables"].dataType)).alias("tables"))
-
-    def of_table(t: Column, i: Column) -> Column:
-        raw, number = _strip(t["raw_text"]), (i + 1).cast("string")
-        named = F.when(_strip(t["title"]) != "", _strip(t["title"])).otherwise(F.substring(raw, 1, TITLE_CHARS))
-        shown = F.when(named != "", named).when(F.col("path") != "", F.col("path")).otherwise(number)
-        ref = F.concat(F.col("path"), F.lit("#table-"), number)
-        head = F.concat(F.lit("章节路径: "), F.col("path"), F.lit("\n表格标题: "), named)
-        own = F.when(raw != "", _entry("step1_table", ref, F.concat(F.lit("Step1 表格摘要 | "), shown), F.concat(head, F.lit("\n表格原文: "), raw), F.col("chapter"), parent=F.col("rule.entry_id")))
-
-        def of_row(r: Column, k: Column) -> Column:
-            title = F.concat(F.lit("Step1 清单行 | "), _strip(r["code"]), F.lit(" "), _strip(r["name"]))
-            said = F.concat(head, F.lit("\n"), _parts(ROW_PARTS, lambda f: _strip(r[f])))
-            return _entry("step1_row", F.concat(ref, F.lit("-row-"), (k + 1).cast("string")), _strip(title), said, F.col("chapter"), parent=own["entry_id"])
-
-        below = F.transform(F.coalesce(t["rows"], F.array().cast(regions.schema["tables"].dataType.elementType["rows"].dataType)), of_row)
-        return F.concat(F.array(own), below)
-
-    every = F.concat(F.array("rule"), F.flatten(F.transform("tables", of_table)))
-    return rows.select(F.filter(every, lambda e: e.isNotNull()).alias("entries")).select(F.inline("entries"))
+    tables = regions.schema["tables"].dataType
+    none = F.lit(None)
+    # A region fans out into its rules and its tables, a table into its own entry and its rows. What a row needs of its table is made once, before, and is small.
+    parts = F.concat(F.array(F.struct(F.when(rules != "", rule).alias("rule"), none.cast("int").alias("i"), none.cast(tables.elementType).alias("t"))), F.transform(F.coalesce("tables", F.array().cast(tables)), lambda t, i: F.struct(none.cast(ENTRY).alias("rule"), i.alias("i"), t.alias("t"))))
+    own = regions.select(path.alias("path"), chapter.alias("chapter"), F.when(rules != "", rule["entry_id"]).alias("rule_id"), parts.alias("parts")).select("path", "chapter", "rule_id", F.explode("parts").alias("part"))
+    raw, number = _strip(F.col("t.raw_text")), (F.col("i") + 1).cast("string")
+    own = own.select("path", "chapter", "rule_id", "part.rule", "part.t", "part.i").select("path", "chapter", "rule_id", "rule", raw.alias("raw"), F.col("i").isNotNull().alias("table"), number.alias("number"), _strip(F.col("t.title")).alias("title"), F.col("t.rows").alias("rows"))
+    own = own.withColumn("named", F.when(F.col("title") != "", F.col("title")).otherwise(F.substring("raw", 1, TITLE_CHARS)))
+    shown = F.when(F.col("named") != "", F.col("named")).when(F.col("path") != "", F.col("path")).otherwise(F.col("number"))
+    own = own.withColumns({"ref": F.concat("path", F.lit("#table-"), "number"), "head": F.concat(F.lit("章节路径: "), F.col("path"), F.lit("\n表格标题: "), F.col("named"))})
+    table = _entry("step1_table", F.col("ref"), F.concat(F.lit("Step1 表格摘要 | "), shown), F.concat("head", F.lit("\n表格原文: "), "raw"), F.col("chapter"), parent=F.col("rule_id"))
+    own = own.select("path", "chapter", "ref", "head", F.coalesce("rule", F.when(F.col("table") & (F.col("raw") != ""), table)).alias("entry"), F.coalesce("rows", F.array().cast(tables.elementType["rows"].dataType)).alias("rows"))
+    row = tables.elementType["rows"].dataType.elementType
+    below = F.concat(F.array(F.struct(F.col("entry"), none.cast("int").alias("k"), none.cast(row).alias("r"))), F.transform("rows", lambda r, k: F.struct(none.cast(ENTRY).alias("entry"), k.alias("k"), r.alias("r"))))
+    out = own.select("chapter", "ref", "head", F.col("entry.entry_id").alias("table_id"), below.alias("below"))
+    out = out.select("chapter", "ref", "head", "table_id", F.explode("below").alias("e")).select("chapter", "ref", "head", "table_id", "e.entry", "e.k", "e.r")
+    said = F.concat("head", F.lit("\n"), _parts(ROW_PARTS, lambda f: _strip(F.col(f"r.{f}"))))
+    title = F.concat(F.lit("Step1 清单行 | "), _strip(F.col("r.code")), F.lit(" "), _strip(F.col("r.name")))
+    made = _entry("step1_row", F.concat("ref", F.lit("-row-"), (F.col("k") + 1).cast("string")), _strip(title), said, F.col("chapter"), parent=F.col("table_id"))
+    return out.select(F.when(F.col("k").isNotNull(), made).otherwise(F.col("entry")).alias("e")).where("e is not null").select("e.*")
 
 
 def summary_entry(summary: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 import re
 import time
 
+from pyspark.sql import functions as F
+
+from termwright.operators import entries
 from termwright.sources import readers
 
 ROW = "struct<code:string,name:string,features:string,unit:string,rule:string,work:string>"
@@ -25,3 +28,14 @@ def test_rows_of_a_region_do_not_carry_their_table(spark):
     made = readers.flatten_bill_rows(df)
     assert [tuple(r) for r in made.collect()] == [("1", "r", "A > b", "表1", "x", "m2")]
     assert not repeated(made)
+
+
+def test_rows_of_a_table_read_its_text_once(spark):
+    n = 3000
+    rows = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(i.cast("string").alias("code"), *[F.lit("x").alias(c) for c in ("name", "features", "unit", "rule", "work")]))
+    table = F.struct(F.lit("T").alias("title"), F.repeat(F.lit("word "), 100_000).alias("raw_text"), rows.alias("rows"))
+    df = spark.range(1).select(F.lit(1).alias("region_no"), F.lit("A > b").alias("path"), F.lit("say").alias("text"), F.array(table).alias("tables"))
+    made = entries.region_entries(df)
+    assert not repeated(made) and seconds(made) < 20
+    got = made.groupBy("stage").agg(F.count("*").alias("n"), F.count_distinct("parent_id").alias("parents")).collect()
+    assert {r.stage: (r.n, r.parents) for r in got} == {"step1_rule": (1, 0), "step1_table": (1, 1), "step1_row": (n, 1)}
