@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from termwright.operators import entries
+from termwright.operators import entries, retrieval
 from termwright.sources import readers
 
 ROW = "struct<code:string,name:string,features:string,unit:string,rule:string,work:string>"
@@ -39,3 +39,10 @@ def test_rows_of_a_table_read_its_text_once(spark):
     assert not repeated(made) and seconds(made) < 20
     got = made.groupBy("stage").agg(F.count("*").alias("n"), F.count_distinct("parent_id").alias("parents")).collect()
     assert {r.stage: (r.n, r.parents) for r in got} == {"step1_rule": (1, 0), "step1_table": (1, 1), "step1_row": (n, 1)}
+
+
+def test_chapters_and_titles_that_come_often_meet_once(spark):
+    many = spark.range(100_000).select(F.concat(F.lit("chapter "), (F.col("id") % 2).cast("string")).alias("chapter"))
+    df = retrieval.chapter_lookup(many, many.select(F.col("chapter").alias("title")))
+    assert seconds(df) < 30
+    assert sorted(map(tuple, df.collect())) == [("chapter 0", "chapter 0"), ("chapter 1", "chapter 1")]
