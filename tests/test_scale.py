@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from termwright.operators import entries, retrieval
+from termwright.operators import entries, retrieval, rules
 from termwright.sources import readers
 
 ROW = "struct<code:string,name:string,features:string,unit:string,rule:string,work:string>"
@@ -46,3 +46,18 @@ def test_chapters_and_titles_that_come_often_meet_once(spark):
     df = retrieval.chapter_lookup(many, many.select(F.col("chapter").alias("title")))
     assert seconds(df) < 30
     assert sorted(map(tuple, df.collect())) == [("chapter 0", "chapter 0"), ("chapter 1", "chapter 1")]
+
+
+def test_rows_and_rules_alike_meet_once(spark):
+    n = 6000
+    rows = spark.range(n).select(F.lit("c").alias("chapter"), F.col("id").alias("row_id"), F.concat(F.lit("wall "), "id").alias("name"), F.lit("").alias("features"), F.lit("").alias("rule"), F.lit("c > p").alias("path"))
+    own = spark.range(n).select(
+        F.lit("c").alias("chapter"), F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("rule_id"), F.col("id").alias("pos"), F.array(F.lit("component_route")).alias("types"), F.array(F.lit("wall"), F.concat(F.lit("unseen "), "id")).alias("scope_terms"),
+        F.array(F.concat(F.lit("f"), (F.col("id") % 3).cast("string"))).alias("feature_names"), F.array().cast("array<string>").alias("keywords"), F.array(F.lit("t")).alias("target_terms"), F.array().cast("array<string>").alias("codes"),
+    )
+    attached = rules.attach_rules(rows, own)
+    hints = rules.rule_hints(rows, own)
+    assert seconds(attached) + seconds(hints) < 40
+    got = {(r.rule_id, r.rank, r.score, tuple(r.terms)): r.n for r in attached.groupBy("rule_id", "rank", "score", "terms").agg(F.count("*").alias("n")).collect()}
+    assert got == {(f"r{i:05}", i + 1, 0.63, ("wall",)): n for i in range(8)}
+    assert [tuple(r) for r in hints.groupBy("features", "targets", "codes").count().collect()] == [(["f0", "f1", "f2"], ["t"], [], n)]
