@@ -73,14 +73,7 @@ def pages(spark, sf_dir):
     return p.select(F.col("name").alias("id"), F.concat(F.lit("page "), "name").alias("title"), F.col("content").alias("text"), F.col("name").alias("component"))
 
 
-def hybrid_score(spark, sf_dir):
-    """Every query with the entries that have its number modulo 5."""
-    q, e = queries(spark, sf_dir), entries(spark, sf_dir)
-    pairs = q.select(F.col("id").alias("query_id"), (F.col("id") % 5).alias("k")).join(e.select("id", (F.col("id") % 5).alias("k")), "k")
-    return R.hybrid_score(pairs, q, e)
-
-
-QUERIES["hybrid_score"] = hybrid_score
+QUERIES["hybrid_score"] = lambda spark, sf_dir: R.hybrid_score(queries(spark, sf_dir), entries(spark, sf_dir))
 QUERIES["query_knowledge"] = lambda spark, sf_dir: R.query_entries(queries(spark, sf_dir), entries(spark, sf_dir), pages(spark, sf_dir))
 _SHORT80 = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
 
@@ -110,7 +103,7 @@ def _budgeted(name: str, of: str, most: int) -> str:
 
 
 _HYBRID = f"{_COSINE}, {_hybrid('h', 'entries', 'cosines')}"
-ORACLE_SQL["hybrid_score"] = f"WITH {_HYBRID} SELECT query_id, id, score FROM h WHERE query_id % 5 = id % 5"
+ORACLE_SQL["hybrid_score"] = f"WITH {_HYBRID} SELECT query_id, id, score FROM h"
 _PAGED = f"{_PAGES}, p_of AS (SELECT id FROM pages), {_vectors('p', 'pages')}, {_cosines('page_cosines', 'p')}, {_hybrid('hp', 'pages', 'page_cosines')}"
 ORACLE_SQL["query_knowledge"] = f"WITH {_HYBRID}, {_PAGED}, {_budgeted('be', 'h', 8)}, {_budgeted('bp', 'hp', 3)} SELECT query_id, 'entry' AS kind, id, score, size, rank FROM be UNION ALL SELECT query_id, 'page', id, score, size, rank FROM bp"
 

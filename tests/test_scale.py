@@ -61,3 +61,10 @@ def test_rows_and_rules_alike_meet_once(spark):
     got = {(r.rule_id, r.rank, r.score, tuple(r.terms)): r.n for r in attached.groupBy("rule_id", "rank", "score", "terms").agg(F.count("*").alias("n")).collect()}
     assert got == {(f"r{i:05}", i + 1, 0.63, ("wall",)): n for i in range(8)}
     assert [tuple(r) for r in hints.groupBy("features", "targets", "codes").count().collect()] == [(["f0", "f1", "f2"], ["t"], [], n)]
+
+
+def test_every_query_is_scored_with_every_row(spark):
+    asked = spark.createDataFrame([(i, f"word{i}", None) for i in range(3)], "id long, text string, component string")
+    rows = spark.createDataFrame([(i, f"word{i} x", None) for i in range(4)], "id long, text string, component string")
+    got = {(r.query_id, r.id) for r in retrieval.hybrid_score(asked, rows).collect()}
+    assert got == {(q, i) for q in range(3) for i in range(4)}
