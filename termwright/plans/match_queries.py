@@ -99,9 +99,13 @@ scored AS (SELECT *, {_step(2)} FROM f3)"""
 
 
 def score_names(spark, sf_dir):
+    """Rows with the components that have their number modulo 7; each distinct name is scored against a component once."""
     rows = bill_rows(spark, sf_dir).select("row_id", "name", (F.col("row_id") % 7).alias("k"))
-    cat = catalog(spark, sf_dir).withColumn("k", F.col("pos") % 7)
-    return rows.join(cat, "k").select("row_id", "component", M.score_names(F.col("name"), F.col("names")).alias("s")).select("row_id", "component", F.round("s.score", 4).alias("score"), "s.basis")
+    known = catalog(spark, sf_dir).select("component", (F.col("pos") % 7).alias("k"), M.name_forms(F.col("names")).alias("forms"))
+    asked = rows.select("name", "k").distinct().withColumn("f", M.query_form(F.col("name")))
+    scored = asked.join(known, "k").select(F.col("name").alias("said"), F.col("k").alias("of"), "component", M.score_forms(F.col("f"), F.col("forms")).alias("s"))
+    scored = scored.select("said", "of", "component", F.round("s.score", 4).alias("score"), "s.basis")
+    return rows.join(scored, (F.col("k") == F.col("of")) & F.col("name").eqNullSafe(F.col("said"))).select("row_id", "component", "score", "basis")
 
 
 QUERIES["score_names"] = score_names

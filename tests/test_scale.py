@@ -6,6 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from termwright.operators import entries, retrieval, rules
+from termwright.plans import match_queries
 from termwright.sources import readers
 
 ROW = "struct<code:string,name:string,features:string,unit:string,rule:string,work:string>"
@@ -68,3 +69,13 @@ def test_every_query_is_scored_with_every_row(spark):
     rows = spark.createDataFrame([(i, f"word{i} x", None) for i in range(4)], "id long, text string, component string")
     got = {(r.query_id, r.id) for r in retrieval.hybrid_score(asked, rows).collect()}
     assert got == {(q, i) for q in range(3) for i in range(4)}
+
+
+def test_each_distinct_name_is_scored_once(spark, tmp_path):
+    k = F.col("id")
+    part = spark.range(60_000).select(k.alias("p_partkey"), F.concat(F.lit("ring "), (k % 60).cast("string")).alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), (k % 50).cast("int").alias("p_size"))
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    df = match_queries.score_names(spark, str(tmp_path))
+    assert seconds(df) < 40
+    # Least keys of the names are 0 to 59; a row meets those that have its number modulo 7.
+    assert df.count() == sum(len(range(i % 7, 60, 7)) for i in range(60_000))
