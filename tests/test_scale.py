@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from termwright.operators import entries, retrieval, rules
+from termwright.operators import entries, positions, retrieval, rules
 from termwright.plans import match_queries
 from termwright.sources import readers
 
@@ -79,3 +79,21 @@ def test_each_distinct_name_is_scored_once(spark, tmp_path):
     assert seconds(df) < 40
     # Least keys of the names are 0 to 59; a row meets those that have its number modulo 7.
     assert df.count() == sum(len(range(i % 7, 60, 7)) for i in range(60_000))
+
+
+def test_words_become_lines_and_cells_once(spark):
+    df = spark.createDataFrame([(1, 1, 0.0, 0.0, 1.0, 1.0, "a")], "doc long, page long, x0 double, y0 double, x1 double, y1 double, word string")
+    plan = positions.word_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    cells = positions.line_cells(positions.table_lines(positions.word_lines(df)))
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    # The six cells, the words' places and the line's text: none of them is computed again for a filter.
+    assert plan.count("transform(") <= 8
+
+
+def test_a_line_of_words_that_spans_batches_stays_whole(spark):
+    n = 25_000
+    df = spark.range(n).select(F.lit(1).alias("doc"), F.lit(1).alias("page"), F.col("id").cast("double").alias("x0"), F.lit(0.0).alias("y0"), (F.col("id") + 1).cast("double").alias("x1"), F.lit(1.0).alias("y1"), F.lit("w").alias("word"))
+    more = df.limit(2).select("doc", "page", "x0", F.lit(50.0).alias("y0"), "x1", F.lit(51.0).alias("y1"), "word")
+    got = positions.word_lines(df.unionByName(more)).select("line_no", F.size("words").alias("n"), F.length("text").alias("t")).orderBy("line_no").collect()
+    assert [tuple(r) for r in got] == [(0, n, n), (1, 2, 2)]
