@@ -97,3 +97,15 @@ def test_a_line_of_words_that_spans_batches_stays_whole(spark):
     more = df.limit(2).select("doc", "page", "x0", F.lit(50.0).alias("y0"), "x1", F.lit(51.0).alias("y1"), "word")
     got = positions.word_lines(df.unionByName(more)).select("line_no", F.size("words").alias("n"), F.length("text").alias("t")).orderBy("line_no").collect()
     assert [tuple(r) for r in got] == [(0, n, n), (1, 2, 2)]
+
+
+def test_items_of_a_file_do_not_carry_it(spark):
+    n = 4000
+    text = "[" + ",".join(f'{{"name":"{"x" * 500}{i}"}}' for i in range(n)) + "]"
+    files = spark.createDataFrame([("c", "", ["t"], "a/b.json", text)], "collection string, source_type string, tags array<string>, path string, text string")
+    made = retrieval.corpus_documents(files, ("name",))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    kept = re.findall(r"\[([^\[\]]*)\], false, \[__part", plan)
+    assert kept and not any(c in k for k in kept for c in ("text#", "__json#"))
+    assert not repeated(made) and seconds(made) < 30
+    assert made.count() == n
