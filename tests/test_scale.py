@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from termwright.operators import entries, positions, retrieval, rules
+from termwright.operators import entries, matching, positions, retrieval, rules
 from termwright.plans import match_queries
 from termwright.sources import readers
 
@@ -109,3 +109,20 @@ def test_items_of_a_file_do_not_carry_it(spark):
     assert kept and not any(c in k for k in kept for c in ("text#", "__json#"))
     assert not repeated(made) and seconds(made) < 30
     assert made.count() == n
+
+
+def test_rows_of_a_name_and_unit_are_ranked_once(spark):
+    n = 30_000
+    rows = spark.range(n).select(F.col("id").alias("row_id"), F.concat(F.lit("deep ring "), (F.col("id") % 3).cast("string")).alias("name"), F.when(F.col("id") % 2 == 0, "m2").alias("unit"))
+    rows = rows.unionByName(spark.createDataFrame([(-1, None, "m2")], "row_id long, name string, unit string"))
+    catalog = spark.createDataFrame([("deep ring 0", 0, ["deep ring 0"], ["m2"]), ("deep ring 1 x", 1, ["deep ring 1 x"], ["m3"])], "component string, pos long, names array<string>, units array<string>")
+    index = matching.alias_index(matching.component_aliases(catalog.where("pos < 0").select("component", "pos")))
+    asked = []
+    ranked, matching._ranked = matching._ranked, lambda r, *rest: asked.append(r.count()) or ranked(r, *rest)
+    try:
+        made = matching.rank_candidates(rows, catalog, index)
+    finally:
+        matching._ranked = ranked
+    assert asked == [6]
+    got = {r.row_id: (r.component, r.score, r.basis) for r in made.where("rank = 1").collect()}
+    assert len(got) == n and got[0][:2] == ("deep ring 0", 1.0) and got[1][0] == "deep ring 1 x" and -1 not in got
