@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from termwright.operators import entries, matching, positions, retrieval, rules
+from termwright.operators import entries, matching, positions, retrieval, rules, selection
 from termwright.plans import match_queries
 from termwright.sources import readers
 
@@ -126,3 +126,13 @@ def test_rows_of_a_name_and_unit_are_ranked_once(spark):
     assert asked == [6]
     got = {r.row_id: (r.component, r.score, r.basis) for r in made.where("rank = 1").collect()}
     assert len(got) == n and got[0][:2] == ("deep ring 0", 1.0) and got[1][0] == "deep ring 1 x" and -1 not in got
+
+
+def test_a_source_of_many_names_is_dealt_over_tasks(spark):
+    n = 200
+    components = spark.range(n).select(F.concat(F.lit("c"), "id").alias("component"))
+    aliases = components.agg(F.lit("s").alias("source"), F.collect_set("component").alias("aliases"))
+    made = selection.expand_terms(components, aliases, heavy=1000)
+    assert "__salt" in made._jdf.queryExecution().analyzed().toString()
+    got = {tuple(r) for r in made.collect()}
+    assert got == {(f"c{i}", t) for i in range(n) for t in [*(f"c{k}" for k in range(n)), "s"]}
