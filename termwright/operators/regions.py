@@ -1,7 +1,7 @@
 """Regions of documents: from an outline (``doc``, ``idx``, ``level``, ``title``, ``page``) and pages (``doc``, ``page``, ``text``) to the text of each entry.
 
 A region begins and ends inside a page, where its title and the next one's stand. Titles are found in the normal form of a page, which
-has only letters and digits; each character of it knows its place in the page.
+has only letters and digits; what is found there is sought in the page with anything between its characters.
 """
 
 from __future__ import annotations
@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from termwright.functions import constants as C
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+#: All that is white space in Unicode.
+_WHITE = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(_WHITE))
 
 
 def looks_like_body(title: Column) -> Column:
@@ -72,27 +71,35 @@ def boundaries(outline: DataFrame) -> DataFrame:
     return rows.withColumn("__after", after).where("in_level = level").select(*outline.columns, "__after.*")
 
 
-def _kept(text: Column) -> Column:
-    """The letters and digits of a text with their places from 0, in lower case one by one, so that no place moves."""
-    chars = F.transform(F.split(text, ""), lambda c, i: F.struct(i.alias("at"), F.when(c == "İ", "i").otherwise(F.lower(c)).alias("c")))
-    return F.filter(chars, lambda x: x["c"].rlike(r"[\p{L}\p{N}]"))
+#: What stands between the letters and digits of a text.
+_GAP = r"[^\p{L}\p{N}]"
 
 
-def _normal(kept: Column) -> Column:
-    return F.array_join(F.transform(kept, lambda x: x["c"]), "")
+def _lower(text: Column) -> Column:
+    """A text in lower case as its characters are one by one, so that no place moves."""
+    return F.lower(F.replace(F.replace(text, F.lit("İ"), F.lit("i")), F.lit("Σ"), F.lit("σ")))
+
+
+def _normal(low: Column) -> Column:
+    """The letters and digits of a text in lower case."""
+    return F.regexp_replace(low, f"{_GAP}+", "")
+
+
+def _spread(form: Column) -> Column:
+    """The pattern of a normal form in a text that has anything between its letters and digits."""
+    return F.regexp_replace(form, r"(?s)(.)(?=.)", "$1" + _GAP.replace("\\", "\\\\") + "*+")
 
 
 def title_forms(title: Column) -> Column:
     """The normal forms in which a title is looked for, in order: whole, without its number, without ``附录`` and its letter; of two characters at least."""
     own = F.coalesce(title, F.lit(""))
     forms = F.array(own, F.regexp_replace(own, C.TITLE_NUMBER, ""), F.regexp_replace(own, C.TITLE_APPENDIX, ""))
-    return F.array_distinct(F.filter(F.transform(forms, lambda t: _normal(_kept(t))), lambda n: F.length(n) >= C.LEAST_ANCHOR))
+    return F.array_distinct(F.filter(F.transform(forms, lambda t: _normal(_lower(t))), lambda n: F.length(n) >= C.LEAST_ANCHOR))
 
 
-def _anchor(normal: Column, forms: Column, start: Column) -> Column:
-    """(``m``, ``l``): the place in the normal form, from 1, and the length of the first form that is found from ``start`` on; null if none is."""
-    hits = F.transform(forms, lambda f: F.struct(F.position(f, normal, start).alias("m"), F.length(f).alias("l")))
-    return F.get(F.filter(hits, lambda h: h["m"] > 0), F.lit(0))
+def _first_in(normal: Column, forms: Column) -> Column:
+    """The first of the forms that stands in a normal form; null if none does."""
+    return F.get(F.filter(forms, lambda f: normal.contains(f)), F.lit(0))
 
 
 def region_text(outline: DataFrame, pages: DataFrame) -> DataFrame:
@@ -116,24 +123,17 @@ def region_text(outline: DataFrame, pages: DataFrame) -> DataFrame:
     asked = touch.groupBy("doc", "page").agg(F.collect_list("t").alias("ts")).join(pages.select("doc", "page", "text"), ["doc", "page"], "left")
     text = F.coalesce("text", F.lit(""))
 
-    def cut(kept: Column, normal: Column, t: Column) -> Column:
-        at = lambda a, missing: F.when(a.isNull(), missing).otherwise(F.get(kept, a["m"] - 1)["at"])
-
-        def both(s: Column) -> Column:
-            return _let(_anchor(normal, t["last"], F.when(s.isNull(), F.lit(1)).otherwise(s["m"] + s["l"])), lambda e: part(s, e))
-
-        def part(s: Column, e: Column) -> Column:
-            begin, stop = at(s, F.lit(0)), at(e, F.length("text_"))
-            own = _strip(F.substring(F.col("text_"), begin + 1, F.greatest(stop - begin, F.lit(0))))
-            return F.struct(t["idx"].alias("idx"), t["o"].alias("o"), t["page_start"].alias("page_start"), (t["begins"] & s.isNotNull()).alias("start_found"), (t["ends"] & e.isNotNull()).alias("end_found"), own.alias("part"))
-
-        return _let(_anchor(normal, t["first"], F.lit(1)), both)
-
-    asked = asked.select("doc", "page", "ts", text.alias("text_"))
+    # Where a form stands is found in the normal form; only its place in the page is sought letter by letter.
     cuts = F.exists("ts", lambda t: t["begins"] | t["ends"])
-    kept = F.when(cuts, _kept(F.col("text_"))).otherwise(_kept(F.lit("")))
-    parts = _let(kept, lambda k: _let(_normal(k), lambda n: F.transform("ts", lambda t: cut(k, n, t))))
-    parts = asked.select("doc", "page", parts.alias("parts")).select("doc", "page", F.inline("parts"))
+    low = asked.select("doc", "page", "ts", text.alias("own"), F.when(cuts, _lower(text)).otherwise("").alias("low"))
+    rows = low.withColumn("normal", _normal(F.col("low"))).select("doc", "page", "own", "low", "normal", F.inline("ts"))
+    rows = rows.withColumn("s", _first_in(F.col("normal"), F.col("first")))
+    rows = rows.withColumns({"begin": F.regexp_substr("low", _spread(F.col("s"))), "behind": F.when(F.col("s").isNull(), F.col("normal")).otherwise(F.substr("normal", F.position("s", "normal") + F.length("s")))})
+    rows = rows.withColumns({"at": F.coalesce(F.position("begin", "low") - 1, F.lit(0)), "e": _first_in(F.col("behind"), F.col("last"))})
+    rows = rows.withColumn("after", F.col("at") + F.coalesce(F.length("begin"), F.lit(0))).withColumn("low", F.when(F.col("e").isNotNull(), F.substr("low", F.col("after") + 1)))
+    stop = F.coalesce(F.col("after") + F.position(F.regexp_substr("low", _spread(F.col("e"))), F.col("low")) - 1, F.length("own"))
+    part = _strip(F.substring(F.col("own"), F.col("at") + 1, F.greatest(stop - F.col("at"), F.lit(0))))
+    parts = rows.select("doc", "page", "idx", "o", "page_start", (F.col("begins") & F.col("s").isNotNull()).alias("start_found"), (F.col("ends") & F.col("e").isNotNull()).alias("end_found"), part.alias("part"))
     said = F.filter(F.array_sort(F.collect_list(F.struct("o", "page", "part"))), lambda p: p["part"] != "")
     out = parts.groupBy("doc", "idx").agg(said.alias("said"), F.bool_or("start_found").alias("start_found"), F.bool_or("end_found").alias("end_found"), F.first("page_start").alias("page_start"))
     return out.select(

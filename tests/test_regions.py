@@ -88,3 +88,12 @@ def test_lines_of_words(spark):
     got = [(r.line_no, r.text) for r in positions.word_lines(df).orderBy("line_no").collect()]
     # The mean of a and b is 1.45: c is farther than 3 from it.
     assert got == [(0, "ab"), (1, "cd")]
+
+
+def test_pages_are_not_taken_apart_into_letters(spark):
+    outline = spark.createDataFrame([(1, 0, 1, "Σ-İΑΣ", 1), (1, 1, 1, "𝔸 — Ⅷ!b", 1)], OUTLINE)
+    pages = spark.createDataFrame([(1, 1, "x ααΣ.. 𝟘 σ (i-α.Σ) one.　 𝔸\nⅧ𝟙 𝔸Ⅷ b two ")], "doc long, page int, text string")
+    made = regions.region_text(outline, pages)
+    assert [(r.text, r.start_found, r.end_found) for r in made.orderBy("idx").collect()] == [("σ (i-α.Σ) one.　 𝔸\nⅧ𝟙", True, True), ("𝔸Ⅷ b two", True, False)]
+    # One pass over a page, not a pattern for each of its letters.
+    assert "split(" not in made._jdf.queryExecution().optimizedPlan().toString()
