@@ -136,3 +136,37 @@ def test_a_source_of_many_names_is_dealt_over_tasks(spark):
     assert "__salt" in made._jdf.queryExecution().analyzed().toString()
     got = {tuple(r) for r in made.collect()}
     assert got == {(f"c{i}", t) for i in range(n) for t in [*(f"c{k}" for k in range(n)), "s"]}
+
+
+def test_regions_are_summed_up_where_they_are(spark):
+    words, n = ["ab", "bc", "c", "混凝土", "zz"], 300
+    rows = [(i, words[i % 5] + words[i // 5 % 5], words[i // 3 % 4] * (i % 3), i % 7, i % 4, f"g{i % 3}" if i % 11 else None, i % 13) for i in range(n)]
+    df = spark.createDataFrame([(i, t, "", "", "", b, x, y, g, s) for i, t, b, x, y, g, s in rows], "region int, title string, path string, table_titles string, headers string, body string, tables int, rows int, group string, size int")
+    terms = spark.createDataFrame([(b, w) for b in range(6) for k, w in enumerate(words) if (b + k) % 3], "batch int, term string")
+    scored = selection.score_regions(df.repartition(5), terms)
+    few = selection.score_regions(df.repartition(5), terms, best=True)
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    # No pair of a batch and a region is shuffled, and those that a better one of their group is beside are left out.
+    assert "Aggregate" not in plan.split("MapInArrow")[0] and few.count() < scored.count() / 3
+    own = lambda s: sorted(map(tuple, selection.budget_select(s, df, terms, 30, 4).collect()))
+    assert own(few) == own(scored) and len(own(few)) > 6
+
+
+def test_sums_are_whole_in_blocks_and_of_repeated_keys(spark):
+    from termwright.functions.found import Best, found_sums
+
+    words = ["ab", "b", "abc", "x", "yx"]
+    texts = [(i, words[i % 5] + words[i // 5 % 5] + words[i // 25 % 5]) for i in range(125)]
+    terms = spark.createDataFrame([(b, w) for b in ("p", "q", None) for w in words if w != b], "batch string, term string")
+    for df in (texts, [*texts, (3, "abc"), (None, "x"), (None, "ab")]):
+        frame = spark.createDataFrame(df, "id int, text string")
+        expected = {}
+        for i, t in df:
+            for b in ("p", "q", None):
+                if any(w in t for w in words):
+                    expected[i, b] = expected.get((i, b), 0) + sum(len(w) for w in words if w in t)
+        for most in (100, 2):
+            got, _ = found_sums(frame, "id", ["text"], terms, lambda t, k: len(t), most=most)
+            assert {(r.id, r.batch): r.points for r in got.collect()} == expected
+            best, few = found_sums(frame, "id", ["text"], terms, lambda t, k: len(t), Best(3, (("id", "ascending"),)), most)
+            assert few == (most == 100 and len(df) == 125) and best.count() == (9 if few else len(expected)) or few
