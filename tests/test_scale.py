@@ -170,3 +170,12 @@ def test_sums_are_whole_in_blocks_and_of_repeated_keys(spark):
             assert {(r.id, r.batch): r.points for r in got.collect()} == expected
             best, few = found_sums(frame, "id", ["text"], terms, lambda t, k: len(t), Best(3, (("id", "ascending"),)), most)
             assert few == (most == 100 and len(df) == 125) and best.count() == (9 if few else len(expected)) or few
+
+
+def test_rows_are_hashed_where_they_are_scored(spark):
+    rows = spark.createDataFrame([(i, f"T {i % 3}", f"wall {i} m2 Σ") for i in range(40)], "id int, title string, text string")
+    asked = rows.where("id < 5").select("id", "text", F.lit("").alias("component"))
+    got = {block: retrieval.top_scored(asked, rows, 3, retrieval.KNOWLEDGE, block=block) for block in (2048, 2)}
+    # A text comes to one process, once.
+    assert got[2048]._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, got[2048].collect())) == sorted(map(tuple, got[2].collect()))
