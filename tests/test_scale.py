@@ -173,9 +173,22 @@ def test_sums_are_whole_in_blocks_and_of_repeated_keys(spark):
 
 
 def test_rows_are_hashed_where_they_are_scored(spark):
-    rows = spark.createDataFrame([(i, f"T {i % 3}", f"wall {i} m2 Σ") for i in range(40)], "id int, title string, text string")
+    rows = spark.createDataFrame([(i, f"T {i % 3}", f"wall {i} m2 Σ") for i in range(40)], "id long, title string, text string")
     asked = rows.where("id < 5").select("id", "text", F.lit("").alias("component"))
     got = {block: retrieval.top_scored(asked, rows, 3, retrieval.KNOWLEDGE, block=block) for block in (2048, 2)}
     # A text comes to one process, once.
     assert got[2048]._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert sorted(map(tuple, got[2048].collect())) == sorted(map(tuple, got[2].collect()))
+
+
+def test_a_page_is_made_once(spark):
+    from termwright.functions import text as X
+
+    page = F.concat(F.lit("---\nx: y\n---\n# A\n**N**: a, b\n## T \n| h |\n# no\n"), "t")
+    df = spark.createDataFrame([("## T\n| 1 |\n",), ("### T\n| 1 |\n#x\n#### y\n| 2 |\n| 3 |\n# z\n| 4 |\n",), ("#" * 30_000 + "\n##\n T\n" + "#x\n" * 9000 + "| 5 |",)], "t string")
+    made = df.select(X.page_summary(page, {"T": 3, "None": 1}, ("N", "M"), 40).alias("s"), X.extract_section(F.col("t"), "T").alias("x"))
+    got = made.collect()
+    assert [r.s for r in got] == ["T: | h |\nN: a, b"] * 3
+    assert [len(r.x) for r in got] == [5, 27, 3 * 9000 + 5] and got[1].x == "| 1 |\n#x\n#### y\n| 2 |\n| 3 |"
+    plan = df.select(X.page_summary(page, {"T": 3, "None": 1}, ("N", "M"), 40))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("# A") == 1
