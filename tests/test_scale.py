@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from termwright.operators import entries, matching, positions, retrieval, rules, selection
+from termwright.operators import entries, lines, matching, positions, retrieval, rules, selection
 from termwright.plans import match_queries
 from termwright.sources import readers
 
@@ -190,5 +190,11 @@ def test_a_page_is_made_once(spark):
     got = made.collect()
     assert [r.s for r in got] == ["T: | h |\nN: a, b"] * 3
     assert [len(r.x) for r in got] == [5, 27, 3 * 9000 + 5] and got[1].x == "| 1 |\n#x\n#### y\n| 2 |\n| 3 |"
-    plan = df.select(X.page_summary(page, {"T": 3, "None": 1}, ("N", "M"), 40))._jdf.queryExecution().optimizedPlan().toString()
+    plan = df.select(X.page_summary(page, {"T": 3, "None": 1}, ("N", "M"), 40).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("# A") == 1
+
+
+def test_lines_of_tables_are_shuffled_once(spark):
+    df = spark.createDataFrame([(1, 0, "编码", "header")], "doc long, pos long, line string, tag string")
+    plan = lines.table_segments(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
