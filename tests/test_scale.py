@@ -198,3 +198,11 @@ def test_lines_of_tables_are_shuffled_once(spark):
     df = spark.createDataFrame([(1, 0, "编码", "header")], "doc long, pos long, line string, tag string")
     plan = lines.table_segments(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_a_refresh_is_dealt_over_as_many_tasks_as_there_are(spark):
+    from termwright.plans import source_queries
+
+    df = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("step-en").alias("stage"), F.lit("x").alias("text"))
+    plan = source_queries.changed(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(doc_id" in plan and "REPARTITION_BY_NUM" not in plan
