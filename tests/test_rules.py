@@ -81,3 +81,24 @@ def test_unpatched_pages_keep_their_block(spark):
     patch = spark.createDataFrame([("a", "l", True)], "component string, label string, matched boolean")
     got = {r.component: r.content for r in audit.reviewed_upsert(pages, patch).collect()}
     assert got == {"a": "x\n<!-- reviewed -->\nmatched:\n- l\n<!-- /reviewed -->", "b": old}
+
+
+def test_regions_of_one_place_are_not_mixed(spark):
+    rows = [("p", 1, "A.1 墙应按 砖墙列项\n说明"), ("p", 1, "B.2 柱应按 石柱列项\n其他")]
+    df = spark.createDataFrame(rows, "path string, pos long, text string")
+    assert sorted(r.paragraph for r in rules.chapter_paragraphs(df).collect()) == ["A.1 墙应按 砖墙列项 说明", "B.2 柱应按 石柱列项 其他"]
+
+
+def test_what_says_the_same_is_captured_once(spark, monkeypatch):
+    own, seen = rules.written, {}
+
+    def written(df, name):
+        out = own(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(rules, "written", written)
+    df = spark.createDataFrame([(f"p{i}", i, f"A.{i} 现浇墙应按本附录中墙相关项目编码列项。") for i in range(40)], "path string, pos long, text string")
+    got = rules.chapter_rules(df).collect()
+    assert len(got) == 40 and {tuple(r.scope_terms) for r in got} == {("现浇墙",)} and len({r.rule_id for r in got}) == 40
+    assert seen["said"] == 1
