@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +180,32 @@ def test_no_alike_pair_fails_the_bound():
     assert all(passed[True]) and len(passed[True]) > 50 and len(passed[False]) > 20 and np.mean(passed[False]) < 0.2
     huge = near.classes(np.arange(64 * 255, dtype=np.uint64))
     assert (huge == 255).all() and near.classes(np.zeros(0, np.uint64)).sum() == 0
+
+
+def test_near_tiles_of_a_population_count(spark):
+    prints = [(1 << a) | (1 << b) | (1 << c) for a in range(40) for b in range(a) for c in range(b)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(prints)], "node long, simhash long")
+    packs = simhash.packed(simhash.tiled(df, near.NEAR_TILE), "simhash", "node").cache()
+    assert len(prints) > 8192 and simhash.tile_pairs(packs, near.RADIUS).count() == 1
+
+
+def test_near_texts_that_share_too_little_are_no_candidates(spark, monkeypatch):
+    # Of one size, within two bits; all shingles of a text are in a class of its own.
+    rows = [(i + 1, 1 << i, 64, *[64 << 8 * (i % 8) if i // 8 == k else 0 for k in range(8)]) for i in range(60)]
+    prints = spark.createDataFrame(rows, "node long, simhash long, size long, " + ", ".join(f"{c} long" for c in near.CLASSES))
+    pairs = []
+
+    def verified(open_pairs, *_):
+        pairs.append(open_pairs.count())
+        return near.written(open_pairs.limit(0), "near-links")
+
+    monkeypatch.setattr(near, "measured", lambda texts, width: prints)
+    monkeypatch.setattr(near, "_verified", verified)
+    assert near.groups(spark.createDataFrame([("a",)], "text string")).count() == 0
+    assert pairs == [0]
+
+
+def test_near_rows_of_a_tile_that_are_to_come():
+    row = pa.RecordBatch.from_pydict({"node": [np.arange(9).tobytes()], "component": pa.array([None], pa.binary()), "right": [np.array([2, 5]).tobytes()]})
+    (got,) = near._to_come([row], ["node", "component"])
+    assert np.frombuffer(got.column("node")[0].as_py(), np.int64).tolist() == [2, 5] and got.column("component")[0].as_py() is None
